@@ -8,10 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, token_counts
+from . import archives, decontamination, licenses, quality, sharding, token_counts
 from .shared import scratch, table
 
 
+def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc, warc = scratch(spark, "arc"), scratch(spark, "warc")
+    version = F.pmod(F.spark_partition_id(), F.lit(2)) + 1
+    archives.write_arc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), arc, version=version)
+    archives.write_warc(archives.convert(spark, arc), warc)
+    records = archives.read_warc(spark, warc).filter(F.col("type").isin("response", "revisit"))
+    origin = records.filter(F.col("type") == "response").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    return records.join(origin, "refers_to_id", "left").select(
+        "page_id", F.col("payload_length").alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"), "refers_to"
+    )
+
+
 def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = sharding.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return packed.select(
@@ -25,5 +37,30 @@ def op3_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_vector_bin_packing, op3_digest_cache)}
-SQL: dict[str, str] = {}
+def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(quality.profile(table(spark, sf_dir, "documents")))
+    return judged.select(F.col("id").alias("doc_id"), *quality.MEASURES, "removed_words", "base_failed", "kept")
+
+
+def op5_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), licenses.templates(spark))
+    return scanned.select("doc_id", "n_matches", F.array_join("licenses", ",").alias("licenses"), F.round("best_dice", 6).alias("best_dice"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton, op6_license_scan)
+}
+SQL: dict[str, str] = {
+    "op1_arc_to_warc": archives.SQL,
+    "op4_line_frequency": quality.SQL,
+    "op5_suffix_automaton": decontamination.SQL,
+    "op6_license_scan": licenses.SQL,
+}
