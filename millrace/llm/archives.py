@@ -8,7 +8,8 @@ records, response for others) and digests of payload and block. Of responses wit
 the one with the smallest order key stays; the others become revisits that refer to it.
 
 Archives are read file by file: one file has to fit into a task's memory, as the 100 MB usual for
-these formats do. ``write_arc`` and ``write_warc`` write one file per partition.
+these formats do. ``write_arc`` and ``write_warc`` write one gzip file per partition; plain files
+are read as well.
 
 Nulls: a null payload is empty, a null url is written as "unknown:", a null id is left out and
 read back as null. Equal rows become separate records. Empty tables give archives without records.
@@ -17,6 +18,7 @@ read back as null. Equal rows become separate records. Empty tables give archive
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -33,6 +35,7 @@ FIELDS = {
 CONVERTED = "page_id long, type string, record_id string, uri string, ip string, date string, mime string, head binary, payload binary, payload_length long, payload_digest string, block_digest string"
 READ = "page_id long, type string, record_id string, refers_to_id string, uri string, date string, payload_length long, payload_digest string, digest_ok boolean"
 BATCH_BYTES = 4 << 20
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def sha1_32(data: bytes) -> str:
@@ -121,6 +124,10 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+def _plain(data: bytes) -> bytes:
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 def _first_here() -> Column:
     """True for the first row of a partition, and so of a file."""
     return F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
@@ -147,7 +154,7 @@ def write_arc(pages: DataFrame, path: str, *, version: int | Column = 1, url: st
         f"filedesc://pages.arc 0.0.0.0 20240101000000 text/plain 200 - - 0 pages.arc {len(about[2])}\n{about[2]}\n"
     )
     rows = pages.select(version.alias("v"), link.alias("link"), stamp.alias("stamp"), size.alias("size"), block.alias("block"), _first_here().alias("first"))
-    rows.select(F.concat(F.when(F.col("first"), start).otherwise(""), line, F.lit("\n"), "block").alias("value")).write.option("lineSep", "\n").text(path)
+    rows.select(F.concat(F.when(F.col("first"), start).otherwise(""), line, F.lit("\n"), "block").alias("value")).write.options(**GZIP, lineSep="\n").text(path)
 
 
 def convert(spark: SparkSession, path: str) -> DataFrame:
@@ -156,7 +163,7 @@ def convert(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = ((p.as_py(), c.as_py()) for batch in batches for p, c in zip(batch.column(0), batch.column(1), strict=True))
-        yield from _rows(((convert_record(p.rsplit("/", 1)[-1], *r), len(r[2])) for p, c in files for r in parse_arc(c)), schema)
+        yield from _rows(((convert_record(p.rsplit("/", 1)[-1], *r), len(r[2])) for p, c in files for r in parse_arc(_plain(c))), schema)
 
     return _files(spark, path).mapInArrow(run, CONVERTED)
 
@@ -191,7 +198,7 @@ def write_warc(records: DataFrame, path: str, *, order: str = "page_id", least:
         field("X-Payload-Length", F.col("payload_length")),
         F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"),
     )
-    joined.select(F.concat(head, block.cast("string")).alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+    joined.select(F.concat(head, block.cast("string")).alias("value")).write.options(**GZIP, lineSep="\r\n\r\n").text(path)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -226,7 +233,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = (c.as_py() for batch in batches for c in batch.column(1))
-        yield from _rows(((_read_record(*r), 300) for c in files for r in parse_warc(c)), schema)
+        yield from _rows(((_read_record(*r), 300) for c in files for r in parse_warc(_plain(c))), schema)
 
     return _files(spark, path).mapInArrow(run, READ)
 
