@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import written
 from .words import slices
 
 CACHE = "key binary, tokenizer string, n_tokens long"
@@ -75,5 +76,6 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, *, text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([digest] * len(counts)), pa.array(counts, pa.int64())], ["key", "tokenizer", "n_tokens"])
 
     misses.mapInArrow(encode, CACHE).write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache, digest).withColumnRenamed("key", "_key")
+    # a table of its own, so that the join reads both sides straight from a shuffle and can split a hot text's rows
+    counts = written(read_cache(spark, cache, digest), "token-counts").withColumnRenamed("key", "_key")
     return keyed.drop(text).join(counts, "_key", "left").drop("_key")
