@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, decontamination, licenses, quality, sharding, surrogates, token_counts
+from . import archives, decontamination, jaccard_join, licenses, quality, sharding, surrogates, token_counts
 from .shared import scratch, table
 
 
@@ -55,17 +55,22 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select("doc_id", "n_matches", F.array_join("licenses", ",").alias("licenses"), F.round("best_dice", 6).alias("best_dice"))
 
 
+def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return replaced.select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton, op6_license_scan, op8_surrogates)
+    f.__name__: f for f in (op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton, op6_license_scan, op7_signature_trees, op8_surrogates)
 }
 SQL: dict[str, str] = {
     "op1_arc_to_warc": archives.SQL,
     "op4_line_frequency": quality.SQL,
     "op5_suffix_automaton": decontamination.SQL,
     "op6_license_scan": licenses.SQL,
+    "op7_signature_trees": jaccard_join.SQL,
 }
