@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, decontamination, jaccard_join, licenses, quality, sharding, surrogates, token_counts
+from . import archives, decontamination, jaccard_join, licenses, quality, repeats, sharding, surrogates, token_counts
 from .shared import scratch, table
 
 
@@ -64,8 +64,13 @@ def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton, op6_license_scan, op7_signature_trees, op8_surrogates)
+    f.__name__: f for f in (op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton, op6_license_scan, op7_signature_trees, op8_surrogates, op9_suffix_array)
 }
 SQL: dict[str, str] = {
     "op1_arc_to_warc": archives.SQL,
