@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import written
+from .shared import text_key, written
 from .signature_tree import links
 from .words import NOT_SPACE, U, Words, mix, slices
 
@@ -113,8 +113,8 @@ def _runs(token: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def profile(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
-    """id, n_shingles and set of each row; the first row of a set in a task has its screening hashes."""
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("_text"))
+    """id, text_id, n_shingles and set of each row; the first row of a set in a task has its screening hashes."""
+    rows = docs.select(F.col(key).alias("id"), F.unhex(text_key(F.col(text))).alias("text_id"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -129,9 +129,9 @@ def profile(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: i
                 seen.add(name)
                 n = len(x)
                 low.append((x[: n - fewest(n, percent) + n // 12 + 1] >> U(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(low, pa.binary())], ["id", "n_shingles", "set", "low"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(low, pa.binary())], ["id", "text_id", "n_shingles", "set", "low"])
 
-    return written(rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_shingles long, `set` long, low binary"), "shingles")
+    return written(rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text_id binary, n_shingles long, `set` long, low binary"), "shingles")
 
 
 def _screened(profiled: DataFrame, percent: int) -> DataFrame:
@@ -301,7 +301,7 @@ def _linked(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
-    """``key``, n_shingles and component_id of each row of ``docs``."""
+    """``key``, text_id (md5 of the text), n_shingles and component_id of each row of ``docs``."""
     profiled = profile(docs, text=text, key=key, size=size, percent=percent)
     sets = _full_sets(docs, _screened(profiled, percent), text, size)
     found = connected(_linked(sets, _groups(sets, percent), percent)).select(F.col("node").alias("set"), F.col("component").alias("root"))
@@ -309,8 +309,19 @@ def components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size
     rooted = written(least.join(found, "set", "left").withColumn("root", F.coalesce("root", "set")), "rooted")
     linked = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("set", "component_id")
     linked = written(linked, "linked")
-    joined = profiled.select("id", "n_shingles", "set").join(linked, "set", "left")
-    return joined.select(F.col("id").alias(key), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    joined = profiled.select("id", "text_id", "n_shingles", "set").join(linked, "set", "left")
+    return joined.select(F.col("id").alias(key), "text_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
+    """One row of ``docs`` of each component, that with the smallest ``key``; of texts without words, every distinct row."""
+    found = components(docs, text=text, key=key, size=size, percent=percent)
+    row = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("_key"), F.col("text_id").alias("_text_id"))
+    wordless = F.when(F.col("n_shingles") == 0, F.col("text_id"))
+    kept = written(found.groupBy("component_id", wordless.alias("alone")).agg(F.min(row).alias("row")).select("row.*").distinct(), "representatives")
+    keyed = docs.withColumn("_id", F.unhex(text_key(F.col(text))))
+    met = keyed.join(kept, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_id") == F.col("_text_id")), "left_semi")
+    return met.dropDuplicates([key, "_id"]).select(docs.columns)
 
 
 SQL = """

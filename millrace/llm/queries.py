@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, decontamination, jaccard_join, licenses, quality, repeats, sharding, surrogates, token_counts
+from . import archives, decontamination, jaccard_join, licenses, quality, repeats, segmentations, sharding, surrogates, token_counts
 from .shared import scratch, table
 
 
@@ -56,7 +56,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard_join.components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_id")
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +69,20 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = segmentations.sampled(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", "rank", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        F.round("log_prob", 6).alias("log_prob"), F.round("score", 6).alias("score"), F.round("inclusion", 6).alias("inclusion"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton, op6_license_scan, op7_signature_trees, op8_surrogates, op9_suffix_array)
+    f.__name__: f
+    for f in (
+        op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton,
+        op6_license_scan, op7_signature_trees, op8_surrogates, op9_suffix_array, op10_gumbel_segmentations,
+    )
 }
 SQL: dict[str, str] = {
     "op1_arc_to_warc": archives.SQL,
