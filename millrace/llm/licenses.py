@@ -2,8 +2,10 @@
 
 Units of a text are the whole text and each of its lines. A unit is compared only with templates
 whose number of bigrams lies in the range in which the threshold can be reached; units that fit no
-template are dropped before their bigrams are laid out. The remaining bigrams meet the templates'
-through a hash join; what is shared is counted for each unit and template.
+template are dropped before their bigrams are laid out. A unit that reaches the threshold lacks few
+of a template's bigrams, so it has one of any few more, and a word of it: texts and units without
+such a word are dropped first. The remaining bigrams meet the templates' through a hash join; what
+is shared is counted for each unit and template.
 
 Nulls: a null text has no units and matches nothing. A template of fewer than two words has no
 bigrams and matches nothing. Equal texts share one comparison. Empty tables give empty results.
@@ -11,6 +13,10 @@ bigrams and matches nothing. Equal texts share one comparison. Empty tables give
 
 from __future__ import annotations
 
+import math
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +40,7 @@ TEMPLATES = {
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_BIGRAMS = 100_000
+MOST_ANCHORS = 200
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -50,21 +57,45 @@ def bigrams(found: Column) -> Column:
     return F.when(F.size(found) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<bigint>"))
 
 
+def anchors(texts: list[str], threshold: float) -> set[str]:
+    """Words of which every unit that reaches ``threshold`` with one of ``texts`` has one. Of each
+    template's bigrams, as many as can be lacking and one more are taken, each by its longer word,
+    the longest words first."""
+    out: set[str] = set()
+    for text in texts:
+        found = re.findall("[a-z0-9\x80-\U0010ffff]+", text.translate(str.maketrans(UPPER, LOWER)))
+        pairs = set(zip(found, found[1:]))
+        if pairs:
+            chosen = sorted((max(p, key=lambda w: (len(w), w)) for p in pairs), key=lambda w: (-len(w), w))
+            out.update(chosen[: len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold)) + 1])
+    return out
+
+
+def has_any(text: Column, words: set[str]) -> Column:
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, [low.contains(w) for w in sorted(words)])
+
+
 def matches(docs: DataFrame, licenses: DataFrame, *, text: str = "text", threshold: float = 0.8) -> DataFrame:
     """text_id (md5 of the text), unit (0 the whole text, then its lines), license and dice of all
     comparisons that reach ``threshold``. ``licenses``: license, text. Their bigrams, which are
-    broadcast, may be ``MOST_BIGRAMS`` at most; more are joined by a shuffle."""
+    broadcast, may be ``MOST_BIGRAMS`` at most; more are joined by a shuffle. Texts without any of
+    up to ``MOST_ANCHORS`` anchor words are left out before; with more such words none are."""
     known = licenses.select("license", F.md5("text").alias("template"), F.explode(F.array(bigrams(words(F.col("text"))))).alias("pairs")).withColumn("t", F.size("pairs")).filter("t > 0")
     low = F.ceil(F.col("t") * F.lit(threshold) / F.lit(2 - threshold))
     high = F.floor(F.col("t") * F.lit(2 - threshold) / F.lit(threshold))
     known = known.withColumns({"low": low, "high": high})
-    sums = known.agg(F.min("low"), F.max("high"), F.sum("t"), F.collect_set(F.struct("low", "high"))).first()
+    sums = known.agg(F.min("low"), F.max("high"), F.sum("t")).first()
     if not sums[2]:
         return docs.limit(0).select(F.lit("").alias("text_id"), F.lit(0).alias("unit"), F.lit("").alias("license"), F.lit(0.0).alias("dice"))
     least, most = sums[0], sums[1]
     content = F.col(text)
+    marks = anchors([r["text"] for r in licenses.select("text").collect()], threshold) if sums[2] <= MOST_BIGRAMS else set()
+    few = len(marks) <= MOST_ANCHORS and sums[2] <= MOST_BIGRAMS
+    docs = docs.filter(has_any(content, marks)) if few else docs
     lines = F.split(content, "\n", -1)
     units = docs.select(text_key(content).alias("text_id"), F.posexplode(F.concat(F.array(content), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))).alias("unit", "part"))
+    units = units.filter(has_any(F.col("part"), marks)) if few else units
     units = units.withColumn("found", words(F.col("part"))).filter(F.size("found") > F.lit(least)).select("text_id", "unit", F.explode(F.array(bigrams(F.col("found")))).alias("pairs"))
     units = units.withColumn("u", F.size("pairs")).filter(F.col("u").between(least, most))
     index = known.select("license", "template", "t", "low", "high", F.explode("pairs").alias("pair"))
