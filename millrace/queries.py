@@ -411,7 +411,7 @@ def pair_cascade_fast(spark, d):
 
 # history ------------------------------------------------------------------------------------------
 
-OLD = F.lit("1998-01-01").cast("timestamp")
+OLD = "o_orderdate < timestamp'1998-01-01'"
 
 
 @query(
@@ -419,7 +419,7 @@ OLD = F.lit("1998-01-01").cast("timestamp")
 )
 def history_semi_anti(spark, d):
     orders = t(spark, d, "orders")
-    seen, new = history.seen_and_new(orders.filter(c("o_orderdate") >= OLD), orders.filter(c("o_orderdate") < OLD), ["o_custkey", "o_orderpriority"])
+    seen, new = history.seen_and_new(orders.filter(f"NOT {OLD}"), orders.filter(OLD), ["o_custkey", "o_orderpriority"])
     mark = lambda df, flag: df.select("o_orderkey", F.lit(flag).alias("seen"))
     return mark(seen, True).unionByName(mark(new, False))
 
