@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import text_key
+from .shared import row_of, text_key
 
 #: Common notices, in their usual wording.
 TEMPLATES = {
@@ -67,7 +67,7 @@ def anchors(texts: list[str], threshold: float) -> set[str]:
         pairs = set(zip(found, found[1:]))
         if pairs:
             chosen = sorted((max(p, key=lambda w: (len(w), w)) for p in pairs), key=lambda w: (-len(w), w))
-            out.update(chosen[: len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold)) + 1])
+            out.update(chosen[: len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9) + 1])
     return out
 
 
@@ -82,8 +82,8 @@ def matches(docs: DataFrame, licenses: DataFrame, *, text: str = "text", thresho
     broadcast, may be ``MOST_BIGRAMS`` at most; more are joined by a shuffle. Texts without any of
     up to ``MOST_ANCHORS`` anchor words are left out before; with more such words none are."""
     known = licenses.select("license", F.md5("text").alias("template"), F.explode(F.array(bigrams(words(F.col("text"))))).alias("pairs")).withColumn("t", F.size("pairs")).filter("t > 0")
-    low = F.ceil(F.col("t") * F.lit(threshold) / F.lit(2 - threshold))
-    high = F.floor(F.col("t") * F.lit(2 - threshold) / F.lit(threshold))
+    low = F.ceil(F.col("t") * F.lit(threshold / (2 - threshold)) - 1e-9)
+    high = F.floor(F.col("t") * F.lit((2 - threshold) / threshold) + 1e-9)
     known = known.withColumns({"low": low, "high": high})
     sums = known.agg(F.min("low"), F.max("high"), F.sum("t")).first()
     if not sums[2]:
@@ -110,10 +110,9 @@ def scan(docs: DataFrame, licenses: DataFrame, *, text: str = "text", threshold:
     """``docs`` without its text, with n_matches (units and licenses), licenses (sorted) and best_dice."""
     found = matches(docs, licenses, text=text, threshold=threshold)
     found = found.groupBy("text_id").agg(F.count("*").alias("n_matches"), F.array_sort(F.collect_set("license")).alias("licenses"), F.max("dice").alias("best_dice"))
-    found = found.withColumnRenamed("text_id", "_key")
-    keyed = docs.withColumn("_id", text_key(F.col(text))).drop(text)
-    joined = keyed.join(found, F.col("_id") == F.col("_key"), "left").drop("_id", "_key")
-    return joined.withColumns({"n_matches": F.coalesce("n_matches", F.lit(0)), "licenses": F.coalesce("licenses", F.array().cast("array<string>"))})
+    keyed = docs.select(row_of(docs, text, "n_matches", "licenses", "best_dice"), text_key(F.col(text)).alias("key"))
+    joined = keyed.join(found, F.col("key") == F.col("text_id"), "left")
+    return joined.select("row.*", F.coalesce("n_matches", F.lit(0)).alias("n_matches"), F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"), "best_dice")
 
 
 def _sql() -> str:
