@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_key, written
+from .shared import row_of, text_key, written
 from .words import NOT_SPACE, Prefix, Words, byte_table, mix, repeated, slices
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -106,11 +106,13 @@ def judge(profiled: DataFrame, *, least: int = 20, share: float = 0.1, left: flo
 def clean(docs: DataFrame, *, text: str = "text", key: str = "doc_id", host: str = "source", **limits) -> DataFrame:
     """The kept rows of ``docs``, their text without the removed lines; same columns."""
     verdicts = judge(profile(docs, text=text, key=key, host=host), **limits)
-    verdicts = verdicts.groupBy("host", "text_id").agg(F.first("kept").alias("_kept"), F.first("removed").alias("_removed")).withColumnsRenamed({"host": "_host", "text_id": "_key"})
-    keyed = docs.withColumn("_id", F.unhex(text_key(F.col(text))))
-    joined = keyed.join(verdicts, F.col(host).eqNullSafe(F.col("_host")) & (F.col("_id") == F.col("_key"))).filter("_kept")
-    lines = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("_removed", i))
-    return joined.withColumn(text, F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))).select(docs.columns)
+    verdicts = verdicts.groupBy("host", "text_id").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed"))
+    keyed = docs.select(row_of(docs), F.col(host).alias("of"), F.unhex(text_key(F.col(text))).alias("key"))
+    joined = keyed.join(verdicts, F.col("of").eqNullSafe(F.col("host")) & (F.col("key") == F.col("text_id"))).filter("kept")
+    content = F.col("row").getField(text)
+    lines = F.filter(F.split(content, "\n", -1), lambda _, i: ~F.array_contains("removed", i))
+    cut = F.when(F.col("removed").isNull(), content).otherwise(F.array_join(lines, "\n"))
+    return joined.select(*[cut.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 SQL = """

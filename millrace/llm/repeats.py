@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import text_key, written
+from .shared import row_of, text_key, written
 from .suffix_array import kasai, refine
 from .words import Prefix, U, byte_table, mix, raw, slices
 
@@ -257,16 +258,16 @@ def union(ranges: list[dict]) -> list[tuple[int, int]]:
 
 def remove(docs: DataFrame, *, text: str = "text", window: int = 200) -> DataFrame:
     """``docs`` with kept (the bytes that stay), n_bytes, n_removed, n_spans and kept_sha256 in place of the text."""
-    found = written(spans(docs, text=text, window=window), "spans").withColumnRenamed("text_id", "_key")
-    keyed = docs.withColumn("_id", F.unhex(text_key(F.col(text))))
-    joined = keyed.join(found.hint("shuffle_hash"), F.col("_id") == F.col("_key"), "left")
-    rest = [c for c in docs.columns if c != text]
-    rows = joined.select(*rest, F.col(text).cast("binary").alias("_bytes"), "ranges")
+    found = written(spans(docs, text=text, window=window), "spans")
+    results = ("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    keyed = docs.select(row_of(docs, text, *results), F.col(text).cast("binary").alias("bytes"), F.unhex(text_key(F.col(text))).alias("key"))
+    joined = keyed.join(found.hint("shuffle_hash"), F.col("key") == F.col("text_id"), "left")
+    rows = joined.select("row", "bytes", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = []
-            for data, ranges in zip(batch.column("_bytes").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+            for data, ranges in zip(batch.column("bytes").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
                 data, runs = data or b"", union(ranges or [])
                 at, pieces = 0, []
                 for a, b in runs:
@@ -276,7 +277,8 @@ def remove(docs: DataFrame, *, text: str = "text", window: int = 200) -> DataFra
                 values.append((kept, len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
             kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             new = [pa.array(c, k) for c, k in zip(zip(*values, strict=True), kinds, strict=True)] if values else [pa.array([], k) for k in kinds]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *new], [*rest, "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *new], ["row", *results])
 
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-2])
-    return rows.mapInArrow(run, kinds + "kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    types = (T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.StringType())
+    schema = T.StructType([rows.schema["row"], *[T.StructField(k, v) for k, v in zip(results, types, strict=True)]])
+    return rows.mapInArrow(run, schema).select("row.*", *results)

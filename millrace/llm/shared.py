@@ -40,3 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_key(text):
     """128-bit digest of a text as hex; null counts as empty."""
     return F.md5(F.coalesce(text, F.lit("")))
+
+
+def row_of(docs: DataFrame, *without: str):
+    """All columns of ``docs`` but some as one struct, so that names of its columns can't clash with
+    ours; ``select("row.*")`` gives them back. Columns named as results are replaced by these."""
+    low = {x.lower() for x in without}
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in low]).alias("row")

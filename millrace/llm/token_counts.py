@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import row_of, written
 from .words import slices
 
 CACHE = "key binary, tokenizer string, n_tokens long"
@@ -61,12 +61,12 @@ def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
 
 
 def count_tokens(docs: DataFrame, cache: str, tokenizer: str, *, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``n_tokens``; ``tokenizer`` is the path of its file."""
+    """``docs`` without its text, with ``n_tokens`` (in place of a column of that name); ``tokenizer`` is the path of its file."""
     spark = docs.sparkSession
     digest = tokenizer_digest(tokenizer)
     content = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumn("_key", F.unhex(F.md5(content)))
-    distinct = keyed.groupBy(F.col("_key").alias("key")).agg(F.first(content).alias("content"))
+    keyed = docs.select(row_of(docs, text, "n_tokens"), F.unhex(F.md5(content)).alias("key"), content.alias("content"))
+    distinct = keyed.groupBy("key").agg(F.first("content").alias("content"))
     misses = distinct.join(read_cache(spark, cache, digest), "key", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,5 +77,5 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, *, text: str = "te
 
     misses.mapInArrow(encode, CACHE).write.mode("append").parquet(cache)
     # a table of its own, so that the join reads both sides straight from a shuffle and can split a hot text's rows
-    counts = written(read_cache(spark, cache, digest), "token-counts").withColumnRenamed("key", "_key")
-    return keyed.drop(text).join(counts, "_key", "left").drop("_key")
+    counts = written(read_cache(spark, cache, digest), "token-counts")
+    return keyed.drop("content").join(counts, "key", "left").select("row.*", "n_tokens")
