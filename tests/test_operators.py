@@ -34,7 +34,7 @@ def one(spark, value, build, ddl="t string"):
         (text.join_cjk, "必 須 a b", "必須 a b"),
         (text.squeeze, "a\n\n\n\n\nb", "a\n\n\nb"),
         (text.heading_key, "【必須 スキル】", "必須スキル"),
-        (lambda x: text.truncate_at_line(x, 10), "12345678\n9abcdef", "12345678"),
+        (lambda x: text.truncate_at_line(x, 10), "123456789\nabcdef", "123456789"),
         (lambda x: text.truncate_at_line(x, 10), "1234\n56789abcdef", "1234\n56789"),
         (lambda x: text.truncate_at_line(x, 10, "…"), "short", "short"),
         (lambda x: text.quote(x, 3), "abcd", "abc…"),

@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from millrace import queries
@@ -20,7 +21,7 @@ def duck():
 
 def plain(frame):
     columns = sorted(frame.columns)
-    cell = lambda v: None if v is None or v != v else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    cell = lambda v: None if pd.isna(v) else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
     return columns, sorted((tuple(cell(v) for v in row) for row in frame[columns].astype(object).itertuples(index=False)), key=str)
 
 
