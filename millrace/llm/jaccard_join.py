@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import text_key, written
+from .shared import row_of, text_key, written
 from .signature_tree import links
 from .words import NOT_SPACE, U, Words, mix, slices
 
@@ -62,23 +62,32 @@ def fewest(n, percent: int):
     return -(-n * percent // 100)
 
 
+def _rows(part: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row for each value of ``part``, with its values of the columns as bytes."""
+    order = np.argsort(part, kind="stable")
+    here, start = np.unique(part[order], return_index=True)
+    stop = np.append(start[1:], len(part))
+    cut = lambda x: pa.array([x[order][a:b].tobytes() for a, b in zip(start, stop, strict=True)], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), *map(cut, columns.values())], ["part", *columns])
+
+
+def _dealt(token: np.ndarray, owner: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Tokens and their owners, a row for each slice; owners of runs of tokens are stored once."""
+    part = (token % U(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, token, owner = part[order], token[order], owner[order]
+    new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (part[1:] != part[:-1]))[: len(part)])
+    tokens = _rows(part, tokens=token)
+    runs = _rows(part[new], owners=owner[new], lengths=np.diff(np.append(new, len(part))).astype(np.uint32))
+    return pa.RecordBatch.from_arrays([*tokens.columns, *runs.columns[1:]], ["part", "tokens", "owners", "lengths"])
+
+
 def _dealer(tokens: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], parts: int):
     """A mapInArrow function that deals the (set, tokens) of its rows to slices, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, found, size = [], [], 0
-
-        def packed() -> pa.RecordBatch:
-            owner = np.repeat(np.array(ids, np.int64), [len(x) for x in found])
-            token = np.concatenate(found)
-            part = (token % U(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            part, owner, token = part[order], owner[order], token[order]
-            here, start = np.unique(part, return_index=True)
-            stop = np.append(start[1:], len(part))
-            cut = lambda x: [x[a:b].tobytes() for a, b in zip(start, stop, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(here), pa.array(cut(token), pa.binary()), pa.array(cut(owner), pa.binary())], ["part", "tokens", "owners"])
-
+        pack = lambda: _dealt(np.concatenate(found), np.repeat(np.array(ids, np.int64), [len(x) for x in found]), parts)
         for batch in batches:
             for name, x in tokens(batch):
                 if len(x):
@@ -86,21 +95,24 @@ def _dealer(tokens: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]
                     found.append(x)
                     size += len(x)
                 if size >= SLICE_TOKENS:
-                    yield packed()
+                    yield pack()
                     ids, found, size = [], [], 0
         if ids:
-            yield packed()
+            yield pack()
 
     return run
 
 
-PACKED = "part int, tokens binary, owners binary"
+PACKED = "part int, tokens binary, owners binary, lengths binary"
+
+
+def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
 def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and owners of a slice, sorted by token."""
-    join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    token, owner = join("tokens", U), join("owners", np.int64)
+    token, owner = _joined(table, "tokens", U), np.repeat(_joined(table, "owners", np.int64), _joined(table, "lengths", np.uint32))
     order = np.argsort(token, kind="stable")
     return token[order], owner[order]
 
@@ -145,14 +157,21 @@ def _screened(profiled: DataFrame, percent: int) -> DataFrame:
             wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
             yield name, wide.view(U).ravel()
 
+    parts = total // 5 // SLICE_TOKENS + 1
+
     def count(table: pa.Table) -> pa.Table:
         token, owner = _unpack(table)
         _, length, shared = _runs(token, owner)
         name, n = np.unique(owner[np.repeat(shared, length)], return_counts=True)
+        return pa.Table.from_batches([_rows(name % parts, names=name, counts=n.astype(np.uint32))])
+
+    def total_of(table: pa.Table) -> pa.Table:
+        name, where = np.unique(_joined(table, "names", np.int64), return_inverse=True)
+        n = np.bincount(where, _joined(table, "counts", np.uint32), len(name))
         return pa.table({"set": name, "n": n.astype(np.int64)})
 
-    dealt = low.mapInArrow(_dealer(tokens, max(1, total // 5 // SLICE_TOKENS * 2 + 1)), PACKED)
-    met = dealt.groupBy("part").applyInArrow(count, "`set` long, n long").groupBy("set").agg(F.sum("n").alias("n"))
+    dealt = low.mapInArrow(_dealer(tokens, parts), PACKED)
+    met = dealt.groupBy("part").applyInArrow(count, "part int, names binary, counts binary").groupBy("part").applyInArrow(total_of, "`set` long, n long")
     sizes = profiled.filter("low IS NOT NULL").groupBy(F.col("set").alias("of")).agg(F.first("n_shingles").alias("size"))
     least = F.floor(F.ceil(F.col("size") * F.lit(percent) / 100) / 12) + 1
     return met.join(sizes, F.col("set") == F.col("of")).filter(F.col("n") >= least).select("set")
@@ -197,34 +216,43 @@ def _full_sets(docs: DataFrame, candidates: DataFrame, text: str, size: int) ->
 def _groups(sets: DataFrame, percent: int) -> DataFrame:
     """node (set) and component (candidate group) of the sets that share one of their rarest hashes."""
     total = sets.agg(F.sum("size")).first()[0] or 0
-    parts = max(1, total // SLICE_TOKENS * 2 + 1)
+    parts = total // SLICE_TOKENS + 1
 
     def tokens(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         for name, data in zip(batch.column("set").to_pylist(), batch.column("hashes").to_pylist(), strict=True):
             yield name, np.frombuffer(data, U)
 
     def frequencies(table: pa.Table) -> pa.Table:
+        """The slice's tokens that two sets have, with their numbers of sets, back to parts by set."""
         token, owner = _unpack(table)
         _, length, shared = _runs(token, owner)
         keep = np.repeat(shared, length)
-        token, owner, count = token[keep], owner[keep], np.repeat(length, length)[keep]
+        token, owner, count = token[keep], owner[keep], np.minimum(np.repeat(length, length)[keep], 65535).astype(np.uint16)
         order = np.argsort(owner, kind="stable")
-        token, owner, count = token[order], owner[order], count[order].astype(np.int64)
-        name, start = np.unique(owner, return_index=True)
-        stop = np.append(start[1:], len(owner))
-        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(start, stop, strict=True)], pa.binary())
-        return pa.table({"set": name, "tokens": cut(token), "counts": cut(count)})
-
-    shared = sets.select("set", "hashes").mapInArrow(_dealer(tokens, parts), PACKED).groupBy("part").applyInArrow(frequencies, "`set` long, tokens binary, counts binary")
-    shared = shared.groupBy("set").agg(F.collect_list(F.struct("tokens", "counts")).alias("shared")).join(sets.select("set", "size"), "set")
-
-    def rarest(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-        for name, pieces, n in zip(batch.column("set").to_pylist(), batch.column("shared").to_pylist(), batch.column("size").to_pylist(), strict=True):
-            token = np.frombuffer(b"".join(x["tokens"] for x in pieces), U)
-            count = np.frombuffer(b"".join(x["counts"] for x in pieces), np.int64)
-            most = n - fewest(n, percent) + 1 - (n - len(token))  # tokens that no other set has come first
-            if most > 0:
-                yield name, token[np.lexsort((token, count))[:most]]
+        token, owner, count = token[order], owner[order], count[order]
+        new = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+        values = _rows(owner % parts, tokens=token, counts=count)
+        runs = _rows(owner[new] % parts, owners=owner[new], lengths=np.diff(np.append(new, len(owner))).astype(np.uint32))
+        return pa.Table.from_arrays([*values.columns, *runs.columns[1:]], ["part", "tokens", "counts", "owners", "lengths"])
+
+    def rarest(shared: pa.Table, sizes: pa.Table) -> pa.Table:
+        """The first tokens of each set of a part, the rarest first, dealt to slices again."""
+        token, count = _joined(shared, "tokens", U), _joined(shared, "counts", np.uint16)
+        owner = np.repeat(_joined(shared, "owners", np.int64), _joined(shared, "lengths", np.uint32))
+        order = np.lexsort((token, count, owner))
+        token, owner = token[order], owner[order]
+        known, size = sizes.column("set").to_numpy(), sizes.column("size").to_numpy()
+        order = np.argsort(known)
+        known, size = known[order], size[order]
+        name, start, n = np.unique(owner, return_index=True, return_counts=True)
+        size = size[np.searchsorted(known, name)]
+        most = size - fewest(size, percent) + 1 - (size - n)  # tokens that no other set has come first
+        keep = np.arange(len(owner)) - np.repeat(start, n) < np.repeat(most, n)
+        return pa.Table.from_batches([_dealt(token[keep], owner[keep], parts)])
+
+    dealt = sets.select("set", "hashes").mapInArrow(_dealer(tokens, parts), PACKED)
+    shared = dealt.groupBy("part").applyInArrow(frequencies, "part int, tokens binary, counts binary, owners binary, lengths binary")
+    sizes = sets.select(F.pmod("set", F.lit(parts)).cast("int").alias("part"), "set", "size")
 
     def stars(table: pa.Table) -> pa.Table:
         token, owner = _unpack(table)
@@ -233,7 +261,8 @@ def _groups(sets: DataFrame, percent: int) -> DataFrame:
         pairs = np.unique(np.stack([hub, owner], 1)[hub != owner], axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    met = shared.mapInArrow(_dealer(rarest, parts), PACKED).groupBy("part").applyInArrow(stars, "a long, b long")
+    first = shared.groupBy("part").cogroup(sizes.groupBy("part")).applyInArrow(rarest, PACKED)
+    met = first.groupBy("part").applyInArrow(stars, "a long, b long")
     return connected(met)
 
 
@@ -316,12 +345,12 @@ def components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size
 def representatives(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
     """One row of ``docs`` of each component, that with the smallest ``key``; of texts without words, every distinct row."""
     found = components(docs, text=text, key=key, size=size, percent=percent)
-    row = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("_key"), F.col("text_id").alias("_text_id"))
+    least = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "text_id")
     wordless = F.when(F.col("n_shingles") == 0, F.col("text_id"))
-    kept = written(found.groupBy("component_id", wordless.alias("alone")).agg(F.min(row).alias("row")).select("row.*").distinct(), "representatives")
-    keyed = docs.withColumn("_id", F.unhex(text_key(F.col(text))))
-    met = keyed.join(kept, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_id") == F.col("_text_id")), "left_semi")
-    return met.dropDuplicates([key, "_id"]).select(docs.columns)
+    kept = written(found.groupBy("component_id", wordless.alias("alone")).agg(F.min(least).alias("least")).select("least.*").distinct(), "representatives")
+    keyed = docs.select(row_of(docs), F.col(key).alias("own"), F.unhex(text_key(F.col(text))).alias("content"))
+    met = keyed.join(kept, F.col("own").eqNullSafe(F.col("id")) & (F.col("content") == F.col("text_id")), "left_semi")
+    return met.dropDuplicates(["own", "content"]).select("row.*")
 
 
 SQL = """

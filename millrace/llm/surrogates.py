@@ -18,16 +18,18 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import text_key, written
+from .shared import row_of, text_key, written
 
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Pattern of each type, in order of precedence; none has groups that capture.
 PATTERNS = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}",
-    "secret": "(?i:password|passwd|pwd|secret|token|api_?key)\\s{0,3}[=:]\\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,}",
+    "secret": "(?=[pstaPSTA])(?i:password|passwd|pwd|secret|token|api_?key)[ \\t]{0,3}[=:][ \\t]{0,3}[\"']?[A-Za-z0-9+/_-]{8,}",
     "access_key": "(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": "(?<![0-9A-Za-z+])\\+[0-9]{1,3}[ .-]?(?:\\([0-9]{1,4}\\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
@@ -50,6 +52,14 @@ FEMALE = "^(?:Mrs|Ms|Miss|Frau|Madame|Señora|Госпожа)"
 TITLE = "^[^ ]+ "
 
 
+def may_have(text: Column) -> Column:
+    """Without a digit, an @, a secret's keyword or a title, none of the patterns can match; these are cheap to look for."""
+    low = F.lower(text)
+    marks = [F.contains(low, F.lit(w)) for w in ("password", "passwd", "pwd", "secret", "token", "api")]
+    marks += [F.contains(text, F.lit(w)) for w in ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Господин", "Госпожа")]
+    return reduce(lambda a, b: a | b, marks, text.rlike("[0-9@]"))
+
+
 def kind_of(entity: Column) -> Column:
     """The first type whose pattern is all of the entity."""
     return F.coalesce(*[F.when(entity.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items()])
@@ -161,7 +171,7 @@ def laid_out(kind: Column, entity: Column, drawn: Column) -> Column:
 def entities(docs: DataFrame, text: str) -> DataFrame:
     """text_id, at (position among the text's entities), entity, kind and canon; equal texts once each row."""
     found = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    rows = docs.select(text_key(F.col(text)).alias("text_id"), F.posexplode(found).alias("at", "entity"))
+    rows = docs.filter(may_have(F.col(text))).select(text_key(F.col(text)).alias("text_id"), F.posexplode(found).alias("at", "entity"))
     rows = rows.groupBy("text_id", "at").agg(F.first("entity").alias("entity"))
     rows = rows.withColumn("kind", kind_of(F.col("entity"))).withColumn("kind", F.coalesce("kind", F.lit("other")))
     return rows.withColumn("canon", canonical(F.col("kind"), F.col("entity")))
@@ -187,12 +197,14 @@ def pseudonymise(docs: DataFrame, *, text: str = "text", key: str = "millrace")
     found = written(entities(docs, text), "entities")
     named = found.join(assigned(found, key), ["kind", "canon"])
     named = named.withColumn("new", laid_out(F.col("kind"), F.col("entity"), F.col("surrogate")))
-    lists = named.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("_new"), F.array_sort(F.collect_set("kind")).alias("kinds"))
-    has = F.coalesce(F.col(text).rlike(PATTERN), F.lit(False))
-    none = docs.filter(~has).withColumns({"n_entities": F.lit(0), "kinds": F.array().cast("array<string>")})
-    some = docs.filter(has).withColumn("_id", text_key(F.col(text))).join(lists.withColumnRenamed("text_id", "_key"), F.col("_id") == F.col("_key"))
-    parts = F.split(text, PATTERN, -1)
-    rest = F.transform(F.col("_new"), lambda s, i: F.concat(s["new"], F.get("_parts", i + 1)))
-    some = some.withColumn("_parts", parts).withColumn(text, F.concat(F.get("_parts", F.lit(0)), F.array_join(rest, "")))
-    some = some.withColumn("n_entities", F.size("_new")).select(*docs.columns, "n_entities", "kinds")
-    return none.unionByName(some)
+    lists = named.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("new"), F.array_sort(F.collect_set("kind")).alias("kinds"))
+    has = F.coalesce(may_have(F.col(text)) & F.col(text).rlike(PATTERN), F.lit(False))
+    rest = [c for c in docs.columns if c.lower() not in ("n_entities", "kinds")]
+    row = row_of(docs, "n_entities", "kinds")
+    none = docs.filter(~has).select(row, F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds")).select("row.*", "n_entities", "kinds")
+    some = docs.filter(has).select(row, F.split(text, PATTERN, -1).alias("parts"), text_key(F.col(text)).alias("key"))
+    some = some.join(lists, F.col("key") == F.col("text_id"))
+    after = F.transform(F.col("new"), lambda s, i: F.concat(s["new"], F.get("parts", i + 1)))
+    replaced = F.concat(F.get("parts", F.lit(0)), F.array_join(after, ""))
+    columns = [replaced.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in rest]
+    return none.unionByName(some.select(*columns, F.size("new").alias("n_entities"), "kinds"))
