@@ -1,8 +1,9 @@
 """Surrogates for personal data, in DataFrame functions only.
 
 Entities are found by one pattern (e-mail addresses, secrets after a keyword, access keys, IBANs,
-card numbers, IPv4 addresses, phone numbers, social security numbers, names behind a title). An
-entity is its type and canonical form (lower case; digits only for numbers), so that all spellings
+card numbers, IPv4 and IPv6 addresses, phone numbers with a country's code or an area's, social
+security numbers, names behind a title). An entity is its type and canonical form (lower case;
+digits only for numbers; all eight groups of an IPv6 address), so that all spellings
 of one entity in all documents get one surrogate: coreference is kept. A surrogate comes from a
 keyed hash of type, canonical form and attempt: digits for digits, letters for letters, hex for
 hex; card numbers keep their first digit and Luhn remainder, octets of addresses their width,
@@ -25,18 +26,30 @@ from pyspark.sql import functions as F
 
 from .shared import row_of, text_key, written
 
+#: What stands before a secret: its keyword (which may be quoted or go on, as in secret_access_key), the sign and the quote.
+KEYWORD = "(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:[_-][A-Za-z0-9]{1,16}){0,3}\\\\?[\"']?[ \\t]{0,3}(?:=>|:=|[=:])[ \\t]{0,3}"
+HEAD = f"{KEYWORD}(?:\\\\?[\"'])?"
+#: The whole of a quoted value (of 4 characters or more) or of another one (of 8 or more, up to white space).
+VALUES = [
+    "\\\\\"(?=[^\"\\n]*?[\\p{L}\\p{N}])[^\"\\n]{4,}?(?=\\\\\")",
+    "\"(?=(?:[^\"\\\\\\n]|\\\\.){4})(?=[^\"\\n]*[\\p{L}\\p{N}])[^\"\\\\\\n]*+(?:\\\\.[^\"\\\\\\n]*+)*+(?=\")",
+    "'(?=(?:[^'\\\\\\n]|\\\\.){4})(?=[^'\\n]*[\\p{L}\\p{N}])[^'\\\\\\n]*+(?:\\\\.[^'\\\\\\n]*+)*+(?=')",
+    "[\"']?(?=[^\\s\"'<>]{7,}[^\\s\"'<>.,;:!?)\\]}])(?=[^\\s\"'<>]*[\\p{L}\\p{N}])[^\\s\"'<>\\\\]*(?:\\\\(?![\"'])[^\\s\"'<>\\\\]*)*(?<![.,;:!?)\\]}])",
+]
+GROUP = "[0-9A-Fa-f]{1,4}"
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Pattern of each type, in order of precedence; none has groups that capture.
 PATTERNS = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}",
-    "secret": "(?=[pstaPSTA])(?i:password|passwd|pwd|secret|token|api_?key)[ \\t]{0,3}[=:][ \\t]{0,3}[\"']?[A-Za-z0-9+/_-]{8,}",
+    "secret": f"(?=[pstaPSTA]){KEYWORD}(?:{'|'.join(VALUES)})",
     "access_key": "(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": "(?<![0-9A-Za-z+])\\+[0-9]{1,3}[ .-]?(?:\\([0-9]{1,4}\\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
     "card": "(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     "ipv4": f"(?<![0-9.]){OCTET}(?:\\.{OCTET}){{3}}(?!\\.?[0-9])",
+    "ipv6": f"(?<![0-9A-Za-z:.])(?:(?:{GROUP}:){{7}}{GROUP}|(?=[0-9A-Fa-f:]*[0-9]|(?:[0-9A-Fa-f]*:){{3}})(?:{GROUP}(?::{GROUP}){{0,6}})?::(?:{GROUP}(?::{GROUP}){{0,6}})?)(?![0-9A-Za-z:]|\\.[0-9])",
     "ssn": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "local_phone": "(?<![0-9A-Za-z])\\([0-9]{3}\\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
+    "local_phone": "(?<![0-9A-Za-z])\\([0-9]{2,5}\\)[ -]?[0-9]{1,4}[ .-][0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z.+-])(?:(?:1[ .-])?[2-9][0-9]{2}[.-][0-9]{3}[.-][0-9]{4}|0[0-9]{1,4}-[0-9]{1,4}-[0-9]{3,4}|0[0-9]{1,4}\\.[0-9]{2,4}\\.[0-9]{3,4}|0[0-9](?:[ .-][0-9]{2}){4}|0[0-9]{2,4} [0-9]{3,4} [0-9]{3,4})(?![0-9A-Za-z-]|\\.[0-9])",
     "name": "(?<![A-Za-z])(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora)\\.? [A-ZÀ-Þ][a-zß-ÿ]+(?: [A-ZÀ-Þ][a-zß-ÿ]+)?|(?<![А-яё])(?:Господин|Госпожа) [А-ЯЁ][а-яё]+(?: [А-ЯЁ][а-яё]+)?",
 }
 PATTERN = "|".join(PATTERNS.values())
@@ -53,24 +66,28 @@ TITLE = "^[^ ]+ "
 
 
 def may_have(text: Column) -> Column:
-    """Without a digit, an @, a secret's keyword or a title, none of the patterns can match; these are cheap to look for."""
+    """Without a digit, an @, ::, a secret's keyword or a title, none of the patterns can match; these are cheap to look for."""
     low = F.lower(text)
     marks = [F.contains(low, F.lit(w)) for w in ("password", "passwd", "pwd", "secret", "token", "api")]
     marks += [F.contains(text, F.lit(w)) for w in ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Господин", "Госпожа")]
-    return reduce(lambda a, b: a | b, marks, text.rlike("[0-9@]"))
+    return reduce(lambda a, b: a | b, marks, text.rlike("[0-9@]|::"))
 
 
 def kind_of(entity: Column) -> Column:
-    """The first type whose pattern is all of the entity."""
-    return F.coalesce(*[F.when(entity.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items()])
+    """The first type whose pattern is all of the entity; a secret's ends before a quote, but nothing else starts like one."""
+    return F.coalesce(*[F.when(entity.rlike(f"^{KEYWORD}" if k == "secret" else f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items()])
 
 
 def canonical(kind: Column, entity: Column) -> Column:
     numbers = kind.isin("phone", "card", "ssn", "local_phone")
-    secret = F.regexp_extract(entity, "[A-Za-z0-9+/_-]+$", 0)
+    sides = F.transform(F.split(F.lower(entity), "::"), lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, ":")))
+    left, right = F.element_at(sides, 1), F.when(F.size(sides) > 1, F.element_at(sides, -1)).otherwise(F.array().cast("array<string>"))
+    groups = F.concat(left, F.array_repeat(F.lit("0"), 8 - F.size(left) - F.size(right)), right)
+    ipv6 = F.array_join(F.transform(groups, lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
     return (
         F.when(numbers, F.regexp_replace(entity, "[^0-9]", ""))
-        .when(kind == "secret", secret)
+        .when(kind == "secret", F.regexp_replace(entity, f"^{HEAD}", ""))
+        .when(kind == "ipv6", ipv6)
         .when(kind == "iban", F.replace(entity, F.lit(" ")))
         .when(kind == "email", F.lower(entity))
         .otherwise(entity)
@@ -97,6 +114,7 @@ def disguised(text: Column, seed: Column, hexadecimal: Column) -> Column:
             .when(c.rlike("[0-9]"), pick("0123456789", seed, i))
             .when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz", seed, i))
             .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", seed, i))
+            .when(c.rlike("[\\p{L}\\p{N}]"), pick("abcdefghijklmnopqrstuvwxyz", seed, i))
             .otherwise(c)
         )
 
@@ -129,6 +147,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         F.split(canon, "\\."),
         lambda o, i: F.when(F.length(o) == 3, 100 + number(seed, i, 156)).when(F.length(o) == 2, 10 + number(seed, i, 90)).otherwise(1 + number(seed, i, 9)).cast("string"),
     )
+    ipv6 = F.concat(F.lit("fd"), F.substring(seed, 1, 2), *[F.concat(F.lit(":"), F.regexp_replace(F.substring(seed, 3 + 4 * i, 4), "^0+(?=.)", "")) for i in range(7)])
     country = F.when(F.length(canon) > 10, F.length(canon) - 10).otherwise(F.lit(1))
     phone = F.concat(F.substr(canon, F.lit(1), country), F.substr(drawn, country + 1))
     female, cyrillic = canon.rlike(FEMALE), canon.rlike("[А-яё]")
@@ -144,6 +163,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         F.when(kind == "email", email)
         .when(kind == "card", F.concat(body, last.cast("string")))
         .when(kind == "ipv4", F.array_join(octet, "."))
+        .when(kind == "ipv6", ipv6)
         .when(kind == "phone", phone)
         .when(kind == "secret", disguised(canon, seed, canon.rlike("^[0-9a-f]+$")))
         .when(kind == "access_key", F.concat(F.substring(canon, 1, 4), F.substr(drawn, F.lit(5))))
@@ -163,7 +183,7 @@ def laid_out(kind: Column, entity: Column, drawn: Column) -> Column:
     return (
         F.when(kind.isin("phone", "card", "ssn", "local_phone", "iban"), F.array_join(digits, ""))
         .when(kind == "email", F.array_join(letters, ""))
-        .when(kind == "secret", F.concat(F.regexp_replace(entity, "[A-Za-z0-9+/_-]+$", ""), drawn))
+        .when(kind == "secret", F.concat(F.regexp_extract(entity, f"^{HEAD}", 0), drawn))
         .otherwise(drawn)
     )
 

@@ -418,6 +418,47 @@ def test_surrogates_are_distinct(spark):
     assert len(set(new)) == len(hosts) and not set(new) & hosts
 
 
+FORMS = [
+    ("local_phone", "call 555-123-4567 now", ["123-4567"]),
+    ("local_phone", "call 555.123.4567, please", ["123.4567"]),
+    ("local_phone", "call 1-555-123-4567.", ["123-4567"]),
+    ("local_phone", "電話 03-1234-5678 まで", ["1234-5678"]),
+    ("local_phone", "tel 01 23 45 67 89 or (03) 1234-5678", ["23 45 67", "1234-5678"]),
+    ("secret", '{"password": "hunter2 is it", "user": 1}', ["hunter2", "is it"]),
+    ("secret", "{'api_key': 'k3y-of.mine'}", ["k3y-of.mine"]),
+    ("secret", '"{\\"token\\": \\"abc.def.ghi\\"}"', ["abc", "ghi"]),
+    ("secret", 'password = "abc\\"defghi"', ["abc", "defghi"]),
+    ("secret", "aws_secret_access_key=wJalrXUtnFEMI/K7MDENG", ["wJalrXUtnFEMI", "K7MDENG"]),
+    ("secret", "secret_key=abcdef123456", ["abcdef123456"]),
+    ("secret", "password=p@ss!word and more", ["p@ss!word"]),
+    ("secret", "password=abcdefgh!ijklmnop and more", ["abcdefgh", "ijklmnop"]),
+    ("secret", "pwd: секретноеслово", ["секрет", "слово"]),
+    ("ipv6", "at 2001:db8:85a3:0:0:8a2e:370:7334 now", ["2001:db8", "370:7334"]),
+    ("ipv6", "at 2001:db8::8a2e:370 or dead:beef::cafe, fe80::1.", ["2001:db8", "dead:beef", "fe80::1"]),
+    ("secret", r"password=abc\\defghi, then", ["abc", "defghi"]),
+    ("secret", r'"password": "a\"bcdefg"', ["bcdefg"]),
+]
+
+
+def test_forms_of_private_data(spark):
+    df = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(FORMS)], "doc_id long, text string")
+    for row in surrogates.pseudonymise(df).collect():
+        kind, _, private = FORMS[row["doc_id"]]
+        assert row["kinds"] == [kind] and not any(p in row["text"] for p in private), row
+
+
+def test_what_is_not_private_stays(spark):
+    text = 'std::vector a::b, 10:20:30, 2020-01-02, "password": "", password: ********, token: yes, 1.5-2.5, 100-200-300'
+    new = surrogates.pseudonymise(spark.createDataFrame([(text,)], "text string")).first()
+    assert new["text"] == text and new["n_entities"] == 0
+
+
+def test_spellings_of_an_address_have_one_surrogate(spark):
+    text = "2001:DB8::1 2001:db8:0:0:0:0:0:1 2001:0db8::0001"
+    new = surrogates.pseudonymise(spark.createDataFrame([(text,)], "text string")).first()["text"].split()
+    assert len(new) == 3 and len(set(new)) == 1
+
+
 # op 9
 
 
