@@ -11,7 +11,10 @@ access keys their prefix, countries of IBANs and phone numbers stay. Names get n
 of their title and of its script. Laid out over the original, a surrogate has its case and separators.
 
 Attempts are raised until no two entities of a type have one surrogate and no surrogate is an
-entity of the corpus; a type whose formats leave no room for that raises an error.
+entity of the corpus. From attempt GROW on a format gets more room, so that a full one has an
+answer: names get syllables, e-mail addresses, secrets, phone and social security numbers get
+characters, and octets lose their width. Card numbers, IBANs and access keys have 10**10 or more
+surrogates of one form and keep it.
 
 Nulls: a null text stays null and has no entities. Equal texts share one replacement. An empty
 table gives an empty result.
@@ -61,6 +64,8 @@ NAMES = {
     ("female", "cyrillic"): (["Алла", "Вера", "Галина", "Дарья", "Ева", "Жанна", "Зоя", "Инна"], "ова"),
 }
 SYLLABLES = {"latin": ["bar", "den", "fal", "gor", "hel", "kin", "lam", "mor", "nor", "pel", "ras", "sten", "tor", "ven", "wal", "zim"], "cyrillic": ["бар", "ден", "вал", "гор", "дел", "кин", "лам", "мор", "нор", "пел", "рас", "сен", "тор", "вен", "зим", "лук"]}
+#: Attempts after which the room of a format grows.
+GROW = 4
 FEMALE = "^(?:Mrs|Ms|Miss|Frau|Madame|Señora|Госпожа)"
 TITLE = "^[^ ]+ "
 
@@ -148,24 +153,30 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         lambda o, i: F.when(F.length(o) == 3, 100 + number(seed, i, 156)).when(F.length(o) == 2, 10 + number(seed, i, 90)).otherwise(1 + number(seed, i, 9)).cast("string"),
     )
     ipv6 = F.concat(F.lit("fd"), F.substring(seed, 1, 2), *[F.concat(F.lit(":"), F.regexp_replace(F.substring(seed, 3 + 4 * i, 4), "^0+(?=.)", "")) for i in range(7)])
+    any_octet = F.transform(F.split(canon, "\\."), lambda o, i: number(seed, i, 256).cast("string"))
+    octet = F.when(attempt < GROW, octet).otherwise(any_octet)
+    more = F.substr(F.sha2(seed, 256), F.lit(1), F.least(F.floor(attempt / GROW), F.lit(64)).cast("int"))
+    more_digits, more_letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
     country = F.when(F.length(canon) > 10, F.length(canon) - 10).otherwise(F.lit(1))
     phone = F.concat(F.substr(canon, F.lit(1), country), F.substr(drawn, country + 1))
     female, cyrillic = canon.rlike(FEMALE), canon.rlike("[А-яё]")
     name = F.lit(None).cast("string")
     for (gender, script), (first, ending) in NAMES.items():
-        part = [F.element_at(F.array(*map(F.lit, SYLLABLES[script])), (number(seed, i, 16) + 1).cast("int")) for i in range(4)]
+        syllables = F.array(*map(F.lit, SYLLABLES[script]))
+        part = F.transform(F.sequence(F.lit(0), 3 + F.floor(attempt / GROW).cast("int")), lambda i: F.element_at(syllables, (number(seed, F.when(i < 4, i).otherwise(i + 96), len(SYLLABLES[script])) + 1).cast("int")))
         given = F.element_at(F.array(*map(F.lit, first)), (number(seed, 9, 8) + 1).cast("int"))
-        family = F.concat(F.initcap(F.concat(*part)), F.lit(ending))
+        family = F.concat(F.initcap(F.array_join(part, "")), F.lit(ending))
         single = F.size(F.split(canon, " ")) == 2
         whole = F.concat(F.regexp_extract(canon, TITLE, 0), F.when(single, family).otherwise(F.concat_ws(" ", given, family)))
         name = F.when((female == F.lit(gender == "female")) & (cyrillic == F.lit(script == "cyrillic")), whole).otherwise(name)
     return (
-        F.when(kind == "email", email)
+        F.when(kind == "email", F.concat(more_letters, email))
         .when(kind == "card", F.concat(body, last.cast("string")))
         .when(kind == "ipv4", F.array_join(octet, "."))
         .when(kind == "ipv6", ipv6)
-        .when(kind == "phone", phone)
-        .when(kind == "secret", disguised(canon, seed, canon.rlike("^[0-9a-f]+$")))
+        .when(kind == "phone", F.concat(phone, more_digits))
+        .when(kind.isin("local_phone", "ssn"), F.concat(drawn, more_digits))
+        .when(kind == "secret", F.concat(disguised(canon, seed, canon.rlike("^[0-9a-f]+$")), more))
         .when(kind == "access_key", F.concat(F.substring(canon, 1, 4), F.substr(drawn, F.lit(5))))
         .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substr(drawn, F.lit(3))))
         .when(kind == "name", name)
@@ -179,10 +190,12 @@ def laid_out(kind: Column, entity: Column, drawn: Column) -> Column:
         F.split(entity, ""),
         lambda c, i: F.when(c.rlike("[0-9A-Z]"), F.substr(drawn, F.length(F.regexp_replace(F.substr(entity, F.lit(1), i + 1), "[^0-9A-Z]", "")), F.lit(1))).otherwise(c),
     )
-    letters = F.transform(F.split(entity, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(drawn, i + 1, F.lit(1)))).otherwise(F.substr(drawn, i + 1, F.lit(1))))
+    rest = F.substr(drawn, F.length(F.regexp_replace(entity, "[^0-9A-Z]", "")) + 1)
+    front = F.length(drawn) - F.length(entity)
+    letters = F.transform(F.split(entity, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(drawn, front + i + 1, F.lit(1)))).otherwise(F.substr(drawn, front + i + 1, F.lit(1))))
     return (
-        F.when(kind.isin("phone", "card", "ssn", "local_phone", "iban"), F.array_join(digits, ""))
-        .when(kind == "email", F.array_join(letters, ""))
+        F.when(kind.isin("phone", "card", "ssn", "local_phone", "iban"), F.concat(F.array_join(digits, ""), rest))
+        .when(kind == "email", F.concat(F.substr(drawn, F.lit(1), front), F.array_join(letters, "")))
         .when(kind == "secret", F.concat(F.regexp_extract(entity, f"^{HEAD}", 0), drawn))
         .otherwise(drawn)
     )

@@ -459,6 +459,18 @@ def test_spellings_of_an_address_have_one_surrogate(spark):
     assert len(new) == 3 and len(set(new)) == 1
 
 
+def test_full_formats_have_surrogates(spark, monkeypatch):
+    """All addresses of one-digit octets, more names than syllables make, all e-mail addresses and phone numbers of a short form."""
+    monkeypatch.setattr(surrogates, "SYLLABLES", {k: v[:2] * 8 for k, v in surrogates.SYLLABLES.items()})
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    old = [".".join(x) for x in itertools.product("123456789", repeat=4)]
+    old += [f"Mr. Q{a}{b}" for a in "aeiou" for b in letters] + [f"{a}@{b}.org" for a in letters for b in letters] + [f"+1{i:04}" for i in range(10000)]
+    df = spark.createDataFrame([(i, f"at; {x} ;now") for i, x in enumerate(old)], "doc_id long, text string").repartition(4)
+    rows = surrogates.pseudonymise(df).collect()
+    new = [re.fullmatch("at; (.*) ;now", r["text"])[1] for r in rows]
+    assert len(new) == len(set(new)) == len(old) and not set(new) & set(old) and {r["n_entities"] for r in rows} == {1}
+
+
 # op 9
 
 
