@@ -10,7 +10,8 @@
    (see suffix_array): a window is repeated if it shares 200 bytes with a neighbour, or if its
    context has a count of two.
 4. An anchor with more than SHARD_CONTEXTS contexts is spread over several shards. These publish
-   their sorted windows, and each list is searched in the others by binary search.
+   their distinct windows in parts by hash, as many as the anchor's own shards ask for. Equal windows
+   have equal anchors, so the lists of one part of one anchor meet, and no others: what is in two is repeated.
 5. The windows' places go back to the texts, and their union is what is removed.
 
 Memory is bounded by shards; no step drops rows. Windows and pieces are told apart by 64-bit
@@ -178,8 +179,8 @@ def _shard_ranges(window: int):
     return run
 
 
-def _published(window: int, lists: int):
-    """The sorted hashes of a shard's distinct windows, in ``lists`` ranges, with their places."""
+def _published(window: int):
+    """The hashes of a shard's distinct windows with their places, in four parts for each shard of the anchor."""
 
     def run(table: pa.Table) -> pa.Table:
         data, room, owner, order = _windows(table, window)
@@ -189,30 +190,22 @@ def _published(window: int, lists: int):
         at = order[first]
         begin = np.append(0, np.cumsum(table.column("size").to_numpy()))[owner[at]]
         context, start = table.column("context").to_numpy()[owner[at]], (at - begin).astype(np.int32)
-        part = (name % U(lists)).astype(np.int64)
+        part = (name % U(4 * table.column("pieces")[0].as_py())).astype(np.int64)
         by = np.argsort(part, kind="stable")
         found, low = np.unique(part[by], return_index=True)
         cut = lambda x: pa.array([x[by][a:b].tobytes() for a, b in zip(low, np.append(low[1:], len(by)), strict=True)], pa.binary())
-        shard = table.column("shard")[0].as_py()
-        return pa.table({"part": found, "shard": [shard] * len(found), "names": cut(name), "contexts": cut(context), "starts": cut(start)})
+        anchor = np.full(len(found), table.column("anchor")[0].as_py(), np.int64)
+        return pa.table({"anchor": anchor, "part": found, "names": cut(name), "contexts": cut(context), "starts": cut(start)})
 
     return run
 
 
 def _merged(table: pa.Table) -> pa.Table:
-    """Places of the windows of each list that another list has, by binary search."""
-    read = lambda column, kind: [np.frombuffer(x, kind) for x in table.column(column).to_pylist()]
-    names, contexts, starts = read("names", U), read("contexts", np.int64), read("starts", np.int32)
-    found = []
-    for i, name in enumerate(names):
-        met = np.zeros(len(name), bool)
-        for j, other in enumerate(names):
-            if i != j:
-                at = np.minimum(np.searchsorted(other, name), len(other) - 1)
-                met |= other[at] == name
-        found.append((contexts[i][met], starts[i][met].astype(np.int64)))
-    context = np.concatenate([x for x, _ in found])
-    start = np.concatenate([x for _, x in found])
+    """Places of the windows that two lists have, of the lists of one part of one anchor; a list has none twice."""
+    read = lambda column, kind: np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+    _, same, n = np.unique(read("names", U), return_inverse=True, return_counts=True)
+    met = n[same] > 1
+    context, start = read("contexts", np.int64)[met], read("starts", np.int32)[met].astype(np.int64)
     order = np.lexsort((start, context))
     return _ranges(context[order], start[order])
 
@@ -228,17 +221,15 @@ def spans(docs: DataFrame, *, text: str = "text", window: int = 200) -> DataFram
     total = distinct.agg(F.sum("size")).first()[0] or 0
     shards = max(12, total // SHARD_BYTES * 2 + 1)
     kept = distinct.join(per_anchor, F.col("anchor") == F.col("of"))
-    piece = F.pmod(F.xxhash64("context"), F.col("pieces"))
+    many = kept.filter("pieces > 1").withColumn("piece", F.pmod(F.xxhash64("context"), F.col("pieces")))
     few = kept.filter("pieces = 1").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    many = kept.filter("pieces > 1").withColumn("shard", F.xxhash64("anchor", piece))
     columns = ("shard", "context", "n", "size", "data")
     found = few.select(*columns).groupBy("shard").applyInArrow(_shard_ranges(window), RANGES)
-    lists = per_anchor.filter("pieces > 1").agg(F.max("pieces")).first()[0]
-    if lists:
-        spread = many.select(*columns).groupBy("shard")
+    if not per_anchor.filter("pieces > 1").isEmpty():
+        spread = many.select("anchor", "piece", "pieces", *columns[1:]).groupBy("anchor", "piece")
         found = found.union(spread.applyInArrow(_shard_ranges(window), RANGES))
-        published = spread.applyInArrow(_published(window, 4 * lists), "part long, shard long, names binary, contexts binary, starts binary")
-        found = found.union(published.groupBy("part").applyInArrow(_merged, RANGES))
+        published = spread.applyInArrow(_published(window), "anchor long, part long, names binary, contexts binary, starts binary")
+        found = found.union(published.groupBy("anchor", "part").applyInArrow(_merged, RANGES))
     found = written(found, "ranges")
     places = written(placed.select("context", "text_id", "first").distinct(), "places")
     met = places.join(found, "context").select("text_id", (F.col("first") + F.col("low")).alias("a"), (F.col("first") + F.col("high") + window).alias("b"))

@@ -502,6 +502,25 @@ def test_repeats(docs, none, monkeypatch, limits):
     assert sum(r[2] for r in want) > 1000 and repeats.remove(none).count() == 0
 
 
+def test_hot_anchors_are_merged_one_by_one(spark, monkeypatch):
+    """30 passages, each in 12 surroundings: their anchors have several shards each."""
+    rng = random.Random(9)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [prose(240) for _ in range(30)]
+    texts = [prose(150) + p + prose(150) for p in passages for _ in range(12)]
+    merge, most = repeats._merged, 12
+
+    def of_one(table):
+        assert len(set(table.column("anchor").to_pylist())) == 1 and table.num_rows <= most
+        return merge(table)
+
+    monkeypatch.setattr(repeats, "SHARD_CONTEXTS", 2)
+    monkeypatch.setattr(repeats, "_merged", of_one)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeats.remove(df).collect())
+    assert got == [(i, *r) for i, r in enumerate(plain_repeats(texts))]
+
+
 def test_suffix_arrays_against_sorting():
     rng = np.random.default_rng(1)
     for _ in range(40):
