@@ -14,9 +14,10 @@ All random numbers are hashes of the seed, the row's key and the place of the st
 the same segmentations in any partition and run.
 
 As in the library, white space " " is written as U+2581, and a text gets one in front. Pieces
-don't cross the border before a word's white space; words of more than UNIT_BYTES bytes are cut at
-a character's end into units of that size, which bounds the lattice. Characters without a piece
-are spelled in byte pieces.
+don't cross the border before a word's white space, and that is the only border: a text without
+spaces is one unit, whatever its length. Normalisers and paths advance in all units together, a
+step at a time, so long units cost steps, and memory stays that of their bytes. Characters without
+a piece are spelled in byte pieces.
 
 Nulls: a null or empty text has one segmentation, without pieces; a null key counts as 0. Equal
 rows get equal segmentations. A text with fewer than ``k`` segmentations has all of them. Empty
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from .words import Prefix, U, byte_table, mix, raw, slices
 
-UNIT_BYTES = 64
+#: Steps of paths that are kept singly before they are laid together.
+STEPS = 1024
 SLICE_BYTES = 1 << 21
 MASK = (1 << 64) - 1
 MARK = "▁".encode()
@@ -62,7 +64,7 @@ class Vocabulary:
             else:
                 data = piece.encode().replace(MARK, b" ")
                 self.pieces.append(data)
-                if b" " not in data.lstrip(b" ") and len(data) <= UNIT_BYTES:
+                if b" " not in data.lstrip(b" "):
                     plain.append(i)
                     scores.append(model.get_score(i))
         rank = np.empty(len(plain))
@@ -111,20 +113,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     border[offsets] = True
     border[1:n] |= space[1:] & ~space[:-1]
     border[n] = True
-    at = np.flatnonzero(border)
-    long = np.flatnonzero(np.diff(at) > UNIT_BYTES)
-    if len(long):
-        begins = (data & 0xC0) != 0x80
-        for i in long:
-            low = at[i]
-            while at[i + 1] - low > UNIT_BYTES:
-                low += UNIT_BYTES
-                back = 0
-                while not begins[low] and back < 3:
-                    low, back = low - 1, back + 1
-                border[low] = True
-        at = np.flatnonzero(border)
-    return at
+    return np.flatnonzero(border)
 
 
 class Lattice:
@@ -173,18 +162,16 @@ class Lattice:
 
         # normalisers, from the units' ends: nodes with r bytes to go need those with fewer
         left = room[starts]
-        order = np.argsort(left.astype(np.uint8), kind="stable")
+        order = np.argsort(left.astype(np.uint8 if size.max(initial=0) < 256 else np.int32), kind="stable")
         here, behind = starts[order], np.where(left == covers, n, starts + covers)[order]
         score = vocabulary.weight[named[order]]
         total = np.full(n + 1, -np.inf)
         total[n] = 0.0
         fresh = np.flatnonzero(np.append(True, here[1:] != here[:-1])) if len(here) else here
         counts = np.diff(np.append(fresh, len(here)))
-        levels = np.searchsorted(left[order], np.arange(1, UNIT_BYTES + 2))
+        levels = np.append(np.flatnonzero(np.diff(left[order], prepend=0)), len(order))
         group = np.searchsorted(fresh, levels)
         for low, high, first_group, last_group in zip(levels[:-1], levels[1:], group[:-1], group[1:], strict=True):
-            if low == high:
-                continue
             part = score[low:high]
             part += total[behind[low:high]]
             begin = fresh[first_group:last_group] - low
@@ -220,6 +207,11 @@ def below(centre: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(centre), np.minimum(value, top), -np.inf)
 
 
+def _together(tokens: list[np.ndarray], edges: list[np.ndarray], step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, edges and steps of some steps, the first of which is ``step``."""
+    return np.concatenate(tokens), np.concatenate(edges), np.repeat(np.arange(step, step + len(tokens)), [len(t) for t in tokens])
+
+
 class Paths:
     """One path for each of some rows, from a unit and a node in it to the row's end."""
 
@@ -236,7 +228,7 @@ class Paths:
         position[lead] = node[row[lead]]
         token, step = np.flatnonzero(position < end), 0
         seeds = mix(key[row] + (last[row] - at).astype(U) * U(0xD1B54A32D192ED03) + U(stream * 0x94D049BB133111EB & MASK))  # units are numbered from the row's end
-        tokens, edges = [], []
+        tokens, edges, done = [], [], []
         while len(token):
             u = uniform(seeds[token], np.full(len(token), 2 * step, U))
             edge = lattice.first[position[token]]
@@ -246,18 +238,23 @@ class Paths:
                 miss = miss[u[miss] >= lattice.cum[edge[miss]]]
             tokens.append(token)
             edges.append(edge)
+            if len(tokens) == STEPS:
+                done.append(_together(tokens, edges, step + 1 - STEPS))
+                tokens, edges = [], []
             position[token] += lattice.to[edge]
             token = token[position[token] < end[token]]
             step += 1
         per_token = np.zeros(len(row) + 1, np.int64)
-        for t in tokens:
-            per_token[t + 1] += 1
+        if tokens:
+            done.append(_together(tokens, edges, step - len(tokens)))
+        for t, _, _ in done:
+            per_token[1:] += np.bincount(t, minlength=len(row))
         place = np.cumsum(per_token)
         self.edge = np.empty(int(place[-1]), np.int64)
         numbers = np.empty(int(place[-1]), U)
-        for i, (t, e) in enumerate(zip(tokens, edges, strict=True)):
+        for t, e, i in done:
             self.edge[place[t] + i] = e
-            numbers[place[t] + i] = mix(seeds[t] + U((2 * i + 1) * 0x9E3779B97F4A7C15 & MASK))
+            numbers[place[t] + i] = mix(seeds[t] + (2 * i + 1).astype(U) * U(0x9E3779B97F4A7C15))
         border = np.append(0, np.cumsum(counts))
         self.bound = place[border]  # of each row's steps
         log = lattice.log[self.edge]

@@ -602,3 +602,22 @@ def test_sampling_follows_the_law(vocabulary):
         assert all(abs(lp - law[tuple(ids.tolist())]) < 1e-6 for ids, lp, _, _ in s)
     tiny = segmentations.sample(pa.array(["a"]), np.arange(1), vocabulary, 50, 1)[0]
     assert len(tiny) == len({tuple(x[0].tolist()) for x in tiny}) and tiny[-1][3] == -np.inf
+
+
+@pytest.mark.parametrize("text", ["andedthingbeingother\n" * 12, "the日本語\tand" * 100])
+def test_long_words_have_no_forced_borders(vocabulary, monkeypatch, text):
+    """Log probabilities are those of the lattice of the whole text, by a plain sum over all ways to cut it."""
+    monkeypatch.setattr(segmentations, "STEPS", 16, raising=False)
+    data = (" " + text).encode()
+    weight = {vocabulary.pieces[i]: vocabulary.weight[i] for i in vocabulary.ids[vocabulary.ids >= 0].tolist()}
+    begins = [i for i in range(len(data)) if data[i] & 0xC0 != 0x80]
+    total = {len(data): 0.0}
+    for a, b in reversed(list(zip(begins, [*begins[1:], len(data)]))):
+        ways = [weight[data[a:e]] + total[e] for e in total if e - a <= vocabulary.longest and data[a:e] in weight]
+        if data[a:b] not in weight:
+            ways.append(sum(vocabulary.weight[vocabulary.byte_ids[x]] for x in data[a:b]) + total[b])
+        total[a] = np.logaddexp.reduce(ways)
+    for drawn in segmentations.sample(pa.array([text] * 20), np.arange(20), vocabulary, 2, 1):
+        for ids, log, _, _ in drawn:
+            assert vocabulary.decode(ids.tolist()) == text
+            assert abs(log - (vocabulary.weight[ids].sum() - total[0])) < 1e-6
