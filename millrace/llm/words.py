@@ -2,8 +2,9 @@
 
 A batch is a pyarrow string array. Words are maximal runs of bytes of one class, so UTF-8 need
 not be decoded. Hashes are polynomials modulo 2**64 over a random byte table, so the hash of any
-byte range comes from prefix sums. Two different words, lines or windows get the same hash with
-a probability of about 2**-64 a pair.
+byte range comes from prefix sums. For words these are laid out in blocks of bytes, so that a long
+text takes little more than its bytes and some numbers for each word. Two different words, lines or
+windows get the same hash with a probability of about 2**-64 a pair.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ import pyarrow as pa
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+BLOCK = 1 << 16
+MASK = (1 << 64) - 1
 
 
 def byte_class(excluded: list[tuple[int, int]]) -> np.ndarray:
@@ -51,34 +54,68 @@ def byte_table(fold: bool) -> np.ndarray:
     return values
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+@lru_cache(maxsize=2)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE**i and BASE**-i modulo 2**64 for i from 0 to n."""
+    up, down = np.full(n + 1, BASE, U), np.full(n + 1, pow(BASE, -1, 1 << 64), U)
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i up to n at least."""
-    have = _powers.get(0)
-    if have is None or len(have[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        up, down = np.full(size, BASE, U), np.full(size, pow(BASE, -1, 1 << 64), U)
-        up[0] = down[0] = 1
-        with np.errstate(over="ignore"):
-            have = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-        if size <= 1 << 24:  # a longer table, for one huge text, isn't kept
-            _powers[0] = have
-    return have
+def _inverse(at: np.ndarray) -> np.ndarray:
+    """BASE**-i for each i of ``at``, from tables of a block's length and of blocks."""
+    _, down = powers(BLOCK)
+    top = int(at.max(initial=0)) // BLOCK + 1
+    by_block = np.full(top, down[BLOCK], U)
+    by_block[0] = 1
+    return down[at % BLOCK] * np.multiply.accumulate(by_block)[at // BLOCK]
 
 
 class Prefix:
     """Hashes of any ranges of a sequence of 64-bit values."""
 
     def __init__(self, values: np.ndarray):
-        self.up, self.down = powers(len(values))
         self.sums = np.zeros(len(values) + 1, U)
-        np.cumsum(values * self.up[: len(values)], out=self.sums[1:])
+        up, _ = powers(BLOCK)
+        scale, total = 1, U(0)
+        for low in range(0, len(values), BLOCK):
+            part = values[low : low + BLOCK] * (up[: min(BLOCK, len(values) - low)] * U(scale))
+            np.cumsum(part, out=self.sums[low + 1 : low + 1 + len(part)])
+            self.sums[low + 1 : low + 1 + len(part)] += total
+            total = self.sums[low + len(part)]
+            scale = scale * int(up[BLOCK]) & MASK
+
+        blocks = -(-(len(values) + 1) // BLOCK)
+        self.down = np.multiply.outer(_inverse(np.arange(blocks) * BLOCK), powers(BLOCK)[1][:BLOCK]).ravel()[: len(values) + 1]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(U))
 
+    def all(self, width: int) -> np.ndarray:
+        """Of the ranges of ``width`` values from each place on."""
+        return mix((self.sums[width:] - self.sums[:-width]) * self.down[: len(self.sums) - width] + U(width))
+
+
+def range_hashes(data: np.ndarray, table: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same as ``Prefix(table[data]).of(starts, ends)`` for rising starts and rising ends; the
+    values of a block of bytes are laid out at a time."""
+    up, _ = powers(BLOCK)
+    low, high = np.zeros(len(starts), U), np.zeros(len(starts), U)
+    scale, total = 1, U(0)
+    for at in range(0, len(data), BLOCK):
+        part = table[data[at : at + BLOCK]]
+        part *= up[: len(part)] * U(scale)
+        sums = np.zeros(len(part) + 1, U)
+        np.cumsum(part, out=sums[1:])
+        sums += total
+        for places, into in ((starts, low), (ends, high)):
+            a, b = np.searchsorted(places, (at, at + len(part)), "right")
+            a = a if at else 0
+            into[a:b] = sums[places[a:b] - at]
+        total = sums[-1]
+        scale = scale * int(up[BLOCK]) & MASK
+    return mix((high - low) * _inverse(starts) + (ends - starts).astype(U))
+
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; null has no bytes."""
@@ -123,11 +160,14 @@ class Words:
         self.start = np.flatnonzero(inside & (~before | bound))
         self.end = np.flatnonzero(before & (~inside | bound))
         self.inside = inside[:n]
-        self.prefix = Prefix(byte_table(fold)[self.bytes])
-        self.hash = self.prefix.of(self.start, self.end)
+        self.hash = self.hashes(self.start, self.end, fold)
         self.first = np.searchsorted(self.start, self.offsets)
         self.counts = np.diff(self.first)
-        self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.doc = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, fold: bool) -> np.ndarray:
+        """Hashes of byte ranges; both bounds rise."""
+        return range_hashes(self.bytes, byte_table(fold), starts, ends)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words at which a window of ``size`` words of one row starts, and its hash."""
@@ -142,10 +182,9 @@ class Words:
         return at, mix(total)
 
     def sums(self, flags: np.ndarray) -> np.ndarray:
-        """Sums of a value of each byte, by row."""
-        total = np.zeros(len(flags) + 1, np.int64)
-        np.cumsum(flags, out=total[1:])
-        return total[self.offsets[1:]] - total[self.offsets[:-1]]
+        """How many bytes of each row have a flag."""
+        at = np.flatnonzero(flags)
+        return np.diff(np.searchsorted(at, self.offsets))
 
     def word_sums(self, flags: np.ndarray) -> np.ndarray:
         """Sums of a value of each word, by row."""
