@@ -1,9 +1,9 @@
 """Quality rules: measures of each text, and the frequency of lines across the documents of a host.
 
-A line is normalised (A-Z lower-cased, white space collapsed), hashed, and counted over the
-distinct texts of its host; exact copies count once. A line in more than ``least`` texts and more
-than ``share`` of its host's texts is removed; a document that keeps less than ``left`` of its
-words is rejected.
+A line is normalised (A-Z lower-cased, white space collapsed) and hashed; each document counts it
+once, and an exact copy is a document like any other. A line in more than ``least`` documents of its
+host and in more than ``share`` of them is removed, and so is one in more than ``most`` of them,
+however large the host is. A document that keeps less than ``left`` of its words is rejected.
 
 Nulls: a null text has no words; a null host is a host of its own. Equal rows get equal verdicts.
 An empty table gives an empty result.
@@ -18,16 +18,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import row_of, text_key, written
-from .words import NOT_SPACE, Prefix, Words, byte_table, mix, repeated, slices
+from .shared import mapped, row_of, text_key, written
+from .words import NOT_SPACE, Prefix, Words, mix, repeated, slices
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-LINES = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int32()), ("at", pa.int32())]))
+LINES = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int32()), ("at", pa.int32()), ("first", pa.int32())]))
+
+
+def _apart(row: np.ndarray) -> np.ndarray:
+    """A value for each row, so that what is equal in two rows differs."""
+    return row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _later(keys: np.ndarray) -> np.ndarray:
+    """True for the values that equal an earlier one."""
+    order = np.argsort(keys, kind="stable")
+    later = np.zeros(len(keys), bool)
+    later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    return later
 
 
 def measures(texts: pa.Array) -> tuple[list[np.ndarray], pa.Array]:
-    """The columns of MEASURES, and the lines with a word: normalised hash, words, number of the line."""
+    """The columns of MEASURES, and the lines with a word: normalised hash, words, number of the line,
+    and 1 for the first of equal ones in the text, else 0."""
     words = Words(texts, NOT_SPACE, fold=False)
     data, offsets, rows = words.bytes, words.offsets, len(words.counts)
     starts_char = words.inside & ((data & 0xC0) != 0x80)
@@ -47,23 +61,20 @@ def measures(texts: pa.Array) -> tuple[list[np.ndarray], pa.Array]:
     full = high > low
     begin, stop, row, number, low, high = (x[full] for x in (begin, stop, row, number, low, high))
 
-    exact = mix(words.prefix.of(begin, stop) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(exact, kind="stable")
-    later = np.zeros(len(exact), bool)
-    later[order[1:]] = exact[order[1:]] == exact[order[:-1]]
+    later = _later(mix(words.hashes(begin, stop, False) + _apart(row)))
 
     at, window = words.windows(3)
-    twice = at[repeated(mix(window + words.doc[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))]
+    twice = at[repeated(mix(window + _apart(words.doc[at])))]
     covered = np.zeros(len(words.hash) + 3, bool)
     for j in range(3):
         covered[twice + j] = True
 
-    folded = Prefix(byte_table(True)[data]).of(words.start, words.end)
-    hashes = Prefix(folded).of(low, high).view(np.int64)
+    hashes = Prefix(words.hashes(words.start, words.end, True)).of(low, high)
+    first = (~_later(mix(hashes + _apart(row)))).astype(np.int32)
     counts = np.bincount(row, minlength=rows)
     lines = pa.ListArray.from_arrays(
         pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)),
-        pa.StructArray.from_arrays([pa.array(hashes), pa.array((high - low).astype(np.int32)), pa.array(number.astype(np.int32))], fields=list(LINES.value_type)),
+        pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array((high - low).astype(np.int32)), pa.array(number.astype(np.int32)), pa.array(first)], fields=list(LINES.value_type)),
     )
     values = [
         words.counts,
@@ -85,16 +96,17 @@ def profile(docs: DataFrame, *, text: str = "text", key: str = "doc_id", host: s
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *map(pa.array, values), lines], [*batch.schema.names[:4], *MEASURES, "lines"])
 
     kept = rows.schema["id"].dataType.simpleString(), rows.schema["host"].dataType.simpleString()
-    schema = f"rid long, id {kept[0]}, host {kept[1]}, text_id binary, {', '.join(f'{m} long' for m in MEASURES)}, lines array<struct<hash:long,words:int,at:int>>"
-    return written(rows.mapInArrow(run, schema), "quality")
+    schema = f"rid long, id {kept[0]}, host {kept[1]}, text_id binary, {', '.join(f'{m} long' for m in MEASURES)}, lines array<struct<hash:long,words:int,at:int,first:int>>"
+    return written(mapped(rows, run, schema), "quality")
 
 
-def judge(profiled: DataFrame, *, least: int = 20, share: float = 0.1, left: float = 0.3) -> DataFrame:
+def judge(profiled: DataFrame, *, least: int = 20, share: float = 0.1, most: int = 10_000, left: float = 0.3) -> DataFrame:
     """``profiled`` without its lines, with base_failed, removed_words, removed (numbers of lines) and kept."""
-    line = profiled.select("rid", "host", "text_id", F.explode("lines").alias("l")).select("rid", "host", "text_id", "l.*")
-    seen = line.groupBy("host", "hash").agg(F.count_distinct("text_id").alias("texts")).filter(F.col("texts") > least)
-    hosts = profiled.groupBy(F.col("host").alias("of")).agg(F.count_distinct("text_id").alias("all_texts"))
-    frequent = seen.join(hosts, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("texts") > F.lit(share) * F.col("all_texts")).select("of", F.col("hash").alias("common"))
+    line = profiled.select("rid", "host", F.explode("lines").alias("l")).select("rid", "host", "l.*")
+    seen = line.groupBy("host", "hash").agg(F.sum("first").alias("n")).filter(F.col("n") > least)
+    hosts = profiled.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("documents"))
+    limit = F.least(F.lit(share) * F.col("documents"), F.lit(most))
+    frequent = seen.join(hosts, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") > limit).select("of", F.col("hash").alias("common"))
     hits = line.join(frequent, F.col("host").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("common")), "left_semi")
     hits = hits.groupBy("rid").agg(F.sum("words").alias("removed_words"), F.collect_list("at").alias("removed"))
     base = F.coalesce((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")), F.lit(False))
@@ -118,14 +130,14 @@ def clean(docs: DataFrame, *, text: str = "text", key: str = "doc_id", host: str
 SQL = """
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
-l AS (SELECT rid, source, md5(text) AS tk, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS at FROM d),
+l AS (SELECT rid, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS at FROM d),
 lw AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words,
   translate(array_to_string(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM l),
 f AS (SELECT * FROM lw WHERE words > 0),
 dup AS (SELECT rid, sum(n - 1) AS n_dup FROM (SELECT rid, line, count(*) AS n FROM f GROUP BY ALL) GROUP BY rid),
-hosts AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source),
-freq AS (SELECT c.source, c.norm FROM (SELECT source, norm, count(DISTINCT tk) AS n FROM f GROUP BY ALL) c
-  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE c.n > 20 AND c.n > 0.1::double * h.n),
+hosts AS (SELECT source, count(*) AS n FROM d GROUP BY source),
+freq AS (SELECT c.source, c.norm FROM (SELECT source, norm, count(DISTINCT rid) AS n FROM f GROUP BY ALL) c
+  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE c.n > 20 AND c.n > least(0.1::double * h.n, 10000)),
 gone AS (SELECT f.rid, sum(words) AS words FROM f JOIN freq ON f.source IS NOT DISTINCT FROM freq.source AND f.norm = freq.norm GROUP BY f.rid),
 g AS (SELECT rid, i, ws[i:i+2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1),
