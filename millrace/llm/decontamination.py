@@ -6,67 +6,50 @@ can match only if each of its pairs of neighbours occurs in an item, so other wo
 are skipped in numpy before. A match of ``window`` words (or of a whole shorter item) marks its
 words; maximal marked runs are the spans.
 
-The benchmark's words are counted first: a block has about ``block_words`` words at most, and its
-automaton is broadcast. A larger benchmark is taken block by block, and the spans of equal texts
-are then united; no limit on its size follows.
+The benchmark's words are counted first: a block has about ``block_words`` words at most. A larger
+benchmark is taken block by block: a block's automaton is built, broadcast, used and given up, and
+what it found is written. The spans of equal texts are united over all blocks before anything is
+cut or judged, so the number of blocks changes no result. An automaton is arrays: 12 bytes for each
+state and 8 for each transition, some 50 MB a worker for a full block.
 
 Nulls: a null text has no words, a null item id is written as "null". Items without words match
 nothing. An empty benchmark leaves all documents as they are; empty tables give empty results.
+Equal rows get equal results; columns of any name pass through.
 """
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import text_key
+from .shared import kept_row, mapped, text_key, written
 from .words import ALNUM, Words, slices
 
 
-class Automaton:
-    """Suffix automaton of several word sequences; ``found`` maps a state to the items in which its
-    window occurs, ``whole`` a state to the lengths and ids of short items that end there."""
+class Builder:
+    """States of a suffix automaton of several sequences, while it is built: transitions, suffix links, lengths."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
-        self.window = window
-        self.vocabulary = np.unique(np.concatenate([x for _, x in items])) if items else np.zeros(0, np.uint64)
-        coded = [(name, np.searchsorted(self.vocabulary, x).tolist()) for name, x in items if len(x)]
-        size = len(self.vocabulary)
-        pairs = [np.array(x[:-1]) * size + np.array(x[1:]) for _, x in coded if len(x) > 1]
-        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-        self.shortest = min((min(window, len(x)) for _, x in coded), default=0)
+    def __init__(self):
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        for _, x in coded:
-            last = 0
-            for word in x:
-                last = self._extend(last, word)
-        found: dict[int, set[str]] = {}
-        whole: dict[int, dict[int, set[str]]] = {}
-        for name, x in coded:
-            state = 0
-            for i, word in enumerate(x, 1):
-                state = self.next[state][word]
-                if i >= window:
-                    found.setdefault(self._of_length(state, window), set()).add(name)
-            if len(x) < window:
-                whole.setdefault(self._of_length(state, len(x)), {}).setdefault(len(x), set()).add(name)
-        self.found = {k: sorted(v) for k, v in found.items()}
-        self.whole = {k: [(n, sorted(v)) for n, v in x.items()] for k, x in whole.items()}
 
-    def _of_length(self, state: int, length: int) -> int:
+    def of_length(self, state: int, length: int) -> int:
         """The state of the suffix of that length."""
         while self.length[self.link[state]] >= length:
             state = self.link[state]
         return state
 
-    def _extend(self, last: int, word: int) -> int:
+    def extend(self, last: int, word: int) -> int:
         """Add a word behind state ``last``; the states of other items stay valid."""
         step = self.next[last].get(word)
         if step is not None and self.length[step] == self.length[last] + 1:
@@ -101,6 +84,70 @@ class Automaton:
         self.length.append(length)
         return len(self.link) - 1
 
+
+def _ints(values) -> array:
+    return array("i", values)
+
+
+class Automaton:
+    """Suffix automaton of several word sequences, in arrays. The transitions of state s are those
+    from ``first[s]`` to ``first[s + 1]``, by rising ``word``; ``found`` has the items in which a
+    state's window occurs, ``whole`` the lengths and ids of short items that end in a state."""
+
+    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
+        self.window = window
+        self.vocabulary = np.unique(np.concatenate([x for _, x in items])) if items else np.zeros(0, np.uint64)
+        coded = [(name, np.searchsorted(self.vocabulary, x).tolist()) for name, x in items if len(x)]
+        size = len(self.vocabulary)
+        pairs = [np.array(x[:-1]) * size + np.array(x[1:]) for _, x in coded if len(x) > 1]
+        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        self.shortest = min((min(window, len(x)) for _, x in coded), default=0)
+        built = Builder()
+        for _, x in coded:
+            last = 0
+            for word in x:
+                last = built.extend(last, word)
+        found: dict[int, set[int]] = {}
+        whole: dict[int, dict[int, set[str]]] = {}
+        self.names = sorted({name for name, _ in coded})
+        number = {name: i for i, name in enumerate(self.names)}
+        for name, x in coded:
+            state = 0
+            for i, word in enumerate(x, 1):
+                state = built.next[state][word]
+                if i >= window:
+                    found.setdefault(built.of_length(state, window), set()).add(number[name])
+            if len(x) < window:
+                whole.setdefault(built.of_length(state, len(x)), {}).setdefault(len(x), set()).add(name)
+        self.whole = {k: [(n, sorted(v)) for n, v in x.items()] for k, x in whole.items()}
+        self.link, self.length = _ints(built.link), _ints(built.length)
+        self.first, self.word, self.to = _ints([0]), _ints([]), _ints([])
+        for step in built.next:
+            edges = sorted(step.items())
+            self.word.extend(w for w, _ in edges)
+            self.to.extend(s for _, s in edges)
+            self.first.append(len(self.word))
+        self.found_state = _ints(sorted(found))
+        self.found_first, self.found_item = _ints([0]), _ints([])
+        for state in self.found_state:
+            self.found_item.extend(sorted(found[state]))
+            self.found_first.append(len(self.found_item))
+
+    def step(self, state: int, word: int) -> int:
+        """The state behind a word; -1 without a transition."""
+        low, high = self.first[state], self.first[state + 1]
+        at = bisect_left(self.word, word, low, high)
+        return self.to[at] if at < high and self.word[at] == word else -1
+
+    def _of_length(self, state: int, length: int) -> int:
+        while self.length[self.link[state]] >= length:
+            state = self.link[state]
+        return state
+
+    def items_of(self, state: int) -> list[str]:
+        at = bisect_left(self.found_state, state)
+        return [self.names[i] for i in self.found_item[self.found_first[at] : self.found_first[at + 1]]]
+
     def runs(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word and number of words of each run that may match, and the code of every word."""
         none = np.zeros(0, np.int64)
@@ -127,18 +174,20 @@ class Automaton:
         state = length = longest = 0
         spans, items = [], set()
         for i, word in enumerate(codes, 1):
-            while state and word not in self.next[state]:
+            to = self.step(state, word)
+            while state and to < 0:
                 state = self.link[state]
                 length = self.length[state]
-            if word in self.next[state]:
-                state = self.next[state][word]
+                to = self.step(state, word)
+            if to >= 0:
+                state = to
                 length += 1
             longest = max(longest, length)
             if length >= self.window:
                 spans.append((i - self.window, i))
-                items.update(self.found[self._of_length(state, self.window)])
+                items.update(self.items_of(self._of_length(state, self.window)))
             at = state if self.whole else 0
-            while at:
+            while at > 0:
                 for n, names in self.whole.get(at, ()):
                     if n <= length:
                         spans.append((i - n, i))
@@ -178,24 +227,27 @@ def bounds(words: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 FOUND = "n_words long, n_hit long, longest long, items array<string>, spans array<struct<first:int,behind:int>>"
+SPAN = pa.list_(pa.struct([("first", pa.int32()), ("behind", pa.int32())]))
 
 
-def automata(benchmark: DataFrame, text: str, key: str, window: int, block_words: int) -> Iterator[Automaton]:
-    """One for each block of the benchmark; a block is collected alone."""
+def blocks_of(benchmark: DataFrame, text: str, key: str, block_words: int) -> tuple[int, DataFrame]:
+    """Into how many blocks the benchmark is cut; name, content and block of its items."""
     words = F.coalesce(F.octet_length(text), F.lit(0)) / 2 + 1  # no text has more words
     total = benchmark.agg(F.sum(words)).first()[0] or 0
     blocks = max(1, int(np.ceil(total / block_words)))
     name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    items = benchmark.select(name.alias("name"), F.col(text).alias("content"), F.pmod(F.xxhash64(name), F.lit(blocks)).alias("block"))
-    for block in range(blocks):
-        rows = items.filter(F.col("block") == block).sort("name", "content").collect()
-        coded = Words(pa.array([r["content"] for r in rows], pa.string()), ALNUM, fold=True)
-        yield Automaton([(r["name"], coded.hash[coded.first[i] : coded.first[i + 1]]) for i, r in enumerate(rows)], window)
+    return blocks, benchmark.select(name.alias("name"), F.col(text).alias("content"), F.pmod(F.xxhash64(name, F.col(text)), F.lit(blocks)).alias("block"))
+
 
+def automaton(items: DataFrame, block: int, window: int) -> Automaton:
+    """That of one block, which is collected alone."""
+    rows = items.filter(F.col("block") == block).sort("name", "content").collect()
+    coded = Words(pa.array([r["content"] for r in rows], pa.string()), ALNUM, fold=True)
+    return Automaton([(r["name"], coded.hash[coded.first[i] : coded.first[i + 1]]) for i, r in enumerate(rows)], window)
 
-def _scanned(docs: DataFrame, text: str, automaton: Automaton, keep: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    rows = docs.select(*keep, F.col(text).alias("_text"))
+
+def _scanner(shared: Broadcast, names: list[str], hit_only: bool = False):
+    """A mapInArrow function: the columns ``names`` and FOUND of each row (of which one is ``_text``), or of those only in which some words match."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
@@ -204,65 +256,109 @@ def _scanned(docs: DataFrame, text: str, automaton: Automaton, keep: list[str])
             pair = pa.StructArray.from_arrays([pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["first", "behind"])
             spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(items) + 1)).astype(np.int32)), pair)
             columns = [pa.array(words.counts.astype(np.int64)), pa.array(words.word_sums(hit).astype(np.int64)), pa.array(longest), pa.array([sorted(x) for x in items], pa.list_(pa.string())), spans]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*keep, "n_words", "n_hit", "longest", "items", "spans"])
+            found = pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], [*names, "n_words", "n_hit", "longest", "items", "spans"])
+            yield found.filter(pa.array(longest > 0)) if hit_only else found
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, kept + FOUND)
+    return run
 
 
-def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", window: int = 10, block_words: int = 1_000_000) -> DataFrame:
-    """``key``, n_words, n_hit, longest, items and spans (word numbers) of each row of ``docs``."""
-    machines = list(automata(benchmark, item_text, item_key, window, block_words))
-    if len(machines) == 1:
-        return _scanned(docs, text, machines[0], [key])
-    keyed = docs.withColumn("_key", F.unhex(text_key(F.col(text))))
-    parts = reduce(DataFrame.unionByName, [_scanned(keyed, text, m, ["_key"]) for m in machines])
-    marked = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["behind"] - 1)))
-    united = parts.groupBy("_key").agg(
-        F.first("n_words").alias("n_words"), F.max("longest").alias("longest"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(marked)))).alias("_hit"),
-    )
-    hit = F.col("_hit")
-    low = F.filter(hit, lambda x: ~F.array_contains(hit, x - 1))
-    high = F.filter(hit, lambda x: ~F.array_contains(hit, x + 1))
-    spans = F.transform(F.arrays_zip(low.alias("a"), high.alias("b")), lambda s: F.struct(s["a"].alias("first"), (s["b"] + 1).cast("int").alias("behind")))
-    united = united.select("_key", "n_words", F.size("_hit").cast("long").alias("n_hit"), "longest", "items", spans.alias("spans"))
-    return keyed.select(key, "_key").join(united, "_key", "left").drop("_key")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", item_key: str = "item_id", window: int = 10, coverage: float = 0.8, block_words: int = 1_000_000) -> DataFrame:
-    """``docs`` without the rows of which more than ``coverage`` of the words are hit; the spans of
-    hit words (at least ``window`` words, or a whole short item) are cut out of the other texts."""
-    for automaton in automata(benchmark, item_text, item_key, window, block_words):
-        docs = _cut(docs, text, automaton, coverage)
-    return docs
+def _schema(rows: DataFrame, names: list[str]) -> str:
+    return "".join(f"`{n}` {rows.schema[n].dataType.simpleString()}, " for n in names) + FOUND
 
 
-def _cut(docs: DataFrame, text: str, automaton: Automaton, coverage: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    schema = docs.schema
+def union(spans: list[dict]) -> list[tuple[int, int]]:
+    """Spans in any order as maximal runs."""
+    out: list[list[int]] = []
+    for first, behind in sorted((s["first"], s["behind"]) for s in spans):
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], behind)
+        else:
+            out.append([first, behind])
+    return [tuple(x) for x in out]
+
+
+def _united(parts: DataFrame) -> DataFrame:
+    """_key, n_hit, longest, items and spans over the blocks' rows of a text."""
+    grouped = parts.groupBy("_key").agg(F.max("longest").alias("longest"), F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            column = batch.schema.get_field_index(text)
-            words, hit, _, _ = scan(shared.value, batch.column(column))
-            share = words.word_sums(hit)
-            texts = batch.column(column).to_pylist() if share.any() else None
-            if texts:
-                row, low, high = bounds(words, hit)
-                for i in np.flatnonzero(share):
-                    data, base = words.bytes[words.offsets[i] : words.offsets[i + 1]].tobytes(), words.offsets[i]
-                    parts, at = [], 0
-                    for a, b in zip(low[row == i] + words.first[i], high[row == i] + words.first[i], strict=True):
-                        parts.append(data[at : words.start[a] - base])
-                        at = words.end[b - 1] - base
-                    texts[i] = b"".join([*parts, data[at:]]).decode()
-                batch = batch.set_column(column, batch.schema.field(column), pa.array(texts, batch.schema.field(column).type))
-            keep = share <= coverage * words.counts
-            yield batch if keep.all() else batch.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, schema)
+        for batch in batches:
+            runs = [union(x) for x in batch.column("spans").to_pylist()]
+            n_hit = pa.array([sum(b - a for a, b in x) for x in runs], pa.int64())
+            items = pa.array([sorted(set(x)) for x in batch.column("items").to_pylist()], pa.list_(pa.string()))
+            spans = pa.array([[{"first": a, "behind": b} for a, b in x] for x in runs], SPAN)
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), n_hit, batch.column("longest"), items, spans], ["_key", "n_hit", "longest", "items", "spans"])
+
+    return mapped(grouped, run, "_key binary, n_hit long, longest long, items array<string>, spans array<struct<first:int,behind:int>>")
+
+
+def _found(rows: DataFrame, blocks: int, items: DataFrame, window: int) -> DataFrame:
+    """``rows`` (with ``_text``), with FOUND over all blocks of the benchmark."""
+    share = rows.sparkSession.sparkContext.broadcast
+    if blocks == 1:
+        return mapped(rows, _scanner(share(automaton(items, 0, window)), rows.columns), _schema(rows, rows.columns))
+    keyed = rows.withColumn("_key", F.unhex(text_key(F.col("_text"))))
+    first, parts = None, []
+    for block in range(blocks):
+        names = ["_key"] if block else keyed.columns
+        shared = share(automaton(items, block, window))
+        part = mapped(keyed, _scanner(shared, names, bool(block)), _schema(keyed, names))
+        if block:
+            parts.append(written(part.dropDuplicates(["_key"]), "decontamination"))
+        else:
+            first = written(part, "decontamination")
+        shared.destroy()
+    united = _united(reduce(DataFrame.unionByName, [first.filter("longest > 0").dropDuplicates(["_key"]).drop(*rows.columns), *parts]))
+    joined = first.select(*rows.columns, "_key", "n_words").join(united, "_key", "left")
+    none = F.array().cast("array<string>"), F.array().cast("array<struct<first:int,behind:int>>")
+    filled = [F.coalesce(c, default).alias(c) for c, default in (("n_hit", F.lit(0)), ("longest", F.lit(0)), ("items", none[0]), ("spans", none[1]))]
+    return joined.select(*rows.columns, "n_words", *filled)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", window: int = 10, block_words: int = 500_000) -> DataFrame:
+    """``key``, n_words, n_hit, longest, items and spans (word numbers) of each row of ``docs``."""
+    blocks, items = blocks_of(benchmark, item_text, item_key, block_words)
+    found = _found(docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")), blocks, items, window)
+    return found.select(F.col("_id").alias(key), "n_words", "n_hit", "longest", "items", "spans")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_text: str = "text", item_key: str = "item_id", window: int = 10, coverage: float = 0.8, block_words: int = 500_000) -> DataFrame:
+    """``docs`` without the rows of which more than ``coverage`` of the words are hit; the spans of
+    hit words (at least ``window`` words, or a whole short item) are cut out of the other texts."""
+    blocks, items = blocks_of(benchmark, item_text, item_key, block_words)
+    rows = docs.select(kept_row(docs, text), F.col(text).alias("_text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("_text", T.StringType())])
+    if blocks == 1:
+        scanned = _scanner(docs.sparkSession.sparkContext.broadcast(automaton(items, 0, window)), rows.columns)
+        cut = mapped(rows, lambda batches: _cut(scanned(batches), coverage), schema)
+    else:
+        cut = mapped(_found(rows, blocks, items, window), lambda batches: _cut(batches, coverage), schema)
+    return cut.select(*[F.col("_text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def _cut(batches: Iterator[pa.RecordBatch], coverage: float) -> Iterator[pa.RecordBatch]:
+    """row and _text of the rows with at most ``coverage`` of their words hit, the texts without these."""
+    for batch in batches:
+        n_hit, n_words = (batch.column(c).to_numpy() for c in ("n_hit", "n_words"))
+        keep = n_hit <= coverage * n_words
+        texts = batch.column("_text")
+        hit = np.flatnonzero(keep & (n_hit > 0))
+        if len(hit):
+            chosen, values = pa.array(hit), texts.to_pylist()
+            for i, runs in zip(hit.tolist(), batch.column("spans").take(chosen).to_pylist(), strict=True):
+                values[i] = without(values[i], [(s["first"], s["behind"]) for s in runs])
+            texts = pa.array(values, pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "_text"]).filter(pa.array(keep))
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """A text without the words of the spans and what stands between them."""
+    words = Words(pa.array([text]), ALNUM, fold=True)
+    data, parts, at = words.bytes.tobytes(), [], 0
+    for first, behind in spans:
+        parts.append(data[at : words.start[first]])
+        at = words.end[behind - 1]
+    return b"".join([*parts, data[at:]]).decode()
 
 
 SQL = """
