@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import row_of, text_key, written
+from .shared import mapped, row_of, text_key, written
 from .suffix_array import kasai, refine
 from .words import Prefix, U, byte_table, mix, raw, slices
 
 PIECE = 40
 SHARD_BYTES = 4 << 20
 SHARD_CONTEXTS = 4096
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 20
 FILTER_BITS = 26
 
 
@@ -52,9 +52,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[Prefix,
     if n < window:
         return prefix, none, none, none
     width = window - PIECE + 1
-    starts = np.arange(n - PIECE + 1)
     # the 40 upper bits are of the hash, the lower ones of the place: the least is the leftmost of the least
-    value = (prefix.of(starts, starts + PIECE) & ~U((1 << 24) - 1)) | starts.astype(U)
+    value = prefix.all(PIECE)
+    value &= ~U((1 << 24) - 1)
+    value |= np.arange(len(value), dtype=U)
     blocks = -(-len(value) // width)
     filled = np.full(blocks * width, ~U(0))
     filled[: len(value)] = value
@@ -98,7 +99,7 @@ def _repeated_anchors(docs: DataFrame, text: str, window: int) -> np.ndarray:
                     name, n = np.unique(prefix.of(at, at + PIECE), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
 
-    counted = docs.select(F.col(text).alias("_text")).mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
+    counted = mapped(docs.select(F.col(text).alias("_text")), run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
     bits = counted.select(F.pmod("anchor", F.lit(1 << FILTER_BITS)).alias("bit"))
     rows = bits.groupBy(F.expr("int(bit div 32)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(bit % 32)))").alias("bits")).toArrow()
     words = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
@@ -136,7 +137,7 @@ def _contexts(docs: DataFrame, text: str, window: int) -> DataFrame:
                 )
 
     rows = docs.select(F.col(text).alias("_text"), F.unhex(text_key(F.col(text))).alias("text_id"))
-    return written(rows.mapInArrow(run, "anchor long, context long, text_id binary, first long, data binary"), "contexts")
+    return written(mapped(rows, run, "anchor long, context long, text_id binary, first long, data binary"), "contexts")
 
 
 RANGES = "context long, low int, high int"
@@ -272,4 +273,4 @@ def remove(docs: DataFrame, *, text: str = "text", window: int = 200) -> DataFra
 
     types = (T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.StringType())
     schema = T.StructType([rows.schema["row"], *[T.StructField(k, v) for k, v in zip(results, types, strict=True)]])
-    return rows.mapInArrow(run, schema).select("row.*", *results)
+    return mapped(rows, run, schema).select("row.*", *results)
