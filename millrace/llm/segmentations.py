@@ -19,8 +19,8 @@ spaces is one unit, whatever its length. Normalisers and paths advance in all un
 step at a time, so long units cost steps, and memory stays that of their bytes. Characters without
 a piece are spelled in byte pieces.
 
-Nulls: a null or empty text has one segmentation, without pieces; a null key counts as 0. Equal
-rows get equal segmentations. A text with fewer than ``k`` segmentations has all of them. Empty
+Nulls: a null or empty text has one segmentation, without pieces. Keys of any type are hashed for
+the seed; a null key has a seed of its own. Equal rows get equal segmentations. A text with fewer than ``k`` segmentations has all of them. Empty
 tables give empty results.
 """
 
@@ -33,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import mapped
 from .words import Prefix, U, byte_table, mix, raw, slices
 
 #: Steps of paths that are kept singly before they are laid together.
 STEPS = 1024
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 3 << 18
 MASK = (1 << 64) - 1
 MARK = "▁".encode()
 
@@ -53,7 +54,7 @@ class Vocabulary:
         size = model.get_piece_size()
         self.pieces: list[bytes] = []
         plain, scores = [], []
-        self.byte_ids = np.full(256, -1, np.int64)
+        self.byte_ids = np.full(256, -1, np.int32)
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -80,7 +81,7 @@ class Vocabulary:
         ends = np.cumsum(lengths)
         hashes = Prefix(byte_table(False)[np.frombuffer(data, np.uint8)]).of(ends - lengths, ends)
         order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], np.array(list(known.values()))[order]
+        self.hashes, self.ids = hashes[order], np.array(list(known.values()), np.int32)[order]
         self.longest = int(lengths.max())
         # where the hashes with the same upper bits start, and how many there are at most
         upper = (self.hashes >> U(44)).astype(np.int64)
@@ -129,10 +130,10 @@ class Lattice:
         size = (end - self.start)[first]
         self.base = np.append(0, np.cumsum(size))  # of each distinct unit
         n = int(self.base[-1])
-        node = np.arange(n)
-        owner = np.repeat(np.arange(len(size)), size)
+        node = np.arange(n, dtype=np.int32)
+        owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
         text = data[self.start[first][owner] + node - self.base[owner]]
-        room = self.base[owner + 1] - node
+        room = (self.base[owner + 1] - node).astype(np.int32)
         prefix = Prefix(byte_table(False)[text])
         begins = (text & 0xC0) != 0x80
         nodes, lengths, ids = [], [], []
@@ -145,19 +146,19 @@ class Lattice:
             open_nodes = open_nodes[open_]  # others can't become pieces
             hit = piece >= 0
             nodes.append(open_nodes[hit])
-            lengths.append(np.full(len(nodes[-1]), length))
+            lengths.append(np.full(len(nodes[-1]), length, np.int32))
             ids.append(piece[hit])
         width = np.where(text >= 0xF0, 4, np.where(text >= 0xE0, 3, np.where(text >= 0xC0, 2, 1)))
         width = np.minimum(width, room)
-        found_node, found_length = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (nodes, lengths))
+        found_node, found_length = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (nodes, lengths))
         spelled = begins.copy()
         spelled[found_node[found_length == width[found_node]]] = False
         owner_char = np.maximum.accumulate(np.where(begins, node, 0))
         single = node[spelled[owner_char]] if n else node
         # edges of a node together, the longest first
         join = lambda found, own: np.concatenate([*found[::-1], own])
-        starts, covers, named = join(nodes, single), join(lengths, np.ones(len(single), np.int64)), join(ids, vocabulary.byte_ids[text[single]])
-        order = np.argsort(starts.astype(np.int32), kind="stable")
+        starts, covers, named = join(nodes, single), join(lengths, np.ones(len(single), np.int32)), join(ids, vocabulary.byte_ids[text[single]])
+        order = np.argsort(starts, kind="stable")
         starts, covers, named = starts[order], covers[order], named[order]
 
         # normalisers, from the units' ends: nodes with r bytes to go need those with fewer
@@ -368,7 +369,7 @@ def spaced(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def sampled(docs: DataFrame, model: str, *, text: str = "text", key: str = "doc_id", k: int = 2, alpha: float = 1.0, seed: int = 0) -> DataFrame:
     """``key``, rank (from 1), ids, log_prob, score, and inclusion (probability of being among the
     ``k``) of each segmentation. ``model``: the path of a .model file on every machine."""
-    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("_seed"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(key).alias("_id"), F.xxhash64(F.col(key)).alias("_seed"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model, alpha)
@@ -385,7 +386,7 @@ def sampled(docs: DataFrame, model: str, *, text: str = "text", key: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take)), pa.array(rank), ids, pa.array(log), pa.array(score), pa.array(inclusion)], ["_id", "rank", "ids", "log_prob", "score", "inclusion"])
 
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_id {kind}, rank int, ids array<int>, log_prob double, score double, inclusion double").withColumnRenamed("_id", key)
+    return mapped(rows, run, f"_id {kind}, rank int, ids array<int>, log_prob double, score double, inclusion double").withColumnRenamed("_id", key)
 
 
 def decoded(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -398,4 +399,4 @@ def decoded(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "te
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{columns}, `{into}` string")
+    return mapped(encoded, run, f"{columns}, `{into}` string")
