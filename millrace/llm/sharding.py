@@ -1,24 +1,35 @@
 """Sharding by vector bin packing over bytes, tokens and rows.
 
-A group is the rows with one text. Groups that hold a notable share of any dimension are placed
-one by one; there are at most ``3 * fine * shards`` of them, whatever the size of the table. The
-others are placed in bundles, by a hash of the group, of which there are ``bundles``. Only these
-bounded lists of sums meet on the driver; the rows are then assigned where they are.
+A group is the rows with one text. Groups with over 1 / ``singles`` of a dimension's total are placed
+one by one, the largest first, each where its dot product with the residual capacity is highest;
+there are at most three times ``singles`` of them, whatever the size of the table, and in a table of
+up to ``singles`` rows and tokens it is nearly all. The others are placed in the same way in bundles,
+by a hash of the group, of which there are ``bundles``. Only these bounded lists of sums meet on the
+driver; the rows are then assigned where they are.
 
 A group of more than one shard's share can't stay together if shards are to be equal: it is dealt
 in pieces, by a hash of the row.
 
+Tokens are those of ``tokenizer`` (the path of a .model or .json file, see token_counts), counted as
+the rows are read; without one, runs without white space are counted instead.
+
 Nulls: a null text counts as empty (no bytes, no tokens) and all null texts are one group; a null
 id is kept. Equal rows are separate rows of one group. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .shared import text_key, written
+from .shared import mapped, text_key, written
+from .token_counts import encoder
+from .words import slices
 
 DIMENSIONS = ("size", "tokens", "one")
 
@@ -34,7 +45,22 @@ def place(items: np.ndarray, shards: int) -> list[int]:
     return out
 
 
-def pack(docs: DataFrame, shards: int = 8, *, text: str = "text", key: str = "doc_id", bundles: int = 4096, fine: int = 64) -> DataFrame:
+def _counted(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """``rows`` with the tokens of their content, which goes; equal texts of a task are encoded once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, known = encoder(tokenizer), {}
+        for batch in slices(batches, "content"):
+            group = batch.column("grp").to_pylist()
+            new = {g: i for i, g in enumerate(group) if g not in known}
+            texts = batch.column("content").take(pa.array(list(new.values()), pa.int64())).to_pylist()
+            known.update((g, len(x)) for g, x in zip(new, encode(texts) if texts else [], strict=True))
+            yield batch.drop_columns(["content"]).append_column("tokens", pa.array([known[g] for g in group], pa.int64()))
+
+    return mapped(rows, run, StructType([*rows.schema.fields[:-1], StructField("tokens", LongType())]))
+
+
+def pack(docs: DataFrame, shards: int = 8, *, text: str = "text", key: str = "doc_id", tokenizer: str | None = None, bundles: int = 4096, singles: int = 1 << 15) -> DataFrame:
     """``key``, size (UTF-8 bytes + 1), text_crc32, tokens, shard and slot (position in the shard) of each row."""
     spark = docs.sparkSession
     content = F.coalesce(F.col(text), F.lit(""))
@@ -42,15 +68,19 @@ def pack(docs: DataFrame, shards: int = 8, *, text: str = "text", key: str = "do
         F.col(key).alias("id"),
         (F.octet_length(content) + 1).cast("long").alias("size"),
         F.crc32(content.cast("binary")).alias("text_crc32"),
-        F.regexp_count(content, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long").alias("tokens"),
         F.unhex(text_key(F.col(text))).alias("grp"),
         F.monotonically_increasing_id().alias("rid"),
+        content.alias("content"),
     )
+    if tokenizer is None:
+        base = base.withColumn("tokens", F.regexp_count("content", F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")).drop("content")
+    else:
+        base = _counted(base, tokenizer)
     base = written(base, "sharding").withColumn("bundle", F.pmod(F.xxhash64("grp"), F.lit(bundles)).cast("int"))
     groups = base.withColumn("one", F.lit(1)).groupBy("grp", "bundle").agg(*[F.sum(d).alias(d) for d in DIMENSIONS])
     total = groups.agg(*[F.sum(d).alias(d) for d in DIMENSIONS]).first()
     total = [max(total[d] or 0, 1) for d in DIMENSIONS]
-    heavy = F.greatest(*[F.col(d) / F.lit(t) for d, t in zip(DIMENSIONS, total, strict=True)]) > 1 / (fine * shards)
+    heavy = F.greatest(*[F.col(d) / F.lit(t) for d, t in zip(DIMENSIONS, total, strict=True)]) > 1 / singles
     large = groups.filter(heavy).collect()
     small = groups.filter(~heavy).groupBy("bundle").agg(*[F.sum(d).alias(d) for d in DIMENSIONS]).collect()
 
