@@ -3,13 +3,14 @@
 An ARC file starts with a version block; its second line gives the version, and with it the fields
 of the header line of each record: five in version 1, ten in version 2. Records are cut by their
 declared lengths. Each becomes a WARC record with an identifier made from the file's name and the
-record's offset, its date in ISO form, a type (warcinfo for the version block, resource for dns:
-records, response for others) and digests of payload and block. Of responses with equal payloads
-the one with the smallest order key stays; the others become revisits that refer to it.
+record's offset, its date in ISO form, a type and digests of payload and block. The type comes from
+the record, not from its URL: warcinfo for the version block, response for what starts with an HTTP
+status line, resource for the rest (such as dns: records). Of responses with equal payloads the one
+with the smallest order key stays; the others become revisits that refer to it.
 
-Archives are read file by file: one file has to fit into a task's memory, as the 100 MB usual for
-these formats do. ``write_arc`` and ``write_warc`` write one gzip file per partition; plain files
-are read as well.
+Archives are read as streams, record by record: a task holds one file as it is stored (these formats
+usually have 100 MB) and one record. ``write_arc`` and ``write_warc`` write gzip files of at most
+``per_file`` records; plain files are read as well.
 
 Nulls: a null payload is empty, a null url is written as "unknown:", a null id is left out and
 read back as null. Equal rows become separate records. Empty tables give archives without records.
@@ -20,13 +21,17 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import mapped
+
 #: The header lines of the two versions.
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -42,33 +47,34 @@ def sha1_32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def parse_arc(data: bytes) -> Iterator[tuple[int, list[str], bytes]]:
+def parse_arc(stream: BinaryIO) -> Iterator[tuple[int, list[str], bytes]]:
     """Offset, header fields and content of each record; the first is the version block."""
     at, width = 0, 0
-    while at < len(data):
-        if data[at : at + 1] in (b"\n", b"\r"):
-            at += 1
+    while line := stream.readline():
+        start = at
+        at += len(line)
+        if line.strip(b"\r\n") == b"":
             continue
-        stop = data.index(b"\n", at)
-        line = data[at:stop].decode("utf-8", "replace").rstrip("\r")
+        fields = line.decode("utf-8", "replace").rstrip("\r\n")
+        if width:
+            fields = fields.rsplit(" ", width - 1)
+            if len(fields) != width or not fields[-1].isdigit():
+                raise ValueError(f"bad record header at {start}: {line[:80]!r}")
+        elif fields.startswith("filedesc:"):
+            fields = fields.split(" ")
+        else:
+            raise ValueError(f"no version block at {start}: {line[:80]!r}")
+        size = int(fields[-1])
+        content = stream.read(size)
+        if len(content) < size:
+            raise ValueError(f"record at {start} declares {size} bytes; the file ends before")
+        at += size
         if not width:
-            if not line.startswith("filedesc:"):
-                raise ValueError(f"no version block at {at}: {line[:80]!r}")
-            fields = line.split(" ")
-            body = data[stop + 1 : stop + 1 + int(fields[-1])]
-            version = int(body.split(b" ", 1)[0])
+            version = int(content.split(b" ", 1)[0])
             if version not in FIELDS:
                 raise ValueError(f"unknown ARC version {version}")
             width = FIELDS[version].count(" ") + 1
-        else:
-            fields = line.rsplit(" ", width - 1)
-            if len(fields) != width or not fields[-1].isdigit():
-                raise ValueError(f"bad record header at {at}: {line[:80]!r}")
-        size = int(fields[-1])
-        if stop + 1 + size > len(data):
-            raise ValueError(f"record at {at} declares {size} bytes; the file ends before")
-        yield at, fields, data[stop + 1 : stop + 1 + size]
-        at = stop + 1 + size
+        yield start, fields, content
 
 
 def iso_date(stamp: str) -> str:
@@ -87,16 +93,13 @@ def http_header(head: bytes, name: str) -> str | None:
 
 def convert_record(file: str, offset: int, fields: list[str], content: bytes) -> tuple:
     uri, ip, stamp, mime = fields[:4]
-    head, payload, kind = b"", content, "response"
-    if uri.startswith("filedesc:"):
+    head, payload, kind = b"", content, "resource"
+    if offset == 0:
         kind = "warcinfo"
-    elif uri.startswith("dns:"):
-        kind = "resource"
     elif content.startswith(b"HTTP/") and b"\r\n\r\n" in content:
+        kind = "response"
         cut = content.index(b"\r\n\r\n") + 4
         head, payload = content[:cut], content[cut:]
-    else:
-        kind = "resource"
     page = http_header(head, "x-page-id")
     name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{offset}')}>"
     return (int(page) if page else None, kind, name, uri, ip, iso_date(stamp), mime, head, payload, len(payload), sha1_32(payload), sha1_32(content))
@@ -124,16 +127,18 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def _plain(data: bytes) -> bytes:
-    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+def _plain(data: bytes) -> BinaryIO:
+    """A stream of what a file holds, inflated as it is read."""
+    raw = io.BytesIO(data)
+    return gzip.GzipFile(fileobj=raw) if data[:2] == b"\x1f\x8b" else raw
 
 
-def _first_here() -> Column:
-    """True for the first row of a partition, and so of a file."""
-    return F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+def _first_in_file(per_file: int) -> Column:
+    """True for the rows of a partition with which a file of ``per_file`` records starts."""
+    return F.pmod(F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1), F.lit(per_file)) == 0
 
 
-def write_arc(pages: DataFrame, path: str, *, version: int | Column = 1, url: str = "url", html: str = "html", key: str = "page_id") -> None:
+def write_arc(pages: DataFrame, path: str, *, version: int | Column = 1, url: str = "url", html: str = "html", key: str = "page_id", per_file: int = 20_000) -> None:
     """Each page as an ARC record that holds an HTTP response; ``version`` may depend on the partition."""
     version = F.lit(version) if isinstance(version, int) else version
     content = F.coalesce(F.col(html), F.lit(""))
@@ -153,8 +158,8 @@ def write_arc(pages: DataFrame, path: str, *, version: int | Column = 1, url: st
     start = F.when(F.col("v") == 1, f"filedesc://pages.arc 0.0.0.0 20240101000000 text/plain {len(about[1])}\n{about[1]}\n").otherwise(
         f"filedesc://pages.arc 0.0.0.0 20240101000000 text/plain 200 - - 0 pages.arc {len(about[2])}\n{about[2]}\n"
     )
-    rows = pages.select(version.alias("v"), link.alias("link"), stamp.alias("stamp"), size.alias("size"), block.alias("block"), _first_here().alias("first"))
-    rows.select(F.concat(F.when(F.col("first"), start).otherwise(""), line, F.lit("\n"), "block").alias("value")).write.options(**GZIP, lineSep="\n").text(path)
+    rows = pages.select(version.alias("v"), link.alias("link"), stamp.alias("stamp"), size.alias("size"), block.alias("block"), _first_in_file(per_file).alias("first"))
+    rows.select(F.concat(F.when(F.col("first"), start).otherwise(""), line, F.lit("\n"), "block").alias("value")).write.options(**GZIP, lineSep="\n", maxRecordsPerFile=per_file).text(path)
 
 
 def convert(spark: SparkSession, path: str) -> DataFrame:
@@ -165,10 +170,10 @@ def convert(spark: SparkSession, path: str) -> DataFrame:
         files = ((p.as_py(), c.as_py()) for batch in batches for p, c in zip(batch.column(0), batch.column(1), strict=True))
         yield from _rows(((convert_record(p.rsplit("/", 1)[-1], *r), len(r[2])) for p, c in files for r in parse_arc(_plain(c))), schema)
 
-    return _files(spark, path).mapInArrow(run, CONVERTED)
+    return mapped(_files(spark, path), run, CONVERTED)
 
 
-def write_warc(records: DataFrame, path: str, *, order: str = "page_id", least: int = 0) -> None:
+def write_warc(records: DataFrame, path: str, *, order: str = "page_id", least: int = 0, per_file: int = 20_000) -> None:
     """Converted records as WARC files. Of responses with equal payloads of ``least`` bytes at
     least, the first by ``order`` (null last) is written whole, the others as revisits."""
     eligible = (F.col("type") == "response") & (F.col("payload_length") >= least)
@@ -195,23 +200,29 @@ def write_warc(records: DataFrame, path: str, *, order: str = "page_id", least:
         field("WARC-Refers-To", F.when(again, F.col("origin"))),
         field("WARC-Refers-To-Target-URI", F.when(again, F.col("origin_uri"))),
         field("WARC-Refers-To-Date", F.when(again, F.col("origin_date"))),
-        field("X-Payload-Length", F.col("payload_length")),
         F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"),
     )
-    joined.select(F.concat(head, block.cast("string")).alias("value")).write.options(**GZIP, lineSep="\r\n\r\n").text(path)
+    joined.select(F.concat(head, block.cast("string")).alias("value")).write.options(**GZIP, lineSep="\r\n\r\n", maxRecordsPerFile=per_file).text(path)
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def parse_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Named fields (in lower case) and block of each record."""
     at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8", "replace").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at {at}")
-        fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    while line := stream.readline():
+        if not line.strip(b"\r\n"):
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record at record {at}: {line[:80]!r}")
+        fields = {}
+        while (line := stream.readline()).strip(b"\r\n"):
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            fields[name.strip().lower()] = value.strip()
         size = int(fields["content-length"])
-        yield fields, data[stop + 4 : stop + 4 + size]
-        at = stop + 4 + size + 4
+        block = stream.read(size)
+        if len(block) < size:
+            raise ValueError(f"record {at} declares {size} bytes; the file ends before")
+        yield fields, block
+        at += 1
 
 
 def _read_record(fields: dict[str, str], block: bytes) -> tuple:
@@ -223,19 +234,20 @@ def _read_record(fields: dict[str, str], block: bytes) -> tuple:
     page = http_header(head, "x-page-id")
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
     whole = kind in ("response", "resource")
-    size = len(payload) if whole else int(fields.get("x-payload-length", 0))
+    size = len(payload) if whole else None
     return (int(page) if page else None, kind, fields["warc-record-id"], fields.get("warc-refers-to"), fields.get("warc-target-uri"), fields["warc-date"], size, digest, sha1_32(payload) == digest if whole else None)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the WARC files below ``path``; digest_ok tells whether a whole payload has its digest."""
+    """The records of the WARC files below ``path``; digest_ok tells whether a whole payload has its
+    digest. A revisit has no payload: its payload_length is null, and that of the record it refers to is its own."""
     schema = _arrow(READ)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = (c.as_py() for batch in batches for c in batch.column(1))
         yield from _rows(((_read_record(*r), 300) for c in files for r in parse_warc(_plain(c))), schema)
 
-    return _files(spark, path).mapInArrow(run, READ)
+    return mapped(_files(spark, path), run, READ)
 
 
 SQL = """
