@@ -2,13 +2,19 @@
 
 Entities are found by one pattern (e-mail addresses, secrets after a keyword, access keys, IBANs,
 card numbers, IPv4 and IPv6 addresses, phone numbers with a country's code or an area's, social
-security numbers, names behind a title). An entity is its type and canonical form (lower case;
-digits only for numbers; all eight groups of an IPv6 address), so that all spellings
-of one entity in all documents get one surrogate: coreference is kept. A surrogate comes from a
-keyed hash of type, canonical form and attempt: digits for digits, letters for letters, hex for
-hex; card numbers keep their first digit and Luhn remainder, octets of addresses their width,
-access keys their prefix, countries of IBANs and phone numbers stay. Names get names of the gender
-of their title and of its script. Laid out over the original, a surrogate has its case and separators.
+security numbers, names behind a title or that start with one of GIVEN). An entity is its type and
+canonical form (lower case; digits only for numbers; all eight groups of an IPv6 address), so that
+all spellings of one entity in all documents get one surrogate: coreference is kept. A name's given
+and family name are entities of their own, so "Mr. John Smith", "Mr Smith" and "John Smith" stay one
+person, and titles and middle initials stay as they are. A given name has the gender of GIVEN, else
+of its title; without either, the one that it has elsewhere in the corpus, if that is only one.
+
+A surrogate comes from a keyed hash of type, canonical form and attempt: digits for digits, letters
+for letters, hex for hex; card numbers keep their first digit and Luhn remainder, octets of addresses
+their width, access keys their prefix, countries of IBANs and phone numbers stay. Names are made of
+syllables of their script, given names (and Cyrillic family names) with an ending of their gender.
+Laid out over the original, a surrogate has its case and separators. Whoever has the key can find
+the originals of short formats by trying all; it has no default.
 
 Attempts are raised until no two entities of a type have one surrogate and no surrogate is an
 entity of the corpus. From attempt GROW on a format gets more room, so that a full one has an
@@ -16,6 +22,9 @@ answer: names get syllables, e-mail addresses, secrets, phone and social securit
 characters, and octets lose their width. Card numbers, IBANs and access keys have 10**10 or more
 surrogates of one form and keep it.
 
+Not found: names without a title that start with another given name, and names in other scripts than
+Latin and Cyrillic.
+
 Nulls: a null text stays null and has no entities. Equal texts share one replacement. An empty
 table gives an empty result.
 """
@@ -27,7 +36,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import row_of, text_key, written
+from .shared import Tables, kept_row, text_key, written
+
+# Titles by gender, and common given names that are no other words.
+TITLES = {"male": ["Mr", "Herr", "Monsieur", "Señor", "Господин"], "female": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"], "neutral": ["Dr", "Prof", "Doctor", "Professor"]}
+GIVEN = {
+    "male": (
+        "Adam Albert Alexander Andreas Andrew Anthony Antonio Arthur Benjamin Bernd Carlos Charles Christopher Daniel David Dieter Edward Eric Fernando George Gerald Hans Heinrich Henry Jacques "
+        "James Javier Jeffrey John Jonathan Jorge Joseph José Juan Jürgen Karl Kenneth Kevin Klaus Louis Luis Manuel Markus Martin Matthew Michael Miguel Nicholas Patrick Paul Pedro Peter Philippe "
+        "Pierre Ralph Richard Robert Ronald Stefan Stephen Steven Thomas Timothy Walter William Wolfgang Александр Алексей Андрей Дмитрий Иван Михаил Николай Павел Сергей Владимир"
+    ).split(),
+    "female": (
+        "Alice Amanda Amy Andrea Angela Anna Anne Barbara Betty Brigitte Carmen Carol Caroline Catherine Charlotte Christine Claudia Cynthia Deborah Diana Donna Dorothy Elena Elizabeth Emily Emma "
+        "Françoise Gabriele Helen Ingrid Isabelle Jane Janet Jennifer Jessica Joan Julia Karen Katharina Kathleen Laura Linda Lisa Margaret María Maria Marie Martha Mary Melissa Michelle Monika "
+        "Nancy Nicole Olivia Pamela Patricia Petra Rachel Rebecca Renate Ruth Sabine Sandra Sarah Sharon Sophie Stephanie Susan Susanne Teresa Ursula Анна Екатерина Елена Ирина Мария Наталья Ольга Татьяна"
+    ).split(),
+}
 
 #: What stands before a secret: its keyword (which may be quoted or go on, as in secret_access_key), the sign and the quote.
 KEYWORD = "(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:[_-][A-Za-z0-9]{1,16}){0,3}\\\\?[\"']?[ \\t]{0,3}(?:=>|:=|[=:])[ \\t]{0,3}"
@@ -40,6 +64,22 @@ VALUES = [
     "[\"']?(?=[^\\s\"'<>]{7,}[^\\s\"'<>.,;:!?)\\]}])(?=[^\\s\"'<>]*[\\p{L}\\p{N}])[^\\s\"'<>\\\\]*(?:\\\\(?![\"'])[^\\s\"'<>\\\\]*)*(?<![.,;:!?)\\]}])",
 ]
 GROUP = "[0-9A-Fa-f]{1,4}"
+
+
+def one_of(words: list[str]) -> str:
+    """A pattern for any of some words that looks at the first letter first."""
+    by: dict[str, list[str]] = {}
+    for word in sorted(words, key=lambda w: (-len(w), w)):
+        by.setdefault(word[0], []).append(word[1:])
+    return f"(?=[{''.join(sorted(by))}])(?:{'|'.join(f'{c}(?:{"|".join(rest)})' for c, rest in sorted(by.items()))})"
+
+
+#: A capitalised word, which may go on behind a hyphen or an apostrophe.
+CAPITAL = "[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:[-'’][A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?"
+CYRILLIC = "[А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?"
+TITLE = f"(?:{one_of([t for group in TITLES.values() for t in group])}\\.? )"
+NAME_HEAD = f"{TITLE}{{1,2}}(?:[A-ZА-ЯЁ]\\. )?"
+GIVEN_HEAD = f"{one_of([g for group in GIVEN.values() for g in group])}(?: [A-ZА-ЯЁ]\\.)?"
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Pattern of each type, in order of precedence; none has groups that capture.
 PATTERNS = {
@@ -53,28 +93,25 @@ PATTERNS = {
     "ipv6": f"(?<![0-9A-Za-z:.])(?:(?:{GROUP}:){{7}}{GROUP}|(?=[0-9A-Fa-f:]*[0-9]|(?:[0-9A-Fa-f]*:){{3}})(?:{GROUP}(?::{GROUP}){{0,6}})?::(?:{GROUP}(?::{GROUP}){{0,6}})?)(?![0-9A-Za-z:]|\\.[0-9])",
     "ssn": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": "(?<![0-9A-Za-z])\\([0-9]{2,5}\\)[ -]?[0-9]{1,4}[ .-][0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z.+-])(?:(?:1[ .-])?[2-9][0-9]{2}[.-][0-9]{3}[.-][0-9]{4}|0[0-9]{1,4}-[0-9]{1,4}-[0-9]{3,4}|0[0-9]{1,4}\\.[0-9]{2,4}\\.[0-9]{3,4}|0[0-9](?:[ .-][0-9]{2}){4}|0[0-9]{2,4} [0-9]{3,4} [0-9]{3,4})(?![0-9A-Za-z-]|\\.[0-9])",
-    "name": "(?<![A-Za-z])(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora)\\.? [A-ZÀ-Þ][a-zß-ÿ]+(?: [A-ZÀ-Þ][a-zß-ÿ]+)?|(?<![А-яё])(?:Господин|Госпожа) [А-ЯЁ][а-яё]+(?: [А-ЯЁ][а-яё]+)?",
+    "name": f"(?<![\\p{{L}}])(?:{NAME_HEAD}(?:{CAPITAL}|{CYRILLIC})(?: [A-ZА-ЯЁ]\\.)?(?: (?:{CAPITAL}|{CYRILLIC}))?|{GIVEN_HEAD} (?:{CAPITAL}|{CYRILLIC}))(?![\\p{{L}}])",
 }
 PATTERN = "|".join(PATTERNS.values())
-#: Name parts by gender and script.
-NAMES = {
-    ("male", "latin"): (["Adrian", "Bruno", "Conrad", "Dorian", "Edgar", "Fabian", "Gustav", "Hector"], ""),
-    ("female", "latin"): (["Alma", "Bianca", "Clara", "Delia", "Edith", "Flora", "Greta", "Helena"], ""),
-    ("male", "cyrillic"): (["Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Захар", "Игорь"], "ов"),
-    ("female", "cyrillic"): (["Алла", "Вера", "Галина", "Дарья", "Ева", "Жанна", "Зоя", "Инна"], "ова"),
-}
+#: What names are made of: syllables by script, endings of given names by gender and script, of family names by gender.
 SYLLABLES = {"latin": ["bar", "den", "fal", "gor", "hel", "kin", "lam", "mor", "nor", "pel", "ras", "sten", "tor", "ven", "wal", "zim"], "cyrillic": ["бар", "ден", "вал", "гор", "дел", "кин", "лам", "мор", "нор", "пел", "рас", "сен", "тор", "вен", "зим", "лук"]}
+ENDINGS = {
+    ("male", "latin"): ["us", "an", "or", "ert"], ("female", "latin"): ["a", "ia", "ine", "ella"], ("neutral", "latin"): ["i", "y", "o", "el"],
+    ("male", "cyrillic"): ["ий", "ан", "ор", "ей"], ("female", "cyrillic"): ["ия", "ана", "ина", "елла"], ("neutral", "cyrillic"): ["и", "о", "у", "е"],
+}
+FAMILY = {("male", "cyrillic"): "ов", ("female", "cyrillic"): "ова"}
 #: Attempts after which the room of a format grows.
 GROW = 4
-FEMALE = "^(?:Mrs|Ms|Miss|Frau|Madame|Señora|Госпожа)"
-TITLE = "^[^ ]+ "
 
 
 def may_have(text: Column) -> Column:
-    """Without a digit, an @, ::, a secret's keyword or a title, none of the patterns can match; these are cheap to look for."""
+    """Without a digit, an @, ::, a secret's keyword, a title or a given name, none of the patterns can match; these are cheap to look for."""
     low = F.lower(text)
     marks = [F.contains(low, F.lit(w)) for w in ("password", "passwd", "pwd", "secret", "token", "api")]
-    marks += [F.contains(text, F.lit(w)) for w in ("Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Господин", "Госпожа")]
+    marks.append(text.rlike(f"(?<![\\p{{L}}])(?:{NAME_HEAD}|{GIVEN_HEAD} )"))
     return reduce(lambda a, b: a | b, marks, text.rlike("[0-9@]|::"))
 
 
@@ -159,16 +196,17 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     more_digits, more_letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
     country = F.when(F.length(canon) > 10, F.length(canon) - 10).otherwise(F.lit(1))
     phone = F.concat(F.substr(canon, F.lit(1), country), F.substr(drawn, country + 1))
-    female, cyrillic = canon.rlike(FEMALE), canon.rlike("[А-яё]")
-    name = F.lit(None).cast("string")
-    for (gender, script), (first, ending) in NAMES.items():
-        syllables = F.array(*map(F.lit, SYLLABLES[script]))
-        part = F.transform(F.sequence(F.lit(0), 3 + F.floor(attempt / GROW).cast("int")), lambda i: F.element_at(syllables, (number(seed, F.when(i < 4, i).otherwise(i + 96), len(SYLLABLES[script])) + 1).cast("int")))
-        given = F.element_at(F.array(*map(F.lit, first)), (number(seed, 9, 8) + 1).cast("int"))
-        family = F.concat(F.initcap(F.array_join(part, "")), F.lit(ending))
-        single = F.size(F.split(canon, " ")) == 2
-        whole = F.concat(F.regexp_extract(canon, TITLE, 0), F.when(single, family).otherwise(F.concat_ws(" ", given, family)))
-        name = F.when((female == F.lit(gender == "female")) & (cyrillic == F.lit(script == "cyrillic")), whole).otherwise(name)
+    gender, cyrillic = F.regexp_extract(canon, "^([a-z]+):", 1), canon.rlike("[А-яё]")
+    given = family = F.lit(None).cast("string")
+    for script, all_syllables in SYLLABLES.items():
+        syllables = F.array(*map(F.lit, all_syllables))
+        several = lambda n, syllables=syllables: F.array_join(F.transform(F.sequence(F.lit(1), n + F.floor(attempt / GROW).cast("int")), lambda i: F.element_at(syllables, (number(seed, i, 16) + 1).cast("int"))), "")
+        for of in ("male", "female", "neutral"):
+            here = (gender == of) & (cyrillic == F.lit(script == "cyrillic"))
+            ending = F.element_at(F.array(*map(F.lit, ENDINGS[of, script])), (number(seed, 99, 4) + 1).cast("int"))
+            given = F.when(here, F.initcap(F.concat(several(2), ending))).otherwise(given)
+            family = F.when(here, F.initcap(F.concat(several(4), F.lit(FAMILY.get((of, script), ""))))).otherwise(family)
+    name = F.concat(gender, F.lit(":"), F.when(kind == "given", given).otherwise(family))
     return (
         F.when(kind == "email", F.concat(more_letters, email))
         .when(kind == "card", F.concat(body, last.cast("string")))
@@ -179,7 +217,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         .when(kind == "secret", F.concat(disguised(canon, seed, canon.rlike("^[0-9a-f]+$")), more))
         .when(kind == "access_key", F.concat(F.substring(canon, 1, 4), F.substr(drawn, F.lit(5))))
         .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substr(drawn, F.lit(3))))
-        .when(kind == "name", name)
+        .when(kind.isin("given", "family"), name)
         .otherwise(drawn)
     )
 
@@ -197,47 +235,98 @@ def laid_out(kind: Column, entity: Column, drawn: Column) -> Column:
         F.when(kind.isin("phone", "card", "ssn", "local_phone", "iban"), F.concat(F.array_join(digits, ""), rest))
         .when(kind == "email", F.concat(F.substr(drawn, F.lit(1), front), F.array_join(letters, "")))
         .when(kind == "secret", F.concat(F.regexp_extract(entity, f"^{HEAD}", 0), drawn))
+        .when(kind.isin("given", "family"), F.regexp_replace(drawn, "^[a-z]+:", ""))
         .otherwise(drawn)
     )
 
 
-def entities(docs: DataFrame, text: str) -> DataFrame:
-    """text_id, at (position among the text's entities), entity, kind and canon; equal texts once each row."""
-    found = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    rows = docs.filter(may_have(F.col(text))).select(text_key(F.col(text)).alias("text_id"), F.posexplode(found).alias("at", "entity"))
-    rows = rows.groupBy("text_id", "at").agg(F.first("entity").alias("entity"))
-    rows = rows.withColumn("kind", kind_of(F.col("entity"))).withColumn("kind", F.coalesce("kind", F.lit("other")))
-    return rows.withColumn("canon", canonical(F.col("kind"), F.col("entity")))
-
-
-def assigned(known: DataFrame, key: str, rounds: int = 64) -> DataFrame:
+def _struct(lead: Column, kind: Column | str, canon: Column, entity: Column, last: bool) -> Column:
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    return F.struct(lead.alias("lead"), kind.alias("kind"), canon.alias("canon"), entity.alias("entity"), F.lit(last).alias("last"))
+
+
+def pieces(kind: Column, entity: Column) -> Column:
+    """The entities of one match: itself, or of a name the given and the family name. Each has what
+    stands before it in the match, and the last one is marked."""
+    title = F.regexp_extract(entity, f"^{NAME_HEAD}", 0)
+    own = F.substr(entity, F.length(title) + 1)
+    family = F.element_at(F.split(own, " "), -1)
+    given = F.when(own != family, F.element_at(F.split(own, " "), 1))
+    middle = F.substr(own, F.length(given) + 1, F.length(own) - F.length(given) - F.length(family))
+    titled = lambda g: title.rlike("(?:^| )(?:" + "|".join(TITLES[g]) + ")\\.? ")
+    by_title = F.when(titled("female"), "female").when(titled("male"), "male")
+    listed = F.when(given.isin(*GIVEN["female"]), "female").when(given.isin(*GIVEN["male"]), "male")
+    gender = F.coalesce(listed, by_title, F.lit("neutral"))
+    own_gender = F.when(family.rlike("[А-яё]"), F.coalesce(by_title, listed, F.lit("neutral"))).otherwise("neutral")
+    last = _struct(F.coalesce(middle, title), "family", F.concat(own_gender, F.lit(":"), family), family, True)
+    first = _struct(title, "given", F.concat(gender, F.lit(":"), given), given, False)
+    whole = _struct(F.lit(""), kind, canonical(kind, entity), entity, True)
+    return F.when(kind != "name", F.array(whole)).when(given.isNull(), F.array(last)).otherwise(F.array(first, last))
+
+
+def entities(matched: DataFrame) -> DataFrame:
+    """key (of the text), at and part (positions among the text's matches and in one), of (the match's
+    type), lead, kind, canon, entity and last. ``matched``: key and found, once for each text."""
+    rows = matched.select("key", F.posexplode("found").alias("at", "match"))
+    rows = rows.withColumn("of", F.coalesce(kind_of(F.col("match")), F.lit("other")))
+    rows = rows.select("key", "at", "of", F.posexplode(pieces(F.col("of"), F.col("match"))).alias("part", "p")).select("key", "at", "of", "part", "p.*")
+    # a given name of no known gender has that of its other mentions, if they agree
+    name = F.regexp_extract("canon", "^[a-z]+:(.*)$", 1)
+    known = rows.filter((F.col("kind") == "given") & ~F.startswith("canon", F.lit("neutral:"))).select(name.alias("same"), F.col("canon").alias("gendered"))
+    known = known.groupBy("same").agg(F.min("gendered").alias("gendered"), F.max("gendered").alias("other")).filter("gendered = other").drop("other")
+    asked = F.when((F.col("kind") == "given") & F.startswith("canon", F.lit("neutral:")), name)
+    rows = rows.withColumn("asked", asked)
+    met = rows.filter("asked IS NOT NULL").join(known, F.col("asked") == F.col("same"), "left").withColumn("canon", F.coalesce("gendered", "canon")).drop("same", "gendered")
+    return rows.filter("asked IS NULL").unionByName(met).drop("asked")
+
+
+def assigned(found: DataFrame, key: str, tables: Tables, rounds: int = 64) -> DataFrame:
     """kind, canon and surrogate of each distinct entity, free of collisions."""
     drawn = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key))
-    state = written(drawn(known.select("kind", "canon").distinct().withColumn("attempt", F.lit(0))), "surrogates")
+    known = tables(found.select("kind", "canon").distinct().withColumn("attempt", F.lit(0)), "known")
+    parts = known.count() // 2000 + 8  # drawing takes time, not bytes, so rows are dealt by their number
+    state = tables(drawn(known.repartition(parts, "kind", "canon")), "surrogates")
     for _ in range(rounds):
         real = state.select(F.col("kind").alias("_kind"), F.col("canon").alias("_canon"))
         rank = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "canon"))
         judged = state.withColumn("rank", rank).join(real, (F.col("kind") == F.col("_kind")) & (F.col("surrogate") == F.col("_canon")), "left")
         bad = (F.col("rank") > 1) | F.col("_canon").isNotNull()
-        if judged.filter(bad).isEmpty():
-            return state.drop("attempt")
-        state = written(drawn(judged.withColumn("attempt", F.col("attempt") + F.when(bad, 1).otherwise(0)).select("kind", "canon", "attempt")), "surrogates")
+        judged = tables(judged.select("kind", "canon", "attempt", "surrogate", bad.alias("bad")), "judged")
+        if judged.filter("bad").isEmpty():
+            return judged.select("kind", "canon", "surrogate")
+        again = drawn(judged.filter("bad").select("kind", "canon", F.col("attempt") + 1).toDF("kind", "canon", "attempt").repartition(parts, "kind", "canon"))
+        state = tables(judged.filter("NOT bad").drop("bad").unionByName(again), "surrogates")
     raise ValueError("some formats have fewer surrogates than entities")
 
 
-def pseudonymise(docs: DataFrame, *, text: str = "text", key: str = "millrace") -> DataFrame:
-    """``docs`` with surrogates in its text, and n_entities and kinds (sorted, distinct)."""
-    found = written(entities(docs, text), "entities")
-    named = found.join(assigned(found, key), ["kind", "canon"])
-    named = named.withColumn("new", laid_out(F.col("kind"), F.col("entity"), F.col("surrogate")))
-    lists = named.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("new"), F.array_sort(F.collect_set("kind")).alias("kinds"))
-    has = F.coalesce(may_have(F.col(text)) & F.col(text).rlike(PATTERN), F.lit(False))
-    rest = [c for c in docs.columns if c.lower() not in ("n_entities", "kinds")]
-    row = row_of(docs, "n_entities", "kinds")
-    none = docs.filter(~has).select(row, F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds")).select("row.*", "n_entities", "kinds")
-    some = docs.filter(has).select(row, F.split(text, PATTERN, -1).alias("parts"), text_key(F.col(text)).alias("key"))
-    some = some.join(lists, F.col("key") == F.col("text_id"))
-    after = F.transform(F.col("new"), lambda s, i: F.concat(s["new"], F.get("parts", i + 1)))
+def _marked(docs: DataFrame, text: str) -> DataFrame:
+    """row (all columns but the text), content, key, found (the matches) and parts (what stands
+    between them). The pattern runs once over each text that may have a match, and once more over
+    those that have one; exploding an array of one row keeps Catalyst from repeating it."""
+    none = F.array().cast("array<string>")
+    rows = docs.select(kept_row(docs, text, "n_entities", "kinds"), F.col(text).alias("content"), F.unhex(text_key(F.col(text))).alias("key"))
+    found = F.when(F.coalesce(may_have(F.col("content")), F.lit(False)), F.regexp_extract_all("content", F.lit(PATTERN), F.lit(0))).otherwise(none)
+    rows = rows.select("row", "content", "key", F.explode(F.array(found)).alias("found"))
+    return rows.withColumn("parts", F.when(F.size("found") > 0, F.split("content", PATTERN, -1)))
+
+
+def pseudonymise(docs: DataFrame, *, key: str, text: str = "text") -> DataFrame:
+    """``docs`` with surrogates in its text, and n_entities (matches) and kinds (sorted, distinct)."""
+    if not key:
+        raise ValueError("a key is needed")
+    marked = written(_marked(docs, text), "marked")
+    with Tables(docs.sparkSession) as tables:
+        found = tables(entities(marked.filter(F.size("found") > 0).groupBy("key").agg(F.first("found").alias("found"))), "entities")
+        named = found.join(assigned(found, key, tables), ["kind", "canon"])
+        named = named.withColumn("new", F.concat("lead", laid_out(F.col("kind"), F.col("entity"), F.col("surrogate"))))
+        lists = named.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "part", "last", "new"))).alias("new"), F.array_sort(F.collect_set("of")).alias("kinds"))
+        lists = written(lists, "replacements")
+    after = F.transform(F.col("new"), lambda s: F.concat(s["new"], F.when(s["last"], F.get("parts", s["at"] + 1)).otherwise("")))
     replaced = F.concat(F.get("parts", F.lit(0)), F.array_join(after, ""))
-    columns = [replaced.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in rest]
-    return none.unionByName(some.select(*columns, F.size("new").alias("n_entities"), "kinds"))
+
+    def rows(part: DataFrame, content: Column, kinds: Column) -> DataFrame:
+        columns = [content.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("n_entities", "kinds")]
+        return part.select(*columns, F.size("found").alias("n_entities"), kinds.alias("kinds"))
+
+    none = rows(marked.filter(F.size("found") == 0), F.col("content"), F.array().cast("array<string>"))
+    return none.unionByName(rows(marked.filter(F.size("found") > 0).join(lists, "key"), replaced, F.col("kinds")))
