@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, jaccard_join, quality, segmentations, surrogates
+from millrace.llm.queries import KEY
 from millrace.llm.shared import written
 
 
@@ -32,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gets surrogates."""
-    return _counted(surrogates.pseudonymise(docs).select(docs.columns))
+    return _counted(surrogates.pseudonymise(docs, key=KEY).select(docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
