@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -70,6 +70,18 @@ def join_cjk(text: Column) -> Column:
     return F.regexp_replace(text, f"(?<={CJK})[ \\t\\u3000]+(?={CJK})", "")
 
 
+#: Words that mean the same, and the one that stands for them.
+SYNONYMS = {"御社": "貴社", "迄": "まで", "元請け": "元請"}
+
+
+def synonyms(text: Column, words: Mapping[str, str] = SYNONYMS, flat: bool = False) -> Column:
+    """Synonyms folded and blanks collapsed in each line, or over all lines if ``flat``."""
+    folded = reduce(lambda t, w: F.replace(t, F.lit(w[0]), F.lit(w[1])), words.items(), text)
+    if flat:
+        return F.trim(F.regexp_replace(folded, "\\s+", " "))
+    return F.regexp_replace(F.regexp_replace(folded, "[ \\t]+", " "), "(?m)^ | $", "")
+
+
 def squeeze(text: Column, most: int = 2) -> Column:
     """At most ``most`` blank lines together."""
     return F.regexp_replace(text, f"\\n{{{most + 2},}}", "\n" * (most + 1))
@@ -102,6 +114,12 @@ def truncate_at_line(text: Column, most: int, suffix: str = "", back: float = 0.
     return F.when(F.length(text) <= most, text).otherwise(F.concat(cut, F.lit(suffix)))
 
 
+def summary(items: Column, most: int = 8, length: int = 240, separator: str = " / ", mark: str = "…") -> Column:
+    """The first ``most`` items, joined and cut to ``length`` characters."""
+    joined = F.array_join(F.slice(items, 1, most), separator)
+    return F.when(F.length(joined) > length, F.concat(F.rtrim(F.substring(joined, 1, length)), F.lit(mark))).otherwise(joined)
+
+
 def quote(text: Column, most: int = 1600, mark: str = "…") -> Column:
     return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most), F.lit(mark))).otherwise(text)
 
@@ -137,9 +155,10 @@ def distinct_ignoring_case(items: Column) -> Column:
 
 
 def redact(text: Column) -> Column:
-    """E-mail addresses, IPv4 addresses, URLs and phone numbers masked."""
-    masks = (("[EMAIL]", EMAIL), ("[URL]", URL), ("[IP]", IPV4), ("[PHONE]", PHONE))
-    return reduce(lambda t, m: F.regexp_replace(t, m[1], m[0].replace("$", "\\$")), masks, text)
+    """E-mail addresses, IPv4 addresses, URLs and phone numbers masked. Each pattern runs only over
+    texts that have what all its matches have: an @, "://", digits around a dot or a hyphen."""
+    masks = (("[EMAIL]", EMAIL, F.contains(text, F.lit("@"))), ("[URL]", URL, F.contains(text, F.lit("://"))), ("[IP]", IPV4, text.rlike("[0-9]\\.[0-9]")), ("[PHONE]", PHONE, text.rlike("0[0-9]{1,4}-[0-9]")))
+    return reduce(lambda t, m: F.when(m[2], F.regexp_replace(t, m[1], m[0])).otherwise(t), masks, text)
 
 
 def sanitised(text: Column, noise: Sequence[tuple[str, str]]) -> Column:
@@ -186,6 +205,20 @@ def quality_reason(text: Column, least: int = 30) -> Column:
     )
 
 
+def content_kind(data: Column, content_type: Column) -> Column:
+    """What a response is: html (by its type or its first bytes), pdf, office (a zip), ole (old office), text, or binary (bytes below blank)."""
+    head = F.lower(F.decode(F.substring(data, 1, 512), "ISO-8859-1"))
+    return (
+        F.when(data.isNull() | (F.octet_length(data) == 0), "empty")
+        .when(F.contains(F.coalesce(F.lower(content_type), F.lit("")), F.lit("text/html")) | looks_like_html(head), "html")
+        .when(F.startswith(F.hex(F.substring(data, 1, 4)), F.lit("25504446")), "pdf")
+        .when(F.startswith(F.hex(F.substring(data, 1, 4)), F.lit("504B0304")), "office")
+        .when(F.startswith(F.hex(F.substring(data, 1, 8)), F.lit("D0CF11E0A1B11AE1")), "ole")
+        .when(head.rlike("[\\x00-\\x08\\x0E-\\x1A]"), "binary")
+        .otherwise("text")
+    )
+
+
 def looks_like_html(text: Column) -> Column:
     return F.substring(F.lower(F.ltrim(text)), 1, 200).rlike("^(?:<!doctype html|<html|<head|<body)")
 

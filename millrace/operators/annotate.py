@@ -10,24 +10,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _bordered(term: str) -> str:
-    """ASCII terms need a border on either side; others don't."""
-    core = re.escape(term)
-    return f"(?<![A-Za-z0-9.\\-]){core}(?![A-Za-z0-9\\-])" if term.isascii() else core
-
-
-def annotate(text: str, patterns: Sequence[tuple[str, list[tuple[str, re.Pattern]]]]) -> list[tuple[int, str, str]]:
-    """(position, category, term) in text order. Categories take their spans in order, in each the
-    longest terms first; a span is taken once."""
-    taken = [False] * len(text)
-    found = []
-    for category, terms in patterns:
-        for term, pattern in terms:
-            for m in pattern.finditer(text):
-                if m.end() > m.start() and not any(taken[m.start() : m.end()]):
-                    taken[m.start() : m.end()] = [True] * (m.end() - m.start())
-                    found.append((m.start(), category, term))
-    return sorted(found)
+ASCII_WORD = re.compile("[A-Za-z0-9]")
+
+
+def folded(text: str) -> str:
+    """Lower case, character by character, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def bordered(text: str, start: int, end: int) -> bool:
+    """No letter, digit or hyphen (in front, no dot either) of ASCII next to a term."""
+    before, after = text[start - 1 : start], text[end : end + 1]
+    return not (before and (ASCII_WORD.match(before) or before in ".-")) and not (after and (ASCII_WORD.match(after) or after == "-"))
+
+
+class Terms:
+    """All terms of a dictionary in one automaton, so that a text is read once whatever their number.
+    ASCII terms need a border on either side; others don't."""
+
+    def __init__(self, dictionary: Mapping[str, Sequence[str]]):
+        import ahocorasick
+
+        self.machine = ahocorasick.Automaton()
+        by: dict[str, list[tuple[int, str, str]]] = {}
+        for order, (category, terms) in enumerate(dictionary.items()):
+            for term in dict.fromkeys(t for t in terms if t):
+                by.setdefault(folded(term), []).append((order, category, term))
+        for low, found in by.items():
+            self.machine.add_word(low, found)
+        self.machine.make_automaton()
+        self.size = len(by)
+
+    def annotate(self, text: str) -> list[tuple[int, str, str]]:
+        """(position, category, term) in text order. Categories take their spans in order, in each the
+        longest terms first; a span is taken once."""
+        hits = []
+        for last, found in self.machine.iter(folded(text)) if self.size else ():
+            for order, category, term in found:
+                start = last + 1 - len(term)
+                if not term.isascii() or bordered(text, start, last + 1):
+                    hits.append((order, -len(term), term, start, category))
+        taken, out = bytearray(len(text)), []
+        for _, size, term, start, category in sorted(hits):
+            if not any(taken[start : start - size]):
+                taken[start : start - size] = b"\1" * -size
+                out.append((start, category, term))
+        return sorted(out)
 
 
 def annotated(df: DataFrame, dictionary: Mapping[str, Sequence[str]], *, text: str = "text", aliases: Mapping[str, str] | None = None) -> DataFrame:
@@ -37,11 +66,11 @@ def annotated(df: DataFrame, dictionary: Mapping[str, Sequence[str]], *, text: s
     plain = {k: list(v) for k, v in dictionary.items()}
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        patterns = [(c, [(t, re.compile(_bordered(t), re.IGNORECASE)) for t in sorted(terms, key=lambda t: (-len(t), t))]) for c, terms in plain.items()]
+        known = Terms(plain)
         for series in batches:
             out = []
             for value in series:
-                found = annotate(value, patterns) if isinstance(value, str) else []
+                found = known.annotate(value) if isinstance(value, str) else []
                 named = [(c, aliases.get(t, t)) for _, c, t in found]
                 terms = list(dict.fromkeys(t for _, t in named))
                 by = {c: list(dict.fromkeys(t for k, t in named if k == c)) for c in dict.fromkeys(c for c, _ in named)}

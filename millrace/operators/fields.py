@@ -82,3 +82,27 @@ def consistent(merged: DataFrame, expected: DataFrame, errors: DataFrame, first:
     if n != want and not wrong:
         raise ValueError(f"{want - n} rows are missing and there is no error")
     return {"merged": n, "expected": want, "errors": wrong, "first": [r.asDict() for r in errors.limit(first).collect()]}
+
+
+def display(value: Column, kind: str = "text", none: str = "-") -> Column:
+    """A field for people: blanks and a label's rest stripped; prices in units of ten thousand, flags and lists in words."""
+    if kind == "price":
+        shown = F.concat(F.format_string("%d", F.floor(value / 10_000)), F.lit("万円"))
+    elif kind == "flag":
+        shown = F.when(value, "可").otherwise("不可")
+        shown = F.when(value.isNotNull(), shown)
+    elif kind == "list":
+        shown = F.array_join(F.slice(value, 1, 10), "、")
+    else:
+        shown = F.trim(F.regexp_replace(value.cast("string"), "^[\\s:】\\]・-]+|[\\s、。]+$", ""))
+    return F.coalesce(F.when(shown != "", shown), F.lit(none))
+
+
+def note_block(text: Column, label: str, header: str = "^\\s*[【\\[■◆●]") -> Column:
+    """The lines behind a label's line, up to a blank one or another header; null without any."""
+    lines = F.split(text, "\n", -1)
+    at = F.array_position(F.transform(lines, lambda x: x.rlike(label)), True)
+    rest = F.when(at > 0, F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int")))
+    stop = F.array_position(F.transform(rest, lambda x: (F.trim(x) == "") | x.rlike(header)), True)
+    body = F.trim(F.array_join(F.when(stop > 0, F.slice(rest, F.lit(1), (stop - 1).cast("int"))).otherwise(rest), "\n"))
+    return F.when(body != "", body)

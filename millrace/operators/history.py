@@ -14,7 +14,9 @@ def seen_and_new(df: DataFrame, history: DataFrame, keys: Sequence[str]) -> tupl
 
 
 def ordinal_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[Column], right_order: Sequence[Column], how: str = "inner") -> DataFrame:
-    """The k-th row of a key with the k-th row of the same key: each row is used once at most."""
+    """The k-th row of a key with the k-th row of the same key: each row is used once at most. The rows
+    of one key are numbered in one task, which sorts and spills them; it is meant for keys of a pair or
+    a mail, of which there are few rows, and not for keys that a notable share of all rows has."""
     rank = lambda df, order: df.withColumn("ordinal", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return rank(left, left_order).join(rank(right, right_order), [*keys, "ordinal"], how)
 
@@ -55,26 +57,42 @@ class RunState:
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def latest(self) -> int | None:
+    def _done(self):
         from pyspark.errors import AnalysisException
 
         try:
-            return self.spark.read.schema("run long").parquet(f"{self.path}/done").agg(F.max("run")).first()[0]
+            return self.spark.read.schema("run long, tag long").parquet(f"{self.path}/done").agg(F.max("run"), F.max("tag")).first()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
+            return None, None
+
+    def latest(self) -> int | None:
+        return self._done()[0]
+
+    def latest_tag(self) -> int | None:
+        """The largest tag (such as a micro-batch's number) that a run was committed with."""
+        return self._done()[1]
 
     def read(self, name: str) -> DataFrame | None:
         run = self.latest()
         return None if run is None else self.spark.read.parquet(f"{self.path}/run={run}/{name}")
 
-    def commit(self, history: DataFrame, cache: DataFrame, errors: DataFrame) -> int:
+    def commit(self, history: DataFrame, cache: DataFrame, errors: DataFrame, tag: int | None = None) -> int:
         """Writes the next snapshot. With errors the cache of the last run stays."""
         run = (self.latest() or 0) + 1
         history.write.mode("overwrite").parquet(f"{self.path}/run={run}/history")
         old = self.read("cache")
         kept = cache if errors.isEmpty() or old is None else old
         kept.write.mode("overwrite").parquet(f"{self.path}/run={run}/cache")
-        self.spark.createDataFrame([(run,)], "run long").write.mode("append").parquet(f"{self.path}/done")
+        self.spark.createDataFrame([(run, tag)], "run long, tag long").write.mode("append").parquet(f"{self.path}/done")
         return run
+
+
+def rechecked(pairs: DataFrame, confirmed: DataFrame, review: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``pairs`` that a recheck confirmed or left to a human, with recheck_status; of several rows of a
+    pair the later one counts, and ``review`` is later than ``confirmed``."""
+    rows = confirmed.select(*keys, F.lit(0).alias("_file"), F.col(order).alias("_at"), F.lit("confirmed").alias("recheck_status"))
+    rows = rows.unionByName(review.select(*keys, F.lit(1).alias("_file"), F.col(order).alias("_at"), F.lit("human_review").alias("recheck_status")))
+    last = rows.groupBy(*keys).agg(F.max_by("recheck_status", F.struct("_file", "_at")).alias("recheck_status"))
+    return pairs.join(last, list(keys))

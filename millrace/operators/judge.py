@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,27 +33,53 @@ def problem(answer: object, skills: list[str], most: int = 30) -> str | None:
     return None
 
 
+class Refused(Exception):
+    """A call that must not be tried again: the request is wrong, or there is no permission."""
+
+
+class Patient:
+    """A judge that waits ``spacing`` seconds between calls of a process and tries each call up to
+    ``tries`` times, ``wait`` seconds apart; Refused is not tried again."""
+
+    def __init__(self, call: Judge, spacing: float = 0.5, tries: int = 3, wait: float = 5.0):
+        self.call, self.spacing, self.tries, self.wait, self.last = call, spacing, tries, wait, 0.0
+
+    def __call__(self, skills: list[str], text: str) -> list[dict]:
+        for left in range(self.tries - 1, -1, -1):
+            time.sleep(max(0.0, self.last + self.spacing - time.monotonic()))
+            self.last = time.monotonic()
+            try:
+                return self.call(skills, text)
+            except Refused:
+                raise
+            except Exception:
+                if not left:
+                    raise
+                time.sleep(self.wait)
+        raise ValueError("no tries")
+
+
 def judged(pairs: DataFrame, judge: Judge = keyword_judge, *, skills: str = "required_skills", text: str = "skillsheet") -> DataFrame:
     """``pairs`` with results (structs of skill, match, note) or an error: missing skills, a missing
-    sheet, a failed call, an answer that isn't valid. One call per row, in the row's task."""
+    sheet, a failed call (its message is the cause), an answer that isn't valid. One call per row, in the row's task."""
 
-    def one(wanted: list[str] | None, sheet: str | None) -> tuple[list[dict] | None, str | None]:
+    def one(wanted: list[str] | None, sheet: str | None) -> tuple[list[dict] | None, str | None, str | None]:
         if wanted is None or not len(wanted):
-            return None, "missing_project_required_skills"
+            return None, "missing_project_required_skills", None
         if not isinstance(sheet, str) or not sheet.strip():
-            return None, "missing_resource_skillsheet"
+            return None, "missing_resource_skillsheet", None
         try:
             answer = judge(list(wanted), sheet)
-        except Exception:  # noqa: BLE001  a call may fail in any way; the row says so
-            return None, "llm_call_error"
+        except Exception as cause:  # noqa: BLE001  a call may fail in any way; the row says so
+            return None, "llm_call_error", f"{type(cause).__name__}: {cause}"[:200]
         error = problem(answer, list(wanted))
-        return (None, error) if error else (answer, None)
+        return (None, error, None) if error else (answer, None, None)
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for wanted, sheets in batches:
-            yield pd.DataFrame([one(w, s) for w, s in zip(wanted, sheets, strict=True)], columns=["results", "error"])
+            yield pd.DataFrame([one(w, s) for w, s in zip(wanted, sheets, strict=True)], columns=["results", "error", "cause"])
 
-    call = F.pandas_udf(run, f"results array<{SKILL}>, error string")
+    call = F.pandas_udf(run, f"results array<{SKILL}>, error string, cause string")
     return pairs.withColumn("_j", call(F.col(skills), F.col(text))).select(*pairs.columns, "_j.*")
 
 
@@ -65,3 +92,78 @@ def recheck_status(checks: Column) -> Column:
     """not_confirmed if any is, else human_review if any is, else confirmed (also without any)."""
     has = lambda v: F.exists(checks, lambda c: c["recheck_match"] == v)
     return F.when(has("not_confirmed"), "not_confirmed").when(has("human_review"), "human_review").otherwise("confirmed")
+
+
+STATUSES = ("confirmed", "human_review", "not_confirmed")
+CHECK = "struct<skill:string,recheck_match:string,note:string>"
+
+
+def recheck(pairs: DataFrame, call: Judge, *, results: str = "results", text: str = "skillsheet") -> DataFrame:
+    """``pairs`` with checks (structs of skill, recheck_match, note), recheck_status and recheck_error.
+    ``call`` gets the skills that were met; a call that fails, or an answer that isn't valid, leaves all
+    of them to a human. There is always a row."""
+
+    def one(found, sheet) -> tuple[list[dict], str | None]:
+        skills = [r["skill"] for r in (found if found is not None else []) if r["match"]]
+        review = lambda why: ([{"skill": s, "recheck_match": "human_review", "note": why} for s in skills], why)
+        if not skills:
+            return [], None
+        try:
+            answer = call(skills, sheet if isinstance(sheet, str) else "")
+        except Exception:  # noqa: BLE001  as above
+            return review("llm_call_error")
+        good = isinstance(answer, list) and [x.get("skill") if isinstance(x, dict) else None for x in answer] == skills and all(x.get("recheck_match") in STATUSES and isinstance(x.get("note"), str) for x in answer)
+        return (answer, None) if good else review("invalid_output_schema")
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for found, sheets in batches:
+            yield pd.DataFrame([one(f, s) for f, s in zip(found, sheets, strict=True)], columns=["checks", "recheck_error"])
+
+    asked = F.pandas_udf(run, f"checks array<{CHECK}>, recheck_error string")(F.col(results), F.col(text))
+    return pairs.withColumn("_c", asked).select(*pairs.columns, "_c.*").withColumn("recheck_status", recheck_status(F.col("checks")))
+
+
+def overridden(results: Column, checks: Column) -> Column:
+    """Results whose skill a valid check did not confirm count as not met."""
+    denied = F.transform(F.filter(checks, lambda c: c["recheck_match"] == "not_confirmed"), lambda c: c["skill"])
+    return F.transform(results, lambda r: F.when(F.array_contains(denied, r["skill"]), F.struct(r["skill"].alias("skill"), F.lit(False).alias("match"), F.lit("not confirmed").alias("note"))).otherwise(r))
+
+
+def assisted(df: DataFrame, asked: Column, call: Callable[[str], tuple[str, float]], labels: tuple[str, ...], *, text: str = "text", label: str = "label", confidence: str = "confidence", most: int = 1500) -> DataFrame:
+    """``df`` with label and confidence of ``call`` where ``asked`` is true (such as ambiguous rows) and
+    its answer is one of ``labels``; the confidence is cut to 0 to 1. It gets ``most`` characters."""
+
+    def one(ask, value) -> tuple[str | None, float | None]:
+        if not ask:
+            return None, None
+        try:
+            name, sure = call((value if isinstance(value, str) else "")[:most])
+            return (name, min(1.0, max(0.0, float(sure)))) if name in labels else (None, None)
+        except Exception:  # noqa: BLE001  without an answer the rules' label stays
+            return None, None
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for asks, texts in batches:
+            yield pd.DataFrame([one(a, t) for a, t in zip(asks, texts, strict=True)], columns=["label", "confidence"])
+
+    answer = F.pandas_udf(run, "label string, confidence double")(asked, F.col(text))
+    filled = {label: F.coalesce(F.col("_l.label"), F.col(label)), confidence: F.when(F.col("_l.label").isNotNull(), F.col("_l.confidence")).otherwise(F.col(confidence))}
+    return df.withColumn("_l", answer).withColumns(filled).drop("_l")
+
+
+def items_by_call(df: DataFrame, indicator: str, call: Callable[[str], list[str]], *, text: str = "text", items: str = "required_skills", most: int = 3000) -> DataFrame:
+    """``df`` with the items that ``call`` finds in the first ``most`` characters, where the rules found
+    none and the text has the ``indicator`` (a pattern)."""
+
+    def one(ask, value) -> list[str] | None:
+        try:
+            return [str(x) for x in call(value[:most])] if ask else None
+        except Exception:  # noqa: BLE001  as above
+            return None
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for asks, texts in batches:
+            yield pd.Series([one(a, t) for a, t in zip(asks, texts, strict=True)])
+
+    asked = F.coalesce(((F.size(items) == 0) | F.col(items).isNull()) & F.col(text).rlike(indicator), F.lit(False))
+    return df.withColumn("_i", F.pandas_udf(run, "array<string>")(asked, F.col(text))).withColumn(items, F.coalesce("_i", items)).drop("_i")

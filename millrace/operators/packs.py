@@ -1,102 +1,198 @@
-"""Rule packs for staffing mails in Japanese, written for this library; patterns expect NFKC text.
-Each extractor takes a text column and gives (value, source, raw)."""
+"""Rule packs for staffing mails in Japanese; patterns expect NFKC text. Each extractor takes a text
+column and gives (value, source, raw), the source "extracted" or "default"."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import Rule, first_match, highest_level, lines_with, windows
+from ..functions.numbers import digit
+from ..functions.text import synonyms
+from .prices import project_price, resource_price
+from .rules import Rule, first_in, first_match, found_in, let, windows_of
+
+__all__ = ["age_limit", "contract", "employment", "flow_level", "foreign_ok", "freelance_ok", "nationality", "own_age", "own_remote", "own_workload", "project_price", "remote", "resource_price", "vendor_flow", "workload"]
 
-REMOTE = [
-    Rule("(?:リモート|在宅|テレワーク)(?:は)?(?:不可|無し|なし|NG)|常駐必須|フル出社|フル常駐", "onsite"),
-    Rule("(?:フル|完全)(?:リモート|在宅|テレワーク)", "fullremote"),
-    Rule("週[5-7]日?(?:リモート|在宅)", "fullremote"),
-    Rule("週[1-4]日?(?:程度)?(?:リモート|在宅|出社)|(?:リモート|在宅|テレワーク)(?:併用|可|あり|有|相談)|ハイブリッド", "hybrid"),
+HOME = "(?:リモート(?:ワーク)?|在宅(?:勤務|ワーク)?|テレワーク)"
+NO = "\\s*(?:は\\s*)?(?:不\\s*可|なし|無し|禁止|NG)"
+#: How a demand wants work done: first what rules out work from home, then full, then weekly, then partly.
+ONSITE = [
+    Rule(f"{HOME}{NO}|フルリモ{NO}|フル\\s*(?:出社|常駐)|完全\\s*出社|常駐\\s*必須|\\(常駐\\)|(?:基本|原則)\\s*常駐|リモート\\s*頻度\\s*:\\s*(?:常駐|(?:基本\\s*)?出社|なし|無し|不可)", "onsite"),
+]
+FULL = [
+    Rule("(?:フル|完全|全日)\\s*(?:リモ|在宅|テレワーク)|100\\s*%\\s*リモート|リモートワーク\\s*100|全\\s*日程?\\s*在宅|(?:リモート|在宅)\\s*のみ", "fullremote"),
+    Rule(f"週\\s*[5-9六七]\\s*[日回]?\\s*(?:程度|以上|くらい|ほど)?\\s*の?\\s*{HOME}", "fullremote"),
+]
+HYBRID = [
+    Rule(f"週\\s*[1-4一二三四]\\s*[日回]?\\s*(?:程度|以上|くらい|ほど)?\\s*(?:は|の)?\\s*(?:{HOME}|出社)|週\\s*[1-9一二三四]\\s*[~〜、,-]\\s*[1-9]\\s*[日回]?\\s*(?:程度|以上|くらい|ほど)?\\s*の?\\s*(?:{HOME}|出社)", "hybrid"),
+    Rule(f"ハイブリッ[ドト]|(?:一部|部分|基本(?:的に)?|原則|ほぼ|他|現在)\\s*は?\\s*{HOME}|{HOME}\\s*(?:も\\s*)?(?:可|対応|相談|あり|有|併用|メイン|主体|見込|週\\s*[1-9一二三四])|月\\s*[1-9一二三四]\\s*[日回]\\s*{HOME}|TW\\s*(?:併用|使用)", "hybrid"),
+    Rule(f"(?:場所|勤務地)[ \\t]*[: ][^\\n]*{HOME}|(?:場所|勤務地)[^\\n]*\\n\\s*{HOME}|/\\s*{HOME}|オンサイト.*リモート|リモート.*設ける|リモート\\s*頻度\\s*:\\s*週[0-9]", "hybrid"),
 ]
 FOREIGN = [
-    Rule("外国籍(?:の方)?(?:は)?(?:不可|NG|×|無し|なし)|日本(?:国)?籍(?:の方)?(?:のみ|限定|必須)", False),
-    Rule("外国籍(?:の方)?(?:も)?(?:可|OK|○|歓迎|相談)|国籍不問", True),
+    Rule("外国\\s*籍\\s*】?[\\s:;|_]*(?:の\\s*方\\s*)?は?\\s*(?:\\([^)\\n]{0,20}\\)\\s*)?(?:基本\\s*)?(?:不可|NG|×|なし|無し|お断り|不採用)", False),
+    Rule("外国\\s*籍[^\\n]{0,80}(?:ご提案は)?(?:ご遠慮|いただけません|できません)", False),
+    Rule("日本\\s*(?:国\\s*籍|人)[^\\n]{0,30}(?:のみ|限定|必須|に限|有する|お持ち|持つ|募集|希望)|国\\s*籍\\s*(?:要件?)?\\s*:\\s*日本", False),
+    Rule("(?:永住|在留)\\s*資格\\s*(?:必須|が必要|を?お持ち|のある)|ビザ[^\\n]{0,10}(?:不可|なし)|(?i:visa\\s*(?:sponsor)?\\s*(?:not\\s*(?:available|provided)|unsupported))|セキュリティ\\s*クリアランス|(?m:^[^\\n]*制\\s*限\\s*:[^\\n]*外国\\s*籍)", False),
+    Rule("外国\\s*籍\\s*】?[\\s:;|_]*(?:の\\s*方\\s*)?も?\\s*(?:可|OK|○|歓迎|不問|応?要?相談|検討可|問わ|問い|応募可)|(?:多\\s*国\\s*籍|国\\s*籍)\\s*を?\\s*(?:不問|問わ|問い|歓迎|OK|可)", True),
 ]
+SELF = "(?:個人\\s*事業\\s*主|フリーランス|フリー|個人)"
 FREELANCE = [
-    Rule("(?:個人事業主|フリーランス|個人)(?:の方)?(?:は)?(?:不可|NG|×)|(?:正社員|社員)(?:のみ|限定)", False),
-    Rule("(?:個人事業主|フリーランス|個人)(?:の方)?(?:も)?(?:可|OK|○|歓迎|相談)", True),
+    Rule(f"{SELF}\\s*(?:様|の方)?\\s*[:】]?\\s*は?\\s*(?:不可|NG|×|お断り|なし|無し|ご遠慮)|(?:貴社)?(?:正?社員|プロパー)(?:様)?\\s*(?:のみ|限定|まで)", False),
+    Rule(f"{SELF}\\s*(?:様|の方)?\\s*[:】]?\\s*も?\\s*(?:まで)?\\s*(?:可|OK|○|歓迎|応?相談|問題)|雇用形態\\s*:?\\s*不問", True),
+]
+FREE_FLOW = "商流\\s*(?:制限)?\\s*:?\\s*は?\\s*(?:御座いません|ございません|制限なし|なし|無し|不問|ありません)"
+LEVELS = [
+    (0, FREE_FLOW),
+    (3, "(?:2|二)\\s*社\\s*(?:先|下)\\s*(?:所属)?まで"),
+    (2, "(?:1|一)\\s*社\\s*(?:先|下)?\\s*(?:所属|要員|正?\\s*社\\s*員)?まで|2\\s*社\\s*(?:先|下)\\s*以降.*支援費"),
+    (1, "貴社\\s*(?:所属|正?\\s*社\\s*員|要員)?\\s*(?:個人\\s*事業\\s*主)?\\s*(?:要員)?\\s*様?\\s*(?:まで|のみ)|貴社\\s*直\\s*接\\s*(?:所属|雇用)|自社\\s*社\\s*員\\s*のみ|直\\s*接?\\s*雇\\s*用\\s*のみ"),
+]
+#: Lines that speak of a licence to dispatch, not of a contract; then the contracts in order.
+NO_CONTRACT = "(?:労働者)?派遣事業許可番号|一般労働者派遣事業|有料職業紹介事業"
+CONTRACT = [
+    Rule("派遣\\s*(?:または|or|/)\\s*準委任|準委任\\s*(?:または|or|/)\\s*派遣", "quasi_mandate"),
+    Rule("契約(?:形態)?\\s*:\\s*派遣|派遣契約|派遣のみ|商流\\s*:.*\\(派遣\\)", "dispatch"),
+    Rule("準委任.*契約|契約.*準委任", "quasi_mandate"),
 ]
-LEVELS = [(0, "商流(?:制限)?(?:なし|不問)"), (3, "(?:貴社)?3社先|三社先"), (2, "(?:貴社)?2社先|二社先"), (1, "(?:貴社)?1社先|一社先|貴社(?:所属|プロパー)?(?:まで|のみ)")]
-CONTRACT = [Rule("準委任|業務委託|SES", "quasi_delegation"), Rule("派遣(?!会社|元)", "dispatch")]
+AGE = "[歳才]"
+DECADE = "([2-9][0-9])\\s*歳?\\s*代"
+EARLY, END = "\\s*(?:前半|半ば)", "\\s*(?:まで|迄|以下|希望|程度|望ましい|尚可|可)"
 AGE_LIMIT = [
-    Rule("年齢(?:制限)?[::\\s]*(?:不問|なし|無し)", 100),
-    Rule("([2-7][0-9])(?:歳|才)以上(?:は)?(?:不可|NG)", group=1, plus=-1),
-    Rule("([2-7][0-9])(?:歳|才)?未満", group=1, plus=-1),
-    Rule("[2-7][0-9](?:歳|才)?[~〜-]([2-7][0-9])(?:歳|才)", group=1),
-    Rule("([2-7][0-9])(?:歳|才)(?:まで|以下|位まで|くらいまで)", group=1),
-    Rule("([2-7]0)代前半まで", group=1, plus=4),
-    Rule("([2-7]0)代(?:後半)?まで", group=1, plus=9),
+    Rule("不問|制限\\s*な[しい]|制限はありません|年\\s*齢(?:制限)?\\s*[】\\]]?\\s*:?\\s*\\(?\\s*(?:特に)?(?:なし|確認中)", 100),
+    Rule(f"([0-9]+)\\s*{AGE}\\s*以上\\s*(?:は)?\\s*(?:原則\\s*)?(?:NG|不可)", group=1, plus=-1),
+    Rule(f"([0-9]+)\\s*{AGE}?\\s*未満", group=1, plus=-1),
+    Rule(f"{DECADE}\\s*不可", group=1, plus=-1),
+    Rule(f"([0-9]+)\\s*{AGE}?\\s*[〜~-]\\s*([0-9]+)\\s*{AGE}(?!\\s*代)", group=1, other=2),
+    Rule(f"[0-9]+\\s*{AGE}\\s*[〜~](?!\\s*[0-9])", 100),
+    Rule(f"[0-9]\\s*歳?\\s*代?(?:前半|後半|半ば)?\\s*[〜~]\\s*{DECADE}{EARLY}", group=1, plus=4),
+    Rule(f"[0-9]\\s*歳?\\s*代?(?:前半|後半|半ば)?\\s*[〜~]\\s*{DECADE}", group=1, plus=9),
+    Rule(f"([0-9]+)\\s*{AGE}\\s*(?:位|[くぐ]らい|前後)?\\s*(?:まで|迄|以下|希望|程度)|([0-9]+)\\s*{AGE}\\s*[くぐ]らい", group=1),
+    Rule(f"([0-9]+)\\s*{AGE}\\s*[くぐ]らい", group=1),
+    Rule(f"{DECADE}{EARLY}{END}|([2-9][0-9])\\s*歳\\s*代{EARLY}", group=1, plus=4),
+    Rule(f"([2-9][0-9])\\s*歳\\s*代{EARLY}", group=1, plus=4),
+    Rule(f"{DECADE}\\s*(?:後半|前後)?{END}", group=1, plus=9),
+    Rule("([2-9][0-9])\\s*歳\\s*代\\s*後半", group=1, plus=9),
+    Rule(f"[〜~]\\s*{DECADE}{EARLY}", group=1, plus=4),
+    Rule(f"[〜~]\\s*{DECADE}", group=1, plus=9),
 ]
-OWN_AGE = [Rule("([1-7][0-9])(?:歳|才)", group=1), Rule("([2-7]0)代前半", group=1, plus=3), Rule("([2-7]0)代後半", group=1, plus=7), Rule("([2-7]0)代", group=1, plus=5)]
-PRICE = [
-    Rule("時給?[::]?\\s*([0-9]{4,5})円?", group=1, factor=160),
-    Rule("日額?[::]?\\s*([0-9]{5,6})円?", group=1, factor=20),
-    Rule("[~〜-]\\s*([0-9]{2,3})万", group=1, factor=10_000),
-    Rule("([0-9]{2,3})万", group=1, factor=10_000),
+AGE_LABELLED = [Rule(f":\\s*([0-9]{{2}})\\s*{AGE}", group=1)]
+AGE_UPTO = [Rule(f"[〜~]\\s*([0-9]{{2}})\\s*{AGE}(?!\\s*以?上)", group=1)]
+OWN_AGE = [
+    Rule(p, group=1, plus=plus, low=18, high=75)
+    for p, plus in (
+        ("年\\s*[齢令]\\s*[】\\])]*\\s*:?\\s*([0-9]{1,2})(?![0-9]|\\s*代)", 0), ("\\(\\s*([0-9]{1,2})\\s*[歳才]?\\s*/", 0), ("\\(\\s*([0-9]{1,2})\\s*[歳才]?\\s*\\)\\s*(?:男|女)", 0),
+        ("\\(\\s*([0-9]{1,2})\\s*[歳才]\\s*\\)", 0), ("([0-9]{1,2})\\s*[歳才]", 0), ("([2-7]0)\\s*代\\s*前半", 3), ("([2-7]0)\\s*代\\s*後半", 7), ("([2-7]0)\\s*代", 5), ("[A-Za-z.]\\s*\\(\\s*([0-9]{1,2})\\s*\\)", 0),
+    )
 ]
-NATIONALITY = [Rule("国籍[::\\s]*日本|日本(?:国)?籍|日本人", "japanese"), Rule("外国籍|国籍[::\\s]*(?!日本)[一-龠ァ-ヴ]{2,6}", "foreign")]
-EMPLOYMENT = [Rule("正社員|契約社員|プロパー|弊社社員", "employee"), Rule("個人事業主|フリーランス|個人", "freelance")]
+COUNTRIES = "中国|韓国|台湾|ベトナム|インド|ネパール|ミャンマー|フィリピン|タイ|モンゴル|ロシア|アメリカ|ブラジル|バングラデシュ|スリランカ|インドネシア|マレーシア"
+NATIONALITY = [
+    Rule("外国籍|外国人", "foreign"), Rule("国\\s*籍\\s*】?\\s*:?\\s*(?:日本|JP)", "japanese"), Rule("国\\s*籍\\s*】?\\s*:?\\s*[一-龠ァ-ヴA-Za-z]{2,}", "foreign"),
+    Rule(f"(?:{COUNTRIES})\\s*(?:籍|国籍|人|出身)", "foreign"), Rule("日本\\s*(?:国)?\\s*(?:籍|人)", "japanese"), Rule("(?m)^[^\\n]*(?:氏名|名前)[^\\n]*(?:" + COUNTRIES + ")", "foreign"), Rule("日本語\\s*(?:能力)?\\s*:?\\s*(?:N[1-5]|[1-5]級)|JLPT", "foreign"),
+]
+EMPLOYMENT = [
+    Rule("(?:所属|雇用形態|契約)[^\\n]{0,10}(?:個人\\s*事業\\s*主|フリーランス|個人)|(?:弊社\\s*)?(?:直\\s*)?個人\\s*(?:事業\\s*主)?\\s*(?:様|の方|です)", "freelance"),
+    Rule("(?:弊社|自社|当社|BP|貴社)?\\s*(?:所属)?\\s*(?:正社員|契約社員|プロパー|社員)", "employee"), Rule("個人\\s*事業\\s*主|フリーランス", "freelance"),
+]
+OWN_REMOTE = [Rule("(?:フル|完全)\\s*(?:リモ|在宅|テレワーク)|(?:リモート|在宅)\\s*(?:のみ|限定)|週\\s*[5五]\\s*日?\\s*(?:リモート|在宅)", "fullremote")]
+OWN_HYBRID = [Rule(f"{HOME}\\s*(?:希望|可|併用|相談|メイン|中心)|ハイブリッ[ドト]|(?:一部|基本)\\s*{HOME}|週\\s*[1-4一二三四]\\s*[日回]?\\s*(?:程度|まで)?\\s*の?\\s*(?:{HOME}|出社)", "hybrid")]
+DEPTH = [(2, "(?:2|二)\\s*(?:社\\s*(?:先|下)|次\\s*請)"), (1, "(?:1|一)\\s*(?:社\\s*(?:先|下)|次\\s*請)|BP|パートナー\\s*(?:会社|企業|様)|協力\\s*(?:会社|パートナー|先)|外部\\s*パートナー")]
 
 
 def remote(text: Column) -> Column:
-    return first_match(text, REMOTE)
+    """(value, source, raw, days): the days of a week, where they are named."""
+    days = lambda raw: digit(F.regexp_extract(raw, "週\\s*([1-9一二三四六七])\\s*[日回]?\\s*(?:程度|以上|くらい|ほど)?\\s*の?\\s*(?:リモート|在宅|テレワーク)", 1))
+    return let(first_match(text, [*ONSITE, *FULL, *HYBRID], "onsite"), lambda f: F.struct(*[f[k].alias(k) for k in ("value", "source", "raw")], days(f["raw"]).alias("days")))
+
+
+def own_remote(text: Column) -> Column:
+    """Full work from home anywhere in the windows wins over part of it; a text of up to 300 characters is one window."""
+    parts = F.when(F.length(text) <= 300, F.array(text)).otherwise(windows_of(text, "リモート|在宅|テレワーク|出社|勤務", 30, 120))
+    return let(F.array_join(parts, "\n"), lambda joined: first_match(joined, [*OWN_REMOTE, *OWN_HYBRID], "onsite"))
 
 
 def foreign_ok(text: Column) -> Column:
-    return first_match(text, FOREIGN, kind="boolean")
+    return first_match(text, FOREIGN, True, "boolean")
 
 
 def freelance_ok(text: Column) -> Column:
-    return first_match(text, FREELANCE, kind="boolean")
+    return first_match(text, FREELANCE, True, "boolean")
+
+
+def _level(text: Column) -> Column:
+    return F.coalesce(*[F.when(text.rlike(p), F.lit(n)) for n, p in LEVELS], F.lit(None).cast("int"))
 
 
 def flow_level(text: Column) -> Column:
-    return highest_level(text, "商流", LEVELS)
+    """The highest level of the lines with the label, else of the text without its line ends; 0 for none."""
+    marked = lambda t: F.filter(F.split(t, "\n", -1), lambda x: x.rlike("^\\s*(?:[■●・*-]\\s*)?商流(?:制限)?\\s*_*\\s*:"))
+    value = lambda x: F.coalesce(F.when(x.rlike(":\\s*(?:制限)?\\s*(?:なし|無し|不問|ございません)"), F.lit(0)), _level(x))
+    flat = lambda t: let(F.regexp_replace(t, "\\s+", " "), _level)
+    return F.coalesce(let(synonyms(text), lambda t: F.coalesce(F.array_max(F.transform(marked(t), value)), flat(t))), F.lit(0))
 
 
 def contract(text: Column) -> Column:
-    return first_match(lines_with(text, "契約|形態"), CONTRACT, "unknown")
+    """The first rule that any line matches, in the order of the rules; lines on licences are left out."""
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~x.rlike(NO_CONTRACT)), "\n")
+    return let(kept, lambda t: first_match(t, CONTRACT, "outsourcing"))
 
 
 def age_limit(text: Column) -> Column:
-    return first_match(windows(text, "年齢|歳|才|代", 5, 80), AGE_LIMIT, kind="int")
+    """From windows behind the words for age, else line by line."""
+    near = found_in(windows_of(text, "年\\s*齢(?:制限|目安|条件)?|年\\s*令|年\\s*代", 5, 80), [*AGE_LIMIT, *AGE_LABELLED, *AGE_UPTO], "int")
+    return F.coalesce(near, first_in(F.split(text, "\n", -1), [*AGE_LIMIT[1:], *AGE_UPTO], 100, "int"))
 
 
 def own_age(text: Column) -> Column:
-    found = first_match(windows(text, "年齢|氏名|名前|歳|才", 30, 60), OWN_AGE, kind="int")
-    return found.withField("value", F.when(found["value"].between(18, 75), found["value"]))
-
-
-def price(text: Column) -> Column:
-    found = first_match(lines_with(text, "単価|金額|予算|単金", 1), PRICE, kind="long")
-    return found.withField("value", F.when(found["value"].between(100_000, 5_000_000), found["value"]))
+    return first_in(windows_of(text, "年\\s*齢|年\\s*令|歳|才|氏\\s*名|名\\s*前", 30, 60), OWN_AGE, 1, "int")
 
 
 def nationality(text: Column) -> Column:
-    return first_match(text, NATIONALITY)
+    return first_match(text, NATIONALITY, "japanese")
 
 
 def employment(text: Column) -> Column:
-    return first_match(text, EMPLOYMENT)
+    return first_match(text, EMPLOYMENT, "employee")
+
+
+PERCENT = "(?:想定|希望)?稼働\\s*率?\\s*[】\\]]?\\s*_?\\s*:?\\s*"
+WEEK = "週\\s*([1-5一二三四五])"
+NOT_HOME = "(?!\\s*(?:リモート|在宅|テレワーク|出社))"
+
+
+def _work(low: Column, high: Column, ok: Column) -> Column:
+    return F.when(ok & low.between(1, 100) & high.between(1, 100), F.struct(F.least(low, high).alias("min"), F.greatest(low, high).alias("max"), F.lit("extracted").alias("source")))
+
+
+def _percent(text: Column) -> list[Column]:
+    n = lambda pattern, g: F.regexp_extract(text, pattern, g).try_cast("int")
+    spans = ["([0-9]{1,3})\\s*%?\\s*[〜~-]\\s*([0-9]{1,3})\\s*%"]
+    ones = ["([0-9]{1,3})\\s*%\\s*稼働", f"{PERCENT}([0-9]{{1,3}})\\s*%"]
+    return [_work(n(p, 1), n(p, 2), text.rlike(p)) for p in spans] + [_work(n(p, 1), n(p, 1), text.rlike(p)) for p in ones]
+
+
+def _full() -> Column:
+    return F.struct(F.lit(100).alias("min"), F.lit(100).alias("max"), F.lit("default").alias("source"))
 
 
 def workload(text: Column) -> Column:
-    """(min, max) in percent: a range, a single value, else full time."""
-    whole = "(?:稼働率?|工数)[::\\s]*"
-    low = F.regexp_extract(text, whole + "([0-9]{2,3})%?\\s*[~〜-]\\s*[0-9]{2,3}%", 1).try_cast("int")
-    high = F.regexp_extract(text, whole + "[0-9]{2,3}%?\\s*[~〜-]\\s*([0-9]{2,3})%", 1).try_cast("int")
-    one = F.regexp_extract(text, whole + "([0-9]{2,3})%", 1).try_cast("int")
-    full = F.when(text.rlike("フルタイム|フル稼働|週5"), F.lit(100))
-    return F.struct(F.coalesce(low, one, full).alias("min"), F.coalesce(high, one, full).alias("max"))
+    """(min, max, source) in percent of a demand; days of a week say nothing about it."""
+    full = text.rlike("精算(?:幅|条件)?\\s*:?\\s*[0-9]{2,3}\\s*[hH]?\\s*[〜~-]\\s*[0-9]{2,3}|[0-9]{2,3}\\s*[hH]\\s*(?:[〜~-]\\s*[0-9]{2,3}\\s*[hH]|/?\\s*月)|フル\\s*(?:タイム|稼働|コミット)|常\\s*勤|週\\s*5\\s*[日回]\\s*稼働|稼働\\s*率?\\s*:?\\s*週\\s*5")
+    return F.coalesce(*_percent(text), F.when(full, _full().withField("source", F.lit("extracted"))), _full())
+
+
+def own_workload(text: Column) -> Column:
+    """The same of a supply; a day of a week is 20 %, a side job 20 to 80 %."""
+    day = lambda pattern, g: digit(F.regexp_extract(text, pattern, g)) * 20
+    span, least, most, exact = f"{WEEK}\\s*日?\\s*[〜~]\\s*([1-5一二三四五])\\s*日{NOT_HOME}", f"{WEEK}\\s*日\\s*(?:以上|から|〜){NOT_HOME}", f"{WEEK}\\s*日\\s*(?:まで|以下|程度){NOT_HOME}", f"{WEEK}\\s*日(?!\\s*(?:リモート|在宅|テレワーク|出社|以上|から|まで|以下|程度|[〜~]))"
+    weeks = [_work(day(span, 1), day(span, 2), text.rlike(span)), _work(day(least, 1), F.lit(100), text.rlike(least)), _work(F.lit(20), day(most, 1), text.rlike(most)), _work(day(exact, 1), day(exact, 1), text.rlike(exact))]
+    side = _work(F.lit(20), F.lit(80), text.rlike("(?:副|複)\\s*業\\s*(?:可|OK|歓迎|不問|での?\\s*参加|希望|前提|案件|として)"))
+    full = text.rlike("フル\\s*(?:タイム|稼働|コミット)|常\\s*勤")
+    return F.coalesce(*_percent(text), *weeks, side, F.when(full, _full().withField("source", F.lit("extracted"))), _full())
 
 
 def vendor_flow(text: Column, sender: Column, own_domain: str) -> Column:
     """Tens: 1 for the own domain, 2 for others; ones: how many companies stand between."""
-    depth = F.when(text.rlike("2社下|二社下|2社先所属"), 2).when(text.rlike("1社下|一社下|1社先所属|BP"), 1).otherwise(0)
-    return F.when(F.endswith(F.lower(sender), F.lit("@" + own_domain.lower())), 10).otherwise(20) + depth
+    depth = reduce(lambda rest, level: F.when(text.rlike(level[1]), level[0]).otherwise(rest), reversed(DEPTH), F.lit(0))
+    return F.when(F.endswith(F.lower(sender), F.lit("@" + own_domain.lower())), 10).otherwise(20) + F.coalesce(depth, F.lit(0))

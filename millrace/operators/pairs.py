@@ -78,7 +78,7 @@ def location(demand: Column, supply: Column, remote: Column, anywhere: str = "fu
 
 
 #: Contracts that pass on the demand's side alone.
-CONTRACTS = ("quasi_delegation", "unknown")
+CONTRACTS = ("quasi_mandate", "outsourcing")
 
 
 def contract(kind: Column, passing: Sequence[str] = CONTRACTS) -> Column:
@@ -87,16 +87,32 @@ def contract(kind: Column, passing: Sequence[str] = CONTRACTS) -> Column:
 
 def product(demand: DataFrame, supply: DataFrame, condition: Column | None = None) -> DataFrame:
     """All pairs, those of ``condition`` only. A side of up to BROADCAST_ROWS rows is counted and
-    broadcast; of two larger ones the supply is taken in blocks of that size."""
+    broadcast. Of two larger ones the supply is dealt to blocks of about that size, each demand
+    visits every block, and both meet by the block's number and a salt of the demand: one join,
+    however many blocks there are. Columns of these two can't be maps. What it costs is the number of pairs, so ``grouped`` comes first
+    where a predicate looks at few values."""
     met = F.lit(True) if condition is None else condition
     if supply.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return demand.join(F.broadcast(supply), met, "inner")
     if demand.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return F.broadcast(demand).join(supply, met, "inner")
-    blocks = supply.count() // BROADCAST_ROWS * 2 + 2
-    dealt = supply.withColumn("_block", F.pmod(F.xxhash64(*supply.columns), F.lit(blocks)))
-    parts = [demand.join(F.broadcast(dealt.filter(F.col("_block") == i).drop("_block")), met, "inner") for i in range(blocks)]
-    return reduce(DataFrame.unionAll, parts)
+    blocks, salts = supply.count() // BROADCAST_ROWS + 1, demand.count() // BROADCAST_ROWS + 1
+    left, right = _dealt(demand, "_salt", salts, "_block", blocks), _dealt(supply, "_block", blocks, "_salt", salts)
+    both = left.join(right, ["_block", "_salt"])
+    return (both if condition is None else both.filter(condition)).drop("_block", "_salt")
+
+
+def _dealt(df: DataFrame, own: str, parts: int, every: str, others: int) -> DataFrame:
+    """Each row in one of ``parts`` and in all of ``others``. Equal rows are numbered, so that they are
+    spread, and a task that runs again deals the same."""
+    numbered = df.groupBy(*df.columns).agg(F.count("*").alias("_n")).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    part = F.pmod(F.xxhash64(*df.columns, "_copy"), F.lit(parts)).cast("int")
+    return numbered.select(*df.columns, part.alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(every))
+
+
+def grouped(df: DataFrame, count: str) -> DataFrame:
+    """Distinct rows with their number: a side of a product whose predicate looks at few values."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias(count))
 
 
 def cascade(df: DataFrame, stages: Sequence[tuple[str, Column]], audit: bool = False) -> DataFrame:
@@ -107,17 +123,23 @@ def cascade(df: DataFrame, stages: Sequence[tuple[str, Column]], audit: bool = F
 
 
 def sharing(demand: DataFrame, supply: DataFrame, left: tuple[str, Column], right: tuple[str, Column]) -> DataFrame:
-    """Distinct (left, right) ids with an item in common, by a join on the items rather than over all pairs."""
-    a = demand.select(F.col(left[0]).alias("left"), F.explode(F.array_distinct(left[1])).alias("item"))
-    b = supply.select(F.col(right[0]).alias("right"), F.explode(F.array_distinct(right[1])).alias("item"))
-    return a.join(b, "item").select("left", "right").distinct()
+    """Distinct (left, right) ids with an item in common, by a join on the items rather than over all
+    pairs. Ids with one set of items are joined as one first, so that few items or equal sets cost
+    pairs of sets; a pair of sets is found through each common item and kept for the least of them,
+    so nothing has to be made distinct after the join. An id has one set."""
+    sets = lambda df, side, to: df.select(F.col(side[0]).alias(to), F.array_sort(F.array_distinct(side[1])).alias("items")).filter(F.size("items") > 0).distinct()
+    a, b = sets(demand, left, "left"), sets(supply, right, "right")
+    own = lambda df, to: df.select(F.col("items").alias(to)).distinct().withColumn("item", F.explode(to))
+    met = own(a, "a").join(own(b, "b"), "item").filter(F.col("item") == F.array_min(F.array_intersect("a", "b"))).select("a", "b")
+    return met.join(a.withColumnRenamed("items", "a"), "a").join(b.withColumnRenamed("items", "b"), "b").select("left", "right")
 
 
 def keyword_hits(texts: DataFrame, key: str, text: str, keywords: Sequence[str]) -> DataFrame:
-    """Each text's keywords, found once, whatever the number of its pairs (substrings, any case)."""
-    words = F.array(*[F.lit(w) for w in sorted(set(keywords))])
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    return texts.select(key, F.filter(words, lambda w: F.contains(low, F.lower(w))).alias("hits"))
+    """Each text's keywords, found once, whatever the number of its pairs (substrings, any case). The
+    text is lower-cased once, in a column of its own; for some hundred keywords."""
+    low = texts.select(key, F.explode(F.array(F.lower(F.coalesce(F.col(text), F.lit(""))))).alias("_low"))
+    found = [F.when(F.contains("_low", F.lit(w.lower())), F.lit(w)) for w in sorted(set(keywords))]
+    return low.select(key, F.array_compact(F.array(*found)).alias("hits"))
 
 
 def containment(required: Column, strong: Column, sheet: Column, body: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import io
+import zipfile
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,3 +46,40 @@ def affiliation(vendor_flow: Column, employment: Column) -> Column:
     who = F.when(vendor_flow.between(10, 19), "own").when(vendor_flow >= 20, "partner")
     between = F.when(depth == 0, "").otherwise(F.concat(F.lit("+"), depth.cast("string")))
     return F.concat(who, between, F.coalesce(F.concat(F.lit("/"), employment), F.lit("")))
+
+
+def pair_id(run: Column, demand: Column, supply: Column) -> Column:
+    return F.concat_ws("_", run, demand, supply)
+
+
+def proposal(run: Column, fields: Mapping[str, Column], results: Column, most: int = 8) -> Column:
+    """A record of a pair: its id, fields, the skills that are met and those that are not, ``most`` of each at most."""
+    met = lambda flag: F.slice(F.transform(F.filter(results, lambda r: F.coalesce(r["match"], F.lit(False)) == flag), lambda r: r["skill"]), 1, most)
+    return F.struct(pair_id(run, fields["demand_id"], fields["supply_id"]).alias("proposal_id"), *[c.alias(k) for k, c in fields.items()], met(True).alias("met"), met(False).alias("open"))
+
+
+def pair_text(demand: Mapping[str, Column], supply: Mapping[str, Column], results: Column, total: Column) -> Column:
+    """A pair for people: both sides, each skill with its mark and note, and the score."""
+    lines = F.transform(results, lambda r: F.concat(F.when(r["match"], "○ ").otherwise("× "), r["skill"], F.lit(" - "), r["note"]))
+    skills = F.concat_ws("\n", F.lit("[skills]"), F.array_join(F.coalesce(lines, F.array().cast("array<string>")), "\n"))
+    return F.concat_ws("\n\n", block("demand", demand), block("supply", supply), skills, F.concat(F.lit("score: "), F.format_number(F.coalesce(total, F.lit(0.0)), 2)))
+
+
+def write_texts(df: DataFrame, path: str, by: str, name: Column, text: Column) -> None:
+    """A text for each row in a folder for each value of ``by``, one file a task, each text behind its name."""
+    rows = df.select(by, F.concat_ws("\n", F.concat(F.lit("# "), name), text, F.lit("")).alias("value"))
+    rows.write.mode("overwrite").partitionBy(by).text(path)
+
+
+def archive(texts: DataFrame, name: str, text: str, publish: Callable[[str, bytes], None], target: str, most: int = 100_000_000) -> int:
+    """A deflated zip of the texts (of few rows, such as the top bands: up to ``most`` characters, else
+    an error) handed to ``publish``; how many texts it has. It is a step of the driver, behind a job."""
+    size = texts.agg(F.sum(F.length(text))).first()[0] or 0
+    if size > most:
+        raise ValueError(f"{size} characters are too many for one archive")
+    rows, buffer = texts.select(name, text).sort(name).collect(), io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as file:
+        for row in rows:
+            file.writestr(f"{row[0]}.txt", row[1] or "")
+    publish(target, buffer.getvalue())
+    return len(rows)

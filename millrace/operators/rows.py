@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import wildcard
 
@@ -81,9 +83,32 @@ def same_count(df: DataFrame, other: DataFrame) -> DataFrame:
     return df
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "seq") -> DataFrame:
-    """Row numbers in each group, from 1."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+#: Rows of a group that are numbered in one task.
+GROUP_ROWS = 1_000_000
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "seq", lead: Column | None = None) -> DataFrame:
+    """Row numbers in each group, from 1. ``lead``: a number that rises with the first of ``order``.
+    With it, groups of more than GROUP_ROWS rows (of which there are few, and whose bounds alone come
+    to the driver) are cut into ranges of it; ranges are numbered each by itself, and the counts of
+    those before are added. Rows with one lead stay together."""
+    large = [] if lead is None else df.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx(lead, [i / 100 for i in range(1, 100)], 1000).alias("_bounds")).filter(F.col("_n") > GROUP_ROWS).drop("_n")
+    large = large.collect() if lead is not None else []
+    if not large:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    keys = [f"_{c}" for c in by]
+    schema = T.StructType([T.StructField(k, df.schema[c].dataType) for k, c in zip(keys, by, strict=True)] + [T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
+    bounds = df.sparkSession.createDataFrame([(*r[:-1], [float(x) for x in sorted(set(r[-1]))]) for r in large], schema)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys, strict=True)], F.lit(True))
+    dealt = df.withColumn("_lead", lead.cast("double")).join(F.broadcast(bounds), same, "left")
+    part = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("_lead"))), F.lit(0))
+    dealt = dealt.withColumn("_part", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(part)).drop("_bounds", "_lead", *keys)
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*by, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    counts = counts.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("_part").alias("_of"), "_before")
+    local = dealt.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order)))
+    joined = local.join(counts, same & (F.col("_part") == F.col("_of")))
+    return joined.select(*df.columns, (F.col("_before") + F.col("_at")).alias(name))
 
 
 def route(df: DataFrame, label: str, known: Sequence[str], other: str) -> dict[str, DataFrame]:
@@ -97,3 +122,29 @@ def with_empty(counts: DataFrame, label: str, known: Sequence[str]) -> DataFrame
     all_labels = counts.sparkSession.createDataFrame([(k,) for k in known], f"{label} string")
     joined = all_labels.join(counts, label, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
     return joined.withColumn("status", F.when(F.col("n") == 0, "no_match").otherwise("ok"))
+
+
+def without_status(df: DataFrame, status: str = "no_match", column: str = "status") -> DataFrame:
+    """Without the rows that only stand for an empty part; a null status is a row like any other."""
+    return df.filter(~F.col(column).eqNullSafe(F.lit(status)))
+
+
+def required(spark: SparkSession, *paths: str) -> None:
+    """An error that names the inputs that can't be read, before anything starts."""
+    missing = []
+    for path in paths:
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).count()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(path)
+    if missing:
+        raise FileNotFoundError(f"missing inputs: {', '.join(missing)}")
+
+
+def enabled(df: DataFrame, flag: bool, step: Callable[[DataFrame], DataFrame], empty: Mapping[str, str] | None = None) -> DataFrame:
+    """``step(df)`` if the flag is on; else ``df`` with the columns of ``empty`` (name: type) as nulls."""
+    if flag:
+        return step(df)
+    return df.withColumns({name: F.lit(None).cast(kind) for name, kind in (empty or {}).items()})

@@ -75,3 +75,20 @@ def classify(scores: Mapping[str, Column], margin: float = 0.5, strong_margin: f
 
     label = F.when(x + y <= 0, "unknown").when(leads(a, x, y), a).when(leads(b, y, x), b).otherwise("ambiguous")
     return F.struct(label.alias("label"), sure.alias("confidence"))
+
+
+def total(required: Column, optional: Column) -> Column:
+    """The sum of both rates (0 to 2); a missing one counts as 0."""
+    return F.coalesce(required, F.lit(0.0)) + F.coalesce(optional, F.lit(0.0))
+
+
+def frequencies(df: DataFrame, items: str) -> DataFrame:
+    """How many rows have each item of an array, as item and n; an item counts once a row."""
+    return df.select(F.explode(F.array_distinct(items)).alias("item")).groupBy("item").agg(F.count("*").alias("n"))
+
+
+def averages(df: DataFrame, values: Mapping[str, Column], success: Column, least: float = 0.9) -> DataFrame:
+    """One row: the mean of each value, the share of rows with ``success``, and whether it is below ``least``."""
+    means = [F.avg(v).alias(k) for k, v in values.items()]
+    share = F.avg(F.coalesce(success, F.lit(False)).cast("int"))
+    return df.agg(*means, share.alias("success_rate"), (share < least).alias("warn"))

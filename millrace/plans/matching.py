@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import dedupe_key, join_cjk, mail_address, nfkc
-from ..operators import annotate, fields, judge, packs, pairs, rows, scores
+from ..operators import annotate, classify, fields, judge, packs, pairs, places, rows, scores
 
 
 @dataclass(frozen=True)
@@ -18,8 +18,7 @@ class Config:
     phases: Mapping[str, Sequence[str]]
     regions: Mapping[str, Sequence[str]]
     excluded: Sequence[tuple[str, str | None]] = ()
-    demand_words: Mapping[str, float] = field(default_factory=lambda: {"案件": 1.0, "募集": 0.5, "必須": 1.0})
-    supply_words: Mapping[str, float] = field(default_factory=lambda: {"氏名": 1.0, "要員": 1.0, "所属": 0.5, "稼働": 0.5})
+    words: classify.Words = field(default_factory=classify.Words)
     own_domain: str = "own.example"
     margin: int = 120_000
     unwanted_skills: Sequence[str] = ()
@@ -35,8 +34,7 @@ def cleaned(mails: DataFrame, config: Config) -> DataFrame:
 
 
 def typed(mails: DataFrame, config: Config) -> DataFrame:
-    points = {"resource": scores.keyword_score(F.col("body"), config.supply_words), "project": scores.keyword_score(F.col("body"), config.demand_words)}
-    return mails.withColumn("mail_type", scores.classify(points)["label"])
+    return mails.withColumn("mail_type", classify.mail_type(F.col("subject"), F.col("body"), config.words)["label"])
 
 
 def demands(mails: DataFrame, config: Config) -> DataFrame:
@@ -45,11 +43,11 @@ def demands(mails: DataFrame, config: Config) -> DataFrame:
     df = annotate.sectioned(annotate.annotated(mails, config.skills, text="body"), text="body")
     needed = F.array_join("required_skills", "\n")
     return df.select(
-        F.col("message_id").alias("demand_id"), F.col("sender").alias("demand_from"), F.col("subject").alias("demand_subject"), "required_skills",
-        packs.price(body)["value"].alias("p_price"), packs.age_limit(body)["value"].alias("p_age"), packs.remote(body)["value"].alias("p_remote"),
+        F.col("message_id").alias("demand_id"), F.col("sender").alias("demand_from"), F.col("subject").alias("demand_subject"), "required_skills", "optional_skills",
+        packs.project_price(body, F.col("subject"))["value"].alias("p_price"), packs.age_limit(body)["value"].alias("p_age"), packs.remote(body)["value"].alias("p_remote"),
         packs.foreign_ok(body)["value"].alias("p_foreign"), packs.freelance_ok(body)["value"].alias("p_freelance"), packs.workload(body).alias("p_work"),
         packs.flow_level(body).alias("p_level"), F.col("terms").alias("p_skills"), annotate.primary(F.col("terms"), needed).alias("p_primary"),
-        annotate.first_of_groups(body, config.phases).alias("p_phases"), F.get(annotate.first_of_groups(body, config.regions), F.lit(0)).alias("p_region"),
+        annotate.first_of_groups(body, config.phases).alias("p_phases"), places.work_region(body, config.regions).alias("p_region"),
         packs.contract(body)["value"].alias("p_contract"),
     )
 
@@ -60,10 +58,10 @@ def supplies(mails: DataFrame, config: Config) -> DataFrame:
     df = annotate.annotated(mails, config.skills, text="body")
     return df.select(
         F.col("message_id").alias("supply_id"), F.col("sender").alias("supply_from"), F.col("subject").alias("supply_subject"), F.col("body").alias("skillsheet"),
-        packs.price(body)["value"].alias("r_price"), packs.own_age(body)["value"].alias("r_age"), packs.remote(body)["value"].alias("r_remote"),
-        packs.nationality(body)["value"].alias("r_nationality"), packs.employment(body)["value"].alias("r_employment"), packs.workload(body).alias("r_work"),
+        packs.resource_price(body, F.col("subject"))["value"].alias("r_price"), packs.own_age(body)["value"].alias("r_age"), packs.own_remote(body)["value"].alias("r_remote"),
+        packs.nationality(body)["value"].alias("r_nationality"), packs.employment(body)["value"].alias("r_employment"), packs.own_workload(body).alias("r_work"),
         packs.vendor_flow(body, F.col("sender"), config.own_domain).alias("r_flow"), F.col("terms").alias("r_skills"),
-        annotate.first_of_groups(body, config.phases).alias("r_phases"), F.get(annotate.first_of_groups(body, config.regions), F.lit(0)).alias("r_region"),
+        annotate.first_of_groups(body, config.phases).alias("r_phases"), F.nullif(places.home_region(body, config.regions), F.lit("unknown")).alias("r_region"),
         fields.station(body).alias("r_station"),
     )
 
@@ -98,11 +96,15 @@ def matched(demand: DataFrame, supply: DataFrame, config: Config, audit: bool =
 
 
 def ranked(found: DataFrame, supply: DataFrame, call: judge.Judge = judge.keyword_judge) -> DataFrame:
-    """Judged pairs with their rate, band and number in the band; rows that can't be judged have an error and the rate 0."""
+    """Judged pairs with the rates of their required and optional skills, their sum, the band of the
+    first and the number in the band, by the sum and then the first; rows that can't be judged have an error and the rate 0."""
     asked = found.join(supply.select("supply_id", "skillsheet"), "supply_id")
-    results = judge.judged(asked, call).drop("skillsheet").withColumn("rate", scores.match_rate(F.col("results")))
-    banded = results.withColumn("band", scores.band(F.col("rate")))
-    return rows.numbered(banded, ["band"], [F.desc("rate"), F.col("demand_id"), F.col("supply_id")])
+    results = judge.judged(asked, call)
+    optional = judge.judged(results.select(*results.columns).withColumnsRenamed({"results": "_r", "error": "_e", "cause": "_c"}), call, skills="optional_skills")
+    results = optional.withColumn("optional_rate", scores.match_rate(F.col("results"))).drop("results", "error", "cause").withColumnsRenamed({"_r": "results", "_e": "error", "_c": "cause"})
+    results = results.drop("skillsheet").withColumn("rate", scores.match_rate(F.col("results")))
+    banded = results.withColumns({"total": scores.total(F.col("rate"), F.col("optional_rate")), "band": scores.band(F.col("rate"))})
+    return rows.numbered(banded, ["band"], [F.desc("total"), F.desc("rate"), F.col("demand_id"), F.col("supply_id")], lead=-F.col("total"))
 
 
 def match(mails: DataFrame, config: Config) -> DataFrame:

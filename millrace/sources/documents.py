@@ -94,8 +94,9 @@ def first_success(candidates: DataFrame, key: str, priority: str, text: str = "t
 
 
 class MailSource(DataSource):
-    """Mails of a paginated API; options: pages (of a fixture, JSON lines of id lists), path. The
-    default client reads a folder of JSON files; a subclass may give another ``client``."""
+    """Mails of a paginated API; options: path (of the default client's folder: pages.jsonl has id lists
+    as JSON lines, and each mail is a JSON file), max (no more than so many mails, the first ones; all
+    without it). A subclass may give another ``client``."""
 
     @classmethod
     def name(cls) -> str:
@@ -122,17 +123,18 @@ class MailSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         pages, fetch = self.client()
-        most = int(self.options.get("max", 3000))
+        most = int(self.options["max"]) if "max" in self.options else None
         return _MailReader(pages, fetch, most)
 
 
 class _MailReader(DataSourceReader):
-    def __init__(self, pages, fetch, most: int):
+    def __init__(self, pages, fetch, most: int | None):
         self.pages, self.fetch, self.most = pages, fetch, most
 
     def partitions(self) -> list[InputPartition]:
-        left, out = self.most, []
-        for page in self.pages():
+        pages, out = self.pages(), []
+        left = sum(map(len, pages)) if self.most is None else self.most
+        for page in pages:
             if left > 0:
                 out.append(InputPartition(page[:left]))
                 left -= len(page)
