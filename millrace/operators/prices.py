@@ -102,7 +102,7 @@ def segments(text: Column) -> Column:
     def found(lines: Column) -> Column:
         return F.array_distinct(F.filter(F.transform(lines, lambda line, i: one(lines, line, i)), lambda x: x.isNotNull()))
 
-    own = let(F.transform(F.split(text, "\n", -1), F.trim), found)
+    own = let(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), found)
     return let(own, lambda x: F.when(F.size(x) > 0, x).when(F.length(text) <= 200, F.array(text)).otherwise(F.array().cast("array<string>")))
 
 

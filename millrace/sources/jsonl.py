@@ -45,7 +45,7 @@ def headers(found: Column) -> Column:
 def envelope(found: Column) -> Column:
     """(subject, from, to, cc, reply_to, date) of headers: empty without one, to and cc as lists of trimmed addresses."""
     get = lambda name: F.coalesce(F.try_element_at(headers(found), F.lit(name)), F.lit(""))
-    many = lambda name: F.filter(F.transform(F.split(get(name), ","), F.trim), lambda x: x != "")
+    many = lambda name: F.filter(F.transform(F.split(get(name), ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.struct(get("subject").alias("subject"), get("from").alias("from"), many("to").alias("to"), many("cc").alias("cc"), get("reply-to").alias("reply_to"), get("date").alias("date"))
 
 
