@@ -112,9 +112,10 @@ def bigrams(found: Column) -> Column:
 def anchors(texts: list[str | None], threshold: float) -> set[str] | None:
     """Words of which every unit that reaches ``threshold`` with one of ``texts`` has one: the bigrams
     with one of them are more than such a unit can lack. ASCII words only, as these look the same
-    after any lower-casing; those of six letters and more in many bigrams come first. None: a text
-    can't be covered in this way."""
+    after any lower-casing; those of six letters and more in many bigrams come first, and of these (and of
+    shorter ones) those that are rarer as a part of the texts' words. None: a text can't be covered in this way."""
     chosen: set[str] = set()
+    everything = " ".join(text or "" for text in texts).lower()
     for text in texts:
         found = re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").translate(str.maketrans(UPPER, LOWER)))
         pairs = set(zip(found, found[1:]))
@@ -123,7 +124,7 @@ def anchors(texts: list[str | None], threshold: float) -> set[str] | None:
         lacking = len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9)
         covered = {p for p in pairs if chosen & set(p)}
         of = {w: {p for p in pairs if w in p} for w in set(found) if w.isascii()}
-        for word in sorted(of, key=lambda w: (len(w) < 6, -len(of[w]), -len(w), w)):
+        for word in sorted(of, key=lambda w: (len(w) < 6, -len(of[w]), everything.count(w), -len(w), w)):
             if len(covered) > lacking:
                 break
             if of[word] - covered:
