@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: A fetcher gives (status, content type, location, bytes) of a URL, without following redirects.
 Fetch = Callable[[str], tuple[int, str, str | None, bytes]]
-META = re.compile(rb"<meta[^>]+http-equiv=[\"']?refresh[^>]+url=([^\"'>\\s]+)", re.IGNORECASE)
-SCRIPT = re.compile(rb"(?:window\\.|document\\.)?location(?:\\.href)?\\s*=\\s*[\"']([^\"']+)[\"']")
+META = re.compile(rb"<meta[^>]+http-equiv=[\"']?refresh[^>]+url=([^\"'>\s]+)", re.IGNORECASE)
+SCRIPT = re.compile(rb"(?:window\.|document\.)?location(?:\.href)?\s*=\s*[\"']([^\"']+)[\"']")
 
 
 def direct(url: str) -> str:
