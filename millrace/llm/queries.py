@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, decontamination, jaccard_join, licenses, quality, repeats, segmentations, sharding, surrogates, token_counts
+from . import archives, chat, collocations, decontamination, jaccard_join, licenses, quality, repeats, segmentations, sharding, surrogates, token_counts, vector_codes
 from .shared import scratch, table
 
 
@@ -84,11 +84,35 @@ def op10_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_count_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_relational_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With one conversation more, whose texts have marks of this and of another template."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    out = chat.format(turns.union(more))
+    told = out.select("conv_id", "formatted", chat.parsed(F.col("formatted")).alias("turns"), chat.learnt(F.col("formatted"), F.col("loss")).alias("learnt"))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return told.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op13_elkan_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    return vector_codes.label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_arc_to_warc, op2_vector_bin_packing, op3_digest_cache, op4_line_frequency, op5_suffix_automaton,
         op6_license_scan, op7_signature_trees, op8_surrogates, op9_suffix_array, op10_gumbel_segmentations,
+        op11_count_tries, op12_relational_formatting, op13_elkan_codes,
     )
 }
 SQL: dict[str, str] = {
@@ -97,4 +121,7 @@ SQL: dict[str, str] = {
     "op5_suffix_automaton": decontamination.SQL,
     "op6_license_scan": licenses.SQL,
     "op7_signature_trees": jaccard_join.SQL,
+    "op11_count_tries": collocations.SQL,
+    "op12_relational_formatting": chat.SQL,
+    "op13_elkan_codes": vector_codes.SQL,
 }
