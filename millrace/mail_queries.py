@@ -5,8 +5,6 @@ into it. The SQL doesn't read the text: it says what each form should give, from
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +14,7 @@ from .functions import numbers, text
 from .operators import annotate, classify, fields, history, judge, packs, pairs, places, render, rows, scores
 from .queries import query, t
 from .sources import jsonl
+from .storage import scratch
 
 c = F.col
 N = "c_custkey"
@@ -182,17 +181,9 @@ def squeezed(spark, d):
 # rows -----------------------------------------------------------------------------------------------
 
 
-def _scratch(spark, label: str) -> str:
-    """A new folder below the shared one; a local one only where that is unset and the master is local."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{root or tempfile.mkdtemp(prefix='millrace-')}/{label}-{uuid.uuid4().hex}"
-
-
 @query("SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
 def jsonl_files(spark, d):
-    path = _scratch(spark, "lines")
+    path = scratch(spark, "lines")
     jsonl.write_jsonl(t(spark, d, "customer").select(N, "c_name", F.when(c("c_acctbal") >= 0, c("c_acctbal")).alias("balance")), path)
     jsonl.write_jsonl(t(spark, d, "supplier").select(c("s_suppkey").alias(N), c("s_name").alias("c_name"), F.lit(None).cast("double").alias("balance")), path, "append")
     return jsonl.read_jsonl(spark, path, f"{N} bigint, c_name string, balance double").drop("_ord")
@@ -229,15 +220,41 @@ def without_sentinels(spark, d):
     return rows.enabled(rows.without_status(marked), True, lambda x: x.select("r_name", "r_regionkey"))
 
 
-@query("SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS seq FROM customer")
+LED = f"CASE WHEN {N} % 10 = 0 THEN NULL WHEN {N} % 10 = 1 THEN c_acctbal ELSE 0 END"
+
+
+@query(f"SELECT {N}, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY {LED} DESC NULLS LAST, c_name DESC) AS seq FROM customer")
 def sequence_in_ranges(spark, d):
-    """With groups of more than 50 rows cut into ranges."""
-    kept, rows.GROUP_ROWS = rows.GROUP_ROWS, 50
-    try:
-        out = rows.numbered(t(spark, d, "customer").select(N, "c_mktsegment", "c_acctbal"), ["c_mktsegment"], [F.desc("c_acctbal"), c(N)], lead=-c("c_acctbal"))
-    finally:
-        rows.GROUP_ROWS = kept
-    return out.select(N, "c_mktsegment", c("seq").cast("long").alias("seq"))
+    """With groups of more than 50 rows cut into ranges; of ten rows one has no lead and eight the same."""
+    led = t(spark, d, "customer").select(N, "c_mktsegment", "c_name", F.expr(LED).alias("lead"))
+    return rows.numbered(led, ["c_mktsegment"], [F.desc_nulls_last("lead"), F.desc("c_name")], group_rows=50).select(N, "c_mktsegment", "seq")
+
+
+@query(f"SELECT {N}, row_number() OVER (ORDER BY {LED} NULLS FIRST, c_name) AS seq FROM customer")
+def one_sequence_in_ranges(spark, d):
+    led = t(spark, d, "customer").select(N, "c_name", F.expr(LED).alias("lead"))
+    return rows.numbered(led, [], [F.asc_nulls_first("lead"), c("c_name")], group_rows=100).select(N, "seq")
+
+
+@query("SELECT user_id, event_type, arg_min(event_id, ts::VARCHAR || event_id::VARCHAR) AS event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('hour', ts) DESC) AS r, rank() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('hour', ts) DESC) AS k FROM events) WHERE k = 1 GROUP BY user_id, event_type")
+def latest_by_string_tie(spark, d):
+    """Of the events of a key's last hour the one with the least text."""
+    events = t(spark, d, "events").select("user_id", "event_type", "event_id", F.date_trunc("hour", "ts").alias("hour"), F.concat(F.col("ts").cast("string"), F.col("event_id").cast("string")).alias("tie"))
+    return rows.keep_latest(events, ["user_id", "event_type"], "hour", "tie").select("user_id", "event_type", "event_id")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'b3' ELSE 'a3' END AS last, 9::BIGINT - 6 * (c_custkey % 2) AS n FROM customer")
+def last_of_files(spark, d):
+    """Three versions of each row in the order of lines of one file, and for half of them three more in a later,
+    larger file: the last line of the last file counts, although a scan takes the larger file first."""
+    path, customers = scratch(spark, "versions"), t(spark, d, "customer")
+    version = F.explode(F.sequence(F.lit(1), F.lit(3))).alias("v")
+    first = customers.select(N, version).select(N, F.concat(F.lit("a"), "v").alias("last"), F.col("v").alias("n"), F.lit("").alias("pad"))
+    second = customers.filter(c(N) % 2 == 0).select(N, version).select(N, F.concat(F.lit("b"), "v").alias("last"), (c("v") + 6).alias("n"), F.repeat(F.lit("x"), F.lit(300)).alias("pad"))
+    for name, part in (("a", first), ("b", second)):
+        jsonl.write_jsonl(part.coalesce(1).sortWithinPartitions("n", N), f"{path}/{name}")
+    both = jsonl.read_jsonl(spark, [f"{path}/b", f"{path}/a"], f"{N} bigint, last string, n bigint, pad string")
+    return rows.keep_last(both, [N], "_ord").select(N, "last", "n")
 
 
 # scores, history, judges --------------------------------------------------------------------------
@@ -251,7 +268,7 @@ def total_score_sort(spark, d):
     found = t(spark, d, "lineitem").groupBy("l_orderkey").agg(flags(c("l_returnflag") == "R").alias("a"), flags(c("l_linestatus") == "O").alias("b"))
     rated = found.select("l_orderkey", scores.match_rate(c("a")).alias("rate"), scores.match_rate(c("b")).alias("other"))
     rated = rated.withColumns({"total": scores.total(c("rate"), c("other")), "all": F.lit(1)})
-    ranked = rows.numbered(rated, ["all"], [F.desc("total"), F.desc("rate"), c("l_orderkey")], lead=-c("total"))
+    ranked = rows.numbered(rated, ["all"], [F.desc("total"), F.desc("rate"), c("l_orderkey")])
     return ranked.select("l_orderkey", F.round("total", 6).alias("total"), c("seq").cast("long").alias("seq"))
 
 
@@ -277,7 +294,7 @@ def recheck_restriction(spark, d):
 def run_state_snapshots(spark, d):
     """Two runs through RunState; the second's cache has what the first knew, and what is new."""
     keys = ["o_custkey", "o_orderpriority"]
-    state = history.RunState(spark, _scratch(spark, "runs"))
+    state = history.RunState(spark, scratch(spark, "runs"))
     none = spark.createDataFrame([], "error string")
     dated = t(spark, d, "orders").select(*keys, F.when(c("o_orderdate") >= F.lit("1998-01-01"), 1).otherwise(0).cast("long").alias("run"))
     first, second = (dated.filter(c("run") == i).distinct() for i in (0, 1))

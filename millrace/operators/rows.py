@@ -6,23 +6,31 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import wildcard
+from ..storage import written
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: str, tie: str) -> DataFrame:
-    """One row per key: the greatest ``order``, of equal ones the smallest ``tie``. Null keys are a
-    key; a null ``order`` loses. Aggregated before the shuffle, so a hot key costs nothing."""
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(F.col(order), (-F.col(tie)).alias("_tie"))).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(df.columns)
+    """One row per key: the greatest ``order``, of equal ones the smallest ``tie``, of any type that has an order. Null
+    keys are a key; a null ``order`` loses, and so does a null ``tie``. Aggregated before the shuffle, so a hot
+    key costs nothing; a ``tie`` that isn't a whole number takes two aggregations, by key and order first."""
+    rest = [F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    whole = isinstance(df.schema[tie].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if whole:  # ~x falls as x rises, and has no overflow
+        best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(F.col(order), F.bitwise_not(F.col(tie)))).alias("_row"))
+    else:
+        first = df.groupBy(*keys, F.col(order).alias("_order")).agg(F.min_by(F.struct(*rest), F.struct(F.col(tie).isNull(), F.col(tie))).alias("_row"))
+        best = first.groupBy(*keys).agg(F.max_by("_row", F.struct("_order")).alias("_row"))
+    return best.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key, the last in the file's order; a null key is an error."""
+    """One row per key, the one with the greatest ``order``: the last in the order of files and lines, if that is the
+    ordinal of ``jsonl.file_order``. A null key is an error."""
     checked = df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).select(F.raise_error(F.lit("null key")))
     if not checked.isEmpty():
         raise ValueError("null key")
@@ -75,9 +83,36 @@ def lookup_or_error(df: DataFrame, dimension: DataFrame, key: str, code: str) ->
     return df.join(dimension, key), df.join(dimension.select(key), key, "left_anti").withColumn("error", F.lit(code))
 
 
+class Tally:
+    """Counts of rows, and of those that meet a condition, taken while frames are written: no scan of their own.
+
+    ``watch`` the frames, write what comes of them, then read ``counts`` or ask for ``same``. A frame that is
+    computed twice counts as often, so each is watched where it is written."""
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str, **conditions: Column) -> DataFrame:
+        self._seen[name] = seen = Observation()
+        counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()]
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def counts(self, name: str) -> dict[str, int]:
+        """rows and a count for each condition; waits for the first write of the frame."""
+        return dict(self._seen[name].get)
+
+    def same(self, *names: str) -> int:
+        """How many rows each of the frames had; an error if they had not the same number."""
+        found = {n: self.counts(n)["rows"] for n in names}
+        if len(set(found.values())) > 1:
+            raise ValueError("numbers of rows differ: " + ", ".join(f"{n} {k}" for n, k in found.items()))
+        return next(iter(found.values()))
+
+
 def same_count(df: DataFrame, other: DataFrame) -> DataFrame:
-    """``df``, if it has as many rows as ``other``."""
-    a, b = df.count(), other.count()
+    """``df``, if it has as many rows as ``other``. Both are counted at once; where they are written anyway, ``Tally`` costs no scan."""
+    rows = df.select(F.lit(1).alias("a"), F.lit(0).alias("b")).union(other.select(F.lit(0), F.lit(1)))
+    a, b = rows.agg(F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
     if a != b:
         raise ValueError(f"{a} rows, not {b}")
     return df
@@ -87,28 +122,39 @@ def same_count(df: DataFrame, other: DataFrame) -> DataFrame:
 GROUP_ROWS = 1_000_000
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "seq", lead: Column | None = None) -> DataFrame:
-    """Row numbers in each group, from 1. ``lead``: a number that rises with the first of ``order``.
-    With it, groups of more than GROUP_ROWS rows (of which there are few, and whose bounds alone come
-    to the driver) are cut into ranges of it; ranges are numbered each by itself, and the counts of
-    those before are added. Rows with one lead stay together."""
-    large = [] if lead is None else df.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx(lead, [i / 100 for i in range(1, 100)], 1000).alias("_bounds")).filter(F.col("_n") > GROUP_ROWS).drop("_n")
-    large = large.collect() if lead is not None else []
-    if not large:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    keys = [f"_{c}" for c in by]
-    schema = T.StructType([T.StructField(k, df.schema[c].dataType) for k, c in zip(keys, by, strict=True)] + [T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
-    bounds = df.sparkSession.createDataFrame([(*r[:-1], [float(x) for x in sorted(set(r[-1]))]) for r in large], schema)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys, strict=True)], F.lit(True))
-    dealt = df.withColumn("_lead", lead.cast("double")).join(F.broadcast(bounds), same, "left")
-    part = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("_lead"))), F.lit(0))
-    dealt = dealt.withColumn("_part", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(part)).drop("_bounds", "_lead", *keys)
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy(*by, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    counts = counts.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("_part").alias("_of"), "_before")
-    local = dealt.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order)))
-    joined = local.join(counts, same & (F.col("_part") == F.col("_of")))
-    return joined.select(*df.columns, (F.col("_before") + F.col("_at")).alias(name))
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "seq", group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Row numbers in each group, from 1, by ``order`` and, of equal ones, by a hash of the row, so that the
+    numbers are the same in any run and on any path. ``order`` may hold anything that can be sorted; nulls go where
+    its columns say.
+
+    If no group has more than ``group_rows`` rows, they come from a window. Else all rows are dealt in ranges
+    of group, order and hash, of about ``group_rows`` rows each, and sorted there: a row's number is its place,
+    plus the rows of the ranges before, less those before its group. Only rows equal in all columns can't be told
+    apart, and stay in one range; the counts of ranges come to one task."""
+    hashed = [F.col(f"`{c}`") for c in df.columns if _hashable(df.schema[c].dataType)]
+    total = [*order, F.xxhash64(*hashed)] if hashed else [*order]
+    sizes = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    if (sizes["most"] or 0) <= group_rows:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*total)).cast("long"))
+    keys = [F.col(c).asc_nulls_first() for c in by]
+    dealt = df.repartitionByRange(max(2, sizes["all"] // group_rows + 1), *keys, *total).sortWithinPartitions(*keys, *total)
+    placed = written(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered")  # the number of the range, and the place in it
+    placed = placed.withColumns({"_range": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = placed.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
+    placed = placed.join(F.broadcast(ranges), "_range").withColumn("_at", F.col("_at") + F.col("_before"))  # a row for each range
+    if not by:
+        return placed.select(*df.columns, (F.col("_at") + 1).alias(name))
+    own = [f"_by{i}" for i in range(len(by))]
+    starts = placed.groupBy(*[F.col(c).alias(k) for c, k in zip(by, own, strict=True)]).agg(F.min("_at").alias("_start"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, own, strict=True)])
+    return placed.join(starts, same).select(*df.columns, (F.col("_at") - F.col("_start") + 1).alias(name))
 
 
 def route(df: DataFrame, label: str, known: Sequence[str], other: str) -> dict[str, DataFrame]:

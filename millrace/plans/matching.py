@@ -26,9 +26,9 @@ class Config:
 
 
 def cleaned(mails: DataFrame, config: Config) -> DataFrame:
-    """The newest mail of each sender and subject, without excluded ones, its body in NFKC."""
-    keyed = mails.withColumns({"_from": mail_address(F.col("from")), "_subject": dedupe_key(nfkc(F.col("subject")))}).withColumn("_ord", F.monotonically_increasing_id())
-    kept = rows.keep_latest(keyed, ["_from", "_subject"], "date", "_ord")
+    """The newest mail of each sender and subject (of equally new ones that with the smallest id), without excluded ones, its body in NFKC."""
+    keyed = mails.withColumns({"_from": mail_address(F.col("from")), "_subject": dedupe_key(nfkc(F.col("subject")))})
+    kept = rows.keep_latest(keyed, ["_from", "_subject"], "date", "message_id")
     kept = rows.split(kept, ~rows.excluded(F.col("_from"), F.col("_subject"), config.excluded))[0]
     return kept.select("message_id", "subject", F.col("_from").alias("sender"), "reply_to", join_cjk(nfkc(F.coalesce("body_text", F.lit("")))).alias("body"))
 
@@ -104,7 +104,7 @@ def ranked(found: DataFrame, supply: DataFrame, call: judge.Judge = judge.keywor
     results = optional.withColumn("optional_rate", scores.match_rate(F.col("results"))).drop("results", "error", "cause").withColumnsRenamed({"_r": "results", "_e": "error", "_c": "cause"})
     results = results.drop("skillsheet").withColumn("rate", scores.match_rate(F.col("results")))
     banded = results.withColumns({"total": scores.total(F.col("rate"), F.col("optional_rate")), "band": scores.band(F.col("rate"))})
-    return rows.numbered(banded, ["band"], [F.desc("total"), F.desc("rate"), F.col("demand_id"), F.col("supply_id")], lead=-F.col("total"))
+    return rows.numbered(banded, ["band"], [F.desc("total"), F.desc("rate"), F.col("demand_id"), F.col("supply_id")])
 
 
 def match(mails: DataFrame, config: Config) -> DataFrame:

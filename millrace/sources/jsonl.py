@@ -8,13 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
-    """One row per line, with _ord (a number that grows in file order). A broken line is an error;
-    not ``strict``, it is a row with its text in _corrupt and its file in _file."""
+def file_order() -> Column:
+    """The place of a row in its source: the file's path, the place of its part in the file, and the number of
+    the line in that. It compares as a struct, and is right however a scan deals files and their parts to
+    tasks. Taken at the scan itself, before any shuffle."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("line")
+    )
+
+
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, strict: bool = True) -> DataFrame:
+    """One row per line, with _ord (``file_order``). A broken line is an error; not ``strict``, it is a row
+    with its text in _corrupt and its file in _file."""
     if strict:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path).withColumn("_ord", F.monotonically_increasing_id())
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path).withColumn("_ord", file_order())
     read = spark.read.schema(f"{schema}, _corrupt STRING").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return read.withColumns({"_file": F.col("_metadata.file_path"), "_ord": F.monotonically_increasing_id()})
+    return read.withColumns({"_file": F.col("_metadata.file_path"), "_ord": file_order()})
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", by: Sequence[str] = ()) -> None:
