@@ -10,7 +10,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bounds of a side that is broadcast, in rows and in bytes of its rows as JSON.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
+#: Blocks of a supply in a range join: what a zone map has entries for.
+BLOCKS = 128
 
 
 def _either_null(*values: Column) -> Column:
@@ -85,16 +89,23 @@ def contract(kind: Column, passing: Sequence[str] = CONTRACTS) -> Column:
     return F.coalesce(kind.isin(*passing), F.lit(False))
 
 
+def small(df: DataFrame) -> bool:
+    """Whether ``df`` is within the bounds of a broadcast, by its first rows up to the bound."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    found = df.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("n"), size.alias("size")).first()
+    return found["n"] <= BROADCAST_ROWS and (found["size"] or 0) <= BROADCAST_BYTES
+
+
 def product(demand: DataFrame, supply: DataFrame, condition: Column | None = None) -> DataFrame:
-    """All pairs, those of ``condition`` only. A side of up to BROADCAST_ROWS rows is counted and
-    broadcast. Of two larger ones the supply is dealt to blocks of about that size, each demand
+    """All pairs, those of ``condition`` only. A side that is ``small`` in rows and bytes is
+    broadcast. Of two larger ones the supply is dealt to blocks of about BROADCAST_ROWS rows, each demand
     visits every block, and both meet by the block's number and a salt of the demand: one join,
-    however many blocks there are. Columns of these two can't be maps. What it costs is the number of pairs, so ``grouped`` comes first
-    where a predicate looks at few values."""
+    however many blocks there are. Columns of these two can't be maps. What it costs is the number of pairs: ``ranged``
+    and ``sharing`` are for predicates that rule out most, ``by_values`` for those that look at few values."""
     met = F.lit(True) if condition is None else condition
-    if supply.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small(supply):
         return demand.join(F.broadcast(supply), met, "inner")
-    if demand.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small(demand):
         return F.broadcast(demand).join(supply, met, "inner")
     blocks, salts = supply.count() // BROADCAST_ROWS + 1, demand.count() // BROADCAST_ROWS + 1
     left, right = _dealt(demand, "_salt", salts, "_block", blocks), _dealt(supply, "_block", blocks, "_salt", salts)
@@ -102,12 +113,78 @@ def product(demand: DataFrame, supply: DataFrame, condition: Column | None = Non
     return (both if condition is None else both.filter(condition)).drop("_block", "_salt")
 
 
-def _dealt(df: DataFrame, own: str, parts: int, every: str, others: int) -> DataFrame:
+#: How a demand's value has to stand to a supply's, and which of a block's values is the easiest to meet.
+_HOLDS = {">=": (lambda d, s: d >= s, F.min), "<=": (lambda d, s: d <= s, F.max)}
+
+
+def ranged(demand: DataFrame, supply: DataFrame, bounds: Sequence[tuple[str, str, str]], blocks: int = BLOCKS) -> DataFrame:
+    """Pairs for which all ``bounds`` hold, such as ("price", ">=", "wanted"): a column of the demand, ">=" or
+    "<=", a column of the supply. A pair with a null in any of these columns passes.
+
+    An equi-join: the supply is cut into blocks along its first column, the least and greatest values of each
+    block come to the driver (``blocks`` rows), and a demand is sent only to the blocks that may have a partner
+    for it. Supplies with a null are a block that all visit. Blocks beyond BROADCAST_ROWS rows, as of a frequent
+    value, are dealt to several tasks, and so are demands; columns can't be maps then."""
+    if not bounds or any(op not in _HOLDS for _, op, _ in bounds):
+        raise ValueError("bounds are (demand's column, '>=' or '<=', supply's column)")
+    wanted, own = [F.col(a) for a, _, _ in bounds], [F.col(c) for _, _, c in bounds]
+    unknown = lambda values: _either_null(*values)
+    kind = supply.schema[bounds[0][2]].dataType
+    cuts = supply.agg(F.percentile_approx(own[0], [i / blocks for i in range(1, blocks)], 10_000)).first()[0] or []
+    cuts = F.array(*[F.lit(x).cast(kind) for x in sorted(set(cuts))]) if cuts else F.array().cast(f"array<{kind.simpleString()}>")
+    number = F.when(unknown(own), F.lit(-1)).otherwise(F.size(F.filter(cuts, lambda x: x < own[0])))
+    broadcast = small(supply)
+    salts = 1 if broadcast else demand.count() // BROADCAST_ROWS + 1
+    held = supply.withColumn("_block", number)
+    ends = [_HOLDS[op][1](c).alias(f"e{i}") for i, ((_, op, _), c) in enumerate(zip(bounds, own, strict=True))]
+    zones = held.groupBy("_block").agg(F.count("*").alias("n"), *ends).collect()
+    if not zones:
+        return demand.limit(0).join(supply, F.lit(True), "inner")
+    parts = lambda n: 1 if broadcast else n // BROADCAST_ROWS + 1
+    zone = lambda z: F.struct(
+        F.lit(z["_block"]).alias("block"), F.lit(parts(z["n"])).alias("parts"),
+        *[F.lit(z[f"e{i}"]).cast(supply.schema[c].dataType).alias(f"e{i}") for i, (_, _, c) in enumerate(bounds)],
+    )
+    may = lambda z: reduce(lambda a, b: a & b, [_HOLDS[op][0](d, z[f"e{i}"]) for i, ((_, op, _), d) in enumerate(zip(bounds, wanted, strict=True))])
+    visited = F.filter(F.array(*map(zone, zones)), lambda z: (z["block"] == -1) | unknown(wanted) | F.coalesce(may(z), F.lit(False)))
+    places = F.flatten(F.transform(visited, lambda z: F.transform(F.sequence(F.lit(0), z["parts"] - 1), lambda p: F.struct(z["block"].alias("block"), p.alias("part")))))
+    holds = reduce(lambda a, b: a & b, [_HOLDS[op][0](F.col(d), F.col(s)) for d, op, s in bounds])
+    met = unknown([*wanted, *own]) | F.coalesce(holds, F.lit(False))
+    if broadcast:
+        left = demand.withColumn("_at", F.explode(places)).withColumn("_place", F.col("_at.block")).drop("_at")
+        both = left.join(F.broadcast(held.withColumnRenamed("_block", "_own")), (F.col("_place") == F.col("_own")) & met)
+        return both.drop("_place", "_own")
+    left = _dealt(demand, "_salt", salts).withColumn("_at", F.explode(places)).select("*", F.col("_at.block").alias("_place"), F.col("_at.part").alias("_part")).drop("_at")
+    most = max(parts(z["n"]) for z in zones)
+    sizes = F.create_map(*[F.lit(x) for z in zones for x in (z["_block"], parts(z["n"]))])
+    right = _dealt(held, "_hash", most * 4096, "_salt", salts).withColumn("_own_part", F.pmod("_hash", F.element_at(sizes, F.col("_block")))).drop("_hash")
+    right = right.withColumnsRenamed({"_block": "_own", "_salt": "_own_salt"})
+    same = (F.col("_place") == F.col("_own")) & (F.col("_part") == F.col("_own_part")) & (F.col("_salt") == F.col("_own_salt"))
+    return left.join(right, same & met).drop("_place", "_part", "_salt", "_own", "_own_part", "_own_salt")
+
+
+def by_values(demand: DataFrame, supply: DataFrame, left: Sequence[str], right: Sequence[str], condition: Column) -> DataFrame:
+    """Pairs for which a ``condition`` on the columns ``left`` and ``right`` holds, decided once for each two distinct sets of
+    values: these are paired, and both sides joined to the pairs that hold. Nulls are values."""
+    key = lambda columns: F.struct(*[F.col(c) for c in columns])
+    kinds = product(demand.select(*left).distinct(), supply.select(*right).distinct(), condition).select(key(left).alias("_left"), key(right).alias("_right"))
+    return demand.withColumn("_left", key(left)).join(kinds, "_left").join(supply.withColumn("_right", key(right)), "_right").drop("_left", "_right")
+
+
+def pair_counts(demand: DataFrame, supply: DataFrame, condition: Column, by: Sequence[str], name: str = "n", bounds: Sequence[tuple[str, str, str]] | None = None) -> DataFrame:
+    """How many pairs meet ``condition``, by columns of either side: equal rows of each side are one row with a
+    number, so what is paired are the distinct ones. ``bounds``: as for ``ranged``, which then finds the pairs."""
+    a, b = grouped(demand, "_n"), grouped(supply, "_m")
+    both = product(a, b, condition) if bounds is None else ranged(a, b, bounds).filter(condition)
+    return both.groupBy(*by).agg(F.sum(F.col("_n") * F.col("_m")).alias(name))
+
+
+def _dealt(df: DataFrame, own: str, parts: int, every: str | None = None, others: int = 1) -> DataFrame:
     """Each row in one of ``parts`` and in all of ``others``. Equal rows are numbered, so that they are
     spread, and a task that runs again deals the same."""
     numbered = df.groupBy(*df.columns).agg(F.count("*").alias("_n")).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    part = F.pmod(F.xxhash64(*df.columns, "_copy"), F.lit(parts)).cast("int")
-    return numbered.select(*df.columns, part.alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(every))
+    dealt = numbered.select(*df.columns, F.pmod(F.xxhash64(*df.columns, "_copy"), F.lit(parts)).cast("int").alias(own))
+    return dealt if every is None else dealt.withColumn(every, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
 
 def grouped(df: DataFrame, count: str) -> DataFrame:

@@ -276,13 +276,13 @@ def _positive(name):
 def pair_budget(spark, d):
     demand = t(spark, d, "customer").select("c_mktsegment", _positive("c_acctbal").alias("p"))
     supply = t(spark, d, "supplier").select(_positive("s_acctbal").alias("r"))
-    return pairs.product(demand, supply, pairs.budget(c("p"), c("r"), 1200)).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+    return pairs.ranged(demand, supply.withColumn("least", c("r") + 1200), [("p", ">=", "least")]).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
 @query("SELECT p_brand, count(*)::bigint AS n FROM part, supplier WHERE s_nationkey = 1 OR s_nationkey <= p_size GROUP BY p_brand")
 def pair_age(spark, d):
-    both = pairs.product(t(spark, d, "part").select("p_brand", "p_size"), t(spark, d, "supplier").select("s_nationkey"), pairs.age(c("p_size"), c("s_nationkey")))
-    return both.groupBy("p_brand").agg(F.count("*").alias("n"))
+    supply = t(spark, d, "supplier").select("s_nationkey", F.nullif("s_nationkey", F.lit(1)).alias("own"))
+    return pairs.pair_counts(t(spark, d, "part").select("p_brand", "p_size"), supply, pairs.age(c("p_size"), c("s_nationkey")), ["p_brand"], bounds=[("p_size", ">=", "own")])
 
 
 @query(
@@ -293,8 +293,8 @@ def pair_remote(spark, d):
     segment = c("c_mktsegment")
     p = F.when(segment == "BUILDING", "onsite").when(segment == "MACHINERY", "hybrid").when(segment == "HOUSEHOLD", "fullremote").when(segment == "FURNITURE", "other")
     kinds = F.array(F.lit("onsite"), F.lit("hybrid"), F.lit("fullremote"), F.lit(None).cast("string"))
-    both = pairs.product(t(spark, d, "customer").select(p.alias("p")), t(spark, d, "supplier").select(F.get(kinds, c("s_nationkey") % 4).alias("r")), pairs.compatible(c("p"), c("r"), pairs.REMOTE))
-    return both.groupBy("p", "r").agg(F.count("*").alias("n"))
+    demand, supply = t(spark, d, "customer").select(p.alias("p")), t(spark, d, "supplier").select(F.get(kinds, c("s_nationkey") % 4).alias("r"))
+    return pairs.pair_counts(demand, supply, pairs.compatible(c("p"), c("r"), pairs.REMOTE), ["p", "r"])
 
 
 @query(
@@ -304,14 +304,14 @@ def pair_flag(spark, d):
     kinds = F.array(F.lit("japanese"), F.lit("foreign"), F.lit(None).cast("string"))
     demand = t(spark, d, "customer").select("c_nationkey", F.when(c("c_acctbal") >= 0, c("c_acctbal") > 5000).alias("ok"))
     supply = t(spark, d, "supplier").select(F.get(kinds, (c("s_suppkey") % 3).cast("int")).alias("k"))
-    return pairs.product(demand, supply, pairs.allowed(c("ok"), c("k"), "japanese")).groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    return pairs.pair_counts(demand, supply, pairs.allowed(c("ok"), c("k"), "japanese"), ["c_nationkey"])
 
 
 @query("SELECT p_brand, count(*)::bigint AS n FROM part, supplier WHERE s_nationkey + 5 >= p_size - 3 AND s_nationkey <= p_size GROUP BY p_brand")
 def pair_interval_overlap(spark, d):
     demand = t(spark, d, "part").select("p_brand", (c("p_size") - 3).alias("a"), c("p_size").alias("b"))
     supply = t(spark, d, "supplier").select(c("s_nationkey").alias("x"), (c("s_nationkey") + 5).alias("y"))
-    return pairs.product(demand, supply, pairs.overlap(c("a"), c("b"), c("x"), c("y"))).groupBy("p_brand").agg(F.count("*").alias("n"))
+    return pairs.ranged(demand, supply, [("a", "<=", "y"), ("b", ">=", "x")]).groupBy("p_brand").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -320,7 +320,7 @@ def pair_interval_overlap(spark, d):
 def pair_tier(spark, d):
     codes = F.array(*map(F.lit, (10, 11, 12, 20, 21, 22)))
     demand, supply = t(spark, d, "part").select((c("p_size") % 5).alias("level")), t(spark, d, "supplier").select(F.get(codes, c("s_nationkey") % 6).alias("code"))
-    return pairs.product(demand, supply, pairs.tier(c("level"), c("code"), pairs.TIERS)).groupBy("level").agg(F.count("*").alias("n"))
+    return pairs.by_values(demand, supply, ["level"], ["code"], pairs.tier(c("level"), c("code"), pairs.TIERS)).groupBy("level").agg(F.count("*").alias("n"))
 
 
 SETS_SQL = "SELECT user_id, list_sort(list(DISTINCT event_type)) AS s FROM events GROUP BY user_id"
