@@ -1,4 +1,7 @@
-"""Which side a mail is on: labels that settle it, weighted words damped by context, and the subject."""
+"""Which side a mail is on: labels that settle it, weighted words damped by context, and the subject.
+
+How much a word counts is data: a ``Damping`` names words, the context in which it holds, a factor and a
+cap, and the first that holds for a word counts. Who wins is a table of conditions, read from the top."""
 
 from __future__ import annotations
 
@@ -11,54 +14,73 @@ from pyspark.sql import functions as F
 
 from ..functions.text import count_of, join_cjk, mask_noise
 from .rules import let
-from .scores import distinct_labels, tiers
+from .scores import classify, distinct_labels, tiers
 
-#: A case word and the field words that supplies list as well; phases that supplies list as their experience.
-CASE, LISTED, PHASES = "案件", ("商流", "面談回数", "精算", "単価", "契約形態"), ("要件定義", "基本設計", "詳細設計", "上流工程", "下流工程")
+#: What a subject, an attached sheet and a word on working on site add to a side's context.
+SUBJECT, ATTACHED, ON_SITE = 2.0, 1.5, 1.0
+#: Contexts that are strong, and shares of the other side's score that make a side a near winner.
+STRONG_SUPPLY, STRONG_DEMAND, CLOSE, NEAR = 3.5, 3.0, 0.6, 0.8
+JOB = "案件"
+
+
+@dataclass(frozen=True)
+class Damping:
+    """``words`` count ``factor`` times, ``cap`` at most, where the context of ``side`` is above ``above`` or, without
+    a side, where the text matches ``pattern``; without either, anywhere."""
+
+    words: tuple[str, ...]
+    factor: float = 1.0
+    cap: int | None = None
+    side: str | None = None
+    above: float = 0.0
+    pattern: str | None = None
+
+
+TERMS, STEPS = ("商流", "面談", "精算", "契約"), ("要件定義", "基本設計", "詳細設計", "テスト")
+#: Factors, caps and thresholds. A supply's mail names the job it looks for, the terms it wants and the steps it has done.
+DAMPINGS = (
+    Damping((JOB,), 0.01, 1, side="supply"), Damping((JOB,), 0.1, 3, pattern="(?:合う|見合う|希望する|次の)\\s*案件|案件[^\\n]{0,6}(?:探|ございま)"),
+    Damping((JOB,), 1.2, side="demand"), Damping((JOB,), 1.0, 5), Damping(TERMS, 0.2, side="supply", above=2.99), Damping(STEPS, 0.3, side="supply", above=3.49),
+)
 
 
 @dataclass(frozen=True)
 class Words:
     """``supply`` and ``demand``: words and weights. Contexts: (score, pattern) in order, the first counts."""
 
-    supply: Mapping[str, float] = field(default_factory=lambda: {"氏名": 1.0, "要員": 1.0, "所属": 0.5, "稼働": 0.5, "スキルシート": 1.0, "最寄駅": 0.5})
-    demand: Mapping[str, float] = field(default_factory=lambda: {CASE: 1.0, "募集": 0.5, "必須": 1.0, "商流": 0.5, "面談回数": 0.5, "精算": 0.5, "単価": 0.5, "契約形態": 0.5, "要件定義": 0.3, "基本設計": 0.3, "詳細設計": 0.3})
-    supply_context: Sequence[tuple[float, str]] = ((5.0, "(?:要員|人材|技術者|エンジニア)(?:の)?(?:ご)?(?:紹介|提案)"), (3.5, "案件を探して|見合う案件|案件がございましたら|(?:直)?個人のご紹介"), (3.0, "スキルシート(?:を)?添付|稼働(?:開始)?可能"))
-    demand_context: Sequence[tuple[float, str]] = ((3.0, "案件(?:の)?(?:ご)?(?:紹介|案内)|(?:要員|人材|技術者)を?(?:募集|探して)"),)
+    supply: Mapping[str, float] = field(default_factory=lambda: {"氏名": 1.0, "要員": 1.0, "経歴": 1.0, "所属": 0.5, "稼働": 0.5, "最寄": 0.5})
+    demand: Mapping[str, float] = field(default_factory=lambda: {JOB: 1.0, "必須": 1.0, "募集": 0.5, "歓迎": 0.5, **dict.fromkeys(TERMS, 0.5), **dict.fromkeys(STEPS, 0.3)})
+    supply_context: Sequence[tuple[float, str]] = (
+        (5.0, "(?:要員|人材|エンジニア|技術者)[^\\n]{0,6}(?:ご紹介|ご提案|ご案内|提案)"), (3.5, "(?:案件|お仕事|参画先)を(?:お)?探|(?:合う|見合う)案件"), (3.0, "(?:スキルシート|経歴書)[^\\n]{0,8}(?:添付|送付)"),
+    )
+    demand_context: Sequence[tuple[float, str]] = ((3.0, "案件[^\\n]{0,6}(?:ご紹介|ご案内)|(?:要員|人材|エンジニア|技術者)を?[^\\n]{0,6}(?:募集|探して)"),)
     supply_subject: str = "要員|人材|技術者|個人"
     demand_subject: str = "案件|募集"
-    supply_labels: Sequence[str] = ("氏名\\s*[:】]", "年齢\\s*[:】]", "所属\\s*[:】]", "最寄り?駅?\\s*[:】]", "稼働\\s*[:】]", "国籍\\s*[:】]")
-    demand_labels: Sequence[str] = ("案件名\\s*[:】]", "作業内容\\s*[:】]|業務内容\\s*[:】]", "必須(?:スキル)?\\s*[:】]", "勤務地\\s*[:】]|場所\\s*[:】]", "面談(?:回数)?\\s*[:】]")
-    margin: float = 0.8
-    least: float = 0.2
+    supply_labels: Sequence[str] = tuple(f"(?:{x})\\s*[:】]" for x in ("氏名|名前", "年齢", "所属", "最寄り?駅?", "稼働(?:開始)?", "国籍", "性別"))
+    demand_labels: Sequence[str] = tuple(f"(?:{x})\\s*[:】]" for x in ("案件名?", "(?:作業|業務)内容", "必須(?:スキル)?", "勤務地|場所", "面談(?:回数)?", "募集(?:人数)?"))
+    dampings: Sequence[Damping] = DAMPINGS
 
 
 def contexts(subject: Column, body: Column, words: Words, attached: Column) -> tuple[Column, Column]:
     """How strongly the texts speak of a supply, and of a demand."""
-    on_site = F.when(body.rlike("常駐必須|常駐案件"), "demand").when(body.rlike("常駐(?:検討)?可"), "supply")
-    supply = tiers(body, words.supply_context) + F.when(subject.rlike(words.supply_subject), 2.0).otherwise(0.0) + F.when(F.coalesce(on_site == "supply", F.lit(False)), 1.0).otherwise(0.0) + F.when(attached, 1.5).otherwise(0.0)
-    demand = tiers(body, words.demand_context) + F.when(subject.rlike(words.demand_subject), 2.0).otherwise(0.0) + F.when(F.coalesce(on_site == "demand", F.lit(False)), 1.0).otherwise(0.0)
-    return supply, demand
+    adds = lambda condition, value: F.when(condition, value).otherwise(0.0)
+    wanted, offered = body.rlike("常駐\\s*(?:必須|案件)"), body.rlike("常駐\\s*(?:検討)?可")
+    supply = tiers(body, words.supply_context) + adds(subject.rlike(words.supply_subject), SUBJECT) + adds(attached, ATTACHED) + adds(offered & ~wanted, ON_SITE)
+    return supply, tiers(body, words.demand_context) + adds(subject.rlike(words.demand_subject), SUBJECT) + adds(wanted, ON_SITE)
 
 
-def demand_words(text: Column, words: Words, supply: Column, demand: Column) -> Column:
-    """The demand's score by words; those that supplies use as well count less where the text speaks of a supply."""
+def word_scores(text: Column, weights: Mapping[str, float], dampings: Sequence[Damping], context: Mapping[str, Column]) -> Column:
+    """The sum of counts times weights, each word damped by the first rule that holds for it."""
 
     def points(word: str, weight: float) -> Column:
-        n, w = count_of(text, word).cast("double"), F.lit(float(weight))
-        if word == CASE:
-            near = text.rlike("(?:人材|要員|技術者|候補者).*案件|案件を探|見合う案件|案件がございましたら")
-            return F.when(supply > 0, F.least(n, F.lit(1.0)) * w * 0.01).when(near, F.least(n, F.lit(3.0)) * w * 0.1).when(demand > 0, n * w * 1.2).otherwise(F.least(n, F.lit(5.0)) * w)
-        factor = F.lit(1.0)
-        if word == "単価":
-            factor = F.when(supply > 0, 0.3).otherwise(factor)
-        if word in PHASES:
-            factor = F.when(supply >= 3.5, 0.3).otherwise(factor)
-        if word in LISTED:
-            factor = F.when(supply >= 3.0, 0.2).otherwise(factor)
-        return n * w * factor
-
-    return reduce(lambda a, b: a + b, [points(k, v) for k, v in words.demand.items()], F.lit(0.0))
+        n = count_of(text, word).cast("double")
+        cases = []
+        for d in (d for d in dampings if word in d.words):
+            holds = context[d.side] > d.above if d.side else text.rlike(d.pattern) if d.pattern else F.lit(True)
+            cases.append(F.when(holds, (n if d.cap is None else F.least(n, F.lit(float(d.cap)))) * d.factor))
+        return F.coalesce(*cases, n) * float(weight)
+
+    return reduce(lambda a, b: a + b, [points(k, v) for k, v in weights.items()], F.lit(0.0))
 
 
 def mail_type(subject: Column, body: Column, words: Words = Words(), attached: Column | None = None) -> Column:
@@ -69,40 +91,33 @@ def mail_type(subject: Column, body: Column, words: Words = Words(), attached: C
 
     def measured(t: Column) -> Column:
         supply, demand = contexts(t["subject"], t["body"], words, on)
-        noiseless = mask_noise(F.concat(t["subject"], F.lit("\n"), t["body"]))
-        labels = [F.regexp_count(t["body"], F.lit("氏名:|【氏名】")).alias("names"), distinct_labels(t["body"], words.supply_labels).alias("supply_labels"), distinct_labels(t["body"], words.demand_labels).alias("demand_labels")]
-        return F.struct(supply.alias("supply"), demand.alias("demand"), noiseless.alias("text"), t["subject"].rlike(words.supply_subject).alias("of_supply"), t["subject"].rlike(words.demand_subject).alias("of_demand"), *labels)
+        return F.struct(
+            supply.alias("supply"), demand.alias("demand"), mask_noise(F.concat(t["subject"], F.lit("\n"), t["body"])).alias("text"),
+            t["subject"].rlike(words.supply_subject).alias("of_supply"), t["subject"].rlike(words.demand_subject).alias("of_demand"),
+            F.regexp_count(t["body"], F.lit("氏名\\s*[:】]")).alias("names"), distinct_labels(t["body"], words.supply_labels).alias("supply_labels"), distinct_labels(t["body"], words.demand_labels).alias("demand_labels"),
+        )
 
     def scored(m: Column) -> Column:
-        own = reduce(lambda a, b: a + b, [count_of(m["text"], k) * F.lit(float(v)) for k, v in words.supply.items()], F.lit(0.0)) + m["supply"]
-        other = demand_words(m["text"], words, m["supply"], m["demand"]) + m["demand"]
-        kept = [m[k].alias(k) for k in ("supply", "of_supply", "of_demand", "names", "supply_labels", "demand_labels")]
-        return F.struct(own.alias("own"), other.alias("other"), ((m["supply"] >= 3.5) | m["of_supply"]).alias("for_supply"), ((m["demand"] >= 3.0) | m["of_demand"]).alias("for_demand"), *kept)
-
-    def weighed(s: Column) -> Column:
-        own, other = s["own"], s["other"]
-        sure = F.least(F.lit(1.0), F.abs(own - other) / F.greatest(F.lit(1.0), own + other))
-        tight, tighter = max(0.2, words.margin * 0.35), max(0.2, words.margin * 0.25)
-        need = F.when(s["for_supply"] & (own > other), tighter).when(s["for_supply"] & (own >= other * 0.6), tight).when(s["for_demand"] & (other > own), tighter).when(s["for_demand"] & (other >= own * 0.6), tight)
-        return F.struct(s.alias("s"), sure.alias("sure"), need.alias("need"))
-
-    def decided(w: Column) -> Column:
-        s, sure = w["s"], w["sure"]
-        own, other = s["own"], s["other"]
-        need, low = F.coalesce(w["need"], F.lit(words.margin)), F.when(w["need"].isNotNull(), 0.05).otherwise(words.least)
-        leads = lambda a, b: (a - b >= need) & ((sure >= low) | (a - b >= 2 * need))
-        answer = lambda label, value: F.struct(F.lit(label).alias("label"), (F.lit(value) if isinstance(value, float) else value).alias("confidence"))
-        return (
-            F.when(s["names"] >= 3, answer("resource", 0.9))
-            .when(s["supply_labels"] >= 4, answer("resource", 0.85))
-            .when((s["demand_labels"] >= 3) & (s["supply"] < 3.5), answer("project", 0.9))
-            .when((own + other <= 0) & s["of_supply"], answer("resource", 0.5))
-            .when((own + other <= 0) & s["of_demand"], answer("project", 0.5))
-            .when(own + other <= 0, answer("unknown", 0.0))
-            .when((s["supply"] >= 3.5) & s["of_supply"] & (own >= other * 0.8), answer("resource", sure))
-            .when(leads(own, other), answer("resource", sure))
-            .when(leads(other, own), answer("project", sure))
-            .otherwise(answer("ambiguous", sure))
+        context = {"supply": m["supply"], "demand": m["demand"]}
+        own = word_scores(m["text"], words.supply, (), context) + m["supply"]
+        other = word_scores(m["text"], words.demand, words.dampings, context) + m["demand"]
+        return F.struct(m.alias("m"), own.alias("own"), other.alias("other"))
+
+    def decided(s: Column) -> Column:
+        m, own, other = s["m"], s["own"], s["other"]
+        # the side that leads, or has a good share of the other's score, needs less if its context or the subject speaks for it
+        strong = {
+            "resource": ((m["supply"] >= STRONG_SUPPLY) | m["of_supply"]) & (own >= other * CLOSE), "project": ((m["demand"] >= STRONG_DEMAND) | m["of_demand"]) & (other >= own * CLOSE),
+        }
+        by_score = classify({"resource": own, "project": other}, strong=strong)
+        nothing = own + other <= 0
+        table = (
+            (m["names"] >= 3, "resource", 0.9), (m["supply_labels"] >= 4, "resource", 0.85), ((m["demand_labels"] >= 3) & (m["supply"] < STRONG_SUPPLY), "project", 0.9),
+            (nothing & m["of_supply"], "resource", 0.5), (nothing & m["of_demand"], "project", 0.5), (nothing, "unknown", 0.0),
+            ((m["supply"] >= STRONG_SUPPLY) & m["of_supply"] & (own >= other * NEAR), "resource", None),
         )
+        sure = by_score["confidence"]
+        rows = [F.when(c, F.struct(F.lit(label).alias("label"), (sure if value is None else F.lit(value)).alias("confidence"))) for c, label, value in table]
+        return F.coalesce(*rows, by_score)
 
-    return let(let(let(let(texts, measured), scored), weighed), decided)
+    return let(let(let(texts, measured), scored), decided)

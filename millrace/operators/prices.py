@@ -1,4 +1,7 @@
-"""Prices of staffing mails, a month in yen, by rule tables; patterns expect NFKC text."""
+"""Prices of a month in yen, as rules over the quantities of a text (``amounts.spans``).
+
+A quantity is money of one of the kinds of ``KINDS``, in the order in which they are believed; the first of the best
+kind counts. Hours and days are multiplied up to a month."""
 
 from __future__ import annotations
 
@@ -7,116 +10,127 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import amounts
 from .rules import let, windows_of
 
-# What an hour and a day are worth a month, the price of "by skill", the bounds of a price.
-HOURS, DAYS, BY_SKILL = 160, 20, 1_000_000
-LOW, HIGH, LOW_ONE, HIGH_ONE = 100_000, 5_000_000, 200_000, 3_000_000
-MAN = 10_000
-
-# Words that announce a price, that leave it to the skill, that start the next field or make a range no price.
-KEYWORD = "単\\s*価|単\\s*金|月\\s*額|報\\s*酬|金\\s*額|フィー|予\\s*算|費\\s*用|日給\\s*制|スキル見合"
-SKILL = "スキル(?:見合|みあ|によ|次第)|経験(?:見合|によ)|能力次第|(?:応|要)相談|別途相談"
-HEADER = "^\\s*(?:[■●◇【\\[]|案件|場所|時間|精算|清算|年齢|勤務時間|勤怠|稼働時間)"
-PRICED = "単\\s*価|単\\s*金|月\\s*額|報\\s*酬"
-NO_PRICE = "精算|清算|年齢|勤務時間|勤怠|時間幅|稼働時間|[0-9]{1,2}:[0-9]{2}\\s*[〜~-]\\s*[0-9]{1,2}:[0-9]{2}"
+#: Hours and days of a month, yen of one "man", the price of "by skill", and bounds in yen.
+HOURS, DAYS, MAN, BY_SKILL = 160, 20, 10_000, 1_000_000
+RANGE, SINGLE = (100_000, 5_000_000), (200_000, 3_000_000)
 
-N3, TO, MAN_YEN = "([0-9]{1,3})", "\\s*[〜~-]\\s*", "\\s*万円?"
-BOTH = f"{N3}{MAN_YEN}{TO}{N3}{MAN_YEN}"
-UPTO = f"{N3}{TO}{N3}{MAN_YEN}"
+LABEL = "単\\s*[価金]|金\\s*額|報\\s*酬|予\\s*算|月\\s*額|[時日]\\s*給"
+SKILL = "スキル\\s*(?:見合|次第|に応|相応)|経験\\s*(?:見合|次第|に応)|(?:応|要)\\s*相談|ご?相談(?:の上|ください)"
+#: A line that starts a field of its own.
+FIELD = "^\\s*(?:[【\\[■□◆◇●○▼*]|[^\\s::、。]{1,12}\\s*:)"
 
 
 @dataclass(frozen=True)
-class Price:
-    """``kind``: "one" number, "range" (its middle), "high" or "low" end, "skill". A price outside of
-    the bounds is no match. Commas and what stands between groups of a number are dropped."""
+class Kind:
+    """``name`` of the reason, by what the quantity is counted (None: anything), its unit, a factor to yen a
+    month, and whether the bounds hold."""
 
     name: str
-    pattern: str
-    kind: str = "one"
-    factor: int = MAN
-    low: int | None = LOW
-    high: int | None = HIGH
-
-
-MONTHLY = (Price("month-range", f"{BOTH}\\s*/\\s*月", "range"), Price("month", f"{N3}{MAN_YEN}\\s*/\\s*月"))
-HOURLY_DAILY = (
-    Price("day-range", f"日給\\s*([0-9]{{1,2}}){MAN_YEN}{TO}([0-9]{{1,2}}){MAN_YEN}", "range", MAN * DAYS, None, None),
-    Price("day", f"日給\\s*([0-9]{{1,2}}){MAN_YEN}", "one", MAN * DAYS, None, None),
-    Price("day-yen", "日給\\s*([0-9]{3,6})\\s*円", "one", DAYS, None, None),
-    Price("hour-yen", "時給\\s*([0-9]{3,5})\\s*円", "one", HOURS, None, None),
-    Price("yen-an-hour", "([0-9]{3,5})\\s*円\\s*/\\s*[h時]", "one", HOURS, None, None),
-    Price("yen-an-hour", "¥?\\s*([0-9,]{3,7})\\s*円?\\s*/\\s*(?:[hH]|時間)", "one", HOURS, None, None),
-    Price("hour", f"時給\\s*([0-9]{{1,2}}){MAN_YEN}", "one", MAN * HOURS, None, None),
-    Price("a-day-range", f"{BOTH}\\s*/\\s*日", "range", MAN * DAYS, None, None),
-    Price("a-day", f"{N3}{MAN_YEN}\\s*/\\s*日", "one", MAN * DAYS, None, None),
-    Price("daily-wage", f"日給\\s*制.{{0,20}}?([0-9]{{1,2}}){MAN_YEN}", "one", MAN * DAYS, None, None),
-)
-YEN7, YEN6 = "([0-9]{1,2},[0-9]{3},[0-9]{3})\\s*円?", "([0-9]{3},[0-9]{3})\\s*円"
-SKILL_ONLY = Price("skill", f"(?s)^(?!.*(?:[0-9]{MAN_YEN}|{YEN7}|{YEN6})).*?(?:{SKILL})", "skill", 1, None, None)
-IN_MAN = (
-    Price("range", BOTH, "range"), Price("range", UPTO, "range"), Price("open-high", f"[〜~]\\s*{N3}{MAN_YEN}", "high"), Price("open-low", f"{N3}{MAN_YEN}\\s*[〜~](?!\\s*[0-9])", "low"),
-    Price("yen", YEN7, "one", 1), Price("yen", YEN6, "one", 1), Price("about", f"{N3}{MAN_YEN}\\s*(?:前後|程)"), Price("man", f"{N3}{MAN_YEN}", "one", MAN, LOW_ONE, HIGH_ONE),
-)
-BARE = Price("bare-range", f"(?s)^(?=.*(?:{PRICED}))(?!.*(?:{NO_PRICE})).*?([0-9]{{2,3}}){TO}([0-9]{{2,3}})(?!\\s*万)(?!\\s*[0-9])(?!\\s*(?:h|H|時|歳|代|名|回))", "range")
-PROJECT = (*MONTHLY, *HOURLY_DAILY, SKILL_ONLY, *IN_MAN, BARE)
-RESOURCE = (*HOURLY_DAILY, *IN_MAN)
-VALUE = "|".join(f"(?:{p})" for p in (f"[0-9]{MAN_YEN}", YEN7, YEN6, "日給|時給", "[0-9]\\s*円?\\s*/\\s*[hH時]", f"[0-9]{{2,3}}{TO}[0-9]{{2,3}}", SKILL))
+    period: str | None
+    unit: str
+    factor: int
+    bounded: bool = True
 
 
-def _answer(value, low, high, reason: str, raw, source: str = "extracted") -> Column:
+KINDS = (
+    Kind("month-man", "month", "^万", MAN), Kind("month-yen", "month", "^円$", 1),
+    Kind("day-man", "day", "^万", MAN * DAYS, False), Kind("day-yen", "day", "^円?$", DAYS, False),
+    Kind("hour-man", "hour", "^万", MAN * HOURS, False), Kind("hour-yen", "hour", "^円?$", HOURS, False),
+    Kind("man", None, "^万", MAN), Kind("yen", None, "^円$", 1),
+)
+#: A line that is about a price, but whose bare numbers are of something else.
+OTHER = "精\\s*算|年\\s*齢|時\\s*間|[hH]"
+
+
+def _money(span: Column, line: Column, bare: bool) -> Column:
+    """(rank, reason, low, high, open) of a quantity that is a price, else null."""
+    period = amounts.period(span)
+    two = span["second"].isNotNull()
+
+    def value(kind: Kind) -> Column:
+        low, high = span["first"] * kind.factor, F.coalesce(span["second"], span["first"]) * kind.factor
+        a, b = F.least(low, high).cast("long"), F.greatest(low, high).cast("long")
+        open_ = (span["mark"] != "") | (span["before"] != "")
+        least, most = F.when(two | open_, RANGE[0]).otherwise(SINGLE[0]), F.when(two | open_, RANGE[1]).otherwise(SINGLE[1])
+        ok = amounts.is_unit(span, kind.unit) & ((a >= least) & (b <= most) if kind.bounded else F.lit(True))
+        if kind.period:
+            ok = ok & (period == kind.period)
+        elif kind.name == "yen":
+            ok = ok & (span["grouped"] | (a >= RANGE[0]))
+        return F.when(ok & (period.isNull() if not kind.period else F.lit(True)), F.struct(F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind.name).alias("reason"), a.alias("low"), b.alias("high")))
+
+    found = [value(k) for k in KINDS]
+    if bare:  # "40-50" behind the label of a price
+        digits = lambda c: c.between(10, 999) & (c == F.floor(c))
+        unmarked = (span["unit"] == "") & (span["second_unit"] == "") & period.isNull()
+        ok = two & unmarked & digits(span["first"]) & digits(span["second"]) & line.rlike(LABEL) & ~line.rlike(OTHER)
+        low, high = F.least(span["first"], span["second"]), F.greatest(span["first"], span["second"])
+        found.append(F.when(ok, F.struct(F.lit(len(KINDS)).alias("rank"), F.lit("bare").alias("reason"), (low * MAN).cast("long").alias("low"), (high * MAN).cast("long").alias("high"))))
+    return F.coalesce(*found)
+
+
+def _answer(value, low, high, reason: Column, raw, source: str = "extracted") -> Column:
     null = F.lit(None)
-    return F.struct(*[(null if x is None else x).cast("long").alias(n) for n, x in (("value", value), ("min", low), ("max", high))], F.lit(reason).alias("reason"), (null if raw is None else raw).cast("string").alias("raw"), F.lit(source).alias("source"))
+    return F.struct(
+        *[(null if x is None else x).cast("long").alias(n) for n, x in (("value", value), ("min", low), ("max", high))],
+        reason.alias("reason"), (null if raw is None else raw).cast("string").alias("raw"), F.lit(source).alias("source"),
+    )
 
 
-def _hit(text: Column, rule: Price, prefix: str) -> Column:
-    """(value, min, max, reason, raw, source) where the rule matches, else null."""
-    number = lambda g: F.regexp_replace(F.regexp_extract(text, rule.pattern, g), ",", "").try_cast("long") * rule.factor
-    ok, raw, name = text.rlike(rule.pattern), F.regexp_extract(text, rule.pattern, 0), prefix + rule.name
-    if rule.kind == "skill":
-        return F.when(ok, _answer(F.lit(BY_SKILL), None, None, name, raw))
-    low = F.least(number(1), number(2)) if rule.kind == "range" else number(1)
-    high = F.greatest(number(1), number(2)) if rule.kind == "range" else number(1)
-    if rule.low is not None:
-        ok = ok & (low >= rule.low) & (high <= rule.high)
-    value = F.floor((low + high) / 2) if rule.kind == "range" else low
-    return F.when(ok, _answer(value, low if rule.kind in ("range", "low") else None, high if rule.kind in ("range", "high") else None, name, raw))
+def priced(text: Column, prefix: str = "", by_skill: bool = True, bare: bool = True) -> Column:
+    """(value, min, max, reason, raw, source) of the best quantity of a text, else of "by skill", else null."""
 
+    def best(found: Column) -> Column:
+        read = lambda s, i: let(_money(s, text, bare), lambda m: F.when(m.isNotNull(), F.struct(m["rank"].alias("rank"), i.alias("i"), m.alias("m"), s.alias("s"))))
+        return F.array_min(F.filter(F.transform(found, read), lambda x: x.isNotNull()))
 
-def _first(parts: Column, rules: tuple[Price, ...], prefix: str = "") -> Column:
-    """The first rule's hit in the first text that has any; "by skill" if none has and one says so; else null."""
-    hits = F.filter(F.transform(parts, lambda x: F.coalesce(*[_hit(x, r, prefix) for r in rules])), lambda h: h.isNotNull())
-    by_skill = F.when(F.exists(parts, lambda x: x.rlike(SKILL)), _answer(F.lit(BY_SKILL), None, None, prefix + "skill", None))
-    return F.coalesce(F.get(hits, F.lit(0)), by_skill)
+    def told(x: Column) -> Column:
+        two, m, s = x["s"]["second"].isNotNull(), x["m"], x["s"]
+        low = F.when(two | (s["mark"] != ""), m["low"])
+        high = F.when(two | ((s["before"] != "") & (s["mark"] == "")), m["high"])
+        return F.when(x.isNotNull(), _answer(F.floor((m["low"] + m["high"]) / 2), low, high, F.concat(F.lit(prefix), m["reason"]), s["raw"]))
+
+    number = let(let(amounts.spans(text), best), told)
+    if not by_skill:
+        return number
+    return F.coalesce(number, F.when(text.rlike(SKILL), _answer(F.lit(BY_SKILL), None, None, F.lit(prefix + "skill"), F.regexp_extract(text, SKILL, 0))))
 
 
 def segments(text: Column) -> Column:
-    """Lines with a price's keyword, each with the next line that isn't blank if only that has a
-    value and it is no other field; a text of up to 200 characters without such a line is its own segment."""
+    """Lines with the label of a price; a line without a value takes the next one that isn't blank with it,
+    unless that is a field of its own. A text of up to 200 characters without such a line is its own segment."""
+    says = lambda line: line.rlike(f"[0-9]|{SKILL}")
 
     def one(lines: Column, line: Column, i: Column) -> Column:
         below = F.get(F.filter(F.slice(lines, i + 2, F.greatest(F.size(lines) - i - 1, F.lit(0))), lambda x: x != ""), F.lit(0))
-        joined = let(below, lambda b: F.when(b.rlike(VALUE) & ~b.rlike(HEADER), F.concat(line, F.lit("\n"), b)).otherwise(line))
-        return F.when(line.rlike(KEYWORD), F.when(line.rlike(VALUE), line).otherwise(F.coalesce(joined, line)))
-
-    def found(lines: Column) -> Column:
-        return F.array_distinct(F.filter(F.transform(lines, lambda line, i: one(lines, line, i)), lambda x: x.isNotNull()))
+        joined = let(below, lambda b: F.when(says(b) & ~b.rlike(FIELD), F.concat(line, F.lit("\n"), b)).otherwise(line))
+        return F.when(line.rlike(LABEL), F.when(says(line), line).otherwise(F.coalesce(joined, line)))
 
+    found = lambda lines: F.array_distinct(F.filter(F.transform(lines, lambda line, i: one(lines, line, i)), lambda x: x.isNotNull()))
     own = let(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), found)
     return let(own, lambda x: F.when(F.size(x) > 0, x).when(F.length(text) <= 200, F.array(text)).otherwise(F.array().cast("array<string>")))
 
 
+def _first(parts: Column, prefix: str = "", **how) -> Column:
+    """That of the first part that has any."""
+    return F.get(F.filter(F.transform(parts, lambda x: priced(x, prefix, **how)), lambda h: h.isNotNull()), F.lit(0))
+
+
 def project_price(text: Column, subject: Column | None = None) -> Column:
     """(value, min, max, reason, raw, source) of a demand; a price of the subject has "subject-" before its reason."""
-    options = [let(segments(text), lambda x: _first(x, PROJECT))]
+    options = [let(segments(text), lambda x: _first(x))]
     if subject is not None:
-        options.append(let(segments(subject), lambda x: _first(x, PROJECT, "subject-")))
-    return F.coalesce(*options, _answer(None, None, None, "none", None, "default"))
+        options.append(let(segments(subject), lambda x: _first(x, "subject-")))
+    return F.coalesce(*options, _answer(None, None, None, F.lit("none"), None, "default"))
 
 
 def resource_price(text: Column, subject: Column | None = None) -> Column:
-    """The same of a supply, from windows around the keywords; "by skill" counts only without a number."""
-    options = [let(windows_of(text, KEYWORD, 5, 150), lambda x: _first(x, RESOURCE))]
+    """The same of a supply, from windows behind the labels; "by skill" counts only if no window has a number."""
+    near = windows_of(text, LABEL, 5, 150)
+    options = [let(near, lambda x: F.coalesce(_first(x, by_skill=False), _first(x)))]
     if subject is not None:
-        options.append(_first(F.array(F.coalesce(subject, F.lit(""))), RESOURCE, "subject-"))
-    return F.coalesce(*options, _answer(None, None, None, "none", None, "default"))
+        options.append(priced(F.coalesce(subject, F.lit("")), "subject-"))
+    return F.coalesce(*options, _answer(None, None, None, F.lit("none"), None, "default"))
