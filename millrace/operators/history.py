@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,41 +53,74 @@ def merge(history: DataFrame, restored: DataFrame, new: DataFrame, keys: Sequenc
 
 
 class RunState:
-    """History and cache of runs, as one snapshot per run below ``path``: run=<n>/{history,cache}.
-    A snapshot counts once its _DONE marker table is written, so both advance together or not at all."""
+    """History and cache of runs as a log: parts of tables below ``path``/parts, and ``path``/log with a row for each
+    part that counts (run, tag, name, base, part). A table is its last base and the parts behind it.
 
-    def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    ``commit`` replaces tables by new bases, as a batch run does; ``append`` adds parts of the size of what is new, as
+    micro-batches do, and every ``compact_after`` parts a base is written of them. Parts are written first, under names of
+    their own, and all rows of a run go to the log in one write: without it, what a run has left
+    counts for nothing, so history and cache advance together or not at all, and a run can be repeated."""
 
-    def _done(self):
-        from pyspark.errors import AnalysisException
+    LOG = "run long, tag long, name string, base boolean, part string"
 
+    def __init__(self, spark, path: str, compact_after: int = 50):
+        self.spark, self.path, self.compact_after = spark, path.rstrip("/"), compact_after
+
+    def _log(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema("run long, tag long").parquet(f"{self.path}/done").agg(F.max("run"), F.max("tag")).first()
+            return self.spark.read.schema(self.LOG).parquet(f"{self.path}/log")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None, None
+            return None
+
+    def _last(self, column: str) -> int | None:
+        log = self._log()
+        return None if log is None else log.agg(F.max(column)).first()[0]
 
     def latest(self) -> int | None:
-        return self._done()[0]
+        return self._last("run")
 
     def latest_tag(self) -> int | None:
         """The largest tag (such as a micro-batch's number) that a run was committed with."""
-        return self._done()[1]
+        return self._last("tag")
+
+    def parts(self, name: str) -> list[str]:
+        """Names of the parts that make up a table, its base first."""
+        log = self._log()
+        if log is None:
+            return []
+        base = log.filter((F.col("name") == name) & F.col("base")).agg(F.max("run")).first()[0]
+        found = log.filter((F.col("name") == name) & (F.col("run") >= F.lit(base if base is not None else 0)))
+        return [r["part"] for r in found.orderBy("run").select("part").collect()]
 
     def read(self, name: str) -> DataFrame | None:
-        run = self.latest()
-        return None if run is None else self.spark.read.parquet(f"{self.path}/run={run}/{name}")
+        found = self.parts(name)
+        return self.spark.read.parquet(*[f"{self.path}/parts/{x}" for x in found]) if found else None
 
-    def commit(self, history: DataFrame, cache: DataFrame, errors: DataFrame, tag: int | None = None) -> int:
-        """Writes the next snapshot. With errors the cache of the last run stays."""
+    def _write(self, tables: Mapping[str, DataFrame], base: bool, tag: int | None) -> int:
         run = (self.latest() or 0) + 1
-        history.write.mode("overwrite").parquet(f"{self.path}/run={run}/history")
-        old = self.read("cache")
-        kept = cache if errors.isEmpty() or old is None else old
-        kept.write.mode("overwrite").parquet(f"{self.path}/run={run}/cache")
-        self.spark.createDataFrame([(run, tag)], "run long, tag long").write.mode("append").parquet(f"{self.path}/done")
+        rows = []
+        for name, table in tables.items():
+            part = f"{name}-{run}-{uuid.uuid4().hex}"
+            table.write.parquet(f"{self.path}/parts/{part}")
+            rows.append((run, tag, name, base, part))
+        self.spark.createDataFrame(rows, self.LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")  # one file: all or nothing
+        return run
+
+    def commit(self, history: DataFrame, cache: DataFrame, errors: DataFrame, tag: int | None = None) -> int:
+        """History and cache of a run as new bases. With errors the cache stays as it was."""
+        keep = bool(self.parts("cache")) and not errors.isEmpty()
+        return self._write({"history": history} if keep else {"history": history, "cache": cache}, True, tag)
+
+    def append(self, history: DataFrame, cache: DataFrame, tag: int | None = None) -> int | None:
+        """New rows of both, in one run. A tag that isn't above the last one was committed already: nothing is done."""
+        done = self.latest_tag() if tag is not None else None
+        if done is not None and tag <= done:
+            return None
+        run = self._write({"history": history, "cache": cache}, False, tag)
+        if len(self.parts("history")) > self.compact_after:
+            run = self._write({name: self.read(name) for name in ("history", "cache")}, True, tag)
         return run
 
 

@@ -21,17 +21,20 @@ def windowed_counts(stream: DataFrame, by: str, time: str, width: str = "1 hour"
 
 
 def into_history(stream: DataFrame, state: RunState, keys: Sequence[str], checkpoint: str):
-    """Each micro-batch's new pairs are added to the history and to the cache of the next snapshot,
-    which has the batch's number: a batch that is repeated finds itself committed and does nothing."""
+    """Each micro-batch's new pairs are appended to history and cache, under the batch's number: what is
+    written is what is new, and a batch that is repeated finds itself committed and does nothing."""
 
     def commit(batch: DataFrame, number: int) -> None:
-        done = state.latest_tag()
+        done, known = state.latest_tag(), state.read("history")
         if done is not None and number <= done:
             return
-        known, cache = state.read("history"), state.read("cache")
-        own = batch.select(*keys).distinct()
-        new = batch.dropDuplicates(list(keys)) if known is None else batch.dropDuplicates(list(keys)).join(known, list(keys), "left_anti")
-        history = own if known is None else known.unionByName(own.join(known, list(keys), "left_anti"))
-        state.commit(history, new if cache is None else cache.unionByName(new), batch.sparkSession.createDataFrame([], "error string"), number)
+        new = batch.dropDuplicates(list(keys))
+        if known is not None:
+            new = new.join(known.select(*keys), list(keys), "left_anti")
+        new = new.persist()
+        try:
+            state.append(new.select(*keys), new, number)
+        finally:
+            new.unpersist()
 
     return stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
