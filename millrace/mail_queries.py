@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions import numbers, text
-from .operators import annotate, classify, fields, history, judge, packs, pairs, places, render, rows, scores
+from .operators import annotate, classify, fields, history, judge, packs, pairs, places, render, rows, scores, sections
 from .queries import query, t
 from .sources import jsonl
 from .storage import scratch
@@ -120,7 +120,7 @@ forms("companies", lambda x: fields.company(x, F.lit("Bob <b@c.example>")), ("'
 forms("reply_targets", lambda x: fields.reply_target(x, F.lit(""), F.lit("Bob <B@c.example>"))["address"], ("'返信は Ann@b.example へ'", "'ann@b.example'"), ("'連絡ください'", "'b@c.example'"))
 forms("displays", lambda x: F.concat_ws("/", fields.display(x), fields.display(c(N) * 10000, "price"), fields.display(c(N) % 2 == 0, "flag")), ("': 即日。'", f"concat('即日/', {N}, '万円/', CASE WHEN {N} % 2 = 0 THEN '可' ELSE '不可' END)"), ("' '", f"concat('-/', {N}, '万円/', CASE WHEN {N} % 2 = 0 THEN '可' ELSE '不可' END)"))
 forms("note_blocks", lambda x: fields.note_block(x, "備考"), ("'【備考】\\na\\nb\\n\\nc'", "'a' || chr(10) || 'b'"), ("'備考\\na\\n【次】\\nb'", "'a'"), ("'x'", "NULL"))
-forms("signatures", lambda x: annotate.trim_signature(x, "案件", "TEL"), ("'案件\\n1\\n2\\n3\\n4\\n-----\\nABC社\\nTEL 03'", "'案件' || chr(10) || '1' || chr(10) || '2' || chr(10) || '3' || chr(10) || '4'"), ("'案件\\nTEL 03'", "'案件' || chr(10) || 'TEL 03'"))
+forms("signatures", lambda x: sections.trim_signature(x, "案件", "TEL"), ("'案件\\n1\\n2\\n3\\n4\\n-----\\nABC社\\nTEL 03'", "'案件' || chr(10) || '1' || chr(10) || '2' || chr(10) || '3' || chr(10) || '4'"), ("'案件\\nTEL 03'", "'案件' || chr(10) || 'TEL 03'"))
 forms("lines_dropped", lambda x: rows.drop_lines(x, ["^お世話", "^-+$"], "^署名"), ("'お世話です\\na\\n---\\nb\\n署名\\nc'", "'a' || chr(10) || 'b'"), ("'a'", "'a'"))
 forms("urls_near_phrases", lambda x: text.without_urls_near(x, "配信停止"), ("'a\\n配信停止はこちら\\n\\nhttp://x.y\\nb'", "'a' || chr(10) || 'b'"), ("'a\\nhttp://x.y'", "'a' || chr(10) || 'http://x.y'"))
 forms("cjk_joined", text.join_cjk, ("'必 須 a b'", "'必須 a b'"), ("'a b'", "'a b'"))

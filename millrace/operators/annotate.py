@@ -1,4 +1,4 @@
-"""Dictionary annotation and section scans; the scans run as Arrow UDFs of small helpers."""
+"""Dictionary annotation, phases and label values."""
 
 from __future__ import annotations
 
@@ -96,74 +96,8 @@ def primary(skills: Column, required_text: Column) -> Column:
     return F.when(low == "", skills).otherwise(F.filter(skills, lambda s: F.contains(low, F.lower(s))))
 
 
-#: Line classes of a section scan in order of precedence: (class, pattern). Packs may replace it.
-SECTION_RULES = (
-    ("required", r"^\W*(?:required|must|mandatory|必須)[^\n]{0,20}?(?:skills?|conditions?|スキル|条件)?\W*$|^\W*(?:required skills?|must have|必須スキル|必須条件)\s*[::]"),
-    ("optional", r"^\W*(?:preferred|optional|nice to have|尚可|歓迎)[^\n]{0,20}?(?:skills?|スキル|条件)?\W*$|^\W*(?:preferred skills?|nice to have|尚可スキル)\s*[::]"),
-    ("hard_stop", r"^\s*(?:--+|==+|__+|best regards|sincerely|以上|よろしくお願い)"),
-    ("soft_stop", r"^\W*(?:location|period|rate|price|remarks?|interview|勤務地|期間|単価|備考|面談)\s*[::]"),
-)
-
-
-def scan_sections(text: str, rules: Sequence[tuple[str, str]] = SECTION_RULES, longest: int = 80) -> tuple[list[str], list[str]]:
-    """(required, optional) items of a text. States: none, required, optional, done. A header
-    enters its state, and what stands behind its colon is an item; a soft stop leaves, a hard stop
-    in a section ends the scan. In a section, bullet lines are items, and short lines too. A line
-    "one of the following" is no item; with a colon and a phrase behind it is added to the short
-    items below."""
-    patterns = [(k, re.compile(p, re.IGNORECASE)) for k, p in rules]
-    items: dict[str, list[str]] = {"required": [], "optional": []}
-    state, context = "none", ""
-    for line in text.split("\n"):
-        kind = next((k for k, p in patterns if p.search(line)), "content")
-        if kind in items:
-            state, context = kind, ""
-            inline = re.split(r"[::]", line, maxsplit=1)[1:]
-            items[kind] += [x.strip() for x in re.split(r"[・•]", inline[0]) if x.strip()] if inline else []
-        elif state == "none":
-            continue
-        elif kind == "hard_stop":
-            break
-        elif kind == "soft_stop":
-            state = "none"
-        else:
-            bullet = re.match(r"^\s*(?:[-*・•●○■□◆◇]|\d+[.)])\s*(.+)$", line)
-            item = (bullet[1] if bullet else line).strip()
-            head = re.match(r"(?:any|one) of the following(?:\s*[::]\s*(.*))?$|(?:以下の)?いずれか(?:[::]\s*(.*))?$", item, re.IGNORECASE)
-            if head:
-                context = (head[1] or head[2] or "").strip()
-            elif item and (bullet or len(item) <= longest):
-                added = f"{item} {context}" if context and len(item) + len(context) < longest and context not in item else item
-                items[state].append(added)
-    return list(dict.fromkeys(items["required"])), list(dict.fromkeys(items["optional"]))
-
-
-def sectioned(df: DataFrame, *, text: str = "text", rules: Sequence[tuple[str, str]] = SECTION_RULES) -> DataFrame:
-    """``df`` with required_skills and optional_skills; a null text has none."""
-    rules = tuple(rules)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            found = [scan_sections(x, rules) if isinstance(x, str) else ([], []) for x in series]
-            yield pd.DataFrame(found, columns=["required_skills", "optional_skills"])
-
-    scan = F.pandas_udf(run, "required_skills array<string>, optional_skills array<string>")
-    return df.withColumn("_s", scan(F.col(text))).select(*df.columns, "_s.*")
-
-
 def label_value(text: Column, label: str, header: str = "^\\s*[【\\[■◆●]") -> Column:
     """What follows a label: behind its colon, else on the next line that isn't empty or a header."""
     pattern = f"(?m)^[^\\n]*?(?:{label})[ \\t\\u3000】\\]]*[::]?[ \\t\\u3000]*([^\\n]*)(?:\\n\\s*([^\\n]+))?"
     inline, below = F.trim(F.regexp_extract(text, pattern, 1)), F.trim(F.regexp_extract(text, pattern, 2))
     return F.when(inline != "", inline).when((below != "") & ~below.rlike(header), below)
-
-
-def trim_signature(text: Column, case_header: str, contact: str, least: int = 5) -> Column:
-    """Without the signature: all from the last separator before the last contact line, if that
-    line stands at least ``least`` lines behind the last case header."""
-    lines = F.split(text, "\n", -1)
-    flags = lambda p: F.array_max(F.transform(lines, lambda x, i: F.when(x.rlike(p), i).otherwise(F.lit(-1))))
-    last, head = flags(contact), flags(case_header)
-    rule = F.array_max(F.transform(lines, lambda x, i: F.when((i <= last) & (i > head) & x.rlike("^\\s*[-=_*━─]{3,}\\s*$"), i).otherwise(F.lit(-1))))
-    cut = F.when(rule >= 0, rule).otherwise(last)
-    return F.when((last >= 0) & (last - head >= least), F.array_join(F.slice(lines, F.lit(1), F.greatest(cut, F.lit(0))), "\n")).otherwise(text)

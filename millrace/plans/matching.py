@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import dedupe_key, join_cjk, mail_address, nfkc
-from ..operators import annotate, classify, fields, judge, packs, pairs, places, rows, scores
+from ..operators import annotate, classify, fields, judge, packs, pairs, places, rows, scores, sections
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ def typed(mails: DataFrame, config: Config) -> DataFrame:
 def demands(mails: DataFrame, config: Config) -> DataFrame:
     """One row per demand with all attributes."""
     body = F.col("body")
-    df = annotate.sectioned(annotate.annotated(mails, config.skills, text="body"), text="body")
+    df = sections.sectioned(annotate.annotated(mails, config.skills, text="body"), text="body")
     needed = F.array_join("required_skills", "\n")
     return df.select(
         F.col("message_id").alias("demand_id"), F.col("sender").alias("demand_from"), F.col("subject").alias("demand_subject"), "required_skills", "optional_skills",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import numbers, text
-from .operators import annotate, history, judge, pairs, render, rows, scores
+from .operators import annotate, history, judge, pairs, render, rows, scores, sections
 from .operators.rules import Rule, first_match
 from .sources import jsonl
 
@@ -239,7 +239,7 @@ def phase_annotate(spark, d):
 @query()
 def section_scan(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.concat(F.lit("Required skills:\n"), c("text"), F.lit("\nPreferred skills: a・b\n- c\n---\nend")).alias("text"))
-    found = annotate.sectioned(docs)
+    found = sections.sectioned(docs)
     return found.select("doc_id", F.size("required_skills").alias("n_required"), F.array_join("optional_skills", ",").alias("optional"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import numbers, text
-from millrace.operators import annotate, history, judge, packs, pairs, render, rows, scores
+from millrace.operators import annotate, history, judge, packs, pairs, render, rows, scores, sections
 from millrace.operators.rules import Rule, first_match, lines_with, range_of, windows
 from millrace.sources import documents, jsonl
 from millrace.streaming import mails
@@ -68,7 +68,7 @@ def one(spark, value, build, ddl="t string"):
         (lambda x: numbers.marks(F.lit("Spring Boot"), x), "uses spring", True),
         (lambda x: annotate.label_value(x, "最寄駅"), "【最寄駅】\n渋谷\nx", "渋谷"),
         (lambda x: annotate.label_value(x, "単価"), "単価: 60万", "60万"),
-        (lambda x: annotate.trim_signature(x, "案件", "TEL"), "案件\n1\n2\n3\n4\n-----\nABC社\nTEL 03", "案件\n1\n2\n3\n4"),
+        (lambda x: sections.trim_signature(x, "案件", "TEL"), "案件\n1\n2\n3\n4\n-----\nABC社\nTEL 03", "案件\n1\n2\n3\n4"),
         (lambda x: rows.drop_lines(x, ["^お世話"], "^--"), "お世話です\na\n--\nb", "a"),
         (lambda x: lines_with(x, "単価", 1), "a\n単価\n60万\nb", "単価\n60万"),
         (lambda x: windows(x, "歳", 2, 1), "まで45歳です", "45歳で"),
@@ -242,9 +242,9 @@ def test_annotation(spark):
 
 
 def test_sections(spark):
-    body = "Hello\nRequired skills: Java・SQL\n- Spring\none of the following: design\n- API\nLocation: Tokyo\nRust\nPreferred skills\n* Go\n" + "x" * 90 + "\n---\n- after"
-    assert annotate.scan_sections(body) == (["Java", "SQL", "Spring", "API design"], ["Go"])
-    df = annotate.sectioned(spark.createDataFrame([(body,), (None,)], "text string")).collect()
+    body = "Hello\nRequired skills: Java・SQL\n- Spring\none of the following: design\n  - API\nLocation: Tokyo\nRust\nPreferred skills\n* Go\n" + "x" * 90 + "\n---\n- after"
+    assert sections.Sections().scanner().scan(body) == (["Java", "SQL", "Spring", "API design"], ["Go"])
+    df = sections.sectioned(spark.createDataFrame([(body,), (None,)], "text string")).collect()
     assert df[0]["optional_skills"] == ["Go"] and df[1]["required_skills"] == []
 
 

@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from millrace import mail_queries, queries  # noqa: F401  the first registers its queries in the second
+from millrace import mail_queries, queries, text_queries  # noqa: F401  they register their queries in queries
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
