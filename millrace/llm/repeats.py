@@ -10,12 +10,13 @@
    (see suffix_array): a window is repeated if it shares 200 bytes with a neighbour, or if its
    context has a count of two.
 4. An anchor with more than SHARD_CONTEXTS contexts is spread over several shards. These publish
-   their distinct windows in parts by hash, as many as the anchor's own shards ask for. Equal windows
-   have equal anchors, so the lists of one part of one anchor meet, and no others: what is in two is repeated.
+   their distinct windows, from their suffix arrays, in parts by digest, as many as the anchor's own shards ask
+   for. Equal windows have equal anchors, so the sorted lists of one part of one anchor meet, and no others; they are
+   merged by binary search: a window whose digest is found twice in the merged list is repeated.
 5. The windows' places go back to the texts, and their union is what is removed.
 
-Memory is bounded by shards; no step drops rows. Windows and pieces are told apart by 64-bit
-hashes in 1, 2 and 4, and by their bytes in 3.
+Memory is bounded by shards; no step drops rows. Pieces and contexts are told apart by 64-bit hashes in 1
+and 2, windows by their bytes in 3 and by 128-bit digests in 4: their bytes would be 90 times those of the contexts.
 
 Nulls: a null text counts as empty. Equal texts are repeats of each other. Texts of fewer than 200
 bytes keep all. Empty tables give empty results.
@@ -41,6 +42,8 @@ SHARD_BYTES = 4 << 20
 SHARD_CONTEXTS = 4096
 PART_BYTES = 1 << 20
 FILTER_BITS = 26
+#: Values of bytes for the second half of a digest.
+SECOND = mix((np.arange(256, dtype=U) + U(1)) * U(0xBF58476D1CE4E5B9)) | U(1)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[Prefix, np.ndarray, np.ndarray, np.ndarray]:
@@ -185,10 +188,11 @@ def _published(window: int):
 
     def run(table: pa.Table) -> pa.Table:
         data, room, owner, order = _windows(table, window)
-        prefix = Prefix(byte_table(False)[data])
-        name = prefix.of(order, order + window)
-        name, first = np.unique(name, return_index=True)
-        at = order[first]
+        common = kasai(data, room, order)
+        at = order[common < window]  # equal windows are neighbours: the first of each
+        name, second = (Prefix(t[data]).of(at, at + window) for t in (byte_table(False), SECOND))
+        by = np.lexsort((second, name))
+        at, name, second = at[by], name[by], second[by]
         begin = np.append(0, np.cumsum(table.column("size").to_numpy()))[owner[at]]
         context, start = table.column("context").to_numpy()[owner[at]], (at - begin).astype(np.int32)
         part = (name % U(4 * table.column("pieces")[0].as_py())).astype(np.int64)
@@ -196,17 +200,28 @@ def _published(window: int):
         found, low = np.unique(part[by], return_index=True)
         cut = lambda x: pa.array([x[by][a:b].tobytes() for a, b in zip(low, np.append(low[1:], len(by)), strict=True)], pa.binary())
         anchor = np.full(len(found), table.column("anchor")[0].as_py(), np.int64)
-        return pa.table({"anchor": anchor, "part": found, "names": cut(name), "contexts": cut(context), "starts": cut(start)})
+        return pa.table({"anchor": anchor, "part": found, "names": cut(name), "seconds": cut(second), "contexts": cut(context), "starts": cut(start)})
 
     return run
 
 
 def _merged(table: pa.Table) -> pa.Table:
-    """Places of the windows that two lists have, of the lists of one part of one anchor; a list has none twice."""
-    read = lambda column, kind: np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
-    _, same, n = np.unique(read("names", U), return_inverse=True, return_counts=True)
-    met = n[same] > 1
-    context, start = read("contexts", np.int64)[met], read("starts", np.int32)[met].astype(np.int64)
+    """Places of the windows that two lists have, of the lists of one part of one anchor; a list is sorted and has none twice."""
+    lists = lambda column, kind: [np.frombuffer(x, kind) for x in table.column(column).to_pylist()]
+    names, seconds = lists("names", U), lists("seconds", U)
+    whole = np.concatenate(names)
+    order = np.lexsort((np.concatenate(seconds), whole))
+    whole, other = whole[order], np.concatenate(seconds)[order]
+    met = []
+    for name, second in zip(names, seconds, strict=True):
+        low, high = np.searchsorted(whole, name), np.searchsorted(whole, name, "right")
+        same = np.zeros(len(name), np.int64)
+        for step in range(int((high - low).max(initial=0))):  # as many as lists have the first half of a digest
+            at = np.minimum(low + step, len(whole) - 1)
+            same += (low + step < high) & (other[at] == second)
+        met.append(same > 1)
+    met = np.concatenate(met)
+    context, start = np.concatenate(lists("contexts", np.int64))[met], np.concatenate(lists("starts", np.int32))[met].astype(np.int64)
     order = np.lexsort((start, context))
     return _ranges(context[order], start[order])
 
@@ -229,7 +244,7 @@ def spans(docs: DataFrame, *, text: str = "text", window: int = 200) -> DataFram
     if not per_anchor.filter("pieces > 1").isEmpty():
         spread = many.select("anchor", "piece", "pieces", *columns[1:]).groupBy("anchor", "piece")
         found = found.union(spread.applyInArrow(_shard_ranges(window), RANGES))
-        published = spread.applyInArrow(_published(window), "anchor long, part long, names binary, contexts binary, starts binary")
+        published = spread.applyInArrow(_published(window), "anchor long, part long, names binary, seconds binary, contexts binary, starts binary")
         found = found.union(published.groupBy("anchor", "part").applyInArrow(_merged, RANGES))
     found = written(found, "ranges")
     places = written(placed.select("context", "text_id", "first").distinct(), "places")
