@@ -166,8 +166,7 @@ class Automaton:
         first = np.flatnonzero(known & ~joined)
         group = np.cumsum(known & ~joined) - 1
         count = np.bincount(group[known], minlength=len(first)) if len(first) else none
-        full = count >= self.shortest
-        return first[full], count[full], code
+        return first, count, code
 
     def match(self, codes: list[int]) -> tuple[list[tuple[int, int]], set[str], int]:
         """Matches (first word, word behind the last) in a run, their items, the longest length."""
@@ -196,14 +195,17 @@ class Automaton:
         return spans, items, longest
 
 
-def scan(automaton: Automaton, texts: pa.Array) -> tuple[Words, np.ndarray, list[set[str]], np.ndarray]:
-    """The words, which of them are hit, the items of each row, the longest match of each row."""
+def scan(automaton: Automaton, texts: pa.Array, lengths: bool = True) -> tuple[Words, np.ndarray, list[set[str]], np.ndarray]:
+    """The words, which of them are hit, the items of each row, the longest match of each row. Without ``lengths``
+    only matches of a window count for the last; with them shorter runs are matched as well, the
+    longest first, as far as a row may find a longer match there."""
     words = Words(texts, ALNUM, fold=True)
     hit = np.zeros(len(words.hash), bool)
     items: list[set[str]] = [set() for _ in words.counts]
     longest = np.zeros(len(words.counts), np.int64)
     first, count, code = automaton.runs(words)
-    for start, n in zip(first.tolist(), count.tolist(), strict=True):
+    full = count >= automaton.shortest
+    for start, n in zip(first[full].tolist(), count[full].tolist(), strict=True):
         spans, names, length = automaton.match(code[start : start + n].tolist())
         row = words.doc[start]
         longest[row] = max(longest[row], length)
@@ -211,6 +213,12 @@ def scan(automaton: Automaton, texts: pa.Array) -> tuple[Words, np.ndarray, list
             items[row] |= names
             for low, high in spans:
                 hit[start + low : start + high] = True
+    if lengths:
+        rest = np.flatnonzero(~full & (count > longest[words.doc[first]])) if len(first) else first
+        rest = rest[np.argsort(-count[rest], kind="stable")]
+        for start, n, row in zip(first[rest].tolist(), count[rest].tolist(), words.doc[first[rest]].tolist(), strict=True):
+            if n > longest[row]:
+                longest[row] = max(longest[row], automaton.match(code[start : start + n].tolist())[2])
     return words, hit, items, longest
 
 
@@ -246,12 +254,12 @@ def automaton(items: DataFrame, block: int, window: int) -> Automaton:
     return Automaton([(r["name"], coded.hash[coded.first[i] : coded.first[i + 1]]) for i, r in enumerate(rows)], window)
 
 
-def _scanner(shared: Broadcast, names: list[str], hit_only: bool = False):
+def _scanner(shared: Broadcast, names: list[str], hit_only: bool = False, lengths: bool = True):
     """A mapInArrow function: the columns ``names`` and FOUND of each row (of which one is ``_text``), or of those only in which some words match."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            words, hit, items, longest = scan(shared.value, batch.column("_text"))
+            words, hit, items, longest = scan(shared.value, batch.column("_text"), lengths)
             row, low, high = bounds(words, hit)
             pair = pa.StructArray.from_arrays([pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["first", "behind"])
             spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(items) + 1)).astype(np.int32)), pair)
@@ -292,17 +300,17 @@ def _united(parts: DataFrame) -> DataFrame:
     return mapped(grouped, run, "_key binary, n_hit long, longest long, items array<string>, spans array<struct<first:int,behind:int>>")
 
 
-def _found(rows: DataFrame, blocks: int, items: DataFrame, window: int) -> DataFrame:
+def _found(rows: DataFrame, blocks: int, items: DataFrame, window: int, lengths: bool = True) -> DataFrame:
     """``rows`` (with ``_text``), with FOUND over all blocks of the benchmark."""
     share = rows.sparkSession.sparkContext.broadcast
     if blocks == 1:
-        return mapped(rows, _scanner(share(automaton(items, 0, window)), rows.columns), _schema(rows, rows.columns))
+        return mapped(rows, _scanner(share(automaton(items, 0, window)), rows.columns, lengths=lengths), _schema(rows, rows.columns))
     keyed = rows.withColumn("_key", F.unhex(text_key(F.col("_text"))))
     first, parts = None, []
     for block in range(blocks):
         names = ["_key"] if block else keyed.columns
         shared = share(automaton(items, block, window))
-        part = mapped(keyed, _scanner(shared, names, bool(block)), _schema(keyed, names))
+        part = mapped(keyed, _scanner(shared, names, bool(block), lengths), _schema(keyed, names))
         if block:
             parts.append(written(part.dropDuplicates(["_key"]), "decontamination"))
         else:
@@ -329,10 +337,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     rows = docs.select(kept_row(docs, text), F.col(text).alias("_text"))
     schema = T.StructType([rows.schema["row"], T.StructField("_text", T.StringType())])
     if blocks == 1:
-        scanned = _scanner(docs.sparkSession.sparkContext.broadcast(automaton(items, 0, window)), rows.columns)
+        scanned = _scanner(docs.sparkSession.sparkContext.broadcast(automaton(items, 0, window)), rows.columns, lengths=False)
         cut = mapped(rows, lambda batches: _cut(scanned(batches), coverage), schema)
     else:
-        cut = mapped(_found(rows, blocks, items, window), lambda batches: _cut(batches, coverage), schema)
+        cut = mapped(_found(rows, blocks, items, window, False), lambda batches: _cut(batches, coverage), schema)
     return cut.select(*[F.col("_text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
