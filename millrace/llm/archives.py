@@ -22,7 +22,9 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -83,26 +85,47 @@ def iso_date(stamp: str) -> str:
     return f"{full[:4]}-{full[4:6]}-{full[6:8]}T{full[8:10]}:{full[10:12]}:{full[12:14]}Z"
 
 
+HEAD_END = re.compile(rb"\r?\n\r?\n")
+
+
 def http_header(head: bytes, name: str) -> str | None:
-    for line in head.split(b"\r\n"):
+    for line in head.split(b"\n"):
         key, colon, value = line.partition(b":")
         if colon and key.strip().lower() == name.encode():
             return value.strip().decode("utf-8", "replace")
     return None
 
 
+def page_of(head: bytes) -> int | None:
+    """The number in our own header; anything else that an archive has there is none."""
+    found = http_header(head, "x-page-id")
+    return int(found) if found and re.fullmatch("-?[0-9]{1,18}", found) else None
+
+
+def split_http(content: bytes) -> tuple[bytes, bytes] | None:
+    """Header and payload of an HTTP response, whose header may end in plain line feeds."""
+    end = HEAD_END.search(content) if content.startswith(b"HTTP/") else None
+    return (content[: end.end()], content[end.end() :]) if end else None
+
+
 def convert_record(file: str, offset: int, fields: list[str], content: bytes) -> tuple:
     uri, ip, stamp, mime = fields[:4]
-    head, payload, kind = b"", content, "resource"
-    if offset == 0:
-        kind = "warcinfo"
-    elif content.startswith(b"HTTP/") and b"\r\n\r\n" in content:
-        kind = "response"
-        cut = content.index(b"\r\n\r\n") + 4
-        head, payload = content[:cut], content[cut:]
-    page = http_header(head, "x-page-id")
+    parts = split_http(content) if offset else None
+    head, payload = parts or (b"", content)
+    kind = "response" if parts else "resource" if offset else "warcinfo"
     name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{offset}')}>"
-    return (int(page) if page else None, kind, name, uri, ip, iso_date(stamp), mime, head, payload, len(payload), sha1_32(payload), sha1_32(content))
+    return (page_of(head), kind, name, uri, ip, iso_date(stamp), mime, head, payload, len(payload), sha1_32(payload), sha1_32(content))
+
+
+def converted(file: str, data: bytes) -> Iterator[tuple]:
+    """The records of a file; where it breaks off or isn't an archive, a row of the type "broken" with the file and the
+    error ends them."""
+    try:
+        for record in parse_arc(_plain(data)):
+            yield convert_record(file, *record)
+    except (ValueError, IndexError, EOFError, OSError, zlib.error) as error:
+        name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#broken')}>"
+        yield (None, "broken", name, file, None, None, f"{type(error).__name__}: {error}"[:500], b"", b"", 0, sha1_32(b""), sha1_32(b""))
 
 
 def _rows(rows: Iterator[tuple[tuple, int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -124,7 +147,7 @@ def _arrow(ddl: str) -> pa.Schema:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
 def _plain(data: bytes) -> BinaryIO:
@@ -163,12 +186,14 @@ def write_arc(pages: DataFrame, path: str, *, version: int | Column = 1, url: st
 
 
 def convert(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the ARC files below ``path``, with what their WARC headers need."""
-    schema = _arrow(CONVERTED)
+    """Records of the ARC files below ``path``, with what their WARC headers need. Records are named by their file's place
+    below ``path``. A file that is broken gives its records up to there, then one of the type "broken" (uri: the file,
+    mime: the error), which ``write_warc`` leaves out; the others don't suffer."""
+    schema, root = _arrow(CONVERTED), path.rstrip("/").rsplit("/", 1)[-1] + "/"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = ((p.as_py(), c.as_py()) for batch in batches for p, c in zip(batch.column(0), batch.column(1), strict=True))
-        yield from _rows(((convert_record(p.rsplit("/", 1)[-1], *r), len(r[2])) for p, c in files for r in parse_arc(_plain(c))), schema)
+        yield from _rows(((r, len(r[8])) for p, c in files for r in converted(p.split(f"/{root}", 1)[-1], c)), schema)
 
     return mapped(_files(spark, path), run, CONVERTED)
 
@@ -176,6 +201,7 @@ def convert(spark: SparkSession, path: str) -> DataFrame:
 def write_warc(records: DataFrame, path: str, *, order: str = "page_id", least: int = 0, per_file: int = 20_000) -> None:
     """Converted records as WARC files. Of responses with equal payloads of ``least`` bytes at
     least, the first by ``order`` (null last) is written whole, the others as revisits."""
+    records = records.filter(F.col("type") != "broken")
     eligible = (F.col("type") == "response") & (F.col("payload_length") >= least)
     rank = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("by"), F.col("record_id").alias("id"), F.col("uri").alias("uri"), F.col("date").alias("date"))
     first = records.filter(eligible).groupBy("payload_digest").agg(F.min(rank).alias("first"))
@@ -227,15 +253,11 @@ def parse_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def _read_record(fields: dict[str, str], block: bytes) -> tuple:
     kind = fields["warc-type"]
-    head, payload = b"", block
-    if kind in ("response", "revisit") and b"\r\n\r\n" in block:
-        cut = block.index(b"\r\n\r\n") + 4
-        head, payload = block[:cut], block[cut:]
-    page = http_header(head, "x-page-id")
+    head, payload = (split_http(block) if kind in ("response", "revisit") else None) or (b"", block)
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
     whole = kind in ("response", "resource")
     size = len(payload) if whole else None
-    return (int(page) if page else None, kind, fields["warc-record-id"], fields.get("warc-refers-to"), fields.get("warc-target-uri"), fields["warc-date"], size, digest, sha1_32(payload) == digest if whole else None)
+    return (page_of(head), kind, fields["warc-record-id"], fields.get("warc-refers-to"), fields.get("warc-target-uri"), fields["warc-date"], size, digest, sha1_32(payload) == digest if whole else None)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
