@@ -168,7 +168,8 @@ def matches(docs: DataFrame, licenses: DataFrame, *, text: str = "text", thresho
     marks = anchors([r["text"] for r in licenses.select("text").sort(F.length("text"), "text").collect()], threshold) if few else None
     marks = marks if marks and len(marks) <= MOST_ANCHORS else None
     texts = with_words(docs.select(F.col(text).alias("_text")), F.col("_text"), marks)
-    parts = texts.select(text_key(F.col("_text")).alias("text_id"), F.posexplode(units(F.col("_text"))).alias("unit", "part"))
+    texts = texts.groupBy(text_key(F.col("_text")).alias("text_id")).agg(F.first("_text").alias("_text"))  # copies are one before anything is cut
+    parts = texts.select("text_id", F.posexplode(units(F.col("_text"))).alias("unit", "part"))
     parts = with_words(parts, F.col("part"), marks)
     found = parts.withColumn("found", words(F.col("part"))).filter(F.size("found") > F.lit(least)).select("text_id", "unit", F.explode(F.array(bigrams(F.col("found")))).alias("pairs"))
     found = found.withColumn("u", F.size("pairs")).filter(F.col("u").between(least, most))
