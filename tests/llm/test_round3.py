@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, collocations, vector_codes
+from millrace.llm import archives, chat, collocations, decontamination, repeats, vector_codes
 from millrace.llm.shared import Tables
 
 
@@ -161,3 +161,75 @@ def test_vector_codes_of_odd_tables(spark):
         vector_codes.compress(spark.createDataFrame([(1, [1.0] * 3, 1)], schema))
     with pytest.raises(Exception, match="too large"):
         vector_codes.compress(spark.createDataFrame([(1, [3e30] * 4, 1)], schema))
+
+
+def arc(records, declared=0):
+    head = b"1 0 own\nURL IP-address Archive-date Content-type Archive-length\n"
+    out = b"filedesc://x.arc 0.0.0.0 20240101000000 text/plain %d\n%s\n" % (len(head), head)
+    for i, content in enumerate(records):
+        out += b"http://x.example/%d 1.2.3.4 20240102030405 text/html %d\n%s\n" % (i, len(content) + declared * (i == len(records) - 1), content)
+    return out
+
+
+def test_archives_as_they_are_found(spark, tmp_path):
+    plain = b"HTTP/1.0 200 OK\nX-Page-Id: home\nContent-Type: text/html\n\n<p>x</p>"
+    for folder in ("a", "b"):
+        (tmp_path / "arcs" / folder).mkdir(parents=True)
+        (tmp_path / "arcs" / folder / "one.arc").write_bytes(arc([plain, b"HTTP/1.1 200 OK\r\nX-Page-Id: 7\r\n\r\nbody\n\nmore"]))
+    (tmp_path / "arcs" / "a" / "cut.arc").write_bytes(arc([plain, b"HTTP/1.1 200 OK\r\n\r\nz"], declared=99))
+    (tmp_path / "arcs" / "a" / "junk.arc.gz").write_bytes(b"\x1f\x8bnot gzip")
+    found = archives.convert(spark, str(tmp_path / "arcs")).collect()
+    kinds = Counter(r["type"] for r in found)
+    assert kinds == {"warcinfo": 3, "response": 5, "broken": 2}
+    assert {bytes(r["payload"]) for r in found if r["type"] == "response"} == {b"<p>x</p>", b"body\n\nmore"}
+    assert {r["page_id"] for r in found} == {None, 7} and len({r["record_id"] for r in found}) == len(found)
+    assert sorted(r["uri"] for r in found if r["type"] == "broken") == ["a/cut.arc", "a/junk.arc.gz"]
+    archives.write_warc(archives.convert(spark, str(tmp_path / "arcs")), str(tmp_path / "warc"))
+    read = archives.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert Counter(r["type"] for r in read) == {"warcinfo": 3, "response": 2, "revisit": 3} and all(r["digest_ok"] for r in read if r["type"] == "response")
+
+
+@pytest.mark.parametrize("block", [500_000, 20])
+def test_longest_matches_are_those_of_any_length(spark, block):
+    draw = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(30)]
+    text = lambda n: " ".join(draw.choice(vocabulary) for _ in range(n))
+    items = [(i, text(14)) for i in range(6)]
+    docs = [(i, text(25)) for i in range(40)] + [(100, " ".join(items[2][1].split()[2:11])), (101, "zz yy"), (102, None), (103, items[3][1])]
+
+    def plain(words):
+        best = 0
+        for _, item in items:
+            own = item.split()
+            for i, j in itertools.product(range(len(words)), range(len(own))):
+                n = 0
+                while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                    n += 1
+                best = max(best, n)
+        return best
+
+    found = decontamination.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_words=block)
+    got = {r["doc_id"]: r["longest"] for r in found.collect()}
+    assert got == {i: plain((t or "").split()) for i, t in docs} and got[100] == 9
+
+
+def test_equal_windows_of_several_shards(monkeypatch):
+    """Digests that agree in their first half only are not taken for equal."""
+    import pyarrow as pa
+
+    one, two = np.array([3, 3, 5], np.uint64), np.array([3, 5, 9], np.uint64)
+    table = pa.table({
+        "names": [one.tobytes(), two.tobytes()], "seconds": [np.array([1, 2, 7], np.uint64).tobytes(), np.array([2, 8, 1], np.uint64).tobytes()],
+        "contexts": [np.array([10, 11, 12]).tobytes(), np.array([20, 21, 22]).tobytes()], "starts": [np.zeros(3, np.int32).tobytes()] * 2,
+    })
+    assert repeats._merged(table).column("context").to_pylist() == [11, 20]
+
+
+def test_copies_are_compared_once(spark):
+    from millrace.llm import licenses
+
+    text = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    known = spark.createDataFrame([("MIT", text)], "license string, text string")
+    docs = spark.createDataFrame([(i, text) for i in range(50)] + [(99, "other words")], "doc_id long, text string")
+    found = licenses.matches(docs, known)
+    assert found.select("text_id").distinct().count() == 1 and licenses.scan(docs, known).filter("n_matches > 0").count() == 50
