@@ -161,14 +161,30 @@ def redact(text: Column) -> Column:
     return reduce(lambda t, m: F.when(m[2], F.regexp_replace(t, m[1], m[0])).otherwise(t), masks, text)
 
 
-def sanitised(text: Column, noise: Sequence[tuple[str, str]]) -> Column:
-    """(text, reasons): lines that match one of ``noise`` (reason, pattern) are dropped, the rest
-    is redacted; if nothing is left, the redacted original. Reasons are sorted."""
+#: Names by which people are met in chats: a service, then its id.
+CHAT = "(?i)\\b((?:LINE|Skype|Slack|Teams|Chatwork|Discord)\\s*(?:ID)?\\s*[:=]\\s*)[@A-Za-z0-9._-]{3,}"
+#: Lines that are noise at the edges of a text only: greetings, rules, names of the writer.
+EDGE = "^[\\s*=_~━─-]*$|^(?:お世話に|いつも|よろしく|宜しく|(?:dear|hello|hi)[ ,]|best |kind |regards|sincerely)"
+
+
+def masked(text: Column, domains: Sequence[str] = ()) -> Column:
+    """``domains`` (own names and hosts) masked first, then what ``redact`` masks, then ids of chats."""
+    own = reduce(lambda t, d: F.regexp_replace(t, "(?i)(?<![A-Za-z0-9])\\Q" + d + "\\E(?![A-Za-z0-9])", "[DOMAIN]"), sorted(domains, key=lambda d: (-len(d), d)), text)
+    return F.regexp_replace(redact(own), CHAT, "$1[CHAT]")
+
+
+def sanitised(text: Column, noise: Sequence[tuple[str, str]], domains: Sequence[str] = (), edge: str = EDGE) -> Column:
+    """(text, reasons): lines that match one of ``noise`` (reason, pattern) are dropped, the rest is masked, and
+    lines that match ``edge`` go at both ends; if nothing is left, the masked original. Reasons are
+    sorted, one each. Without rules no line is dropped."""
     lines = F.split(text, "\n", -1)
-    reason = lambda line: F.coalesce(*[F.when(line.rlike(p), F.lit(r)) for r, p in noise])
-    kept = F.btrim(redact(F.array_join(F.filter(lines, lambda x: reason(x).isNull()), "\n")), F.lit(" \n\t\r"))
+    reason = lambda line: F.coalesce(*[F.when(line.rlike(p), F.lit(r)) for r, p in noise], F.lit(None).cast("string"))
+    left = F.filter(lines, lambda x: reason(x).isNull())
+    places = F.filter(F.transform(left, lambda x, i: F.when(~x.rlike(f"(?i){edge}"), i)), lambda i: i.isNotNull())
+    low, high = F.coalesce(F.array_min(places), F.lit(0)), F.coalesce(F.array_max(places), F.lit(-1))
+    kept = F.btrim(masked(F.array_join(F.slice(left, low + 1, F.greatest(high - low + 1, F.lit(0))), "\n"), domains), F.lit(" \n\t\r"))
     why = F.array_sort(F.array_distinct(F.filter(F.transform(lines, reason), lambda x: x.isNotNull())))
-    return F.struct(F.when(kept == "", redact(text)).otherwise(kept).alias("text"), why.alias("reasons"))
+    return F.struct(F.when(kept == "", masked(text, domains)).otherwise(kept).alias("text"), why.alias("reasons"))
 
 
 def urls(text: Column) -> Column:

@@ -55,16 +55,33 @@ def reply_target(text: Column, reply_to: Column, sender: Column) -> Column:
     return F.struct(F.coalesce(F.get(asked, F.lit(0)), mail_address(first_nonempty(reply_to, sender))).alias("address"), (F.size(asked) > 1).alias("ambiguous"))
 
 
-def keywords(sentences: Column, terms: Sequence[str], noise: str = "$^", generic: Sequence[str] = ()) -> Column:
-    """Terms of a dictionary in the sentences that aren't noise, plus "N years" tokens; if all are
-    generic, those tokens come first. Longest terms are listed first."""
-    clean = F.filter(sentences, lambda s: ~s.rlike(noise))
-    joined = F.lower(F.array_join(clean, "\n"))
-    words = F.array(*[F.lit(w) for w in sorted(set(terms), key=lambda w: (-len(w), w))])
-    hits = F.filter(words, lambda w: F.contains(joined, F.lower(w)))
-    years = F.array_distinct(F.regexp_extract_all(joined, F.lit("[0-9]{1,2}年(?:以上)?"), F.lit(0)))
+def keyword_spans(sentences: Column, terms: Sequence[str]) -> Column:
+    """Terms of a dictionary in an array of sentences, in the order of their places, each once. Longer terms take
+    their place first, so a term inside of a longer one is met only where it stands alone; ASCII terms need a border."""
+    known = sorted({t for t in terms if t}, key=lambda t: (-len(t), t))
+    if not known:
+        return F.array().cast("array<string>")
+    form = {t.lower(): t for t in reversed(known)}
+    plain = lambda t: "\\Q" + t + "\\E"
+    one = lambda t: f"(?<![A-Za-z0-9.-]){plain(t)}(?![A-Za-z0-9-])" if t.isascii() else plain(t)
+    joined = F.array_join(F.coalesce(sentences, F.array().cast("array<string>")), "\n")
+    hits = F.regexp_extract_all(joined, F.lit("(?iu)" + "|".join(map(one, known))), F.lit(0))
+    names = F.create_map(*[F.lit(x) for pair in form.items() for x in pair])
+    return F.array_distinct(F.transform(hits, lambda h: F.coalesce(F.try_element_at(names, F.lower(h)), h)))
+
+
+def keywords(sentences: Column, terms: Sequence[str], noise: str = "$^", generic: Sequence[str] = (), phases: Sequence[str] = (), extra: str | None = None) -> Column:
+    """Terms of a dictionary, then phases, in the sentences that aren't noise (by spans: see ``keyword_spans``), what
+    the pattern ``extra`` finds, and "N years" tokens; if all terms are generic, those tokens come first."""
+    clean = F.filter(F.coalesce(sentences, F.array().cast("array<string>")), lambda s: ~s.rlike(noise))
+    hits = keyword_spans(clean, terms)
+    joined = F.array_join(clean, "\n")
+    years = F.regexp_extract_all(joined, F.lit("[0-9]{1,2}年(?:以上)?"), F.lit(0))
+    more = [keyword_spans(clean, phases)] if phases else []
+    more += [F.regexp_extract_all(joined, F.lit(extra), F.lit(0))] if extra else []
     only_generic = F.forall(hits, lambda h: h.isin(*generic) if generic else F.lit(False))
-    return F.when(only_generic, F.array_union(years, hits)).otherwise(F.array_union(hits, years))
+    found = F.array_distinct(F.concat(hits, *more))
+    return F.when(only_generic, F.array_union(years, found)).otherwise(F.array_union(found, years))
 
 
 def valid(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -75,13 +92,20 @@ def valid(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataF
 
 
 def consistent(merged: DataFrame, expected: DataFrame, errors: DataFrame, first: int = 10) -> dict:
-    """Counts and the first errors of a merge; an empty merge, or a gap without errors, raises."""
-    n, want, wrong = merged.count(), expected.count(), errors.count()
-    if want and not n:
+    """Counts and the first errors of a merge; an empty merge, or a gap without errors, raises. One job counts all three;
+    with ``rows.Tally`` on their writes, ``gate`` needs none."""
+    marked = lambda df, name: df.select(F.lit(name).alias("of"))
+    counts = {r["of"]: r["count"] for r in marked(merged, "merged").union(marked(expected, "expected")).union(marked(errors, "errors")).groupBy("of").count().collect()}
+    return gate(*(counts.get(k, 0) for k in ("merged", "expected", "errors"))) | {"first": [r.asDict() for r in errors.limit(first).collect()]}
+
+
+def gate(merged: int, expected: int, errors: int) -> dict:
+    """The counts of a merge, if they fit together."""
+    if expected and not merged:
         raise ValueError("nothing was merged")
-    if n != want and not wrong:
-        raise ValueError(f"{want - n} rows are missing and there is no error")
-    return {"merged": n, "expected": want, "errors": wrong, "first": [r.asDict() for r in errors.limit(first).collect()]}
+    if merged != expected and not errors:
+        raise ValueError(f"{expected - merged} rows are missing and there is no error")
+    return {"merged": merged, "expected": expected, "errors": errors}
 
 
 def display(value: Column, kind: str = "text", none: str = "-") -> Column:

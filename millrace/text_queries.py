@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .functions import registered
-from .operators import places, sections
+from .functions import registered, text
+from .operators import fields, places, sections
 from .queries import query, t
 
 c = F.col
@@ -111,3 +111,21 @@ def registered_functions(spark, d):
         f"SELECT {N}, array_join(terms(concat('JavaScript, Java & ', c_mktsegment)), '|') AS found, nfkc(concat('必須\\u3000', c_mktsegment)) AS folded, "
         f"array_join(skills(concat('必須スキル:\\n・', {K}, '年\\n・SQL')).required_skills, '|') AS wanted FROM _customers"
     )
+
+
+@query(f"SELECT {N}, 'Offer of ' || c_name || ' [DOMAIN]' || chr(10) || 'to [EMAIL], LINE ID: [CHAT]' AS text, CASE WHEN {N} % 2 = 0 THEN 'ad,rule' ELSE 'ad' END AS reasons FROM customer")
+def sanitised_mails(spark, d):
+    """Greetings at the ends, dropped lines, an own host, an address and an id of a chat."""
+    made = F.expr(
+        f"concat_ws('\\n', 'Hello all,', '====', 'BUY ' || c_mktsegment, CASE WHEN {N} % 2 = 0 THEN '#rule' END, 'Offer of ' || c_name || ' own.example', concat('to u', {N}, '@mail.example, LINE ID: u_', {N}), '', 'Best wishes')"
+    )
+    found = t(spark, d, "customer").select(N, text.sanitised(made, [("ad", "^BUY"), ("rule", "^#")], ["own.example"]).alias("s"))
+    return found.select(N, "s.text", F.array_join("s.reasons", ",").alias("reasons"))
+
+
+@query(f"SELECT {N}, CASE {N} % 3 WHEN 0 THEN 'JavaScript|' || c_mktsegment WHEN 1 THEN c_mktsegment || '|Java' ELSE {K} || '年|Java' END AS found FROM customer")
+def keywords_by_spans(spark, d):
+    """A term inside of a longer one, one behind a letter, and years first where all terms are generic."""
+    segments = ["BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE"]
+    said = F.expr(f"CASE {N} % 3 WHEN 0 THEN array('JavaScript, ' || lower(c_mktsegment), 'noise Java') WHEN 1 THEN array('x' || c_mktsegment || ' ' || c_mktsegment, 'java') ELSE array(concat('Java ', {K}, '年')) END")
+    return t(spark, d, "customer").select(N, F.array_join(fields.keywords(said, ["Java", "JavaScript", *segments], "noise", ["Java"]), "|").alias("found"))
