@@ -1,12 +1,13 @@
 """Collocations: phrases whose words occur together far more often than apart, by language.
 
-Each task counts the runs of words it meets in tries of limited depth and writes them out in the
-order of their paths; the runs of all tries are then dealt by ranges of path prefixes, and each range
-is merged in one task. Depths go in three passes, as a phrase can only be frequent if all its words
-and all its pairs are: words, then pairs of frequent words, then deeper paths of frequent pairs.
-What is frequent reaches the tasks as a bitmap of fixed size; with more entries it lets more through,
-and the exact counts behind it decide. In the merged trie a walk towards the root gives the counts of
-all left parts of a phrase, and its chain of suffix links those of all right parts.
+A phrase can only be frequent if all its parts are. So passes over the texts count hashes of words and pairs, then of
+three words whose pairs are frequent, and so on; what is frequent reaches the tasks of the next as a bitmap of
+fixed size. It only lets more through if hashes share a bit or if there is more than it has room for: the exact counts
+of the last pass decide. There each task counts runs of words in tries of limited depth and serialises them in the
+order of their paths, cut by ranges of prefixes (language and two words at most, by their hashes); the sorted runs of a
+range meet in one task, which merges them.
+In the merged trie a walk towards the root gives the counts of all left parts of a phrase, and its chain of suffix links
+those of all right parts.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ TRIE_WORDS = 1 << 21
 SPACE = pa.scalar(" ", pa.large_string())
 #: Bits of the bitmap of what is frequent: 8 MB.
 FILTER_BITS = 26
-#: Code points of a path by which ranges are cut: sampled keys stay small.
-PREFIX = 64
+#: Ranges of prefixes for each shuffle partition of the session.
+RANGES = 4
 
 
 def path_hashes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
@@ -51,9 +52,10 @@ def _hashes(strings: pa.Array) -> np.ndarray:
 
 
 class Shard:
-    """The words of some texts in their order."""
+    """The words of some texts in their order; ``spelled``: with their bytes."""
 
-    def __init__(self):
+    def __init__(self, spelled: bool):
+        self.spelled = spelled
         self.langs: dict[str, int] = {}
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.words = 0
@@ -66,64 +68,128 @@ class Shard:
         np.cumsum(BREAKS[words.bytes], out=broken[1:])
         on = np.zeros(len(words.start), bool)
         on[:-1] = (words.doc[1:] == words.doc[:-1]) & (broken[words.start[1:]] == broken[words.end[:-1]])
-        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], np.int64)[words.doc]
-        self.parts.append((LOWER[words.bytes[words.inside]], words.end - words.start, words.hash, lang, on))
+        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], np.int32)[words.doc]
+        spelled = (LOWER[words.bytes[words.inside]], (words.end - words.start).astype(np.int32)) if self.spelled else ()
+        self.parts.append((words.hash, lang, on, *spelled))
         self.words += len(on)
 
-    def tries(self, low: int, high: int, known: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Paths of ``low`` to ``high`` words with their counts, from tries of TRIE_WORDS words each.
-        ``known`` has bitmaps of frequent words and pairs, as far as they are known."""
-        if not self.words:
-            return
-        data, size, name, lang, on = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+    def _joined(self) -> tuple[pa.Array, list[np.ndarray]]:
+        """Languages in their order, and the words' arrays with the language's place there."""
+        hashes, lang, on, *spelled = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts = []
         order = sorted(self.langs)
-        rank = np.zeros(len(order), np.int64)
+        rank = np.zeros(len(order), np.int32)
         rank[[self.langs[x] for x in order]] = np.arange(len(order))
-        lang, names = rank[lang], pa.array(order, pa.string())
-        of_lang = _hashes(names)[lang]
-        if known:
-            keep = _has(known[0], path_hashes(of_lang, [name]))
-            bytes_kept = np.repeat(keep, size)
-            at = np.flatnonzero(keep)
-            on = on[at] & np.append(at[1:] == at[:-1] + 1, False)
-            data, size, name, lang, of_lang = data[bytes_kept], size[at], name[at], lang[at], of_lang[at]
-        if len(known) > 1:
-            at = np.flatnonzero(on)
-            on[at] = _has(known[1], path_hashes(of_lang[at], [name[at], name[at + 1]]))
-        offsets = np.append(0, np.cumsum(size))
+        return pa.array(order, pa.string()), [hashes, rank[lang], on, *spelled]
+
+    def paths(self, level: int, known: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        """Hashes with their counts of the windows of ``level`` words whose parts are in the bitmap ``known``; without
+        one, of all words as well."""
+        if not self.words:
+            return
+        names, (name, lang, on) = self._joined()
+        for width, hashes, mask in windows(name, _hashes(names)[lang], on, level, known, level - 1):
+            if width == level or known is None:
+                path, n = np.unique(hashes[mask], return_counts=True)
+                for low in range(0, len(path), 1 << 17):
+                    yield pa.RecordBatch.from_arrays([pa.array(path[low : low + (1 << 17)].view(np.int64)), pa.array(n[low : low + (1 << 17)])], ["path", "n"])
+
+    def tries(self, depth: int, known: np.ndarray) -> Iterator[tuple[pa.Table, np.ndarray]]:
+        """Paths of up to ``depth`` words in their order with their counts and the hash of their prefix, from tries of
+        TRIE_WORDS words each, of windows with all parts in the bitmap ``known``; a row without a phrase for each
+        language has the number of all its words."""
+        if not self.words:
+            return
+        names, (name, lang, on, data, size) = self._joined()
+        of_lang = _hashes(names)
+        yield pa.table({"lang": names, "phrase": pa.nulls(len(names), pa.string()), "n": np.bincount(lang, minlength=len(names)).astype(np.int64)}), of_lang
+        masks = []
+        for _, _, mask in windows(name, of_lang[lang], on, depth, known, depth - 1):
+            at = np.flatnonzero(mask) if not masks else at  # words that may be frequent; those of a window stay together
+            masks.append(np.append(mask, np.zeros(len(name) - len(mask), bool))[at])
+        keep = np.zeros(len(name), bool)
+        keep[at] = True
+        data, size, lang = data[np.repeat(keep, size)], size[at], lang[at]
+        del name, keep, at, on
+        offsets = np.append(0, np.cumsum(size, dtype=np.int64))
         for first in range(0, len(size), TRIE_WORDS):
-            last = min(len(size), first + TRIE_WORDS + high - 1)
+            starts, last = min(TRIE_WORDS, len(size) - first), min(len(size), first + TRIE_WORDS + depth - 1)
             text = pa.LargeStringArray.from_buffers(last - first, pa.py_buffer(offsets[first : last + 1] - offsets[first]), pa.py_buffer(data[offsets[first] : offsets[last]]))
-            yield from _trie(text, lang[first:last], on[first:last], min(TRIE_WORDS, last - first), low, high, names)
-
-
-def _trie(text: pa.Array, lang: np.ndarray, on: np.ndarray, starts: int, low: int, high: int, names: pa.Array) -> Iterator[pa.RecordBatch]:
+            yield _trie(text, lang[first : first + starts], [m[first : first + starts] for m in masks], names)
+
+
+def windows(name: np.ndarray, of_lang: np.ndarray, on: np.ndarray, depth: int, known: np.ndarray | None, screened: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each width up to ``depth``: the hashes of the windows that start at each word, and whether the window lies in one
+    piece and has all parts of up to ``screened`` words, itself included, in ``known``."""
+    hashes, mask = of_lang, np.ones(len(name), bool)
+    for width in range(1, depth + 1):
+        if width > 1:
+            hashes, mask = hashes[:-1], mask[:-1] & mask[1:]
+            if width == 2:
+                mask &= on[: len(mask)]
+        hashes = path_hashes(hashes, [name[width - 1 :]])
+        if known is not None and width <= screened:
+            at = np.flatnonzero(mask)
+            mask[at] = _has(known, hashes[at])
+        yield width, hashes, mask
+
+
+def _trie(text: pa.Array, lang: np.ndarray, masks: list[np.ndarray], names: pa.Array) -> tuple[pa.Table, np.ndarray]:
     """One trie, level by level: a node is its parent's number and its last word, and nodes of a
-    level are numbered in the order of their paths."""
+    level are numbered in the order of their paths. ``masks``: where windows of each width start."""
     coded = text.dictionary_encode()
     sort = pc.sort_indices(coded.dictionary).to_numpy()
     place = np.zeros(len(sort), np.int64)
     place[sort] = np.arange(len(sort))
     word, spelled = place[coded.indices.to_numpy()], coded.dictionary.take(pa.array(sort))
-    many = U(len(sort))
-    at, alive = np.arange(starts), on
-    node, of_lang, path, out = lang[:starts], np.arange(len(names)), None, []
-    for depth in range(1, high + 1):
-        if depth > 1:
-            stay = np.flatnonzero(alive[at])
-            at, node = at[stay], node[stay]
-            alive = alive & np.append(alive[1:], False)
-        key, inverse, n = np.unique(node.astype(U) * many + word[at + depth - 1].astype(U), return_inverse=True, return_counts=True)
-        parent, last = (key // many).astype(np.int64), spelled.take(pa.array((key % many).astype(np.int64)))
-        of_lang, node = of_lang[parent], inverse
-        path = last if path is None else pc.binary_join_element_wise(path.take(pa.array(parent)), last, SPACE)
-        if depth >= low and len(key):
-            out.append(pa.table({"lang": names.take(pa.array(of_lang)), "phrase": path.cast(pa.string()), "n": n.astype(np.int64)}))
-    if out:
-        rows = pa.concat_tables(out)
-        if len(out) > 1:
-            rows = rows.sort_by([("lang", "ascending"), ("phrase", "ascending")])
-        yield from rows.combine_chunks().to_batches(max_chunksize=1 << 16)
+    many, hashes = U(len(sort)), _hashes(spelled)
+    at, node, of_lang, path, prefix, out = np.arange(len(lang)), lang, np.arange(len(names)), None, _hashes(names), []
+    for level, mask in enumerate(masks):
+        stay = mask[at]
+        at, node = at[stay], node[stay]
+        key, node, n = np.unique(node.astype(U) * many + word[at + level].astype(U), return_inverse=True, return_counts=True)
+        parent, last = (key // many).astype(np.int64), (key % many).astype(np.int64)
+        of_lang, prefix, said = of_lang[parent], prefix[parent], spelled.take(pa.array(last))
+        if level < 2:
+            prefix = path_hashes(prefix, [hashes[last]])
+        path = said if path is None else pc.binary_join_element_wise(path.take(pa.array(parent)), said, SPACE)
+        out.append((pa.table({"lang": names.take(pa.array(of_lang)), "phrase": path.cast(pa.string()), "n": n.astype(np.int64)}), prefix))
+    rows, prefix = pa.concat_tables([t for t, _ in out]), np.concatenate([p for _, p in out])
+    order = pc.sort_indices(rows, [("lang", "ascending"), ("phrase", "ascending")])
+    return rows.take(order).combine_chunks(), prefix[order.to_numpy()]
+
+
+def _serialised(trie: pa.Table, prefix: np.ndarray, ranges: int) -> pa.RecordBatch:
+    """A row for each range of prefixes that the trie has: its number, and the sorted paths with their counts."""
+    part = ((prefix >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    trie = trie.take(pa.array(by))
+    found, low = np.unique(part[by], return_index=True)
+    blobs = []
+    for a, b in zip(low, np.append(low[1:], len(by)), strict=True):
+        buffer = pa.BufferOutputStream()
+        with pa.ipc.new_stream(buffer, trie.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(trie.slice(a, b - a).combine_chunks())
+        blobs.append(buffer.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(blobs, pa.binary())], ["range", "trie"])
+
+
+def _merger(min_count: int):
+    """A function for applyInArrow: the sorted runs of a range as one, with the sums of equal paths that reach ``min_count``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        runs = pa.concat_tables([pa.ipc.open_stream(x.as_py()).read_all() for x in table.column("trie")])
+        runs = runs.sort_by([("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        lang, phrase = runs.column("lang"), runs.column("phrase")
+        differs = lambda x: pc.fill_null(pc.not_equal(x[1:], x[:-1]), True).to_numpy(zero_copy_only=False)
+        total = phrase.is_null().to_numpy()
+        new = np.append(True, (differs(phrase) & ~(total[1:] & total[:-1])) | differs(lang))
+        first = np.flatnonzero(new)
+        n = np.add.reduceat(runs.column("n").to_numpy(), first)
+        keep = (n >= min_count) | total[first]
+        return runs.take(pa.array(first[keep])).set_column(2, "n", pa.array(n[keep]))
+
+    return run
 
 
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -131,61 +197,57 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(bit >> U(5)).astype(np.int64)] >> (bit & U(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
 
 
-def _bitmap(frequent: DataFrame, depth: int) -> np.ndarray:
-    """A bitmap of fixed size of the paths of ``depth`` words."""
+def _slices(batches: Iterator[pa.RecordBatch], spelled: bool) -> Iterator[Shard]:
+    """Shards of TRIE_WORDS words, or somewhat more."""
+    shard = Shard(spelled)
+    for batch in slices(batches, "text"):
+        shard.add(batch.column(0).to_pylist(), batch.column(1))
+        if shard.words >= TRIE_WORDS:
+            yield shard
+            shard = Shard(spelled)
+    yield shard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                words = _hashes(pc.split_pattern(batch.column(1), " ").flatten()).reshape(-1, depth)
-                found = path_hashes(_hashes(batch.column(0)), [words[:, i] for i in range(depth)])
-                yield pa.RecordBatch.from_arrays([pa.array((found & U((1 << FILTER_BITS) - 1)).astype(np.int64))], ["bit"])
 
-    bits = mapped(frequent.select("lang", "phrase"), run, "bit long")
-    rows = bits.groupBy(F.expr("int(bit div 32)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(bit % 32)))").alias("bits")).toArrow()
-    words = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
-    return words
+def _frequent(texts: DataFrame, depth: int, min_count: int) -> np.ndarray:
+    """The bitmap of paths of up to ``depth`` words that occur ``min_count`` times, by the sums of their hashes."""
+    spark, known = texts.sparkSession, None
+    for level in range(2, max(depth, 2) + 1):
+        held = spark.sparkContext.broadcast(known)
 
+        def run(batches: Iterator[pa.RecordBatch], level: int = level, held=held) -> Iterator[pa.RecordBatch]:
+            for shard in _slices(batches, False):
+                yield from shard.paths(level, held.value)
 
-def _counted(texts: DataFrame, low: int, high: int, known: list[np.ndarray], tables: Tables) -> DataFrame:
-    """lang, phrase and n of all paths of ``low`` to ``high`` words: tries written by the tasks,
-    dealt by ranges of path prefixes and merged there."""
-    held = texts.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard()
-        for batch in slices(batches, "text"):
-            shard.add(batch.column(0).to_pylist(), batch.column(1))
-            if shard.words >= TRIE_WORDS:
-                yield from shard.tries(low, high, held.value)
-                shard = Shard()
-        yield from shard.tries(low, high, held.value)
-
-    tries = tables(mapped(texts, run, "lang string, phrase string, n long"), f"tries-{low}")
-    dealt = tries.withColumn("prefix", F.substring("phrase", 1, PREFIX)).repartitionByRange("lang", "prefix")
-    merged = tables(dealt.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n"), f"trie-{low}")
-    tables.drop(tries)
-    held.unpersist()
-    return merged
+        often = mapped(texts, run, "path long, n long").groupBy("path").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+        bits = often.select(F.col("path").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("bit"))
+        rows = bits.groupBy(F.expr("int(bit div 32)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(bit % 32)))").alias("bits")).toArrow()
+        known = np.zeros(1 << (FILTER_BITS - 5), np.uint32) if known is None else known.copy()
+        known[rows.column("word").to_numpy()] |= rows.column("bits").to_numpy().astype(np.uint32)
+        held.unpersist()
+    return known
 
 
 def counts(docs: DataFrame, tables: Tables, *, text: str, lang: str, depth: int, min_count: int) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``depth`` words that occur ``min_count`` times or more (lang, phrase, n, depth),
     and the words of each language (lang, words)."""
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    singles = _counted(texts, 1, 1, [], tables)
-    total = singles.groupBy("lang").agg(F.sum("n").alias("words"))
-    often = lambda rows: rows.filter(F.col("n") >= min_count)
-    found, known = [often(singles)], []
-    for low, high in ((2, 2), (3, depth)):
-        if low <= high:
-            known.append(_bitmap(found[-1], low - 1))
-            found.append(often(_counted(texts, low, high, known, tables)))
-    frequent = found[0]
-    for more in found[1:]:
-        frequent = frequent.union(more)
-    return frequent.withColumn("depth", F.size(F.split("phrase", " ", -1))), total
+    held = texts.sparkSession.sparkContext.broadcast(_frequent(texts, depth - 1, min_count))
+
+    ranges = RANGES * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in _slices(batches, True):
+            for trie, prefix in shard.tries(depth, held.value):
+                if len(trie):
+                    yield _serialised(trie, prefix, ranges)
+
+    tries = tables(mapped(texts, run, "range int, trie binary"), "tries")
+    merged = tries.groupBy("range").applyInArrow(_merger(min_count), "lang string, phrase string, n long")
+    trie = tables(merged, "trie")
+    tables.drop(tries)
+    held.unpersist()
+    total = trie.filter("phrase IS NULL").select("lang", F.col("n").alias("words"))
+    return trie.filter("phrase IS NOT NULL").withColumn("depth", F.size(F.split("phrase", " ", -1))), total
 
 
 def _walked(frequent: DataFrame, depth: int, tables: Tables) -> DataFrame:
@@ -226,7 +288,7 @@ def mine(docs: DataFrame, *, text: str = "text", lang: str = "lang", depth: int
         frequent, total = counts(docs, tables, text=text, lang=lang, depth=depth, min_count=min_count)
         nodes = _walked(frequent, depth, tables)
         wide = lambda x: x.cast("decimal(38,0)")
-        total = tables(total, "words").select(F.col("lang").alias("of_lang"), "words")
+        total = total.select(F.col("lang").alias("of_lang"), "words")
         scored = nodes.join(total, F.col("lang") == F.col("of_lang"))
         dividend = wide(F.lit(1000)) * wide(F.col("n")) * wide(F.col("words"))
         scored = scored.withColumn("dividend", dividend).withColumn(
