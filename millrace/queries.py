@@ -76,17 +76,18 @@ def keep_reject_split(spark, d):
 LICENSE_LINE = "Licen[sc]e|rights reserved"
 
 
-@query(f"SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '{LICENSE_LINE}')), chr(10)))::bigint AS n_left FROM documents")
+@query(f"SELECT doc_id, length(left_over)::bigint AS n_left, md5(left_over) AS digest FROM (SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '{LICENSE_LINE}')), chr(10)) AS left_over FROM documents)")
 def line_filter(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.length(rows.drop_lines(c("text"), [LICENSE_LINE])).cast("long").alias("n_left"))
+    kept = t(spark, d, "documents").select("doc_id", rows.drop_lines(c("text"), [LICENSE_LINE]).alias("kept"))
+    return kept.select("doc_id", F.length("kept").cast("long").alias("n_left"), F.md5("kept").alias("digest"))
 
 
 @query(
-    "SELECT doc_id, \"at\", length(line)::bigint AS n_line, length(nxt)::bigint AS n_next FROM (SELECT doc_id, i - 1 AS \"at\", s[i] AS line, s[i + 1] AS nxt FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)))"
+    "SELECT doc_id, \"at\", length(line)::bigint AS n_line, md5(line) AS line_digest, md5(nxt) AS next_digest FROM (SELECT doc_id, i - 1 AS \"at\", s[i] AS line, s[i + 1] AS nxt FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)))"
 )
 def line_lookahead(spark, d):
     lines = rows.lines_with_next(t(spark, d, "documents"), "doc_id", "text")
-    return lines.select("doc_id", c("at").cast("long").alias("at"), F.length("line").cast("long").alias("n_line"), F.length("next").cast("long").alias("n_next"))
+    return lines.select("doc_id", c("at").cast("long").alias("at"), F.length("line").cast("long").alias("n_line"), F.md5("line").alias("line_digest"), F.md5("next").alias("next_digest"))
 
 
 @query(
@@ -118,10 +119,10 @@ def band_sort_sequence(spark, d):
 
 
 @query(
-    r"""SELECT page_id, length(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?i)<br\s*/?>|</p>', chr(10), 'g'), '<[^>]+>', '', 'g'), ' ' || chr(10) || chr(9) || chr(13)), '\n{3,}', chr(10) || chr(10), 'g'))::bigint AS n FROM pages"""
+    r"""SELECT page_id, md5(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?i)<br\s*/?>|</p>', chr(10), 'g'), '<[^>]+>', '', 'g'), ' ' || chr(10) || chr(9) || chr(13)), '\n{3,}', chr(10) || chr(10), 'g')) AS digest FROM pages"""
 )
 def html_to_text(spark, d):
-    return t(spark, d, "pages").select("page_id", F.length(text.html_to_text(c("html"))).cast("long").alias("n"))
+    return t(spark, d, "pages").select("page_id", F.md5(text.html_to_text(c("html"))).alias("digest"))
 
 
 @query()
@@ -253,9 +254,11 @@ def label_value(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", annotate.label_value(c("text"), "the").alias("value"))
 
 
-@query("SELECT doc_id, md5(nfc_normalize(text)) AS digest FROM documents")
+@query("SELECT doc_id, md5(doc_id::varchar || ' kg (KK) ' || nfc_normalize(text)) AS digest FROM documents")
 def nfkc_normalise(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.md5(text.nfkc(c("text"))).alias("digest"))
+    """Behind digits of full width and signs that stand for several letters."""
+    wide = F.concat(F.translate(c("doc_id").cast("string"), "0123456789", "".join(chr(0xFF10 + i) for i in range(10))), F.lit("\u3000\u338f\u3000\uff08\uff2b\uff2b\uff09\u3000"), "text")
+    return t(spark, d, "documents").select("doc_id", F.md5(text.nfkc(wide)).alias("digest"))
 
 
 # pairs --------------------------------------------------------------------------------------------

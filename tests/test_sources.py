@@ -50,3 +50,15 @@ def test_links():
             web.follow(bad, pages.get)
     assert web.direct("https://drive.google.com/file/d/AbC/view") == "https://drive.google.com/uc?export=download&id=AbC"
     assert web.direct("https://1drv.ms/x/abc") == "https://1drv.ms/x/abc?download=1" and web.direct("http://x/y") == "http://x/y"
+
+
+def test_links_of_pages_of_any_length_and_kind():
+    pad = b"<p>" + b"x" * 50_000 + b"</p>"
+    page = lambda body: (200, "text/html", None, body)
+    pages = {
+        "http://a/1": page(pad + b"<script>location.replace('/2')</script>"), "http://a/2": page(b"<script>window.open(\"http://b.talent.example/p?a=1&amp;b=2\")</script>"),
+        "http://b.talent.example/p?a=1&b=2": page(b"<a class='sheet' href='/sheet.xlsx'>sheet</a><script>location.href = '/elsewhere'</script>"), "http://b.talent.example/sheet.xlsx": (200, "application/x", None, b"done"),
+        "http://c/1": page(b"<script>document.location = 'http://c/1'</script>text"),
+    }
+    assert web.follow("http://a/1", pages.get, links={"talent.example": "class='sheet' href='([^']+)'"})[2] == b"done"
+    assert web.follow("http://c/1", pages.get)[0] == "http://c/1"
