@@ -58,17 +58,21 @@ def plain_text(data: bytes) -> str:
 
 #: Parsers by the first bytes of a file. Further formats are registered by the caller.
 MAGIC: dict[bytes, str] = {b"%PDF": "pdf", b"PK\x03\x04": "zip", b"\xd0\xcf\x11\xe0": "ole"}
+#: Kinds by the end of a file's name, where the first bytes tell nothing.
+ENDINGS: dict[str, str] = {"html": "html", "htm": "html", "pdf": "pdf", "docx": "zip", "xlsx": "zip", "xlsm": "zip", "doc": "ole", "xls": "ole"}
 Parser = Callable[[bytes], str]
 
 
-def to_text(df: DataFrame, parsers: Mapping[str, Parser] | None = None, column: str = "content") -> DataFrame:
-    """``df`` with text and error from a binary column: by its first bytes, plain text otherwise."""
+def to_text(df: DataFrame, parsers: Mapping[str, Parser] | None = None, column: str = "content", name: str | None = None) -> DataFrame:
+    """``df`` with text and error from a binary column: by its first bytes, else by the end of the file's ``name`` (a column)
+    if there is a parser for it, else as plain text."""
     known = dict(parsers or {})
 
-    def one(data: bytes | None) -> tuple[str | None, str | None]:
+    def one(data: bytes | None, title: str | None = None) -> tuple[str | None, str | None]:
         if data is None:
             return None, "empty"
-        kind = next((k for m, k in MAGIC.items() if data.startswith(m)), "plain")
+        named = ENDINGS.get(title.rsplit(".", 1)[-1].lower()) if title and "." in title else None
+        kind = next((k for m, k in MAGIC.items() if data.startswith(m)), named if named in known else "plain")
         parser = plain_text if kind == "plain" else known.get(kind)
         if not parser:
             return None, f"no parser for {kind}"
@@ -77,11 +81,12 @@ def to_text(df: DataFrame, parsers: Mapping[str, Parser] | None = None, column:
         except Exception as error:  # noqa: BLE001  parsers are foreign code; the row says what went wrong
             return None, str(error)[:200]
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            yield pd.DataFrame([one(x) for x in series], columns=["text", "error"])
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for contents, titles in batches:
+            yield pd.DataFrame([one(x, t) for x, t in zip(contents, titles, strict=True)], columns=["text", "error"])
 
-    return df.withColumn("_t", F.pandas_udf(run, "text string, error string")(F.col(column))).select(*df.columns, "_t.*")
+    title = F.lit(None).cast("string") if name is None else F.col(name)
+    return df.withColumn("_t", F.pandas_udf(run, "text string, error string")(F.col(column), title)).select(*df.columns, "_t.*")
 
 
 def first_success(candidates: DataFrame, key: str, priority: str, text: str = "text") -> DataFrame:

@@ -1,12 +1,15 @@
-"""Text of office files with the standard library: sheets and documents are zipped XML."""
+"""Text of office files with the standard library: zipped XML, and by small readers old binary files and PDF."""
 
 from __future__ import annotations
 
 import io
 import re
+import struct
 import zipfile
 from xml.etree import ElementTree
 
+from . import ole, pdf
+
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -64,7 +67,7 @@ def zipped_text(data: bytes) -> str:
     raise ValueError("neither a document nor a spreadsheet")
 
 
-def ole_text(data: bytes, least: int = 4) -> str:
+def printable(data: bytes, least: int = 4) -> str:
     """Runs of printable characters of an old binary file, in UTF-16 and in one byte each; a fallback without its format."""
     wide = [x.decode("utf-16-le") for x in re.findall(rb"(?:[\x20-\x7e\t]\x00|[^\x00-\x1f][\x30-\x9f]){%d,}" % least, data)]
     plain = [x.decode("ascii") for x in re.findall(rb"[\x20-\x7e\t]{%d,}" % least, data)]
@@ -79,4 +82,15 @@ def ole_kind(data: bytes) -> str:
     return "unknown"
 
 
-PARSERS = {"zip": zipped_text, "ole": ole_text}
+def ole_text(data: bytes) -> str:
+    """The text of an old Word or Excel file; of one whose structure is broken, its printable characters. An
+    encrypted one is an error."""
+    try:
+        return ole.ole_text(data)
+    except ole.Encrypted:
+        raise
+    except (ValueError, struct.error, IndexError, KeyError):
+        return printable(data)
+
+
+PARSERS = {"zip": zipped_text, "ole": ole_text, "pdf": pdf.pdf_text}
