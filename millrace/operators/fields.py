@@ -55,6 +55,46 @@ def reply_target(text: Column, reply_to: Column, sender: Column) -> Column:
     return F.struct(F.coalesce(F.get(asked, F.lit(0)), mail_address(first_nonempty(reply_to, sender))).alias("address"), (F.size(asked) > 1).alias("ambiguous"))
 
 
+ADDRESS = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
+
+
+def correspondents(text: Column, reply_to: Column, cc: Column) -> Column:
+    """(to, cc, signal, ambiguous, source): addresses on lines that name To or Cc, or ask for an answer to one; where the text
+    names none, the headers' (reply_to: text, cc: array). A line that names them without an address, or several addresses to
+    answer to, make it ambiguous."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    naming = lambda pattern: F.filter(lines, lambda x: x.rlike(pattern))
+    to_lines = naming("(?i)\\b(?:mail\\s*)?to\\s*(?::|を)|(?:返信|ご連絡|宛先)[^\\n]{0,20}(?:まで|へ|に|宛|:)")
+    cc_lines = naming("(?i)\\bcc\\s*(?::|を|に)")
+    of = lambda found: F.array_distinct(F.flatten(F.transform(found, lambda x: F.transform(F.regexp_extract_all(x, F.lit(ADDRESS), F.lit(0)), F.lower))))
+    bare = lambda found: F.exists(found, lambda x: ~x.rlike(ADDRESS))
+    header = F.transform(F.regexp_extract_all(F.coalesce(reply_to, F.lit("")), F.lit(ADDRESS), F.lit(0)), F.lower)
+    said = (F.size(of(to_lines)) > 0) | (F.size(of(cc_lines)) > 0)
+    return F.struct(
+        F.when(F.size(of(to_lines)) > 0, of(to_lines)).otherwise(header).alias("to"), F.when(F.size(of(cc_lines)) > 0, of(cc_lines)).otherwise(F.coalesce(cc, F.array().cast("array<string>"))).alias("cc"),
+        (F.size(F.concat(to_lines, cc_lines)) > 0).alias("signal"), (bare(to_lines) | bare(cc_lines) | (F.size(of(to_lines)) > 1)).alias("ambiguous"), F.when(said, "text").otherwise("header").alias("source"),
+    )
+
+
+def normalised(records: DataFrame, rest: Sequence[str] = ()) -> DataFrame:
+    """Records of judged pairs in one layout: demand_id, supply_id, required_skills, optional_skills, the columns ``rest``, and
+    errors (what is missing). They may come flat, or with project_info and resource_info as structs; of both, the
+    struct's field counts."""
+
+    def either(name: str, inner: str, struct: str) -> Column:
+        own = [F.col(name)] if name in records.columns else []
+        held = struct in records.columns and inner in records.schema[struct].dataType.fieldNames()
+        return F.coalesce(*([F.col(f"{struct}.{inner}")] if held else []), *own, F.lit(None))
+
+    kinds = {"demand_id": "string", "supply_id": "string", "required_skills": "array<string>", "optional_skills": "array<string>"}
+    places = {"demand_id": ("message_id", "project_info"), "supply_id": ("message_id", "resource_info"), "required_skills": ("required_skills", "project_info"), "optional_skills": ("optional_skills", "project_info")}
+    values = {k: either(k, *places[k]).cast(kind) for k, kind in kinds.items()}
+    lacks = lambda k: (values[k].isNull() | (values[k] == "")) if kinds[k] == "string" else values[k].isNull()
+    errors = F.array_compact(F.array(*[F.when(lacks(k), F.lit(f"no {k}")) for k in kinds]))
+    filled = [F.coalesce(v, F.lit("") if kinds[k] == "string" else F.array().cast(kinds[k])).alias(k) for k, v in values.items()]
+    return records.select(*filled, *rest, errors.alias("errors"))
+
+
 def keyword_spans(sentences: Column, terms: Sequence[str]) -> Column:
     """Terms of a dictionary in an array of sentences, in the order of their places, each once. Longer terms take
     their place first, so a term inside of a longer one is met only where it stands alone; ASCII terms need a border."""

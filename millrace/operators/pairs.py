@@ -69,6 +69,13 @@ def skills(demand: Column, supply: Column, primary: Column | None = None, exclud
     return F.arrays_overlap(effective(demand, primary, excluded), effective(supply, None, excluded))
 
 
+def shared_skills(demand: Column, supply: Column, primary: Column | None = None, excluded: Sequence[str] = ()) -> Column:
+    """(met, matched, wanted, offered) of the same: the shared skills in the demand's order, and what was compared."""
+    wanted, offered = effective(demand, primary, excluded), effective(supply, None, excluded)
+    matched = F.array_intersect(wanted, offered)
+    return F.struct((F.size(matched) > 0).alias("met"), matched.alias("matched"), wanted.alias("wanted"), offered.alias("offered"))
+
+
 def phases(demand: Column, supply: Column, strong: Sequence[str]) -> Column:
     """An empty list passes; else a strong phase has to be shared."""
     empty = lambda x: x.isNull() | (F.size(x) == 0)

@@ -48,6 +48,38 @@ def affiliation(vendor_flow: Column, employment: Column) -> Column:
     return F.concat(who, between, F.coalesce(F.concat(F.lit("/"), employment), F.lit("")))
 
 
+#: Words of derived labels, which a user may replace.
+LABELS = {"own": "弊社", "away": "社先", "employee": "社員", "freelance": "個人事業主", "foreign_ok": "外国籍可", "foreign_no": "外国籍不可", "japanese": "日本国籍想定", "parallel": "並行提案中"}
+
+
+def _derived(*options: tuple[str, Column]) -> Column:
+    """(label, source) of the first option that isn't null; null and "unavailable" without any."""
+    return F.struct(F.coalesce(*[v for _, v in options]).alias("label"), F.coalesce(*[F.when(v.isNotNull(), F.lit(n)) for n, v in options], F.lit("unavailable")).alias("source"))
+
+
+def affiliation_label(vendor_flow: Column, employment: Column, words: Mapping[str, str] = LABELS) -> Column:
+    """(label, source): whose a supply is, by its flow's tens, how many companies away (at least one for others), and
+    whether it works for itself; null without a flow."""
+    kind = F.when(employment == "freelance", words["freelance"]).otherwise(words["employee"])
+    away = F.concat((F.pmod(vendor_flow, F.lit(10)) + 1).cast("string"), F.lit(words["away"]))
+    return _derived(("flow", F.concat(F.when(vendor_flow < 20, words["own"]).otherwise(away), kind)))
+
+
+def foreign_label(ok: Column, raw: Column, words: Mapping[str, str] = LABELS) -> Column:
+    """(label, source) of what a demand says of foreigners: its own words, else what was made of them."""
+    return _derived(("raw", F.nullif(F.trim(raw), F.lit(""))), ("value", F.when(ok, words["foreign_ok"]).when(~ok, words["foreign_no"])))
+
+
+def nationality_label(nationality: Column, raw: Column, words: Mapping[str, str] = LABELS) -> Column:
+    return _derived(("raw", F.nullif(F.trim(raw), F.lit(""))), ("value", F.when(nationality == "japanese", words["japanese"]).otherwise(nationality)))
+
+
+def parallel_label(*texts: Column, words: Mapping[str, str] = LABELS) -> Column:
+    """(label, source) of what the first text that says so says of proposals elsewhere; else the usual words, as a default."""
+    said = [F.nullif(F.trim(F.regexp_extract(F.coalesce(t, F.lit("")), "並\\s*行(?:状況|営業)?\\s*[】\\]]?\\s*:\\s*([^\\n]{1,30})", 1)), F.lit("")) for t in texts]
+    return _derived(("text", F.coalesce(*said)), ("default", F.lit(words["parallel"])))
+
+
 def pair_id(run: Column, demand: Column, supply: Column) -> Column:
     return F.concat_ws("_", run, demand, supply)
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import registered, text
-from .operators import fields, places, sections
+from .operators import fields, pairs, places, render, sections
 from .queries import query, t
 
 c = F.col
@@ -129,3 +129,53 @@ def keywords_by_spans(spark, d):
     segments = ["BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE"]
     said = F.expr(f"CASE {N} % 3 WHEN 0 THEN array('JavaScript, ' || lower(c_mktsegment), 'noise Java') WHEN 1 THEN array('x' || c_mktsegment || ' ' || c_mktsegment, 'java') ELSE array(concat('Java ', {K}, '年')) END")
     return t(spark, d, "customer").select(N, F.array_join(fields.keywords(said, ["Java", "JavaScript", *segments], "noise", ["Java"]), "|").alias("found"))
+
+
+@query(
+    f"SELECT {N}, CASE {N} % 4 WHEN 0 THEN 'u' || {N} || '@a.example' WHEN 1 THEN 'head@h.example' WHEN 2 THEN 'a@x.example,b' || {N} || '@x.example' ELSE 'head@h.example' END AS recipients, "
+    f"CASE {N} % 4 WHEN 0 THEN 'c@c.example' ELSE 'old@h.example' END AS copies, {N} % 4 >= 2 AS ambiguous, CASE WHEN {N} % 4 IN (0, 2) THEN 'text' ELSE 'header' END AS source FROM customer"
+)
+def correspondents_of_mails(spark, d):
+    said = F.expr(f"CASE {N} % 4 WHEN 0 THEN concat(c_name, '\\nTo: U', {N}, '@a.example\\nCC: c@c.example') WHEN 1 THEN concat('write to us, ', c_name) WHEN 2 THEN concat('返信は a@x.example へ\\nmail to: b', {N}, '@x.example') ELSE concat('To: ', c_name) END")
+    found = t(spark, d, "customer").select(N, fields.correspondents(said, F.lit("Head <head@h.example>"), F.array(F.lit("old@h.example"))).alias("f"))
+    return found.select(N, F.array_join("f.to", ",").alias("recipients"), F.array_join("f.cc", ",").alias("copies"), "f.ambiguous", "f.source")
+
+
+@query(
+    f"SELECT {N}, CASE WHEN {N} % 5 = 0 THEN NULL WHEN {N} % 5 < 3 THEN '弊社' || CASE WHEN {N} % 2 = 0 THEN '個人事業主' ELSE '社員' END ELSE ({N} % 5 - 2)::VARCHAR || '社先' || CASE WHEN {N} % 2 = 0 THEN '個人事業主' ELSE '社員' END END AS affiliation, "
+    f"CASE {N} % 3 WHEN 0 THEN c_mktsegment WHEN 1 THEN '外国籍可' ELSE '外国籍不可' END AS foreigners, CASE WHEN {N} % 2 = 0 THEN '日本国籍想定' ELSE c_name END AS nationality, "
+    f"CASE WHEN {N} % 2 = 0 THEN c_name ELSE '並行提案中' END AS parallel, CASE WHEN {N} % 2 = 0 THEN 'text' ELSE 'default' END AS parallel_source FROM customer"
+)
+def derived_labels(spark, d):
+    flow = F.expr(f"CASE {N} % 5 WHEN 1 THEN 10 WHEN 2 THEN 11 WHEN 3 THEN 20 WHEN 4 THEN 21 END")
+    kind, even = F.when(c(N) % 2 == 0, "freelance").otherwise("employee"), c(N) % 2 == 0
+    said = F.when(even, F.concat(F.lit("並行状況: "), "c_name", F.lit("\n")))
+    parallel = render.parallel_label(F.lit("x"), said)
+    return t(spark, d, "customer").select(
+        N, render.affiliation_label(flow, kind)["label"].alias("affiliation"), render.foreign_label(c(N) % 3 == 1, F.when(c(N) % 3 == 0, c("c_mktsegment")))["label"].alias("foreigners"),
+        render.nationality_label(F.when(even, "japanese").otherwise("foreign"), F.when(~even, c("c_name")))["label"].alias("nationality"), parallel["label"].alias("parallel"), parallel["source"].alias("parallel_source"),
+    )
+
+
+@query(
+    f"SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'd' || o_custkey END AS demand_id, 's' || o_orderkey AS supply_id, CASE WHEN o_orderkey % 4 = 1 THEN o_orderpriority ELSE o_orderstatus END AS required, "
+    f"CASE o_orderkey % 4 WHEN 0 THEN 'no demand_id' WHEN 2 THEN 'no optional_skills' ELSE '' END AS errors FROM orders"
+)
+def records_of_two_layouts(spark, d):
+    key = c("o_orderkey")
+    nested = F.when(key % 4 == 1, F.struct(F.concat(F.lit("d"), "o_custkey").alias("message_id"), F.array("o_orderpriority").alias("required_skills")))
+    records = t(spark, d, "orders").select(
+        "o_orderkey", nested.alias("project_info"), F.struct(F.concat(F.lit("s"), key).alias("message_id")).alias("resource_info"), F.when(key % 4 != 0, F.concat(F.lit("d"), "o_custkey")).alias("demand_id"),
+        F.array("o_orderstatus").alias("required_skills"), F.when(key % 4 != 2, F.array().cast("array<string>")).alias("optional_skills"),
+    )
+    return fields.normalised(records, ["o_orderkey"]).select("o_orderkey", "demand_id", "supply_id", F.array_join("required_skills", ",").alias("required"), F.array_join("errors", ",").alias("errors"))
+
+
+SETS = "SELECT user_id, list_sort(list(DISTINCT event_type)) AS s FROM events GROUP BY user_id"
+
+
+@query(f"SELECT user_id, array_to_string(list_filter(s, lambda x: x <> 'click' AND x IN ('purchase', 'click', 'signup')), ',') AS matched, len(list_filter(s, lambda x: x <> 'click' AND x IN ('purchase', 'signup'))) > 0 AS met FROM ({SETS})")
+def shared_skill_lists(spark, d):
+    sets = t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("s"))
+    found = pairs.shared_skills(c("s"), F.array(F.lit("signup"), F.lit("click"), F.lit("purchase")), None, ["click"])
+    return sets.select("user_id", F.array_join(found["matched"], ",").alias("matched"), found["met"].alias("met"))
