@@ -38,7 +38,7 @@ from .words import Prefix, U, byte_table, mix, raw, slices
 
 #: Steps of paths that are kept singly before they are laid together.
 STEPS = 1024
-SLICE_BYTES = 3 << 18
+SLICE_BYTES = 3 << 17
 MASK = (1 << 64) - 1
 MARK = "▁".encode()
 
