@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .shared import mapped, text_key, written
+from .shared import mapped, spread, text_key, written
 from .token_counts import encoder
 from .words import slices
 
@@ -75,7 +75,7 @@ def pack(docs: DataFrame, shards: int = 8, *, text: str = "text", key: str = "do
     if tokenizer is None:
         base = base.withColumn("tokens", F.regexp_count("content", F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")).drop("content")
     else:
-        base = _counted(base, tokenizer)
+        base = _counted(spread(base), tokenizer)
     base = written(base, "sharding").withColumn("bundle", F.pmod(F.xxhash64("grp"), F.lit(bundles)).cast("int"))
     groups = base.withColumn("one", F.lit(1)).groupBy("grp", "bundle").agg(*[F.sum(d).alias(d) for d in DIMENSIONS])
     total = groups.agg(*[F.sum(d).alias(d) for d in DIMENSIONS]).first()

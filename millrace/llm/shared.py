@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +85,27 @@ def mapped(rows: DataFrame, run, schema) -> DataFrame:
     conf = rows.sparkSession.conf
     if conf.get(BATCH) in ("67108864b", "64MB"):
         conf.set(BATCH, str(BATCH_BYTES))
-    return rows.mapInArrow(run, schema)
+
+    def trimmed(batches):
+        yield from run(batches)
+        release()
+
+    return rows.mapInArrow(trimmed, schema)
+
+
+def release() -> None:
+    """Give freed memory back to the system, as workers wait for their next task beside others that work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over as many tasks as the session runs at once, if they come in fewer, as those of one small file
+    do; larger tables stay where they are."""
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
