@@ -29,8 +29,8 @@ BREAKS = ~byte_class([(ord(c), ord(c)) for c in ".,;:!?"] + [(0x0A, 0x0D)])
 WORD = ~BREAKS & byte_class([(0x20, 0x20), (0x09, 0x09)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: Words of one trie: some 200 MB of a task.
-TRIE_WORDS = 1 << 21
+#: Words of one trie: some 100 MB of a task.
+TRIE_WORDS = 1 << 20
 SPACE = pa.scalar(" ", pa.large_string())
 #: Bits of the bitmap of what is frequent: 8 MB.
 FILTER_BITS = 26
