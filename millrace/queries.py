@@ -125,7 +125,9 @@ def html_to_text(spark, d):
     return t(spark, d, "pages").select("page_id", F.md5(text.html_to_text(c("html"))).alias("digest"))
 
 
-@query()
+@query(
+    r"""SELECT page_id, md5(regexp_replace(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>|<!--.*?-->', '', 'g'), '(?i)<br\s*/?>|</(?:p|div|li|tr|h[1-6]|table|section|article|ul|ol)>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), '[ \t\x{00A0}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), ' ' || chr(10) || chr(9) || chr(13)), '\n{3,}', chr(10) || chr(10), 'g')) AS digest FROM pages"""
+)
 def document_text(spark, d):
     return t(spark, d, "pages").select("page_id", F.md5(text.document_to_text(c("html"))).alias("digest"))
 
@@ -557,7 +559,11 @@ def jsonl_roundtrip(spark, d):
     return again.select("event_id", c("p.k").alias("k"))
 
 
-@query()
+@query(
+    r"""SELECT conv_id, turn, CASE WHEN error IS NULL THEN len(words) END AS n, CASE WHEN error IS NULL THEN len(list_filter(words, lambda w: contains(lower(sheet), w))) END AS n_met, error
+FROM (SELECT a.conv_id, b.turn, list_distinct(regexp_split_to_array(lower(a.text), '\s+')) AS words, b.text AS sheet, CASE WHEN trim(b.text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 'missing_resource_skillsheet' END AS error
+  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
+)
 def judge_offline(spark, d):
     """Each turn's words against the next turn."""
     turns = t(spark, d, "conversations")
