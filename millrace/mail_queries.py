@@ -24,12 +24,44 @@ def _case(forms: Sequence[str]) -> str:
     return f"CASE {N} % {len(forms)} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(forms)) + " END"
 
 
+#: More cases of ``forms``, with columns of the row in text and answer, in words that both engines know.
+EXTRA: dict[str, list[tuple[str, str]]] = {
+    "settlements": [(f"concat('精算: ', 100 + {N} % 80, 'h~', 180 + {N} % 60, 'h')", f"concat(100 + {N} % 80, 'h~', 180 + {N} % 60, 'h')")],
+    "stations": [("concat('最寄駅: JR山手線 ', c_mktsegment, '駅(徒歩)')", "c_mktsegment")],
+    "companies": [("concat('署名\\n株式会社', c_mktsegment, '\\nTEL')", "'株式会社' || c_mktsegment")],
+    "reply_targets": [(f"concat('返信は Ann', {N}, '@b.example へ')", f"concat('ann', {N}, '@b.example')")],
+    "note_blocks": [("concat('【備考】\\n', c_name, '\\n', c_mktsegment, '\\n\\nc')", "c_name || chr(10) || c_mktsegment")],
+    "lines_dropped": [("concat('お世話です\\n', c_name, '\\n---\\n', c_mktsegment, '\\n署名\\nc')", "c_name || chr(10) || c_mktsegment")],
+    "urls_near_phrases": [(f"concat(c_name, '\\n配信停止はこちら\\n\\nhttp://x.y/', {N}, '\\nb')", "c_name || chr(10) || 'b'")],
+    "cjk_joined": [("concat('必 須 ', c_mktsegment, ' 歓 迎')", "concat('必須 ', c_mktsegment, ' 歓迎')")],
+    "synonym_folds": [("concat('御社  ', c_mktsegment, '\\n 迄')", "concat('貴社 ', c_mktsegment, ' まで')")],
+    "skill_names": [("concat(c_mktsegment, 'の経験者')", "c_mktsegment")],
+    "soft_skills": [("concat(c_mktsegment, 'と協調性')", "false")],
+    "failure_reasons": [(f"concat('HTTP 403 of ', c_name, ' no ', {N})", "'sheet[drive] needs permission'")],
+    "content_kinds": [("hex(c_name)", "'text'"), ("hex(concat('%PDF-', c_name))", "'pdf'"), ("hex(concat('<html>', c_name))", "'html'")],
+    "run_dates": [(f"concat('2024', lpad(cast(1 + {N} % 12 as string), 2, '0'), lpad(cast(1 + {N} % 28 as string), 2, '0'))", f"'2024-' || lpad((1 + {N} % 12)::VARCHAR, 2, '0') || '-' || lpad((1 + {N} % 28)::VARCHAR, 2, '0')")],
+    "windows_around": [("concat('0123key', c_name)", "'123key' || left(c_name, 4)")],
+    "wildcards": [("concat('abc', c_name)", "true"), (f"concat('ab', {N})", "false")],
+    "flexible_labels": [(f"concat('単 価: ', {N})", "true"), (f"concat('単位 ', {N})", "false")],
+    "masked_noise": [(f"concat(c_mktsegment, ' http://x.y/', {N}, ' b')", "c_mktsegment || '   b'")],
+    "decoded_bodies": [("rtrim('=', translate(base64(cast(c_name as binary)), '+/', '-_'))", "c_name")],
+    "parallel_status": [("concat(c_name, '\\n並行: なし')", "'none'"), ("concat(c_name, '\\n並行営業: 3社 ', c_mktsegment)", "'some'")],
+    "heading_keys": [("concat('【', c_mktsegment, ' スキル】')", "concat(c_mktsegment, 'スキル')")],
+}
+#: Queries whose texts also come between lines with columns of the row, which must not mislead.
+AMONG = {
+    "foreign_allowed", "freelance_allowed", "flow_levels", "contract_types", "nationalities", "employments", "own_remote_type", "remote_type", "vendor_flows", "work_regions", "home_regions", "demand_workload",
+    "supply_workload", "age_limit", "own_age", "start_dates", "interview_counts",
+}
+
+
 def forms(name: str, extract: Callable[[Column], Column], *cases: tuple[str, str]) -> None:
-    """Registers a query of ``extract`` over mails: (text, expected), both SQL expressions of c_custkey."""
+    """Registers a query of ``extract`` over mails: (text, expected), both SQL expressions of a customer's columns."""
+    cases = (*cases, *EXTRA.get(name, ()), *([(f"concat(c_name, ' / ', c_mktsegment, '\\n', {a}, '\\n', lower(c_mktsegment))", b) for a, b in cases] if name in AMONG else ()))
     made = _case([a for a, _ in cases])
 
     def run(spark, d):
-        mails = t(spark, d, "customer").select(N, F.expr(made).alias("mail"))
+        mails = t(spark, d, "customer").select("*", F.expr(made).alias("mail"))
         return mails.select(N, extract(c("mail")).alias("value"))
 
     run.__name__ = name
