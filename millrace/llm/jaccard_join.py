@@ -12,7 +12,8 @@
    class, by levels of blocks, then all sets outside the group's main class against every block, in parts.
 
 No step drops sets, tokens or pairs, and each task's memory is bounded by slices, groups and
-blocks. Hashes are dealt in flushes of SLICE_TOKENS, and a frequent hash is worked on within each
+blocks, but for a hash that few sets of each flush have and many of all: its owners meet in one slice when hashes
+are counted. Hashes are dealt in flushes of SLICE_TOKENS, and a frequent hash is worked on within each
 flush first: in screening and grouping a slice gets one or two marks of a flush that has it several
 times; before hashes are counted, the MOST_HOT that most sets have (of those that are frequent in some
 flush) are set apart: they come last in the order without being counted. So a line in all texts

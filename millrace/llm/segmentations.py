@@ -54,7 +54,7 @@ class Vocabulary:
         size = model.get_piece_size()
         self.pieces: list[bytes] = []
         plain, scores = [], []
-        self.byte_ids = np.full(256, -1, np.int32)
+        self.byte_ids = np.full(256, max(model.unk_id(), 0), np.int32)  # without pieces for bytes, the unknown piece stands for each
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
