@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import bounded
+
 
 ASCII_WORD = re.compile("[A-Za-z0-9]")
 
@@ -79,7 +81,7 @@ def annotated(df: DataFrame, dictionary: Mapping[str, Sequence[str]], *, text: s
             yield pd.DataFrame(out, columns=["terms", "by_category", "raw"])
 
     scan = F.pandas_udf(run, "terms array<string>, by_category map<string,array<string>>, raw string")
-    return df.withColumn("_a", scan(F.col(text))).select(*df.columns, "_a.*")
+    return bounded(df).withColumn("_a", scan(F.col(text))).select(*df.columns, "_a.*")
 
 
 def first_of_groups(text: Column, groups: Mapping[str, Sequence[str]]) -> Column:

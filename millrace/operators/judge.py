@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import written
+from ..storage import bounded, written
 
 Judge = Callable[[list[str], str], list[dict]]
 SKILL = "struct<skill:string,match:boolean,note:string>"
@@ -182,7 +182,7 @@ def judged(pairs: DataFrame, judge: Judge = keyword_judge, *, skills: str = "req
             yield pd.DataFrame([one(w, s) for w, s in zip(wanted, sheets, strict=True)], columns=["results", "error", "cause"])
 
     call = F.pandas_udf(run, f"results array<{SKILL}>, error string, cause string")
-    return pairs.withColumn("_j", call(F.col(skills), F.col(text))).select(*pairs.columns, "_j.*")
+    return bounded(pairs).withColumn("_j", call(F.col(skills), F.col(text))).select(*pairs.columns, "_j.*")
 
 
 def override_soft(results: Column, is_soft: Callable[[Column], Column], note: str = "soft skill") -> Column:
@@ -231,7 +231,7 @@ def recheck(pairs: DataFrame, call: Judge, *, results: str = "results", text: st
                 yield pd.DataFrame([one(list(k), s) for k, s in zip(skills, sheets, strict=True)], columns=["checks", "recheck_error"])
 
         asked = F.pandas_udf(run, f"checks array<{CHECK}>, recheck_error string")(met, F.col(text))
-        found = pairs.withColumn("_c", asked).select(*pairs.columns, "_c.*")
+        found = bounded(pairs).withColumn("_c", asked).select(*pairs.columns, "_c.*")
     return found.withColumn("recheck_status", recheck_status(F.col("checks")))
 
 

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import bounded
+
 NONE, REQUIRED, OPTIONAL, DONE = "none", "required", "optional", "done"
 
 #: Line classes in order of precedence: (class, pattern).
@@ -148,7 +150,7 @@ def scan(pack: Sections | None = None):
 
 def sectioned(df: DataFrame, *, text: str = "text", pack: Sections | None = None) -> DataFrame:
     """``df`` with required_skills and optional_skills; a null text has none."""
-    return df.withColumn("_s", scan(pack)(F.col(text))).select(*df.columns, "_s.*")
+    return bounded(df).withColumn("_s", scan(pack)(F.col(text))).select(*df.columns, "_s.*")
 
 
 # signatures -----------------------------------------------------------------------------------------

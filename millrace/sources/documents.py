@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import quality_reason
+from ..storage import bounded
 
 
 def walk(part: dict) -> tuple[str, str, list[tuple[str, str, str, int]]]:
@@ -86,7 +87,7 @@ def to_text(df: DataFrame, parsers: Mapping[str, Parser] | None = None, column:
             yield pd.DataFrame([one(x, t) for x, t in zip(contents, titles, strict=True)], columns=["text", "error"])
 
     title = F.lit(None).cast("string") if name is None else F.col(name)
-    return df.withColumn("_t", F.pandas_udf(run, "text string, error string")(F.col(column), title)).select(*df.columns, "_t.*")
+    return bounded(df).withColumn("_t", F.pandas_udf(run, "text string, error string")(F.col(column), title)).select(*df.columns, "_t.*")
 
 
 def first_success(candidates: DataFrame, key: str, priority: str, text: str = "text") -> DataFrame:

@@ -30,3 +30,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of an Arrow batch on its way to Python, unless the session has a value of its own.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose texts go to Python by a few MB a batch where the session leaves Spark's 64 MB: neither side of the pipe
+    holds many long texts."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH) in ("67108864b", "64MB"):
+        conf.set(BATCH, str(BATCH_BYTES))
+    return df
