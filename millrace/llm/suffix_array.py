@@ -10,35 +10,35 @@ def refine(data: np.ndarray, room: np.ndarray, depth: int) -> tuple[np.ndarray,
     equal ranks of such positions mean equal bytes. ``room``: bytes up to the end of the string.
 
     Positions start in groups of equal first eight bytes. Each pass doubles the depth: groups of
-    two and more are sorted by the rank of what follows; groups of one are left alone."""
+    two and more are sorted by the rank of what follows; groups of one are left alone, and so are positions
+    without room for more. A group's parts get ranks from the group's own on, so the others' stay as they are."""
     n = len(data)
-    padded = np.append(data, np.zeros(8, np.uint8)).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for j in range(8):
-        key = key << np.uint64(8) | padded[j : j + n]
-    order = np.flatnonzero(room >= min(8, depth))
-    order = order[np.argsort(key[order], kind="stable")]
-    rank = np.full(n, -1, np.int64)
-    rank[order] = _starts(key[order])
+    padded = np.append(data, np.zeros(8, np.uint8))
+    key = np.ndarray((n,), ">u8", padded, 0, (1,)).astype(np.uint64)  # eight bytes from each place on
+    room = room.astype(np.int32)
+    active = np.flatnonzero(room >= min(8, depth)).astype(np.int32)
+    key = key[active]
+    by = np.argsort(key, kind="stable")
+    active = active[by]
+    rank = np.full(n, -1, np.int32)
+    rank[active] = _starts(key[by])
     reached = 8
-    while reached < depth:
+    while reached < depth and len(active):
         to = min(2 * reached, depth)
-        step = to - reached
-        order = order[room[order] >= to]
-        group = rank[order]
+        active = active[room[active] >= to]
+        if not len(active):
+            break
+        group = rank[active]
         same = group[1:] == group[:-1]
         many = np.append(same, False) | np.append(False, same)
-        at = np.flatnonzero(many)
-        some = order[at]
-        pair = rank[some] * (n + 1) + rank[some + step]
-        by = np.argsort(pair, kind="stable")
-        order[at] = some[by]
-        second = np.zeros(len(order), np.int64)
-        second[at] = rank[order[at] + step]
-        new = np.full(n, -1, np.int64)
-        new[order] = _starts(group, second)
-        rank, reached = new, to
-    return order, rank
+        active, group = active[many], group[many].astype(np.int64)
+        pair = group * (n + 1) + rank[active + (to - reached)]
+        by = np.argsort(pair, kind="stable")  # groups stay where they are
+        active = active[by]
+        rank[active] = group + _starts(pair[by]) - _starts(group)
+        reached = to
+    order = np.flatnonzero(room >= depth)
+    return order[np.argsort(rank[order], kind="stable")], rank
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -46,7 +46,7 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     first = np.ones(len(keys[0]), bool)
     if len(first):
         first[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    return np.maximum.accumulate(np.where(first, np.arange(len(first), dtype=np.int32), 0))
 
 
 def kasai(data: np.ndarray, room: np.ndarray, order: np.ndarray) -> np.ndarray:
