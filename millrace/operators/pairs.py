@@ -83,6 +83,11 @@ def phases(demand: Column, supply: Column, strong: Sequence[str]) -> Column:
     return empty(demand) | empty(supply) | F.coalesce(F.arrays_overlap(only(demand), only(supply)), F.lit(False))
 
 
+def seen_phases(own: Column, strong: Sequence[str]) -> Column:
+    """What ``phases`` looks at, in few values: strong phases in order, and "" for all others."""
+    return F.array_sort(F.array_distinct(F.transform(own, lambda p: F.when(p.isin(*strong), p).otherwise(""))))
+
+
 def location(demand: Column, supply: Column, remote: Column, anywhere: str = "fullremote") -> Column:
     empty = lambda x: x.isNull() | (x == "")
     return F.coalesce(remote == anywhere, F.lit(False)) | empty(demand) | empty(supply) | F.coalesce(demand == supply, F.lit(False))
@@ -186,6 +191,14 @@ def pair_counts(demand: DataFrame, supply: DataFrame, condition: Column, by: Seq
     return both.groupBy(*by).agg(F.sum(F.col("_n") * F.col("_m")).alias(name))
 
 
+def partners(demand: DataFrame, supply: DataFrame, left: Sequence[str], right: Sequence[str], condition: Column, name: str = "n") -> DataFrame:
+    """The demands that have partners, with their number. The ``condition`` looks at the columns ``left`` and ``right`` only, so
+    partners are counted for each distinct set of values of ``left``, and no pair of rows is made. Nulls are values."""
+    counts = pair_counts(demand.select(*left).distinct(), supply.select(*right), condition, left, name)
+    kinds = counts.select(F.struct(*left).alias("_left"), name)
+    return demand.withColumn("_left", F.struct(*left)).join(kinds, "_left").drop("_left")
+
+
 def _dealt(df: DataFrame, own: str, parts: int, every: str | None = None, others: int = 1) -> DataFrame:
     """Each row in one of ``parts`` and in all of ``others``. Equal rows are numbered, so that they are
     spread, and a task that runs again deals the same."""

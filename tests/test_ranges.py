@@ -56,3 +56,47 @@ def test_a_side_of_few_large_rows_is_not_broadcast(spark, monkeypatch):
 def test_plans_have_no_nested_loop(spark, name):
     plan = queries.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "HashJoin" in plan or "SortMergeJoin" in plan
+
+
+def most_rows(df):
+    """Run ``df``; the most rows that an operator of its plan gave."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan()
+    found, todo = [0], [text]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        metric = node.metrics().get("numOutputRows")
+        found += [metric.get().value()] if metric.isDefined() else []
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return max(found)
+
+
+@pytest.fixture
+def users(spark):
+    """300 users with sets of few kinds: some empty, some without a strong phase, some null."""
+    kinds = [["signup"], ["view", "signup"], ["signup", "view"], ["view"], [], None, ["purchase", "x"], ["click", "y"]]
+    return spark.createDataFrame([(i, kinds[i % len(kinds)]) for i in range(300)], "l long, a array<string>")
+
+
+def test_phases_are_counted_by_kinds(spark, users):
+    strong = ["purchase", "signup"]
+    a, b = users.withColumn("a", pairs.seen_phases(F.col("a"), strong)), users.select(pairs.seen_phases(F.col("a"), strong).alias("b"))
+    found = pairs.partners(a, b, ["a"], ["b"], pairs.phases(F.col("a"), F.col("b"), strong)).select("l", "n")
+    wanted = users.join(users.select(F.col("a").alias("b")), pairs.phases(F.col("a"), F.col("b"), strong)).groupBy("l").agg(F.count("*").alias("n"))
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()} and found.count() == 300
+    assert most_rows(wanted) > 10_000 and most_rows(found) <= 300
+
+
+@pytest.mark.parametrize("name", ["pair_phase_overlap"])
+def test_queries_make_no_pairs_of_rows(spark, tmp_path, name):
+    """On tables 40 times as large by copies, which have 1,600 times the pairs."""
+    for table, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("part", "p_partkey"), ("events", "user_id")):
+        df = spark.read.parquet(f"{DIR}/{table}.parquet")
+        df.withColumn("_i", F.explode(F.array(*map(F.lit, range(40))))).withColumn(key, F.col(key) + F.col("_i") * 1_000_000).drop("_i").write.parquet(f"{tmp_path}/{table}.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/customer.parquet").count() + spark.read.parquet(f"{tmp_path}/part.parquet").count() + spark.read.parquet(f"{tmp_path}/events.parquet").count()
+    assert most_rows(queries.QUERIES[name](spark, str(tmp_path))) <= rows
