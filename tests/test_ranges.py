@@ -109,3 +109,16 @@ COUNTED = ["pair_phase_overlap", "pair_skill_overlap"]
 @pytest.mark.parametrize("name", COUNTED)
 def test_queries_make_no_pairs_of_rows(spark, copies, name):
     assert most_rows(queries.QUERIES[name](spark, copies[0])) <= copies[1]
+
+
+def test_a_product_of_one_file_is_spread(spark, tmp_path, monkeypatch):
+    spark.range(1000).select(F.col("id").alias("d")).coalesce(1).write.parquet(f"{tmp_path}/d")
+    demand, supply = spark.read.parquet(f"{tmp_path}/d"), spark.range(50).select(F.col("id").alias("s"))
+    monkeypatch.setattr(pairs, "TASK_PAIRS", 5000, raising=False)
+    for a, b in ((demand, supply), (supply, demand)):
+        tasks = pairs.product(a, b).groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) >= 10 and sum(r["count"] for r in tasks) == 50_000 and max(r["count"] for r in tasks) <= 10_000
+    monkeypatch.setattr(pairs, "BROADCAST_ROWS", 40)
+    monkeypatch.setattr(pairs, "CELL_ROWS", 20, raising=False)
+    tasks = pairs.product(demand, supply).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 50_000 and max(r["count"] for r in tasks) <= 5000
