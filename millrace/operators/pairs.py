@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bounds of a side that is broadcast, in rows and in bytes of its rows as JSON.
@@ -189,6 +189,40 @@ def ranged(demand: DataFrame, supply: DataFrame, bounds: Sequence[tuple[str, str
     return left.join(right, same & met).drop("_place", "_part", "_salt", "_own", "_own_part", "_own_salt")
 
 
+def range_counts(demand: DataFrame, supply: DataFrame, bound: tuple[str, str, str], left: Sequence[str] = (), right: Sequence[str] = (), blocks: int = BLOCKS) -> DataFrame:
+    """Numbers of pairs by columns ``left`` of the demand and ``right`` of the supply, other names than each other's: ``n_met`` that
+    meet one bound, as those of ``ranged``, and ``n_all``. No pair is made: equal rows are one with a number, both sides are cut along
+    the values, of blocks that lie before a demand's only the numbers are met, and those of its own block are
+    running sums, for each set of values of ``right``: they should be few, other than those of ``left``."""
+    value, op, own = bound
+    if op not in _HOLDS:
+        raise ValueError("a bound is (demand's column, '>=' or '<=', supply's column)")
+    a = demand.groupBy(*left, F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    b = supply.groupBy(*right, F.col(own).alias("_value")).agg(F.count("*").alias("_m"))
+    ends = a.select("_value").union(b.select("_value"))
+    kind = ends.schema["_value"].dataType
+    cuts = ends.agg(F.percentile_approx("_value", [i / blocks for i in range(1, blocks)], 10_000)).first()[0] or []
+    cuts = F.array(*[F.lit(x).cast(kind) for x in sorted(set(cuts))]) if cuts else F.array().cast(f"array<{kind.simpleString()}>")
+    at = F.col("_value").cast(kind)
+    before = (lambda x: x < at) if op == ">=" else (lambda x: x > at)
+    number = F.when(at.isNull(), F.lit(-1)).otherwise(F.size(F.filter(cuts, before)))
+    a, b = (df.withColumn("_value", at).withColumn("_block", number) for df in (a, b))
+    # whole blocks: a null meets all, a value all blocks behind its own; -2 is for all pairs
+    reach = F.when(F.col("_block") == -1, F.sequence(F.lit(-2), F.lit(blocks))).otherwise(
+        F.concat(F.array(F.lit(-2), F.lit(-1)), F.sequence(F.col("_block") + 1, F.lit(blocks)))
+    )
+    reached = b.groupBy(*right, "_block").agg(F.sum("_m").alias("_m")).select(*right, "_m", F.explode(reach).alias("_block")).groupBy(*right, "_block").agg(F.sum("_m").alias("_m"))
+    placed = a.groupBy(*left, "_block").agg(F.sum("_n").alias("_n")).select(*left, "_n", F.explode(F.array("_block", F.lit(-2))).alias("_block"))
+    total, whole = F.col("_n") * F.col("_m"), F.col("_block") == -2
+    far = placed.join(reached, "_block").select(*left, *right, F.when(whole, 0).otherwise(total).alias("n_met"), F.when(whole, total).otherwise(0).alias("n_all"))
+    # its own block: sums along the values, equal ones included
+    points = b.filter("_block >= 0").select(*right, "_block", "_value", "_m", *[F.lit(None).cast(a.schema[x].dataType).alias(x) for x in left], F.lit(0).cast("long").alias("_n"))
+    probes = a.filter("_block >= 0").join(b.select("_block", *right).distinct(), "_block").select(*right, "_block", "_value", F.lit(0).cast("long").alias("_m"), *left, "_n")
+    along = Window.partitionBy("_block", *right).orderBy(F.col("_value") if op == ">=" else F.desc("_value")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    near = probes.union(points).withColumn("_m", F.sum("_m").over(along)).filter("_n > 0").select(*left, *right, total.alias("n_met"), F.lit(0).cast("long").alias("n_all"))
+    return near.union(far).groupBy(*left, *right).agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("n_met", "n_all")])
+
+
 def by_values(demand: DataFrame, supply: DataFrame, left: Sequence[str], right: Sequence[str], condition: Column) -> DataFrame:
     """Pairs for which a ``condition`` on the columns ``left`` and ``right`` holds, decided once for each two distinct sets of
     values: these are paired, and both sides joined to the pairs that hold. Nulls are values."""

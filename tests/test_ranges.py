@@ -103,7 +103,7 @@ def copies(spark, tmp_path_factory):
     return str(path), n
 
 
-COUNTED = ["pair_phase_overlap", "pair_skill_overlap"]
+COUNTED = ["pair_phase_overlap", "pair_skill_overlap", "pair_budget"]
 
 
 @pytest.mark.parametrize("name", COUNTED)
@@ -122,3 +122,19 @@ def test_a_product_of_one_file_is_spread(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pairs, "CELL_ROWS", 20, raising=False)
     tasks = pairs.product(demand, supply).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in tasks) == 50_000 and max(r["count"] for r in tasks) <= 5000
+
+
+@pytest.mark.parametrize("op", [">=", "<="])
+@pytest.mark.parametrize("left,right", [(["g"], ["h"]), (["g"], []), ([], ["h"]), ([], [])])
+def test_range_counts_are_those_of_the_product(spark, op, left, right):
+    draw = random.Random(5)
+    demand = spark.createDataFrame([(a, draw.choice(["x", None, "z"])) for _, a, _ in rows(draw, 200, 0, 0.3)], "a double, g string")
+    supply = spark.createDataFrame([(x, draw.choice([1, 2, None])) for _, x, _ in rows(draw, 90, 0, 0.3)], "x long, h int")
+    met = pairs._either_null(F.col("a"), F.col("x")) | F.coalesce(F.col("a") >= F.col("x") if op == ">=" else F.col("a") <= F.col("x"), F.lit(False))
+    wanted = demand.crossJoin(supply).groupBy(*left, *right).agg(F.count_if(met).alias("n_met"), F.count("*").alias("n_all"))
+    for blocks in (2, 8, 128):
+        found = pairs.range_counts(demand, supply, ("a", op, "x"), left, right, blocks)
+        assert found.columns == wanted.columns and {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()}
+    nulls = supply.withColumn("x", F.lit(None).cast("long"))
+    assert sum(r["n_met"] for r in pairs.range_counts(demand, nulls, ("a", op, "x"), left, right).collect()) == 203 * 93
+    assert sum(r["n_met"] for r in pairs.range_counts(demand.limit(0), supply, ("a", op, "x"), left, right).collect()) == 0
