@@ -138,3 +138,18 @@ def test_range_counts_are_those_of_the_product(spark, op, left, right):
     nulls = supply.withColumn("x", F.lit(None).cast("long"))
     assert sum(r["n_met"] for r in pairs.range_counts(demand, nulls, ("a", op, "x"), left, right).collect()) == 203 * 93
     assert sum(r["n_met"] for r in pairs.range_counts(demand.limit(0), supply, ("a", op, "x"), left, right).collect()) == 0
+
+
+@pytest.mark.parametrize("bound", [100_000, 40])
+def test_pairs_by_values_in_many_tasks(spark, monkeypatch, bound):
+    monkeypatch.setattr(pairs, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(pairs, "TASK_PAIRS", 500, raising=False)
+    draw = random.Random(6)
+    demand = spark.createDataFrame(rows(draw, 90, 0, 0.5), "d long, a long, b long")
+    supply = spark.createDataFrame(rows(draw, 140, 1000, 0.7), "s long, x long, y long")
+    few, rest = F.col("a").isNull() | F.coalesce(F.col("x") >= F.col("a"), F.lit(False)), F.coalesce(F.col("b") <= F.col("y"), F.lit(True))
+    found = pairs.by_values(demand, supply, ["a"], ["x"], few, rest)
+    assert found.columns == [*demand.columns, *supply.columns]
+    got = found.select("d", "s", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r["d"], r["s"]) for r in got) == sorted(tuple(r) for r in demand.crossJoin(supply).filter(few & rest).select("d", "s").collect())
+    assert len({r["task"] for r in got}) > 4
