@@ -283,16 +283,30 @@ def cascade(df: DataFrame, stages: Sequence[tuple[str, Column]], audit: bool = F
     return df.withColumn("first_failed", F.coalesce(*[F.when(~c, F.lit(n)) for n, c in stages], F.lit(None).cast("string")))
 
 
+def _sets(df: DataFrame, side: tuple[str, Column], to: str) -> DataFrame:
+    return df.select(F.col(side[0]).alias(to), F.array_sort(F.array_distinct(side[1])).alias("items")).filter(F.size("items") > 0).distinct()
+
+
+def _meeting(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two distinct sets (a, b) with an item in common, each pair once: that of its least common item."""
+    own = lambda df, to: df.select(F.col("items").alias(to)).distinct().withColumn("item", F.explode(to))
+    return own(a, "a").join(own(b, "b"), "item").filter(F.col("item") == F.array_min(F.array_intersect("a", "b"))).select("a", "b")
+
+
 def sharing(demand: DataFrame, supply: DataFrame, left: tuple[str, Column], right: tuple[str, Column]) -> DataFrame:
     """Distinct (left, right) ids with an item in common, by a join on the items rather than over all
     pairs. Ids with one set of items are joined as one first, so that few items or equal sets cost
     pairs of sets; a pair of sets is found through each common item and kept for the least of them,
     so nothing has to be made distinct after the join. An id has one set."""
-    sets = lambda df, side, to: df.select(F.col(side[0]).alias(to), F.array_sort(F.array_distinct(side[1])).alias("items")).filter(F.size("items") > 0).distinct()
-    a, b = sets(demand, left, "left"), sets(supply, right, "right")
-    own = lambda df, to: df.select(F.col("items").alias(to)).distinct().withColumn("item", F.explode(to))
-    met = own(a, "a").join(own(b, "b"), "item").filter(F.col("item") == F.array_min(F.array_intersect("a", "b"))).select("a", "b")
-    return met.join(a.withColumnRenamed("items", "a"), "a").join(b.withColumnRenamed("items", "b"), "b").select("left", "right")
+    a, b = _sets(demand, left, "left"), _sets(supply, right, "right")
+    return _meeting(a, b).join(a.withColumnRenamed("items", "a"), "a").join(b.withColumnRenamed("items", "b"), "b").select("left", "right")
+
+
+def sharing_counts(demand: DataFrame, supply: DataFrame, left: tuple[str, Column], right: tuple[str, Column], name: str = "n") -> DataFrame:
+    """Of ``sharing`` each left id with its number of right ones. Ids are counted by their sets, and only sets are paired."""
+    a, b = _sets(demand, left, "left"), _sets(supply, right, "right")
+    met = _meeting(a, b).join(b.groupBy(F.col("items").alias("b")).agg(F.count("*").alias("_m")), "b").groupBy("a").agg(F.sum("_m").alias(name))
+    return a.withColumnRenamed("items", "a").join(met, "a").select("left", name)
 
 
 def keyword_hits(texts: DataFrame, key: str, text: str, keywords: Sequence[str]) -> DataFrame:

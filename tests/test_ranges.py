@@ -103,7 +103,7 @@ def copies(spark, tmp_path_factory):
     return str(path), n
 
 
-COUNTED = ["pair_phase_overlap", "pair_skill_overlap", "pair_budget", "pair_cascade_audit", "pair_interval_overlap", "pair_location", "pair_tier", "pair_cross_count"]
+COUNTED = ["pair_phase_overlap", "pair_skill_overlap", "pair_budget", "pair_cascade_audit", "pair_interval_overlap", "pair_location", "pair_tier", "pair_cross_count", "pair_skill_overlap_indexed"]
 
 
 @pytest.mark.parametrize("name", COUNTED)
@@ -153,3 +153,11 @@ def test_pairs_by_values_in_many_tasks(spark, monkeypatch, bound):
     got = found.select("d", "s", F.spark_partition_id().alias("task")).collect()
     assert sorted((r["d"], r["s"]) for r in got) == sorted(tuple(r) for r in demand.crossJoin(supply).filter(few & rest).select("d", "s").collect())
     assert len({r["task"] for r in got}) > 4
+
+
+def test_shared_items_are_counted_by_sets(spark, users):
+    left, right = ("l", F.col("a")), ("l", F.col("a"))
+    wanted = pairs.sharing(users, users, left, right).groupBy("left").agg(F.count("*").alias("n"))
+    found = pairs.sharing_counts(users, users, left, right)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()}
+    assert most_rows(wanted) > 10_000 and most_rows(found) <= 300
