@@ -120,6 +120,8 @@ def same_count(df: DataFrame, other: DataFrame) -> DataFrame:
 
 #: Rows of a group that are numbered in one task.
 GROUP_ROWS = 1_000_000
+#: Ranges that rows are dealt in, at most, where that leaves ranges of no more than GROUP_ROWS rows.
+RANGES = 500
 
 
 def _hashable(kind: T.DataType) -> bool:
@@ -135,7 +137,8 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: st
 
     If no group has more than ``group_rows`` rows, they come from a window. Else all rows are dealt in ranges
     of group, order and hash, of about ``group_rows`` rows each, and sorted there: a row's number is its place,
-    plus the rows of the ranges before, less those before its group. Only rows equal in all columns can't be told
+    plus the rows of the ranges before, less those before its group. More than RANGES ranges are made only beyond GROUP_ROWS
+    rows each, as each range's samples and status go to the driver. Only rows equal in all columns can't be told
     apart, and stay in one range; the counts of ranges come to one task."""
     hashed = [F.col(f"`{c}`") for c in df.columns if _hashable(df.schema[c].dataType)]
     total = [*order, F.xxhash64(*hashed)] if hashed else [*order]
@@ -143,7 +146,8 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: st
     if (sizes["most"] or 0) <= group_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*total)).cast("long"))
     keys = [F.col(c).asc_nulls_first() for c in by]
-    dealt = df.repartitionByRange(max(2, sizes["all"] // group_rows + 1), *keys, *total).sortWithinPartitions(*keys, *total)
+    ranges = max(2, min(sizes["all"] // group_rows + 1, max(RANGES, sizes["all"] // GROUP_ROWS + 1)))
+    dealt = df.repartitionByRange(ranges, *keys, *total).sortWithinPartitions(*keys, *total)
     placed = written(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered")  # the number of the range, and the place in it
     placed = placed.withColumns({"_range": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -79,3 +79,14 @@ def test_counts_while_writing(spark, tmp_path):
     with pytest.raises(ValueError):
         rows.same_count(df, spark.range(3))
     assert rows.same_count(df, spark.range(100)).count() == 100
+
+
+@pytest.mark.parametrize("by", [["band"], []])
+def test_small_ranges_of_many_rows_are_bounded_in_number(spark, monkeypatch, by):
+    """As each range costs the driver its samples and a status, however few rows it has."""
+    seen, write = [], rows.written
+    monkeypatch.setattr(rows, "written", lambda df, label: seen.append(df.rdd.getNumPartitions()) or write(df, label))
+    df = spark.range(30_000).select("id", (F.col("id") % 2).alias("band"), (F.col("id") % 10).alias("lead"))
+    got = rows.numbered(df, by, [F.desc("lead"), F.col("id")], group_rows=20)
+    wanted = df.withColumn("seq", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("lead"), F.col("id"))))
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in wanted.collect()} and 2 <= seen[0] <= 500
