@@ -161,9 +161,14 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: st
     return placed.join(starts, same).select(*df.columns, (F.col("_at") - F.col("_start") + 1).alias(name))
 
 
+def part(label: Column, known: Sequence[str], other: str) -> Column:
+    """The part of ``route`` that a row goes to: where parts are only counted or grouped, one pass does it."""
+    return F.when(label.isin(*known), label).otherwise(other)
+
+
 def route(df: DataFrame, label: str, known: Sequence[str], other: str) -> dict[str, DataFrame]:
-    """A part for each label; unknown and null ones go to ``other``."""
-    name = F.when(F.col(label).isin(*known), F.col(label)).otherwise(other)
+    """A part for each label; unknown and null ones go to ``other``. Each part that is used computes ``df`` anew."""
+    name = part(F.col(label), known, other)
     return {k: df.filter(name == k) for k in dict.fromkeys([*known, other])}
 
 

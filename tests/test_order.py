@@ -90,3 +90,13 @@ def test_small_ranges_of_many_rows_are_bounded_in_number(spark, monkeypatch, by)
     got = rows.numbered(df, by, [F.desc("lead"), F.col("id")], group_rows=20)
     wanted = df.withColumn("seq", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("lead"), F.col("id"))))
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in wanted.collect()} and 2 <= seen[0] <= 500
+
+
+def test_routed_mails_are_read_once(spark):
+    from millrace import queries
+
+    df = queries.QUERIES["mail_type_route"](spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    labels = spark.createDataFrame([("a",), ("b",), (None,), ("q",)], "o string")
+    parts = {r["p"]: r["count"] for r in labels.groupBy(rows.part(F.col("o"), ["a", "b"], "unknown").alias("p")).count().collect()}
+    assert parts == {k: v.count() for k, v in rows.route(labels, "o", ["a", "b"], "unknown").items()}
