@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import bounded, written
+from ..storage import bounded, sliced, written
 
 Judge = Callable[[list[str], str], list[dict]]
 SKILL = "struct<skill:string,match:boolean,note:string>"
@@ -146,6 +146,15 @@ class Store:
         return requests.join(known.unionByName(new), "digest", "left")
 
 
+#: Skills, and thousands of characters of texts, that a worker has answers of at once.
+ANSWERS = 5_000
+
+
+def _weight(skills, text) -> int:
+    """An answer is some hundred bytes a skill, a text one for a character at least."""
+    return (0 if skills is None else len(skills)) + (len(text) // 1000 if isinstance(text, str) else 0) + 1
+
+
 def _judgement(judge: Judge) -> Callable[[list[str] | None, str | None], tuple[list[dict] | None, str | None, str | None]]:
     """Results, error and cause of skills and a sheet."""
 
@@ -178,7 +187,7 @@ def judged(pairs: DataFrame, judge: Judge = keyword_judge, *, skills: str = "req
         return keyed.join(told, "_digest", "left").select(*pairs.columns, "results", "error", "cause")
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for wanted, sheets in batches:
+        for wanted, sheets in sliced(batches, _weight, ANSWERS):
             yield pd.DataFrame([one(w, s) for w, s in zip(wanted, sheets, strict=True)], columns=["results", "error", "cause"])
 
     call = F.pandas_udf(run, f"results array<{SKILL}>, error string, cause string")
@@ -227,7 +236,7 @@ def recheck(pairs: DataFrame, call: Judge, *, results: str = "results", text: st
     else:
 
         def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            for skills, sheets in batches:
+            for skills, sheets in sliced(batches, _weight, ANSWERS):
                 yield pd.DataFrame([one(list(k), s) for k, s in zip(skills, sheets, strict=True)], columns=["checks", "recheck_error"])
 
         asked = F.pandas_udf(run, f"checks array<{CHECK}>, recheck_error string")(met, F.col(text))

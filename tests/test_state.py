@@ -63,3 +63,26 @@ def test_stream_into_the_log(spark, tmp_path):
         stream = spark.readStream.schema("a long, b long").parquet(source)
         mails.into_history(stream, state, ["a"], str(tmp_path / "check")).awaitTermination()
     assert sorted(r["a"] for r in state.read("history").collect()) == list(range(8)) == sorted(r["a"] for r in state.read("cache").collect())
+
+
+def test_judged_rows_are_answered_in_small_parts(monkeypatch):
+    """What one call of the worker's function holds is bounded in skills, whatever the batch has; one large row comes alone."""
+    import pandas as pd
+
+    from millrace.operators import judge
+    from millrace.storage import shares, sliced
+
+    skills, texts = pd.Series([["a"] * n for n in (3, 4000, 2000, 9000, 1, 1)] + [None, ["b"]]), pd.Series(["t"] * 6 + [None, "x" * 4_999_000])
+    parts = list(sliced(iter([(skills, texts), (skills[:1], texts[:1])]), judge._weight, judge.ANSWERS))
+    assert [len(a) for a, _ in parts] == [2, 1, 1, 3, 1, 1] and pd.concat([b for _, b in parts[:5]]).equals(texts)
+    assert list(shares([], 5)) == [] and list(shares([9, 9], 5)) == [slice(0, 1), slice(1, 2)]
+
+
+def test_judged_over_many_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from millrace.operators import judge
+
+    df = spark.range(3000).select("id", F.transform(F.sequence(F.lit(1), F.lit(20)), lambda x: x.cast("string")).alias("required_skills"), F.concat(F.lit("1 2 "), F.col("id").cast("string")).alias("skillsheet"))
+    got = judge.judged(df.coalesce(1)).select("id", "skillsheet", F.filter("results", lambda r: r["match"])["skill"].alias("met")).collect()
+    assert len(got) == 3000 and all(set(r["met"]) == {str(x) for x in range(1, 21) if str(x) in r["skillsheet"]} for r in got)
