@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -10,13 +11,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..storage import sliced
+
+
+#: Characters that a worker has the normal form of at once.
+SLICE = 1 << 20
+
 
 def nfkc(text: Column) -> Column:
-    """Unicode compatibility form; null stays null."""
+    """Unicode compatibility form; null stays null. Of large texts the table goes through ``storage.bounded`` first."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            yield series.str.normalize("NFKC")
+        for series in sliced(batches, lambda x: len(x) if isinstance(x, str) else 1, SLICE):
+            yield pd.Series([unicodedata.normalize("NFKC", x) if isinstance(x, str) else None for x in series], dtype=object)
 
     return pandas_udf(run, "string")(text)
 

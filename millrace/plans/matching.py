@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import dedupe_key, join_cjk, mail_address, nfkc
 from ..operators import annotate, classify, fields, judge, packs, pairs, places, rows, scores, sections
+from ..storage import bounded
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Config:
 
 def cleaned(mails: DataFrame, config: Config) -> DataFrame:
     """The newest mail of each sender and subject (of equally new ones that with the smallest id), without excluded ones, its body in NFKC."""
-    keyed = mails.withColumns({"_from": mail_address(F.col("from")), "_subject": dedupe_key(nfkc(F.col("subject")))})
+    keyed = bounded(mails).withColumns({"_from": mail_address(F.col("from")), "_subject": dedupe_key(nfkc(F.col("subject")))})
     kept = rows.keep_latest(keyed, ["_from", "_subject"], "date", "message_id")
     kept = rows.split(kept, ~rows.excluded(F.col("_from"), F.col("_subject"), config.excluded))[0]
     return kept.select("message_id", "subject", F.col("_from").alias("sender"), "reply_to", join_cjk(nfkc(F.coalesce("body_text", F.lit("")))).alias("body"))

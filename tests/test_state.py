@@ -86,3 +86,22 @@ def test_judged_over_many_parts(spark, monkeypatch):
     df = spark.range(3000).select("id", F.transform(F.sequence(F.lit(1), F.lit(20)), lambda x: x.cast("string")).alias("required_skills"), F.concat(F.lit("1 2 "), F.col("id").cast("string")).alias("skillsheet"))
     got = judge.judged(df.coalesce(1)).select("id", "skillsheet", F.filter("results", lambda r: r["match"])["skill"].alias("met")).collect()
     assert len(got) == 3000 and all(set(r["met"]) == {str(x) for x in range(1, 21) if str(x) in r["skillsheet"]} for r in got)
+
+
+def test_normal_forms_in_slices(spark, monkeypatch):
+    """Batches of few MB reach the worker, which has one slice of them at a time; nulls and empty texts stay."""
+    from pyspark.sql import functions as F
+
+    from millrace import queries
+    from millrace.functions import text
+    from millrace.storage import BATCH, BATCH_BYTES
+
+    df = spark.createDataFrame([(None,), ("",), ("\uff21\u338f",), ("x" * 3_000_000 + "\uff21",), (None,)], "t string").coalesce(1)
+    assert [r["n"] for r in df.select(text.nfkc(F.col("t")).alias("n")).collect()] == [None, "", "Akg", "x" * 3_000_000 + "A", None]
+    monkeypatch.setattr(text, "SLICE", 3, raising=False)
+    assert [r["n"] for r in df.limit(3).select(text.nfkc(F.col("t")).alias("n")).collect()] == [None, "", "Akg"]
+    old = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, "67108864b")
+    queries.QUERIES["nfkc_normalise"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(BATCH) == str(BATCH_BYTES)
+    spark.conf.set(BATCH, old)
