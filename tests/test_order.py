@@ -92,6 +92,26 @@ def test_small_ranges_of_many_rows_are_bounded_in_number(spark, monkeypatch, by)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in wanted.collect()} and 2 <= seen[0] <= 500
 
 
+def result_bytes(spark, run):
+    """Bytes of task results, samples of range partitioners among them, that came to the driver while ``run`` ran."""
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def stages():
+        found = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {(x.stageId(), x.attemptId()): x.resultSize() for x in map(found.apply, range(found.size()))}
+
+    before = stages()
+    run()
+    return sum(v for k, v in stages().items() if k not in before)
+
+
+def test_ranges_send_the_driver_little(spark):
+    """One sequence over 60,000 rows of 20 a range: 500 ranges' statuses and their samples, not 3,001 ranges'."""
+    df = spark.range(60_000).select("id", (F.col("id") % 10).alias("lead"))
+    sent = result_bytes(spark, lambda: rows.numbered(df, [], [F.desc("lead"), F.col("id")], group_rows=20).write.format("noop").mode("append").save())
+    assert 100_000 < sent < 9_000_000
+
+
 def test_routed_mails_are_read_once(spark):
     from millrace import queries
 
