@@ -88,6 +88,29 @@ def test_judged_over_many_parts(spark, monkeypatch):
     assert len(got) == 3000 and all(set(r["met"]) == {str(x) for x in range(1, 21) if str(x) in r["skillsheet"]} for r in got)
 
 
+def test_answers_do_not_pile_up_in_a_worker(spark):
+    """3,000 rows of 20 skills in one batch: the worker has the answers of two slices of 5,000 skills, that it makes and that before it."""
+    from pyspark.sql import functions as F
+
+    from millrace.operators import judge
+
+    def told(skills, text):
+        import builtins
+
+        alive = builtins.__dict__.setdefault("_alive", [0])  # of this worker
+
+        class Answer(list):
+            def __del__(self):
+                alive[0] -= 1
+
+        alive[0] += 1
+        return Answer({"skill": s, "match": True, "note": str(alive[0])} for s in skills)
+
+    df = spark.range(3000).select("id", F.transform(F.sequence(F.lit(1), F.lit(20)), lambda x: x.cast("string")).alias("required_skills"), F.lit("x").alias("skillsheet"))
+    got = judge.judged(df.coalesce(1), told).select(F.col("results")[0]["note"].cast("int").alias("alive"), "error").collect()
+    assert len(got) == 3000 and all(r["error"] is None for r in got) and max(r["alive"] for r in got) <= 500
+
+
 def test_normal_forms_in_slices(spark, monkeypatch):
     """Batches of few MB reach the worker, which has one slice of them at a time; nulls and empty texts stay."""
     from pyspark.sql import functions as F
